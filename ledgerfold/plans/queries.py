@@ -17,6 +17,8 @@ from ledgerfold.keys import KEYS, LONG, SHORT
 from ledgerfold.operators.account import account_check, holdings_pair
 from ledgerfold.operators.cashflow import merge_cash_flow
 from ledgerfold.operators.exceptions import exception_detail, exception_stat
+from ledgerfold.operators.positions import (closed_positions, detail_return_check, event_records, open_positions,
+                                            roll_positions, seed_open_positions)
 from ledgerfold.operators.quality import error_count_diff, error_counts, qty_identity
 from ledgerfold.sources.binding import stored
 
@@ -124,6 +126,43 @@ def q_dq_qty_identity(spark, sf_dir):
     return qty_identity(t.stock_generate_error, exception_detail(_check(spark, sf_dir)))
 
 
+def _first_day(t) -> str:
+    return t.trading_day.where(F.col("rlt_rank") == 1).first()["busi_date"]
+
+
+def _rolled(spark, sf_dir):
+    """Long book, seeded from the holdings of the first trading day, rolled over all later days."""
+    t = tables(spark, sf_dir)
+    return roll_positions(t.cash_flow_detail, t.stock_asset_holding, t.trading_day, _first_day(t), LONG)
+
+
+def q_positions_open(spark, sf_dir):
+    return open_positions(_rolled(spark, sf_dir))
+
+
+def q_positions_closed(spark, sf_dir):
+    return closed_positions(_rolled(spark, sf_dir))
+
+
+def q_seed_open_positions(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return seed_open_positions(t.stock_asset_holding, _first_day(t))
+
+
+def q_dq_detail_return(spark, sf_dir):
+    return detail_return_check(closed_positions(_rolled(spark, sf_dir)))
+
+
+def q_event_records(spark, sf_dir):
+    """Ordered events per (position, day) of the long book, as a canonical 'qty@timestamp' list."""
+    t = tables(spark, sf_dir)
+    er = event_records(t.cash_flow_detail, LONG)
+    return er.select(
+        *KEYS, "busi_date", F.size("trd_detail").cast("long").alias("n_items"),
+        F.concat_ws(",", F.transform("trd_detail", lambda e: F.concat(
+            e["trd_qty"].cast("string"), F.lit("@"), e["timestamp"].cast("string")))).alias("detail"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_cash_flow": q_merge_cash_flow,
     "holdings_pair": q_holdings_pair,
@@ -137,4 +176,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_error_counts": q_dq_error_counts,
     "dq_error_diff": q_dq_error_diff,
     "dq_qty_identity": q_dq_qty_identity,
+    "event_records": q_event_records,
+    "seed_open_positions": q_seed_open_positions,
+    "positions_open": q_positions_open,
+    "positions_closed": q_positions_closed,
+    "dq_detail_return": q_dq_detail_return,
 }
