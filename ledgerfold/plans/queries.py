@@ -17,6 +17,8 @@ from ledgerfold.keys import KEYS, LONG, SHORT
 from ledgerfold.operators.account import account_check, holdings_pair
 from ledgerfold.operators.cashflow import merge_cash_flow
 from ledgerfold.operators.exceptions import exception_detail, exception_stat
+from ledgerfold.operators.lots import (closed_lots, fifo_lots, fifo_matches, lot_event_records, open_lots, roll_lots,
+                                       seed_lots)
 from ledgerfold.operators.positions import (closed_positions, detail_return_check, event_records, open_positions,
                                             roll_positions, seed_open_positions)
 from ledgerfold.operators.quality import error_count_diff, error_counts, qty_identity
@@ -163,6 +165,45 @@ def q_event_records(spark, sf_dir):
             e["trd_qty"].cast("string"), F.lit("@"), e["timestamp"].cast("string")))).alias("detail"))
 
 
+def q_seed_lots(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return seed_lots(t.stock_asset_holding, _first_day(t))
+
+
+def q_lot_event_records(spark, sf_dir):
+    """Ordered lot events per (position, day) of the long book as 'qty@cents@label' lists."""
+    t = tables(spark, sf_dir)
+    er = lot_event_records(t.cash_flow_detail, LONG)
+    return er.select(
+        *KEYS, "busi_date", F.size("trd_detail").cast("long").alias("n_items"),
+        F.concat_ws(",", F.transform("trd_detail", lambda e: F.concat_ws(
+            "@", e["trd_qty"].cast("string"), F.round(e["trd_cash_flow"] * 100).cast("long").cast("string"),
+            e["amortize_label"].cast("string")))).alias("detail"))
+
+
+def q_fifo_matches(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return fifo_matches(t.cash_flow_detail, t.trading_day, LONG).drop("match_cost_c", "match_proceeds_c")
+
+
+def q_fifo_lots(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return fifo_lots(t.cash_flow_detail, t.trading_day, LONG)
+
+
+def _lots(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return roll_lots(t.cash_flow_detail, t.stock_asset_holding, t.trading_day, _first_day(t), LONG)
+
+
+def q_lots_open(spark, sf_dir):
+    return open_lots(_lots(spark, sf_dir))
+
+
+def q_lots_closed(spark, sf_dir):
+    return closed_lots(_lots(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_cash_flow": q_merge_cash_flow,
     "holdings_pair": q_holdings_pair,
@@ -181,4 +222,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "positions_open": q_positions_open,
     "positions_closed": q_positions_closed,
     "dq_detail_return": q_dq_detail_return,
+    "seed_lots": q_seed_lots,
+    "lot_event_records": q_lot_event_records,
+    "fifo_matches": q_fifo_matches,
+    "fifo_lots": q_fifo_lots,
+    "lots_open": q_lots_open,
+    "lots_closed": q_lots_closed,
 }
