@@ -22,6 +22,8 @@ from ledgerfold.operators.lots import (closed_lots, fifo_lots, fifo_matches, lot
 from ledgerfold.operators.positions import (closed_positions, detail_return_check, event_records, open_positions,
                                             roll_positions, seed_open_positions)
 from ledgerfold.operators.quality import error_count_diff, error_counts, qty_identity
+from ledgerfold.plans.backfill import backfill
+from ledgerfold.sinks.tables import write_partitioned
 from ledgerfold.sources.binding import stored
 
 MONEY = 2
@@ -204,6 +206,56 @@ def q_lots_closed(spark, sf_dir):
     return closed_lots(_lots(spark, sf_dir))
 
 
+def _bounds(t):
+    b = t.trading_day.agg(F.min("busi_date").alias("lo"), F.max("busi_date").alias("hi")).first()
+    return b["lo"], b["hi"]
+
+
+def q_backfill_merge(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    lo, hi = _bounds(t)
+    return rounded(backfill("merge", t, lo, hi), money=("trd_cash_flow", "pos_cash_flow", "neg_cash_flow", "trd_fee"))
+
+
+def q_backfill_check(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    lo, hi = _bounds(t)
+    return rounded(backfill("check", t, lo, hi), money=_CHECK_MONEY, rates=("return_rate",))
+
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from ledgerfold.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerfold-sink-{name}-{uuid.uuid4().hex[:10]}"
+
+
+def q_sink_replace_day(spark, sf_dir):
+    """Write the merged flows of every day as a day-partitioned table, then recompute and
+    replace the last day from that day's events only; read the table back."""
+    t = tables(spark, sf_dir)
+    path = _scratch(spark, "cash-flow")
+    write_partitioned(_merged(spark, sf_dir), path, replace="all")
+    last = _bounds(t)[1]
+    write_partitioned(merge_cash_flow(t.cash_flow_detail.where(F.col("busi_date") == last)), path, replace="dynamic")
+    back = spark.read.parquet(path)
+    cols = [c for c in _merged(spark, sf_dir).columns]
+    return rounded(back.select(*cols), money=("trd_cash_flow", "pos_cash_flow", "neg_cash_flow", "trd_fee"))
+
+
+def q_sink_check_books(spark, sf_dir):
+    """Long book written first, short book appended into the same day partitions, then one
+    day replaced with both books again; read back, the table equals check_all."""
+    t = tables(spark, sf_dir)
+    path = _scratch(spark, "check")
+    write_partitioned(_check(spark, sf_dir, (LONG,)), path, replace="all")
+    write_partitioned(_check(spark, sf_dir, (SHORT,)), path, replace="append")
+    last = _bounds(t)[1]
+    write_partitioned(_check(spark, sf_dir).where(F.col("busi_date") == last), path, replace="dynamic")
+    back = spark.read.parquet(path).select(*_check(spark, sf_dir).columns)
+    return rounded(back, money=_CHECK_MONEY, rates=("return_rate",))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_cash_flow": q_merge_cash_flow,
     "holdings_pair": q_holdings_pair,
@@ -228,4 +280,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fifo_lots": q_fifo_lots,
     "lots_open": q_lots_open,
     "lots_closed": q_lots_closed,
+    "backfill_merge": q_backfill_merge,
+    "backfill_check": q_backfill_check,
+    "sink_replace_day": q_sink_replace_day,
+    "sink_check_books": q_sink_check_books,
 }
