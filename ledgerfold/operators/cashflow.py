@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.keys import KEYS
-from ledgerfold.sources.binding import EVENT_ORDER
 
 MERGED_COLUMNS = [
     "trade_id", "secu_acc_id", "prd_no", "busi_flag_code", "busi_flag_name", "trd_qty", "pos_trd_qty",
@@ -17,27 +14,27 @@ MERGED_COLUMNS = [
 ]
 
 
-def ordered_concat(col: str, order_cols: Sequence[str], sep: str = "-") -> Column:
-    """``concat_ws(sep, collect_list(col))`` with a deterministic event order; NULLs skipped, all-NULL -> ''."""
-    items = F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in order_cols], F.col(col).alias("_v"))))
-    return F.concat_ws(sep, F.transform(items, lambda s: s["_v"]))
-
-
-def merge_cash_flow(detail: DataFrame, order_cols: Sequence[str] = EVENT_ORDER) -> DataFrame:
+def merge_cash_flow(detail: DataFrame, order_col: str = "timestamp") -> DataFrame:
     """Collapse intraday cash-flow events to one row per (position, trd_type, busi_date).
 
     One group-by with map-side partial aggregation; all days at once (filter the
     input by ``busi_date`` for a single day - it prunes partitions).  A NULL cash
     flow counts to neither the positive nor the negative side.
+
+    ``busi_flag_code`` / ``busi_flag_name`` join the day's values with '-' in event
+    time order (the original leaves the order unspecified).  Events at the same time
+    are ordered by (code, name): equal sort keys then carry equal strings, so the
+    result is deterministic without any further tie-break column.
     """
     cf = F.col("trd_cash_flow")
     pos = cf >= 0
     neg = cf < 0
+    items = F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("t"), F.col("busi_flag_code").alias("c"),
+                                                 F.col("busi_flag_name").alias("n"))))
     return (
         detail.groupBy(*KEYS, "trd_type", "busi_date")
         .agg(
-            ordered_concat("busi_flag_code", order_cols).alias("busi_flag_code"),
-            ordered_concat("busi_flag_name", order_cols).alias("busi_flag_name"),
+            items.alias("_items"),
             F.sum("trd_qty").alias("trd_qty"),
             F.sum(F.when(pos, F.col("trd_qty")).otherwise(F.lit(0))).alias("pos_trd_qty"),
             F.sum(F.when(neg, F.col("trd_qty")).otherwise(F.lit(0))).alias("neg_trd_qty"),
@@ -47,5 +44,7 @@ def merge_cash_flow(detail: DataFrame, order_cols: Sequence[str] = EVENT_ORDER)
             F.sum(cf - F.col("trd_amt")).alias("trd_fee"),
             F.max("cash_flow_modi_label").alias("cash_flow_modi_label"),
         )
+        .withColumn("busi_flag_code", F.concat_ws("-", F.transform("_items", lambda s: s["c"])))
+        .withColumn("busi_flag_name", F.concat_ws("-", F.transform("_items", lambda s: s["n"])))
         .select(*MERGED_COLUMNS)
     )
