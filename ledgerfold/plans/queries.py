@@ -25,6 +25,7 @@ from ledgerfold.operators.quality import error_count_diff, error_counts, qty_ide
 from ledgerfold.plans.backfill import backfill
 from ledgerfold.sinks.tables import write_partitioned
 from ledgerfold.sources.binding import stored
+from ledgerfold.sources.tables import read_partitioned
 
 MONEY = 2
 RATE = 6
@@ -238,9 +239,8 @@ def q_sink_replace_day(spark, sf_dir):
     write_partitioned(_merged(spark, sf_dir), path, replace="all")
     last = _bounds(t)[1]
     write_partitioned(merge_cash_flow(t.cash_flow_detail.where(F.col("busi_date") == last)), path, replace="dynamic")
-    back = spark.read.parquet(path)
-    cols = [c for c in _merged(spark, sf_dir).columns]
-    return rounded(back.select(*cols), money=("trd_cash_flow", "pos_cash_flow", "neg_cash_flow", "trd_fee"))
+    back = read_partitioned(spark, path, _merged(spark, sf_dir).schema)
+    return rounded(back, money=("trd_cash_flow", "pos_cash_flow", "neg_cash_flow", "trd_fee"))
 
 
 def q_sink_check_books(spark, sf_dir):
@@ -252,7 +252,7 @@ def q_sink_check_books(spark, sf_dir):
     write_partitioned(_check(spark, sf_dir, (SHORT,)), path, replace="append")
     last = _bounds(t)[1]
     write_partitioned(_check(spark, sf_dir).where(F.col("busi_date") == last), path, replace="dynamic")
-    back = spark.read.parquet(path).select(*_check(spark, sf_dir).columns)
+    back = read_partitioned(spark, path, _check(spark, sf_dir).schema)
     return rounded(back, money=_CHECK_MONEY, rates=("return_rate",))
 
 

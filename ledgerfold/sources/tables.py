@@ -35,3 +35,15 @@ def read_range(df: DataFrame, start: str, end: str) -> DataFrame:
 def read_days(df: DataFrame, days: Iterable[str]) -> DataFrame:
     """Scan only the listed partitions (e.g. the two endpoints T2, T1)."""
     return df.where(F.col("busi_date").isin(list(days)))
+
+
+def read_partitioned(spark: SparkSession, path: str, schema=None, fmt: str = "parquet") -> DataFrame:
+    """Read a day-partitioned dataset; with ``schema`` the partition column keeps its declared
+    type (``busi_date`` stays a yyyy-MM-dd string instead of being inferred as a date)."""
+    r = spark.read.format(fmt)
+    if schema is not None:
+        r = r.schema(schema)
+    df = r.load(path)
+    if schema is None and dict(df.dtypes).get("busi_date") == "date":
+        df = df.withColumn("busi_date", F.date_format("busi_date", "yyyy-MM-dd"))
+    return df

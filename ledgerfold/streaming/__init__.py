@@ -1,0 +1 @@
+"""Incremental triggering of the daily batch tasks (no streaming operators of its own)."""

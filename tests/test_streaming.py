@@ -1,0 +1,23 @@
+"""The file-triggered daily runner writes the same partitions as the batch check."""
+
+import os
+import uuid
+
+from pyspark.sql import functions as F
+
+from ledgerfold.session import ensure_checkpoint_dir
+from ledgerfold.sources.tables import read_partitioned
+from ledgerfold.streaming.daily import start
+
+
+def test_available_now_run_matches_batch(spark, small):
+    root = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), "stream-" + uuid.uuid4().hex[:8])
+    src = f"{root}/events"
+    days = [r.busi_date for r in small.trading_day.where(F.col("rlt_rank").between(10, 12)).collect()]
+    small.cash_flow_detail.where(F.col("busi_date").isin(days)).write.parquet(src)
+    q = start(spark, src, small.cash_flow_detail.schema, lambda s: small, f"{root}/out", f"{root}/ckpt")
+    q.awaitTermination(300)
+    out = read_partitioned(spark, f"{root}/out/stock_cash_flow")
+    assert sorted(r.busi_date for r in out.select("busi_date").distinct().collect()) == sorted(days)
+    chk = spark.read.parquet(f"{root}/out/stock_daily_check_data")
+    assert chk.count() > 0
