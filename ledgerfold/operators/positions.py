@@ -19,19 +19,23 @@ the holdings quantity differs from x (NULL-aware), else 0.
 Plan.  The reference re-folds the whole, ever-growing history array of every
 position every day on Python workers.  Here the carried state is four numbers:
 
-1. events -> one row per (position, day): quantity sum and the day's events as a
-   sorted array (the reference's own collect_list unit);
+1. events -> one row per (position, day, second): the quantity sum and that
+   second's events as a sorted array (so a busy position is split by time, not
+   held in one array per day);
 2. a window over each position's days (one row per trading day, bounded by the
-   calendar) gives x at the day's end and the cycle number;
-3. one ``F.aggregate`` per day turns the day's events into an affine map
+   calendar) gives x at the day's end and the cycle number; a window over the
+   seconds of one day gives x at each chunk's start;
+3. one ``F.aggregate`` per chunk turns its events into an affine map
    ``y_end = M * y_start + C`` plus the coefficients of its return tags
    ``A * y_start + B`` and its in / out sums - x is known, so the map is exact;
-4. the day maps of a cycle (again bounded by the calendar) are composed in day
-   order by one ``F.aggregate`` scan, then exploded back to day rows;
+   the chunk maps of a day (at most one per second) compose into the day's map;
+4. the day maps of a cycle (bounded by the calendar) are composed in day order
+   by one ``F.aggregate`` scan, then exploded back to day rows;
 5. the days between events are produced by a row-local ``sequence`` explode,
    and holdings are joined for remain_qty / remain_val.
 
-Only step 1 shuffles events; everything after works on per-position-day rows.
+Only step 1 shuffles events; everything after works on per-chunk or
+per-position-day rows.  No Python runs.
 """
 
 from __future__ import annotations
@@ -95,6 +99,18 @@ def _event_step(acc: Column, e: Column) -> Column:
     )
 
 
+def _chunk_step(acc: Column, c: Column) -> Column:
+    """Compose the next chunk's map after the day's maps so far (return tags included)."""
+    return F.struct(
+        (c["M"] * acc["M"]).alias("M"),
+        (c["M"] * acc["C"] + c["C"]).alias("C"),
+        (acc["A"] + c["A"] * acc["M"]).alias("A"),
+        (acc["B"] + (c["A"] * acc["C"] + c["B"])).alias("B"),
+        (acc["ins"] + c["ins"]).alias("ins"),
+        (acc["outs"] + c["outs"]).alias("outs"),
+    )
+
+
 def _day_step(acc: Column, d: Column) -> Column:
     """Compose one day's map onto the cycle state and append the day's result."""
     y1 = d["M"] * acc["y"] + d["C"]
@@ -161,41 +177,59 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
     ok = F.col("trd_qty").isNotNull() & F.col("trd_amt").isNotNull() & F.col("timestamp").isNotNull()
     ev = (detail.where((F.col("trd_type") == book) & ok)
           .join(cal, "busi_date").where(F.col("rank") > s)
-          .select(*pos, "rank", F.struct(F.lit(1).alias("src"), *[F.col(c) for c in order_cols],
+          .select(*pos, "rank", F.col(order_cols[0]).cast("long").alias("cts"),
+                  F.struct(F.lit(1).alias("src"), *[F.col(c) for c in order_cols],
                                          F.col("trd_qty").cast("long").alias("q"),
                                          F.col("trd_amt").cast("double").alias("a"),
                                          F.lit(False).alias("seed")).alias("e")))
     ev_type = ev.schema["e"].dataType
     hs = holding.where(F.col("busi_date") == seed_date)
-    seed_items = hs.select(*pos, F.lit(s).alias("rank"), F.struct(
+    seed_items = hs.select(*pos, F.lit(s).alias("rank"), F.lit(-1).cast("long").alias("cts"), F.struct(
         F.lit(0).alias("src"), *[F.lit(None).cast(ev_type[c].dataType).alias(c) for c in order_cols],
         F.col(qty_col).cast("long").alias("q"), F.col("mkt_val").cast("double").alias("a"),
         F.lit(True).alias("seed")).alias("e"))
-    markers = hs.select(*pos, F.lit(s + 1).alias("rank"), F.lit(None).cast(ev_type).alias("e")) \
+    markers = hs.select(*pos, F.lit(s + 1).alias("rank"), F.lit(-1).cast("long").alias("cts"),
+                        F.lit(None).cast(ev_type).alias("e")) \
         if s < max_rank else None
     items = ev.unionByName(seed_items)
     if markers is not None:
         items = items.unionByName(markers)
 
-    days = items.groupBy(*pos, "rank").agg(
+    # 1b. chunks: the events of one position in one second (any bound on a day's events per
+    #     position is then a bound on seconds per day times events per position per second).
+    chunks = items.groupBy(*pos, "rank", "cts").agg(
         F.sort_array(F.collect_list("e")).alias("evs"),
         F.coalesce(F.sum(F.col("e.q")), F.lit(0)).cast("long").alias("dq"),
         F.count("e").alias("n_ev"),
     )
 
     # 2. x at day end and cycle number; one row per position and day (bounded by the calendar).
+    days = chunks.groupBy(*pos, "rank").agg(F.sum("dq").alias("dq_day"))
     wp = Window.partitionBy(*pos).orderBy("rank")
-    x_end = F.sum("dq").over(wp.rowsBetween(Window.unboundedPreceding, 0))
-    days = days.withColumn("x_end", x_end)
+    days = days.withColumn("x_end", F.sum("dq_day").over(wp.rowsBetween(Window.unboundedPreceding, 0)))
     zero = F.when((F.col("x_end") == 0) & (F.col("rank") > s), 1).otherwise(0)
     days = days.withColumn("cycle", F.coalesce(
         F.sum(zero).over(wp.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
 
-    # 3. each day's events as an affine map of the day's starting y.
-    init = F.struct((F.col("x_end") - F.col("dq")).alias("x"), F.lit(1.0).alias("M"), F.lit(0.0).alias("C"),
+    # 3. each chunk's events as an affine map of the chunk's starting y; x at the chunk start is
+    #    the day's start plus the earlier chunks of the day (a window over one day's seconds).
+    chunks = chunks.join(days, pos + ["rank"])
+    wd = Window.partitionBy(*pos, "rank").orderBy("cts").rowsBetween(Window.unboundedPreceding, -1)
+    x0 = F.col("x_end") - F.col("dq_day") + F.coalesce(F.sum("dq").over(wd), F.lit(0))
+    init = F.struct(x0.alias("x"), F.lit(1.0).alias("M"), F.lit(0.0).alias("C"),
                     F.lit(0.0).alias("A"), F.lit(0.0).alias("B"), F.lit(0.0).alias("ins"),
                     F.lit(0.0).alias("outs")).cast(_ACC)
-    days = days.withColumn("m", F.aggregate("evs", init, _event_step))
+    chunks = chunks.withColumn("m", F.aggregate("evs", init, _event_step))
+
+    # 3b. compose the chunk maps of each day in time order (at most one per second of the day).
+    chunk_item = F.struct(F.col("cts"), F.col("m.M").alias("M"), F.col("m.C").alias("C"), F.col("m.A").alias("A"),
+                          F.col("m.B").alias("B"), F.col("m.ins").alias("ins"), F.col("m.outs").alias("outs"))
+    days = chunks.groupBy(*pos, "rank").agg(
+        F.first("x_end").alias("x_end"), F.first("cycle").alias("cycle"), F.sum("n_ev").alias("n_ev"),
+        F.sort_array(F.collect_list(chunk_item)).alias("cm"))
+    day_init = F.struct(F.lit(1.0).alias("M"), F.lit(0.0).alias("C"), F.lit(0.0).alias("A"), F.lit(0.0).alias("B"),
+                        F.lit(0.0).alias("ins"), F.lit(0.0).alias("outs"))
+    days = days.withColumn("m", F.aggregate("cm", day_init, _chunk_step))
 
     # 4. compose the day maps of each cycle in day order.
     day_item = F.struct(F.col("rank"), F.col("x_end"), F.col("m.M").alias("M"), F.col("m.C").alias("C"),
