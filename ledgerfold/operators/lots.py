@@ -91,34 +91,56 @@ def fifo_intervals(detail: DataFrame, calendar: DataFrame, book: str = LONG) ->
     )
 
 
-def fifo_matches(detail: DataFrame, calendar: DataFrame, book: str = LONG) -> DataFrame:
-    """One row per (buy, sell) pair that FIFO matches, with quantity, cost share and proceeds share."""
+BUCKET_QTY = 1 << 20  # width of a cumulative-quantity bucket for the boundary merge
+
+
+def fifo_matches(detail: DataFrame, calendar: DataFrame, book: str = LONG, bucket_qty: int = BUCKET_QTY) -> DataFrame:
+    """One row per (buy, sell) pair that FIFO matches, with quantity, cost share and proceeds share.
+
+    The cumulative-quantity axis of each position is cut into buckets of ``bucket_qty``; every
+    interval is clipped to the buckets it overlaps (an interval longer than a bucket is copied
+    once per bucket).  Buy intervals tile the axis and so do effective sell intervals, so within
+    one (position, bucket) the merge of end points is self-contained, and a group holds at most
+    about 2 * bucket_qty end points (quantities are whole numbers) - a busy position is spread
+    over many buckets instead of one sort.
+    """
     iv = fifo_intervals(detail, calendar, book)
+    w_ = int(bucket_qty)
     ev_fields = ["busi_date", *EVENT_ORDER, "q", "cash_c"]
-    buys = iv.where(F.col("q") > 0).select(
-        *KEYS, F.col("buy_end").alias("v"), F.struct(*ev_fields).alias("b"), F.lit(None).alias("s"))
-    sells = iv.where((F.col("q") < 0) & (F.col("sell_end") > F.col("sell_start"))).select(
-        *KEYS, F.col("sell_end").alias("v"), F.lit(None).alias("b"), F.struct(*ev_fields).alias("s"))
+
+    def spread(df: DataFrame, lo: str, hi: str) -> DataFrame:
+        first = F.expr(f"{lo} div {w_}")
+        last = F.expr(f"({hi} - 1) div {w_}")
+        df = df.select("*", F.explode(F.sequence(first, last)).alias("bucket"))
+        return df.withColumn("v", F.least(F.col(hi), (F.col("bucket") + 1) * w_))
+
+    buys = spread(iv.where(F.col("q") > 0), "buy_start", "buy_end").select(
+        *KEYS, "bucket", "v", F.struct(*ev_fields).alias("b"), F.lit(None).alias("s"))
+    sells = spread(iv.where((F.col("q") < 0) & (F.col("sell_end") > F.col("sell_start"))), "sell_start", "sell_end") \
+        .select(*KEYS, "bucket", "v", F.lit(None).alias("b"), F.struct(*ev_fields).alias("s"))
     bt = buys.schema["b"].dataType
     pts = buys.withColumn("s", F.col("s").cast(bt)).unionByName(sells.withColumn("b", F.col("b").cast(bt)))
     # Buy ends are distinct per position and so are effective sell ends; a value may be both.
-    pts = pts.groupBy(*KEYS, "v").agg(F.max("b").alias("b"), F.max("s").alias("s"))
-    w = Window.partitionBy(*KEYS).orderBy(F.col("v").desc())
+    pts = pts.groupBy(*KEYS, "bucket", "v").agg(F.max("b").alias("b"), F.max("s").alias("s"))
+    w = Window.partitionBy(*KEYS, "bucket").orderBy(F.col("v").desc())
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     seg = pts.select(
         *KEYS, "v",
-        F.coalesce(F.lead("v").over(w), F.lit(0)).alias("v_prev"),
+        F.coalesce(F.lead("v").over(w), F.col("bucket") * w_).alias("v_prev"),
         F.last("b", ignorenulls=True).over(run).alias("buy"),
         F.last("s", ignorenulls=True).over(run).alias("sell"),
     ).where(F.col("sell").isNotNull() & F.col("buy").isNotNull())
-    qty = F.col("v") - F.col("v_prev")
-    m = seg.where(qty > 0).select(
+    # a pair whose overlap crosses a bucket edge comes in pieces: add them up
+    seg = seg.where(F.col("v") > F.col("v_prev")).groupBy(*KEYS, "buy", "sell").agg(
+        F.sum(F.col("v") - F.col("v_prev")).alias("match_qty"))
+    qty = F.col("match_qty")
+    m = seg.select(
         *KEYS,
         F.col("buy.busi_date").alias("buy_date"), F.col("buy.timestamp").alias("buy_ts"),
         *[F.col(f"buy.{c}").alias(f"buy_{c}") for c in TIE_COLS],
         F.col("sell.busi_date").alias("sell_date"), F.col("sell.timestamp").alias("sell_ts"),
         *[F.col(f"sell.{c}").alias(f"sell_{c}") for c in TIE_COLS],
-        qty.alias("match_qty"),
+        qty,
         (F.col("buy.cash_c") * qty).alias("_cn"), F.col("buy.q").alias("_cd"),
         (-F.col("sell.cash_c") * qty).alias("_pn"), (-F.col("sell.q")).alias("_pd"),
     )

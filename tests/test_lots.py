@@ -86,3 +86,20 @@ def test_relational_fifo_equals_brute_force(spark):
     assert got == expected
     lots = fifo_lots(ev, calendar(spark, days))
     assert lots.agg(F.sum("close_qty")).first()[0] == sum(expected.values())
+
+
+def test_bucketed_merge_equals_unbucketed(spark):
+    rng = random.Random(11)
+    days = [f"2017-03-{d:02d}" for d in range(1, 9)]
+    rows = []
+    for pos in range(6):
+        ts = 0
+        for _ in range(rng.randint(5, 40)):
+            ts += rng.randint(1, 3)
+            rows.append((str(pos), "1.1", days[min(ts // 10, 7)], ts, rng.choice([1, -1]) * rng.randint(1, 60),
+                         float(rng.randint(-999, 999))))
+    ev, cal = events(spark, rows), calendar(spark, days)
+    cols = ["trade_id", "buy_ts", "sell_ts", "match_qty", "match_cost", "match_proceeds"]
+    big = sorted(map(tuple, fifo_matches(ev, cal, bucket_qty=1 << 20).select(*cols).collect()))
+    tiny = sorted(map(tuple, fifo_matches(ev, cal, bucket_qty=7).select(*cols).collect()))
+    assert big == tiny and len(big) > 0
