@@ -13,7 +13,11 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerfold") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerfold",
+                  coalesce: bool = True) -> SparkSession:
+    """Single-machine session.  ``coalesce=False`` keeps every shuffle at ``shuffle_partitions``
+    tasks: on one machine with MB-sized shuffles AQE would otherwise merge them into one or two
+    tasks and leave cores idle (on a cluster, keep AQE coalescing on)."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -21,7 +25,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.enabled", "true" if coalesce else "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
