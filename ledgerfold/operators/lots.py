@@ -9,9 +9,10 @@ sell larger than the inventory is cut to it: the excess is dropped, via the
 running minimum of the signed position).  A buy and a sell match on the overlap
 of their intervals, cash pro rata by quantity.  The overlaps are found by
 merging the interval end points in axis order (windows over sorted boundaries,
-O(n log n)), never by pairing every buy with every sell.  Cumulative sums are
-two-level: within (position, day), then over the position's days (bounded by the
-calendar), so a busy position is spread over many tasks.
+per bucket of the quantity axis), never by pairing every buy with every sell.
+Cumulative sums are three-level: within (position, day, second), over the
+seconds of a day, then over the position's days (bounded by the calendar), so a
+busy position is spread over many tasks.
 
 ``roll_lots`` - the full daily lot fold with amortising trades, sells across
 lots, holdings reconciliation (newest lot first), surplus holdings and the
@@ -53,34 +54,47 @@ def fifo_intervals(detail: DataFrame, calendar: DataFrame, book: str = LONG) ->
     ev = _lot_events(detail, calendar, book)
     buy = F.when(F.col("q") > 0, F.col("q")).otherwise(F.lit(0))
     sell = F.when(F.col("q") < 0, -F.col("q")).otherwise(F.lit(0))
-    wd = Window.partitionBy(*KEYS, "rank").orderBy(*EVENT_ORDER)
-    upto = wd.rowsBetween(Window.unboundedPreceding, 0)
-    before = wd.rowsBetween(Window.unboundedPreceding, -1)
-    ev = ev.select(
-        "*",
-        F.sum(buy).over(upto).alias("b_day"), F.sum(sell).over(upto).alias("s_day"),
-        F.sum("q").over(upto).alias("r_day"),
-    )
-    ev = ev.select("*", F.min("r_day").over(upto).alias("rmin_day"), F.min("r_day").over(before).alias("rmin_prev"))
-
-    # Day totals and their prefixes over the position's days (one row per trading day).
-    day = ev.groupBy(*KEYS, "rank").agg(
-        F.max("b_day").alias("bt"), F.max("s_day").alias("st"), F.min("r_day").alias("rmin"))
+    # level 1: running sums inside one second of one position (ordered by the tie-break)
+    wc = Window.partitionBy(*KEYS, "rank", "timestamp").orderBy(*TIE_COLS)
+    upto = wc.rowsBetween(Window.unboundedPreceding, 0)
+    before = wc.rowsBetween(Window.unboundedPreceding, -1)
+    ev = ev.select("*", F.sum(buy).over(upto).alias("b_c"), F.sum(sell).over(upto).alias("s_c"),
+                   F.sum("q").over(upto).alias("r_c"))
+    ev = ev.select("*", F.min("r_c").over(upto).alias("rmin_c"), F.min("r_c").over(before).alias("rmin_c_prev"))
+
+    # level 2: the seconds of one day (at most 86400 rows per position and day)
+    chunk = ev.groupBy(*KEYS, "rank", "timestamp").agg(
+        F.max("b_c").alias("bt"), F.max("s_c").alias("st"), F.min("r_c").alias("rmin"))
+    wd = Window.partitionBy(*KEYS, "rank").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, -1)
+    chunk = chunk.select(
+        *KEYS, "rank", "timestamp", "bt", "st", "rmin",
+        F.coalesce(F.sum("bt").over(wd), F.lit(0)).alias("b0c"),
+        F.coalesce(F.sum("st").over(wd), F.lit(0)).alias("s0c"),
+    ).withColumn("r0c", F.col("b0c") - F.col("s0c")).withColumn("cmin", F.col("r0c") + F.col("rmin"))
+    chunk = chunk.withColumn("cmin0", F.min("cmin").over(wd))
+
+    # level 3: the days of one position (one row per trading day)
+    day = chunk.groupBy(*KEYS, "rank").agg(F.sum("bt").alias("bt"), F.sum("st").alias("st"),
+                                           F.min("cmin").alias("dmin_rel"))
     wp = Window.partitionBy(*KEYS).orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
     day = day.select(
-        *KEYS, "rank", "rmin",
+        *KEYS, "rank", "dmin_rel",
         F.coalesce(F.sum("bt").over(wp), F.lit(0)).alias("b0"),
         F.coalesce(F.sum("st").over(wp), F.lit(0)).alias("s0"),
-    ).withColumn("r0", F.col("b0") - F.col("s0")).withColumn("dmin", F.col("r0") + F.col("rmin"))
+    ).withColumn("r0", F.col("b0") - F.col("s0")).withColumn("dmin", F.col("r0") + F.col("dmin_rel"))
     # running minimum of the signed position before the day, starting at 0
     day = day.withColumn("gmin0", F.least(F.lit(0), F.coalesce(F.min("dmin").over(wp), F.lit(0)))) \
-        .drop("rmin", "dmin")
-
-    e = ev.join(day, KEYS + ["rank"])
-    b_cum = F.col("b0") + F.col("b_day")
-    s_cum = F.col("s0") + F.col("s_day")
-    dropped = -F.least(F.col("gmin0"), F.col("r0") + F.col("rmin_day"))
-    dropped_prev = -F.least(F.col("gmin0"), F.coalesce(F.col("r0") + F.col("rmin_prev"), F.col("gmin0")))
+        .drop("dmin_rel", "dmin")
+
+    e = ev.join(chunk.select(*KEYS, "rank", "timestamp", "b0c", "s0c", "r0c", "cmin0"), KEYS + ["rank", "timestamp"]) \
+        .join(day, KEYS + ["rank"])
+    b_cum = F.col("b0") + F.col("b0c") + F.col("b_c")
+    s_cum = F.col("s0") + F.col("s0c") + F.col("s_c")
+    # least() skips NULLs: no earlier second today / no earlier event in this second
+    in_day = F.least(F.col("cmin0"), F.col("r0c") + F.col("rmin_c"))
+    in_day_prev = F.least(F.col("cmin0"), F.col("r0c") + F.col("rmin_c_prev"))
+    dropped = -F.least(F.col("gmin0"), F.col("r0") + in_day)
+    dropped_prev = -F.least(F.col("gmin0"), F.col("r0") + in_day_prev)
     sq = -F.col("q")
     return e.select(
         *KEYS, "busi_date", *EVENT_ORDER, "q", "cash", "cash_c",
