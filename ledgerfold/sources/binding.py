@@ -110,7 +110,9 @@ class BrokerageTables:
             .join(cal, "busi_date")
         )
         first = per_day.groupBy(*pos).agg(F.min("rlt_rank").alias("first_rank"))
-        grid = first.join(cal, cal.rlt_rank >= first.first_rank).drop("first_rank")
+        last = self.trading_day.agg(F.max("rlt_rank")).first()[0]
+        grid = first.select(*pos, F.explode(F.sequence("first_rank", F.lit(last))).alias("rlt_rank")) \
+            .join(cal, "rlt_rank")
         w = Window.partitionBy(*pos).orderBy("rlt_rank").rowsBetween(Window.unboundedPreceding, 0)
         cum = F.sum(F.coalesce("day_qty", F.lit(0))).over(w)
         bump = F.when((F.col("rlt_rank") + F.col("trade_id").cast("int")) % BUMP_MODULUS == 0, 1).otherwise(0)
