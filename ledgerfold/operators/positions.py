@@ -158,11 +158,28 @@ def event_records(detail: DataFrame, book: str, order_cols: Sequence[str] = EVEN
     return ev.groupBy(*KEYS, "busi_date").agg(F.sort_array(F.collect_list(item)).alias("trd_detail"))
 
 
+STATE_COLUMNS = ["trade_id", "secu_acc_id", "prd_no", "open_date", "remain_qty", "cost_amt", "total_in", "out_amt",
+                 "n_detail", "detail_return", "busi_date"]
+
+
+def position_state(rolled: DataFrame, busi_date: str) -> DataFrame:
+    """The open positions of one day with the carried fold state (x, y, in, signed out) - the
+    input of the next run, like the reference's unclosed-positions table."""
+    return rolled.where((~F.col("closed")) & (F.col("busi_date") == busi_date)).select(*STATE_COLUMNS)
+
+
 def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_date: str,
-                   book: str = LONG, qty_col: str = "qty", order_cols: Sequence[str] = EVENT_ORDER) -> DataFrame:
+                   book: str = LONG, qty_col: str = "qty", order_cols: Sequence[str] = EVENT_ORDER,
+                   state: DataFrame | None = None) -> DataFrame:
     """Daily position rows for every trading day after ``seed_date``; ``closed`` tells the table.
 
-    Returns one row per (position, day) with both open and closed columns plus ``closed``.
+    Without ``state`` the positions start from the holdings of ``seed_date`` (one seed
+    item each).  With ``state`` (``position_state`` of ``seed_date``) they resume from the
+    carried state, so a daily run only reads the new day's events: resuming gives exactly
+    the rows of one run over the whole range.
+
+    Returns one row per (position, day) with both open and closed columns, the carried
+    ``cost_amt`` / ``out_amt`` and ``closed``.
     """
     cal = F.broadcast(calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank")))
     seed_rank = calendar.where(F.col("busi_date") == seed_date).select(F.col("rlt_rank").cast("int")).first()
@@ -191,7 +208,13 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
     markers = hs.select(*pos, F.lit(s + 1).alias("rank"), F.lit(-1).cast("long").alias("cts"),
                         F.lit(None).cast(ev_type).alias("e")) \
         if s < max_rank else None
-    items = ev.unionByName(seed_items)
+    if state is not None:
+        st = state.where(F.col("busi_date") == seed_date)
+        markers = st.select(*pos, F.lit(s + 1).alias("rank"), F.lit(-1).cast("long").alias("cts"),
+                            F.lit(None).cast(ev_type).alias("e")) if s < max_rank else None
+        items = ev
+    else:
+        items = ev.unionByName(seed_items)
     if markers is not None:
         items = items.unionByName(markers)
 
@@ -201,7 +224,18 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
         F.sort_array(F.collect_list("e")).alias("evs"),
         F.coalesce(F.sum(F.col("e.q")), F.lit(0)).cast("long").alias("dq"),
         F.count("e").alias("n_ev"),
-    )
+    ).withColumn("given", F.lit(None).cast(_ACC))
+    if state is not None:
+        # a resumed position enters as one chunk whose map is already known: y = cost_amt
+        given = F.struct(F.col("remain_qty").cast("long").alias("x"), F.lit(1.0).alias("M"),
+                         F.col("cost_amt").cast("double").alias("C"), F.lit(0.0).alias("A"),
+                         F.col("detail_return").cast("double").alias("B"),
+                         F.col("total_in").cast("double").alias("ins"),
+                         F.col("out_amt").cast("double").alias("outs")).cast(_ACC)
+        chunks = chunks.unionByName(st.select(
+            *pos, F.lit(s).alias("rank"), F.lit(-1).cast("long").alias("cts"),
+            F.array().cast(T.ArrayType(ev_type)).alias("evs"), F.col("remain_qty").cast("long").alias("dq"),
+            F.col("n_detail").cast("long").alias("n_ev"), given.alias("given")))
 
     # 2. x at day end and cycle number; one row per position and day (bounded by the calendar).
     days = chunks.groupBy(*pos, "rank").agg(F.sum("dq").alias("dq_day"))
@@ -219,7 +253,7 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
     init = F.struct(x0.alias("x"), F.lit(1.0).alias("M"), F.lit(0.0).alias("C"),
                     F.lit(0.0).alias("A"), F.lit(0.0).alias("B"), F.lit(0.0).alias("ins"),
                     F.lit(0.0).alias("outs")).cast(_ACC)
-    chunks = chunks.withColumn("m", F.aggregate("evs", init, _event_step))
+    chunks = chunks.withColumn("m", F.coalesce(F.col("given"), F.aggregate("evs", init, _event_step)))
 
     # 3b. compose the chunk maps of each day in time order (at most one per second of the day).
     chunk_item = F.struct(F.col("cts"), F.col("m.M").alias("M"), F.col("m.C").alias("C"), F.col("m.A").alias("A"),
@@ -256,6 +290,11 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
 
     out = rows.join(cal.withColumnRenamed("rank", "day_rank"), "day_rank")
     out = out.join(cal.select(F.col("busi_date").alias("open_date"), F.col("rank").alias("start_rank")), "start_rank")
+    if state is not None:
+        # a resumed cycle keeps the opening day it had
+        opened = st.select(*pos, F.col("open_date").alias("open0"), F.lit(s).alias("start_rank"))
+        out = out.join(opened, pos + ["start_rank"], "left") \
+            .withColumn("open_date", F.coalesce(F.col("open0"), F.col("open_date"))).drop("open0")
     has_state = F.col("day_rank") > F.col("start_rank")
     h = holding.select(*pos, "busi_date", F.col(qty_col).cast("long").alias("h_qty"),
                        F.col("mkt_val").cast("double").alias("h_val"))
@@ -279,6 +318,8 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
         F.col("n").alias("n_detail"),
         F.col("dr").alias("detail_return"),
         "busi_date",
+        F.col("y").alias("cost_amt"),
+        F.col("outc").alias("out_amt"),
         closed.alias("closed"),
     )
 

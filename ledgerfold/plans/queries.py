@@ -20,7 +20,7 @@ from ledgerfold.operators.exceptions import exception_detail, exception_stat
 from ledgerfold.operators.lots import (closed_lots, fifo_lots, fifo_matches, lot_event_records, open_lots, roll_lots,
                                        seed_lots)
 from ledgerfold.operators.positions import (closed_positions, detail_return_check, event_records, open_positions,
-                                            roll_positions, seed_open_positions)
+                                            position_state, roll_positions, seed_open_positions)
 from ledgerfold.operators.quality import error_count_diff, error_counts, qty_identity
 from ledgerfold.plans.backfill import backfill
 from ledgerfold.sinks.tables import write_partitioned
@@ -149,6 +149,19 @@ def q_positions_closed(spark, sf_dir):
     return closed_positions(_rolled(spark, sf_dir))
 
 
+def q_positions_resume(spark, sf_dir):
+    """Daily-job style: run to the middle trading day, store that day's open-position state in
+    the shared folder, then resume from the stored state; open positions of the later days."""
+    t = tables(spark, sf_dir)
+    n = t.trading_day.agg(F.max("rlt_rank")).first()[0]
+    mid = t.trading_day.where(F.col("rlt_rank") == n // 2).first()["busi_date"]
+    path = _scratch(spark, "position-state")
+    position_state(_rolled(spark, sf_dir), mid).write.mode("overwrite").parquet(path)
+    state = spark.read.parquet(path)
+    resumed = roll_positions(t.cash_flow_detail, t.stock_asset_holding, t.trading_day, mid, LONG, state=state)
+    return open_positions(resumed)
+
+
 def q_seed_open_positions(spark, sf_dir):
     t = tables(spark, sf_dir)
     return seed_open_positions(t.stock_asset_holding, _first_day(t))
@@ -273,6 +286,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "seed_open_positions": q_seed_open_positions,
     "positions_open": q_positions_open,
     "positions_closed": q_positions_closed,
+    "positions_resume": q_positions_resume,
     "dq_detail_return": q_dq_detail_return,
     "seed_lots": q_seed_lots,
     "lot_event_records": q_lot_event_records,

@@ -78,3 +78,16 @@ def test_seed_rows(spark):
     h = holdings(spark, [("1", "1.1", S, 5, 50.0)])
     r = _one(seed_open_positions(h, S))
     assert (r.remain_qty, r.total_in, r.remain_val, r.exception_label, r.holding_term) == (5, 50.0, 50.0, 0, 0)
+
+
+def test_resume_from_state_equals_whole_range(spark, small):
+    from ledgerfold.operators.positions import position_state
+    t = small
+    first = t.trading_day.where(F.col("rlt_rank") == 1).first()["busi_date"]
+    mid = t.trading_day.where(F.col("rlt_rank") == 30).first()["busi_date"]
+    full = roll_positions(t.cash_flow_detail, t.stock_asset_holding, t.trading_day, first)
+    state = position_state(full, mid)
+    resumed = roll_positions(t.cash_flow_detail, t.stock_asset_holding, t.trading_day, mid, state=state)
+    a = sorted(map(tuple, full.where(F.col("busi_date") > mid).collect()), key=repr)
+    b = sorted(map(tuple, resumed.select(*full.columns).collect()), key=repr)
+    assert len(a) > 0 and a == b
