@@ -348,19 +348,29 @@ def _emit(key: tuple, day: str, lots: list, out: list) -> list:
     return keep
 
 
+_SEED_TYPES = {"open_date": "string", "exception_label": "int"}  # other lot fields are double
+
+
+def _seed_columns(df: DataFrame | None = None) -> list:
+    """The lot fields of a seed row as ``s_<field>`` columns (NULL on trade and tick rows)."""
+    return [(F.col(f) if df is not None else F.lit(None)).cast(_SEED_TYPES.get(f, "double")).alias(f"s_{f}")
+            for f in LOT_FIELDS]
+
+
 def _lot_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Fold sorted stream rows (position, rank, kind, order...) into daily lot rows."""
     cols = [f.name for f in LOT_SCHEMA.fields]
-    key, lots, day, trades = None, [], None, []
+    key, lots, trades = None, [], []
     for pdf in batches:
         out: list = []
         for r in pdf.itertuples(index=False):
             k = (r.trade_id, r.secu_acc_id, r.prd_no)
             if k != key:
-                key, lots, day, trades = k, [], None, []
+                key, lots, trades = k, [], []
             if r.kind == _SEED:
-                lots.append(_new_lot(r.busi_date, r.q, r.cash, unclose_amt=r.seed_unclose_amt))
-                lots[-1]["unclose_qty"] = r.seed_unclose_qty
+                lot = {f: getattr(r, f"s_{f}") for f in LOT_FIELDS}
+                lot["exception_label"] = int(lot["exception_label"])
+                lots.append(lot)
             elif r.kind == _TRADE:
                 trades.append((float(r.q), float(r.cash), int(r.label)))
             else:
@@ -370,36 +380,43 @@ def _lot_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=cols)
 
 
+def lot_state(rolled: DataFrame, busi_date: str) -> DataFrame:
+    """The open lots of one day - the state a next run resumes from."""
+    return rolled.where((~F.col("closed")) & (F.col("busi_date") == busi_date)).select(*KEYS, *LOT_FIELDS, "busi_date")
+
+
 def roll_lots(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_date: str, book: str = LONG,
               qty_col: str = "qty", as_written_seed: bool = False, order_cols: Sequence[str] = EVENT_ORDER,
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, state: DataFrame | None = None) -> DataFrame:
     """Daily lot rows (open and closed) for every trading day after ``seed_date``.
 
-    Each position is processed on every trading day from its seed or first trade on
-    (lots are re-emitted daily; holdings reconcile them every day; no holdings row
-    means holdings of 0).  Seed lots follow ``seed_lots``.
+    Each position is processed on every trading day from its first seed lot, trade or
+    holdings row on (lots are re-emitted daily; holdings reconcile them every day; no
+    holdings row means holdings of 0).  Seed lots follow ``seed_lots``, or - to resume a daily run -
+    the open lots of ``seed_date`` given as ``state`` (``lot_state``).
     """
     cal = calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank"))
     s = int(calendar.where(F.col("busi_date") == seed_date).select("rlt_rank").first()[0])
     max_rank = int(calendar.agg(F.max("rlt_rank")).first()[0])
     order = list(order_cols)
+    no_order = [F.lit(None).cast("long").alias(f"o{i}") for i in range(len(order))]
 
-    seeds = seed_lots(holding, seed_date, qty_col, as_written_seed).select(
-        *KEYS, "busi_date", F.lit(s).alias("rank"), F.lit(_SEED).alias("kind"),
-        *[F.lit(None).cast("long").alias(f"o{i}") for i in range(len(order))],
-        F.col("trd_qty").alias("q"), F.col("trd_amt").alias("cash"), F.lit(0).alias("label"),
-        F.col("unclose_qty").alias("seed_unclose_qty"), F.col("unclose_amt").alias("seed_unclose_amt"))
+    seed_src = (state.where(F.col("busi_date") == seed_date) if state is not None
+                else seed_lots(holding, seed_date, qty_col, as_written_seed))
+    seeds = seed_src.select(
+        *KEYS, F.lit(seed_date).alias("busi_date"), F.lit(s).alias("rank"), F.lit(_SEED).alias("kind"), *no_order,
+        F.lit(0.0).alias("q"), F.lit(0.0).alias("cash"), F.lit(0).alias("label"), *_seed_columns(seed_src))
     ok = F.col("trd_qty").isNotNull() & F.col("trd_cash_flow").isNotNull() & F.col("timestamp").isNotNull()
     trades = (detail.where((F.col("trd_type") == book) & ok)
               .join(F.broadcast(cal), "busi_date").where(F.col("rank") > s)
               .select(*KEYS, "busi_date", "rank", F.lit(_TRADE).alias("kind"),
                       *[F.col(c).cast("long").alias(f"o{i}") for i, c in enumerate(order)],
                       F.col("trd_qty").cast("double").alias("q"), F.col("trd_cash_flow").cast("double").alias("cash"),
-                      F.coalesce(F.col("amortize_label"), F.lit(0)).alias("label"),
-                      F.lit(None).cast("double").alias("seed_unclose_qty"),
-                      F.lit(None).cast("double").alias("seed_unclose_amt")))
-    # one end-of-day tick per position and trading day from its first appearance on
-    first = seeds.select(*KEYS, "rank").unionByName(trades.select(*KEYS, "rank")) \
+                      F.coalesce(F.col("amortize_label"), F.lit(0)).alias("label"), *_seed_columns()))
+    # one end-of-day tick per position and trading day from its first appearance (seed lot,
+    # trade or holdings row) on: holdings without lots still open (exception) lots
+    held = holding.join(F.broadcast(cal), "busi_date").where(F.col("rank") > s).select(*KEYS, "rank")
+    first = seeds.select(*KEYS, "rank").unionByName(trades.select(*KEYS, "rank")).unionByName(held) \
         .groupBy(*KEYS).agg(F.min("rank").alias("first_rank"))
     start = F.greatest(F.col("first_rank"), F.lit(s + 1))
     days = F.when(start <= max_rank, F.sequence(start, F.lit(max_rank))).otherwise(F.array().cast("array<int>"))
@@ -407,14 +424,13 @@ def roll_lots(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_d
     h = holding.select(*KEYS, "busi_date", F.col(qty_col).cast("double").alias("h_q"),
                        F.col("mkt_val").cast("double").alias("h_v"))
     ticks = ticks.join(h, KEYS + ["busi_date"], "left").select(
-        *KEYS, "busi_date", "rank", F.lit(_TICK).alias("kind"),
-        *[F.lit(None).cast("long").alias(f"o{i}") for i in range(len(order))],
+        *KEYS, "busi_date", "rank", F.lit(_TICK).alias("kind"), *no_order,
         F.coalesce("h_q", F.lit(0.0)).alias("q"), F.coalesce("h_v", F.lit(0.0)).alias("cash"),
-        F.lit(0).alias("label"), F.lit(None).cast("double").alias("seed_unclose_qty"),
-        F.lit(None).cast("double").alias("seed_unclose_amt"))
+        F.lit(0).alias("label"), *_seed_columns())
     stream = seeds.unionByName(trades).unionByName(ticks)
     n = num_partitions or int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = [*KEYS, "rank", "kind", *[f"o{i}" for i in range(len(order))]]
+    # seed lots in list order (oldest first), then each day's trades in time order, then its tick
+    sort_cols = [*KEYS, "rank", "kind", "s_open_date", *[f"o{i}" for i in range(len(order))]]
     stream = stream.repartition(n, *KEYS).sortWithinPartitions(*sort_cols)
     return stream.mapInPandas(_lot_stream, LOT_SCHEMA)
 

@@ -105,3 +105,15 @@ def test_bucketed_merge_equals_unbucketed(spark):
     big = sorted(map(tuple, fifo_matches(ev, cal, bucket_qty=1 << 20).select(*cols).collect()))
     tiny = sorted(map(tuple, fifo_matches(ev, cal, bucket_qty=7).select(*cols).collect()))
     assert big == tiny and len(big) > 0
+
+
+def test_roll_lots_resume_from_state_equals_whole_range(spark, small):
+    from ledgerfold.operators.lots import lot_state
+    t = small
+    first = t.trading_day.where(F.col("rlt_rank") == 1).first()["busi_date"]
+    mid = t.trading_day.where(F.col("rlt_rank") == 30).first()["busi_date"]
+    full = roll_lots(t.cash_flow_detail, t.stock_asset_holding, t.trading_day, first)
+    resumed = roll_lots(t.cash_flow_detail, t.stock_asset_holding, t.trading_day, mid, state=lot_state(full, mid))
+    a = sorted(map(tuple, full.where(F.col("busi_date") > mid).collect()), key=repr)
+    b = sorted(map(tuple, resumed.collect()), key=repr)
+    assert len(a) > 0 and a == b
