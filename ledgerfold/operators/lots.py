@@ -387,7 +387,8 @@ def lot_state(rolled: DataFrame, busi_date: str) -> DataFrame:
 
 def roll_lots(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_date: str, book: str = LONG,
               qty_col: str = "qty", as_written_seed: bool = False, order_cols: Sequence[str] = EVENT_ORDER,
-              num_partitions: int | None = None, state: DataFrame | None = None) -> DataFrame:
+              num_partitions: int | None = None, state: DataFrame | None = None,
+              until: str | None = None) -> DataFrame:
     """Daily lot rows (open and closed) for every trading day after ``seed_date``.
 
     Each position is processed on every trading day from its first seed lot, trade or
@@ -397,7 +398,8 @@ def roll_lots(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_d
     """
     cal = calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank"))
     s = int(calendar.where(F.col("busi_date") == seed_date).select("rlt_rank").first()[0])
-    max_rank = int(calendar.agg(F.max("rlt_rank")).first()[0])
+    last = calendar if until is None else calendar.where(F.col("busi_date") <= until)
+    max_rank = int(last.agg(F.max("rlt_rank")).first()[0])  # the last day produced
     order = list(order_cols)
     no_order = [F.lit(None).cast("long").alias(f"o{i}") for i in range(len(order))]
 
@@ -408,14 +410,15 @@ def roll_lots(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_d
         F.lit(0.0).alias("q"), F.lit(0.0).alias("cash"), F.lit(0).alias("label"), *_seed_columns(seed_src))
     ok = F.col("trd_qty").isNotNull() & F.col("trd_cash_flow").isNotNull() & F.col("timestamp").isNotNull()
     trades = (detail.where((F.col("trd_type") == book) & ok)
-              .join(F.broadcast(cal), "busi_date").where(F.col("rank") > s)
+              .join(F.broadcast(cal), "busi_date").where((F.col("rank") > s) & (F.col("rank") <= max_rank))
               .select(*KEYS, "busi_date", "rank", F.lit(_TRADE).alias("kind"),
                       *[F.col(c).cast("long").alias(f"o{i}") for i, c in enumerate(order)],
                       F.col("trd_qty").cast("double").alias("q"), F.col("trd_cash_flow").cast("double").alias("cash"),
                       F.coalesce(F.col("amortize_label"), F.lit(0)).alias("label"), *_seed_columns()))
     # one end-of-day tick per position and trading day from its first appearance (seed lot,
     # trade or holdings row) on: holdings without lots still open (exception) lots
-    held = holding.join(F.broadcast(cal), "busi_date").where(F.col("rank") > s).select(*KEYS, "rank")
+    held = holding.join(F.broadcast(cal), "busi_date").where((F.col("rank") > s) & (F.col("rank") <= max_rank)) \
+        .select(*KEYS, "rank")
     first = seeds.select(*KEYS, "rank").unionByName(trades.select(*KEYS, "rank")).unionByName(held) \
         .groupBy(*KEYS).agg(F.min("rank").alias("first_rank"))
     start = F.greatest(F.col("first_rank"), F.lit(s + 1))

@@ -170,7 +170,7 @@ def position_state(rolled: DataFrame, busi_date: str) -> DataFrame:
 
 def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_date: str,
                    book: str = LONG, qty_col: str = "qty", order_cols: Sequence[str] = EVENT_ORDER,
-                   state: DataFrame | None = None) -> DataFrame:
+                   state: DataFrame | None = None, until: str | None = None) -> DataFrame:
     """Daily position rows for every trading day after ``seed_date``; ``closed`` tells the table.
 
     Without ``state`` the positions start from the holdings of ``seed_date`` (one seed
@@ -186,14 +186,15 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
     if seed_rank is None:
         raise ValueError(f"seed date {seed_date} is not a trading day")
     s = int(seed_rank[0])
-    max_rank = int(calendar.agg(F.max("rlt_rank")).first()[0])
+    last = calendar if until is None else calendar.where(F.col("busi_date") <= until)
+    max_rank = int(last.agg(F.max("rlt_rank")).first()[0])  # the last day produced
     pos = KEYS
 
     # 1. events of the book after the seed, the seed holdings as first history item, and an
     #    empty marker on the day after the seed (so a zero-quantity seed closes that day).
     ok = F.col("trd_qty").isNotNull() & F.col("trd_amt").isNotNull() & F.col("timestamp").isNotNull()
     ev = (detail.where((F.col("trd_type") == book) & ok)
-          .join(cal, "busi_date").where(F.col("rank") > s)
+          .join(cal, "busi_date").where((F.col("rank") > s) & (F.col("rank") <= max_rank))
           .select(*pos, "rank", F.col(order_cols[0]).cast("long").alias("cts"),
                   F.struct(F.lit(1).alias("src"), *[F.col(c) for c in order_cols],
                                          F.col("trd_qty").cast("long").alias("q"),
