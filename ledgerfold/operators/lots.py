@@ -109,6 +109,11 @@ BUCKET_QTY = 1 << 20  # width of a cumulative-quantity bucket for the boundary m
 
 
 def fifo_matches(detail: DataFrame, calendar: DataFrame, book: str = LONG, bucket_qty: int = BUCKET_QTY) -> DataFrame:
+    """One row per (buy, sell) pair that FIFO matches (see ``matches_from_intervals``)."""
+    return matches_from_intervals(fifo_intervals(detail, calendar, book), bucket_qty)
+
+
+def matches_from_intervals(iv: DataFrame, bucket_qty: int = BUCKET_QTY) -> DataFrame:
     """One row per (buy, sell) pair that FIFO matches, with quantity, cost share and proceeds share.
 
     The cumulative-quantity axis of each position is cut into buckets of ``bucket_qty``; every
@@ -118,22 +123,21 @@ def fifo_matches(detail: DataFrame, calendar: DataFrame, book: str = LONG, bucke
     about 2 * bucket_qty end points (quantities are whole numbers) - a busy position is spread
     over many buckets instead of one sort.
     """
-    iv = fifo_intervals(detail, calendar, book)
     w_ = int(bucket_qty)
     ev_fields = ["busi_date", *EVENT_ORDER, "q", "cash_c"]
 
-    def spread(df: DataFrame, lo: str, hi: str) -> DataFrame:
-        first = F.expr(f"{lo} div {w_}")
-        last = F.expr(f"({hi} - 1) div {w_}")
-        df = df.select("*", F.explode(F.sequence(first, last)).alias("bucket"))
-        return df.withColumn("v", F.least(F.col(hi), (F.col("bucket") + 1) * w_))
-
-    buys = spread(iv.where(F.col("q") > 0), "buy_start", "buy_end").select(
-        *KEYS, "bucket", "v", F.struct(*ev_fields).alias("b"), F.lit(None).alias("s"))
-    sells = spread(iv.where((F.col("q") < 0) & (F.col("sell_end") > F.col("sell_start"))), "sell_start", "sell_end") \
-        .select(*KEYS, "bucket", "v", F.lit(None).alias("b"), F.struct(*ev_fields).alias("s"))
-    bt = buys.schema["b"].dataType
-    pts = buys.withColumn("s", F.col("s").cast(bt)).unionByName(sells.withColumn("b", F.col("b").cast(bt)))
+    # every buy and every (non-empty) effective sell gives one interval, in a single pass
+    is_buy = F.col("q") > 0
+    rec = F.struct(*ev_fields)
+    iv = iv.where(is_buy | ((F.col("q") < 0) & (F.col("sell_end") > F.col("sell_start")))).select(
+        *KEYS,
+        F.when(is_buy, F.col("buy_start")).otherwise(F.col("sell_start")).alias("lo"),
+        F.when(is_buy, F.col("buy_end")).otherwise(F.col("sell_end")).alias("hi"),
+        F.when(is_buy, rec).alias("b"), F.when(~is_buy, rec).alias("s"))
+    first = F.expr(f"lo div {w_}")
+    last = F.expr(f"(hi - 1) div {w_}")
+    pts = iv.select("*", F.explode(F.sequence(first, last)).alias("bucket")) \
+        .withColumn("v", F.least(F.col("hi"), (F.col("bucket") + 1) * w_))
     # Buy ends are distinct per position and so are effective sell ends; a value may be both.
     pts = pts.groupBy(*KEYS, "bucket", "v").agg(F.max("b").alias("b"), F.max("s").alias("s"))
     w = Window.partitionBy(*KEYS, "bucket").orderBy(F.col("v").desc())
@@ -174,10 +178,10 @@ def _half_away(n: str, d: str) -> str:
 def fifo_lots(detail: DataFrame, calendar: DataFrame, book: str = LONG) -> DataFrame:
     """Lots = a position's buys of one day (same-day buys join the day's lot), with closed
     quantity and proceeds from FIFO; return = close_amt - trd_amt, rate = return / trd_amt."""
-    ev = _lot_events(detail, calendar, book)
-    lots = ev.where(F.col("q") > 0).groupBy(*KEYS, "busi_date").agg(
+    iv = fifo_intervals(detail, calendar, book)  # one derivation shared by both branches
+    lots = iv.where(F.col("q") > 0).groupBy(*KEYS, "busi_date").agg(
         F.sum("q").alias("trd_qty"), F.sum("cash_c").alias("trd_c"))
-    m = fifo_matches(detail, calendar, book).groupBy(*KEYS, F.col("buy_date").alias("busi_date")).agg(
+    m = matches_from_intervals(iv).groupBy(*KEYS, F.col("buy_date").alias("busi_date")).agg(
         F.sum("match_qty").alias("close_qty"), F.sum("match_proceeds_c").alias("close_c"))
     j = lots.join(m, KEYS + ["busi_date"], "left")
     close_qty = F.coalesce(F.col("close_qty"), F.lit(0)).cast("long")
