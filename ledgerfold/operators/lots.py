@@ -113,7 +113,7 @@ def fifo_matches(detail: DataFrame, calendar: DataFrame, book: str = LONG, bucke
     return matches_from_intervals(fifo_intervals(detail, calendar, book), bucket_qty)
 
 
-def matches_from_intervals(iv: DataFrame, bucket_qty: int = BUCKET_QTY) -> DataFrame:
+def matches_from_intervals(iv: DataFrame, bucket_qty: int = BUCKET_QTY, keep_unmatched: bool = False) -> DataFrame:
     """One row per (buy, sell) pair that FIFO matches, with quantity, cost share and proceeds share.
 
     The cumulative-quantity axis of each position is cut into buckets of ``bucket_qty``; every
@@ -121,7 +121,8 @@ def matches_from_intervals(iv: DataFrame, bucket_qty: int = BUCKET_QTY) -> DataF
     once per bucket).  Buy intervals tile the axis and so do effective sell intervals, so within
     one (position, bucket) the merge of end points is self-contained, and a group holds at most
     about 2 * bucket_qty end points (quantities are whole numbers) - a busy position is spread
-    over many buckets instead of one sort.
+    over many buckets instead of one sort.  ``keep_unmatched`` adds a (buy, NULL) row for the
+    unsold part of each buy, so every buy appears at least once.
     """
     w_ = int(bucket_qty)
     ev_fields = ["busi_date", *EVENT_ORDER, "q", "cash_c"]
@@ -147,7 +148,7 @@ def matches_from_intervals(iv: DataFrame, bucket_qty: int = BUCKET_QTY) -> DataF
         F.coalesce(F.lead("v").over(w), F.col("bucket") * w_).alias("v_prev"),
         F.last("b", ignorenulls=True).over(run).alias("buy"),
         F.last("s", ignorenulls=True).over(run).alias("sell"),
-    ).where(F.col("sell").isNotNull() & F.col("buy").isNotNull())
+    ).where(F.col("buy").isNotNull() & (F.col("sell").isNotNull() | F.lit(keep_unmatched)))
     # a pair whose overlap crosses a bucket edge comes in pieces: add them up
     seg = seg.where(F.col("v") > F.col("v_prev")).groupBy(*KEYS, "buy", "sell").agg(
         F.sum(F.col("v") - F.col("v_prev")).alias("match_qty"))
@@ -160,14 +161,16 @@ def matches_from_intervals(iv: DataFrame, bucket_qty: int = BUCKET_QTY) -> DataF
         *[F.col(f"sell.{c}").alias(f"sell_{c}") for c in TIE_COLS],
         qty,
         (F.col("buy.cash_c") * qty).alias("_cn"), F.col("buy.q").alias("_cd"),
-        (-F.col("sell.cash_c") * qty).alias("_pn"), (-F.col("sell.q")).alias("_pd"),
+        F.coalesce(-F.col("sell.cash_c") * qty, F.lit(0)).alias("_pn"),
+        F.coalesce(-F.col("sell.q"), F.lit(1)).alias("_pd"),
+        F.col("buy.q").alias("buy_q"), F.col("buy.cash_c").alias("buy_cash_c"),
     )
     # Pro-rata shares in whole cents, half away from zero (exact integer arithmetic).
     return m.withColumn("match_cost_c", F.expr(_half_away("_cn", "_cd"))) \
         .withColumn("match_proceeds_c", F.expr(_half_away("_pn", "_pd"))) \
         .withColumn("match_cost", F.col("match_cost_c") / 100.0) \
         .withColumn("match_proceeds", F.col("match_proceeds_c") / 100.0) \
-        .drop("_cn", "_cd", "_pn", "_pd")
+        .drop("_cn", "_cd", "_pn", "_pd", *([] if keep_unmatched else ["buy_q", "buy_cash_c"]))
 
 
 def _half_away(n: str, d: str) -> str:
@@ -178,12 +181,16 @@ def _half_away(n: str, d: str) -> str:
 def fifo_lots(detail: DataFrame, calendar: DataFrame, book: str = LONG) -> DataFrame:
     """Lots = a position's buys of one day (same-day buys join the day's lot), with closed
     quantity and proceeds from FIFO; return = close_amt - trd_amt, rate = return / trd_amt."""
-    iv = fifo_intervals(detail, calendar, book)  # one derivation shared by both branches
-    lots = iv.where(F.col("q") > 0).groupBy(*KEYS, "busi_date").agg(
-        F.sum("q").alias("trd_qty"), F.sum("cash_c").alias("trd_c"))
-    m = matches_from_intervals(iv).groupBy(*KEYS, F.col("buy_date").alias("busi_date")).agg(
-        F.sum("match_qty").alias("close_qty"), F.sum("match_proceeds_c").alias("close_c"))
-    j = lots.join(m, KEYS + ["busi_date"], "left")
+    # one branch: pairs plus the unsold piece of every buy, so each buy is present at least once
+    pairs = matches_from_intervals(fifo_intervals(detail, calendar, book), keep_unmatched=True)
+    matched = F.col("sell_date").isNotNull()
+    per_buy = pairs.groupBy(*KEYS, "buy_date", "buy_ts", *[f"buy_{c}" for c in TIE_COLS]).agg(
+        F.first("buy_q").alias("q"), F.first("buy_cash_c").alias("cash_c"),
+        F.sum(F.when(matched, F.col("match_qty")).otherwise(F.lit(0))).alias("close_qty"),
+        F.sum(F.when(matched, F.col("match_proceeds_c")).otherwise(F.lit(0))).alias("close_c"))
+    j = per_buy.groupBy(*KEYS, F.col("buy_date").alias("busi_date")).agg(
+        F.sum("q").alias("trd_qty"), F.sum("cash_c").alias("trd_c"),
+        F.sum("close_qty").alias("close_qty"), F.sum("close_c").alias("close_c"))
     close_qty = F.coalesce(F.col("close_qty"), F.lit(0)).cast("long")
     close_c = F.coalesce(F.col("close_c"), F.lit(0)).cast("long")
     ret_c = close_c - F.col("trd_c")
