@@ -75,7 +75,67 @@ STOCK_CLOSE_PRD_LONG_DATA = _schema(
     ("detail_return", D, "sum of trade returns"), *_DAY,
 )
 
+_LOT = (
+    ("open_date", S, "opening day"), ("orig_trd_qty", D, "original quantity"), ("orig_trd_amt", D, "original amount"),
+    ("trd_qty", D, "quantity after amortisation"), ("trd_amt", D, "cost after amortisation"),
+)
+
+STOCK_UNCLOSE_TRADE_LONG_DATA = _schema(
+    *_KEYS, *_LOT, ("close_qty", D, "closed quantity"), ("close_amt", D, "closing proceeds"),
+    ("unclose_qty", D, "open quantity"), ("unclose_amt", D, "open value"), ("return", D, "return"),
+    ("return_rate", D, "return rate"), ("weighted_term", D, "weighted holding term"),
+    ("exception_label", I, "exception"), *_DAY,
+)
+
+STOCK_CLOSE_TRADE_LONG_DATA = _schema(
+    *_KEYS, *_LOT, ("close_amt", D, "closing proceeds"), ("return", D, "return"), ("return_rate", D, "return rate"),
+    ("weighted_term", D, "weighted holding term"), ("exception_label", I, "exception"),
+    ("close_date", S, "closing day"),
+)
+
+STOCK_UNCLOSE_TRADE_CAL = _schema(  # open lots carried to the next day (lot_state)
+    *_KEYS, *_LOT, ("close_amt", D, "closing proceeds"), ("unclose_qty", D, "open quantity"),
+    ("unclose_amt", D, "open value"), ("weighted_term", D, "weighted holding term"),
+    ("exception_label", I, "exception"), *_DAY,
+)
+
+STOCK_UNCLOSE_PRD_STATE = _schema(  # open positions carried to the next day (position_state)
+    *_KEYS, ("open_date", S, "opening day"), ("remain_qty", L, "quantity held"), ("cost_amt", D, "carried amount"),
+    ("total_in", D, "money in"), ("out_amt", D, "money out, signed"), ("n_detail", L, "trade records"),
+    ("detail_return", D, "sum of trade returns"), *_DAY,
+)
+
+STOCK_ASSET_HOLDING = _schema(
+    *_KEYS, ("sys_code", S, "system"), ("qty", L, "quantity"), ("prsnt_qty", L, "present quantity"),
+    ("asset_amend_qty", L, "amended quantity"), ("mkt_val", D, "market value"), *_DAY,
+)
+
+STOCK_DEBT_HOLDING = _schema(
+    *_KEYS, ("sys_code", S, "system"), ("liab_qty", L, "liability quantity"),
+    ("prsnt_liab_qty", L, "present liability quantity"), ("asset_amend_qty", L, "amended quantity"),
+    ("mkt_val", D, "market value"), *_DAY,
+)
+
+TRADING_DAY = _schema(("busi_date", S, "trading day"), ("rlt_rank", I, "rank of the trading day"))
+
+STOCK_RETURN_RATE_RANGE = _schema(
+    ("prd_no", S, "product code"), ("long_lower_limit", D, "long book lower limit"),
+    ("long_upper_limit", D, "long book upper limit"), ("short_lower_limit", D, "short book lower limit"),
+    ("short_upper_limit", D, "short book upper limit"), *_DAY,
+)
+
+STOCK_GENERATE_ERROR = _schema(*_KEYS, ("trd_type", S, "book"), ("error_qty", L, "injected error"), *_DAY)
+
 TABLES = {
+    "stock_cash_flow_detail": STOCK_CASH_FLOW_DETAIL,
+    "stock_asset_holding": STOCK_ASSET_HOLDING,
+    "stock_debt_holding": STOCK_DEBT_HOLDING,
+    "stock_return_rate_range": STOCK_RETURN_RATE_RANGE,
+    "stock_generate_error": STOCK_GENERATE_ERROR,
+    "stock_unclose_trade_long_data": STOCK_UNCLOSE_TRADE_LONG_DATA,
+    "stock_close_trade_long_data": STOCK_CLOSE_TRADE_LONG_DATA,
+    "stock_unclose_trade_cal": STOCK_UNCLOSE_TRADE_CAL,
+    "stock_unclose_prd_state": STOCK_UNCLOSE_PRD_STATE,
     "stock_cash_flow": STOCK_CASH_FLOW,
     "stock_daily_check_data": STOCK_DAILY_CHECK_DATA,
     "stock_daily_check_exception": STOCK_DAILY_CHECK_EXCEPTION,
@@ -83,3 +143,8 @@ TABLES = {
     "stock_unclose_prd_long_data": STOCK_UNCLOSE_PRD_LONG_DATA,
     "stock_close_prd_long_data": STOCK_CLOSE_PRD_LONG_DATA,
 }
+
+# partition column of each table ("" = not partitioned)
+PARTITION = {name: ("busi_date" if "busi_date" in s.names else "") for name, s in TABLES.items()}
+PARTITION["stock_close_trade_long_data"] = "close_date"
+PARTITION["stock_cash_flow_detail"] = "busi_date"  # the original leaves it unpartitioned; we partition it

@@ -92,3 +92,16 @@ def test_plans_stay_in_the_jvm_and_push_filters(spark, small):
     one_day = merge_cash_flow(t.cash_flow_detail.where(F.col("busi_date") == first))
     assert "PushedFilters: [IsNotNull(busi_date), EqualTo(busi_date," in one_day._jdf.queryExecution().executedPlan().toString() \
         or "EqualTo(busi_date" in _plan(one_day)
+
+
+def test_every_table_ddl_creates(spark):
+    from ledgerfold.schemas import PARTITION, TABLES
+    from ledgerfold.sinks.tables import create_database
+    db = "fdata_" + uuid.uuid4().hex[:6]
+    create_database(spark, db)
+    for name, schema in TABLES.items():
+        part = (PARTITION[name],) if PARTITION[name] else ()
+        create_table(spark, f"{db}.{name}", schema, partition_cols=part, fmt="orc")
+        assert spark.catalog.tableExists(f"{db}.{name}")
+        cols = [f.name for f in schema.fields if f.name not in part] + list(part)  # partitions go last
+        assert spark.table(f"{db}.{name}").columns == cols
