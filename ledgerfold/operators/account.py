@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.functions.calendar import previous_day
+from ledgerfold.functions.calendar import calendar_fits, day_side, previous_day
 from ledgerfold.functions.expressions import nvl0, sql_div
 from ledgerfold.keys import CASH_PRD, KEYS, LONG, SHORT
 
@@ -39,14 +39,15 @@ def _keys_not_null() -> Column:
     return c
 
 
-def holdings_pair(holding: DataFrame, calendar: DataFrame, book: str) -> DataFrame:
+def holdings_pair(holding: DataFrame, calendar: DataFrame, book: str, fits: bool | None = None) -> DataFrame:
     """Per (position, T1): pre/now quantity and market value (T2 = previous trading day of T1).
 
     The manual pivot ``sum(case when busi_date = T2 ...)`` becomes two tagged
     copies of each holdings row; only T1 days that have a T2 are produced.
     """
     qty = _BOOK[book]["qty"]
-    prev = F.broadcast(previous_day(calendar))  # (busi_date, prev_date), one row per trading day
+    fits = calendar_fits(calendar) if fits is None else fits
+    prev = day_side(previous_day(calendar, fits), fits)  # (busi_date, prev_date), one row per trading day
     h = holding.where((F.col("prd_no") != F.lit(CASH_PRD)) & _keys_not_null())
     h = h.select(*KEYS, "busi_date", F.col(qty).cast("long").alias("q"), F.col("mkt_val").cast("double").alias("v"))
     now = h.join(prev, "busi_date", "left_semi").select(
@@ -58,10 +59,10 @@ def holdings_pair(holding: DataFrame, calendar: DataFrame, book: str) -> DataFra
     return now.unionByName(pre)
 
 
-def _book_rows(holding: DataFrame, merged: DataFrame, calendar: DataFrame, book: str) -> DataFrame:
+def _book_rows(holding: DataFrame, merged: DataFrame, calendar: DataFrame, book: str, fits: bool) -> DataFrame:
     """Tagged holdings rows and flow rows of one book, keyed by (position, T1)."""
-    prev = F.broadcast(previous_day(calendar))
-    hp = holdings_pair(holding, calendar, book).select(
+    prev = day_side(previous_day(calendar, fits), fits)
+    hp = holdings_pair(holding, calendar, book, fits).select(
         *KEYS, "busi_date", "pre_q", "now_q", "pre_v", "now_v",
         *[F.lit(None).cast(t).alias(c) for c, t in _FLOW_TYPES])
     flows = (
@@ -98,18 +99,20 @@ def account_check(merged: DataFrame, asset_holding: DataFrame, debt_holding: Dat
     return_rate_exception = 0 iff lower < return_rate < upper (NULL -> 1)
     Products without a limits row for T1 are dropped (inner join) unless ``keep_unlimited``.
     """
+    fits = calendar_fits(calendar)
     if t1 is not None:
         # Only the two endpoint partitions contribute; prune everything else.
-        prev_t1 = previous_day(calendar).where(F.col("busi_date") == t1)
+        prev_t1 = previous_day(calendar, fits).where(F.col("busi_date") == t1)
         days = prev_t1.select(F.col("busi_date").alias("d")).unionByName(prev_t1.select(F.col("prev_date").alias("d")))
-        asset_holding = asset_holding.join(F.broadcast(days.withColumnRenamed("d", "busi_date")), "busi_date", "left_semi")
-        debt_holding = debt_holding.join(F.broadcast(days.withColumnRenamed("d", "busi_date")), "busi_date", "left_semi")
+        days = days.withColumnRenamed("d", "busi_date")  # two rows
+        asset_holding = asset_holding.join(F.broadcast(days), "busi_date", "left_semi")
+        debt_holding = debt_holding.join(F.broadcast(days), "busi_date", "left_semi")
         merged = merged.where(F.col("busi_date") == t1)
     merged = _flows_renamed(merged)
     parts = []
     for book in books:
         holding = asset_holding if book == LONG else debt_holding
-        parts.append(_book_rows(holding, merged, calendar, book))
+        parts.append(_book_rows(holding, merged, calendar, book, fits))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)

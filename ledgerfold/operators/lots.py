@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerfold.functions.calendar import calendar_fits, day_side
 from ledgerfold.keys import KEYS, LONG
 from ledgerfold.sources.binding import EVENT_ORDER, TIE_COLS
 
@@ -41,7 +42,7 @@ from ledgerfold.sources.binding import EVENT_ORDER, TIE_COLS
 def _lot_events(detail: DataFrame, calendar: DataFrame, book: str) -> DataFrame:
     ok = F.col("trd_qty").isNotNull() & F.col("trd_cash_flow").isNotNull() & F.col("timestamp").isNotNull()
     ev = detail.where((F.col("trd_type") == book) & ok & (F.col("amortize_label") == 0) & (F.col("trd_qty") != 0))
-    cal = F.broadcast(calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank")))
+    cal = day_side(calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank")), calendar_fits(calendar))
     return ev.join(cal, "busi_date").select(
         *KEYS, "rank", "busi_date", *EVENT_ORDER, F.col("trd_qty").cast("long").alias("q"),
         F.col("trd_cash_flow").cast("double").alias("cash"),
@@ -407,7 +408,7 @@ def roll_lots(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_d
     holdings row means holdings of 0).  Seed lots follow ``seed_lots``, or - to resume a daily run -
     the open lots of ``seed_date`` given as ``state`` (``lot_state``).
     """
-    cal = calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank"))
+    cal = day_side(calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank")), calendar_fits(calendar))
     s = int(calendar.where(F.col("busi_date") == seed_date).select("rlt_rank").first()[0])
     last = calendar if until is None else calendar.where(F.col("busi_date") <= until)
     max_rank = int(last.agg(F.max("rlt_rank")).first()[0])  # the last day produced
@@ -421,20 +422,20 @@ def roll_lots(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_d
         F.lit(0.0).alias("q"), F.lit(0.0).alias("cash"), F.lit(0).alias("label"), *_seed_columns(seed_src))
     ok = F.col("trd_qty").isNotNull() & F.col("trd_cash_flow").isNotNull() & F.col("timestamp").isNotNull()
     trades = (detail.where((F.col("trd_type") == book) & ok)
-              .join(F.broadcast(cal), "busi_date").where((F.col("rank") > s) & (F.col("rank") <= max_rank))
+              .join(cal, "busi_date").where((F.col("rank") > s) & (F.col("rank") <= max_rank))
               .select(*KEYS, "busi_date", "rank", F.lit(_TRADE).alias("kind"),
                       *[F.col(c).cast("long").alias(f"o{i}") for i, c in enumerate(order)],
                       F.col("trd_qty").cast("double").alias("q"), F.col("trd_cash_flow").cast("double").alias("cash"),
                       F.coalesce(F.col("amortize_label"), F.lit(0)).alias("label"), *_seed_columns()))
     # one end-of-day tick per position and trading day from its first appearance (seed lot,
     # trade or holdings row) on: holdings without lots still open (exception) lots
-    held = holding.join(F.broadcast(cal), "busi_date").where((F.col("rank") > s) & (F.col("rank") <= max_rank)) \
+    held = holding.join(cal, "busi_date").where((F.col("rank") > s) & (F.col("rank") <= max_rank)) \
         .select(*KEYS, "rank")
     first = seeds.select(*KEYS, "rank").unionByName(trades.select(*KEYS, "rank")).unionByName(held) \
         .groupBy(*KEYS).agg(F.min("rank").alias("first_rank"))
     start = F.greatest(F.col("first_rank"), F.lit(s + 1))
     days = F.when(start <= max_rank, F.sequence(start, F.lit(max_rank))).otherwise(F.array().cast("array<int>"))
-    ticks = first.select(*KEYS, F.explode(days).alias("rank")).join(F.broadcast(cal), "rank")
+    ticks = first.select(*KEYS, F.explode(days).alias("rank")).join(cal, "rank")
     h = holding.select(*KEYS, "busi_date", F.col(qty_col).cast("double").alias("h_q"),
                        F.col("mkt_val").cast("double").alias("h_v"))
     ticks = ticks.join(h, KEYS + ["busi_date"], "left").select(

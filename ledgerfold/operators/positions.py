@@ -46,6 +46,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerfold.functions.calendar import calendar_fits, day_side
 from ledgerfold.functions.expressions import null_safe_ne
 from ledgerfold.keys import KEYS, LONG
 from ledgerfold.sources.binding import EVENT_ORDER
@@ -181,7 +182,7 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
     Returns one row per (position, day) with both open and closed columns, the carried
     ``cost_amt`` / ``out_amt`` and ``closed``.
     """
-    cal = F.broadcast(calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank")))
+    cal = day_side(calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank")), calendar_fits(calendar))
     seed_rank = calendar.where(F.col("busi_date") == seed_date).select(F.col("rlt_rank").cast("int")).first()
     if seed_rank is None:
         raise ValueError(f"seed date {seed_date} is not a trading day")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.functions.calendar import trading_days
+from ledgerfold.functions.calendar import calendar_fits, day_side, trading_days
 from ledgerfold.keys import BOOKS
 from ledgerfold.operators.account import account_check
 from ledgerfold.operators.cashflow import merge_cash_flow
@@ -31,8 +31,9 @@ def backfill(task: str, tables, start: str, end: str) -> DataFrame:
     """Every partition (busi_date = T1) that running ``task`` for each day of [start, end] would write."""
     if task not in TASKS:
         raise ValueError("doesn't exist this task")
-    t1 = run_days(tables.trading_day, start, end).select(F.col("t1_date").alias("busi_date")).distinct()
-    t1 = F.broadcast(t1)  # one row per trading day
+    fits = calendar_fits(tables.trading_day)
+    t1 = trading_days(tables.trading_day, start, end, fits).select(F.col("t1_date").alias("busi_date")).distinct()
+    t1 = day_side(t1, fits)  # at most one row per trading day
     detail = tables.cash_flow_detail.join(t1, "busi_date", "left_semi")
     merged = merge_cash_flow(detail)
     if task == "merge":

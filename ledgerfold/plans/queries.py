@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfold.functions.calendar import day_shift, trading_days
+from ledgerfold.functions.calendar import calendar_fits, day_shift, day_side, trading_days
 from ledgerfold.keys import KEYS, LONG, SHORT
 from ledgerfold.operators.account import account_check, holdings_pair
 from ledgerfold.operators.cashflow import merge_cash_flow
@@ -110,10 +110,11 @@ def q_trading_days(spark, sf_dir):
 def q_shift_trading_day(spark, sf_dir):
     t = tables(spark, sf_dir)
     per_day = t.cash_flow_detail.groupBy("busi_date").agg(F.count(F.lit(1)).alias("n_events"))
-    nxt = day_shift(t.trading_day, 1, "next_date")
-    prv = day_shift(t.trading_day, -1, "prev_date")
-    return (per_day.join(F.broadcast(t.trading_day.select("busi_date")), "busi_date")
-            .join(F.broadcast(nxt), "busi_date", "left").join(F.broadcast(prv), "busi_date", "left")
+    fits = calendar_fits(t.trading_day)
+    nxt = day_shift(t.trading_day, 1, "next_date", fits)
+    prv = day_shift(t.trading_day, -1, "prev_date", fits)
+    return (per_day.join(day_side(t.trading_day.select("busi_date"), fits), "busi_date")
+            .join(day_side(nxt, fits), "busi_date", "left").join(day_side(prv, fits), "busi_date", "left")
             .select("busi_date", "n_events", "next_date", "prev_date"))
 
 

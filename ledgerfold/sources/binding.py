@@ -103,7 +103,8 @@ class BrokerageTables:
     @cached_property
     def _holdings(self) -> DataFrame:
         """Daily holdings of both books: every trading day from a position's first event on."""
-        cal = F.broadcast(self.trading_day)  # bounded: one row per trading day
+        from ledgerfold.functions.calendar import calendar_fits, day_side
+        cal = day_side(self.trading_day, calendar_fits(self.trading_day))  # one row per trading day
         pos = KEYS + ["trd_type"]
         per_day = (
             self.cash_flow_detail.groupBy(*pos, "busi_date").agg(F.sum("trd_qty").alias("day_qty"))

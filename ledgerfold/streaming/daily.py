@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerfold.functions.calendar import calendar_fits, day_side
 from ledgerfold.operators.account import account_check
 from ledgerfold.operators.cashflow import merge_cash_flow
 from ledgerfold.operators.exceptions import exception_detail
@@ -34,9 +35,10 @@ def daily_batch(tables_fn: Callable[[SparkSession], object], out_root: str) -> C
         # (its T2 holdings may have changed).
         nxt = t.trading_day.alias("a").join(t.trading_day.alias("b"), F.col("b.rlt_rank") == F.col("a.rlt_rank") + 1) \
             .select(F.col("a.busi_date").alias("busi_date"), F.col("b.busi_date").alias("next_date"))
-        touched = days.unionByName(days.join(F.broadcast(nxt), "busi_date").select(F.col("next_date").alias("busi_date")))
-        touched = F.broadcast(touched.distinct())
-        detail = t.cash_flow_detail.join(F.broadcast(days), "busi_date", "left_semi")
+        fits = calendar_fits(t.trading_day)  # the batch's days are calendar days
+        touched = days.unionByName(days.join(day_side(nxt, fits), "busi_date").select(F.col("next_date").alias("busi_date")))
+        touched = day_side(touched.distinct(), fits)
+        detail = t.cash_flow_detail.join(day_side(days, fits), "busi_date", "left_semi")
         merged = merge_cash_flow(detail)
         check = account_check(merge_cash_flow(t.cash_flow_detail), t.stock_asset_holding, t.stock_debt_holding,
                               t.stock_return_rate_range, t.trading_day).join(touched, "busi_date", "left_semi")

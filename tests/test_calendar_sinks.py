@@ -105,3 +105,12 @@ def test_every_table_ddl_creates(spark):
         assert spark.catalog.tableExists(f"{db}.{name}")
         cols = [f.name for f in schema.fields if f.name not in part] + list(part)  # partitions go last
         assert spark.table(f"{db}.{name}").columns == cols
+
+
+def test_calendar_broadcast_is_checked_and_falls_back(spark):
+    from ledgerfold.functions.calendar import calendar_fits, day_shift
+    cal = calendar(spark, ["2017-03-16", "2017-03-17", "2017-03-20"])
+    assert calendar_fits(cal) and not calendar_fits(cal, limit=2)
+    a = sorted(map(tuple, day_shift(cal, -1, fits=True).collect()))
+    b = sorted(map(tuple, day_shift(cal, -1, fits=False).collect()))
+    assert a == b == [("2017-03-17", "2017-03-16"), ("2017-03-20", "2017-03-17")]
