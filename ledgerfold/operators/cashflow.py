@@ -14,7 +14,7 @@ MERGED_COLUMNS = [
 ]
 
 
-def merge_cash_flow(detail: DataFrame, order_col: str = "timestamp") -> DataFrame:
+def merge_cash_flow(detail: DataFrame, order_col: str = "timestamp", with_names: bool = True) -> DataFrame:
     """Collapse intraday cash-flow events to one row per (position, trd_type, busi_date).
 
     One group-by with map-side partial aggregation; all days at once (filter the
@@ -24,13 +24,18 @@ def merge_cash_flow(detail: DataFrame, order_col: str = "timestamp") -> DataFram
     ``busi_flag_code`` / ``busi_flag_name`` join the day's values with '-' in event
     time order (the original leaves the order unspecified).  Events at the same time
     are ordered by (code, name): equal sort keys then carry equal strings, so the
-    result is deterministic without any further tie-break column.
+    result is deterministic without any further tie-break column.  ``with_names=False``
+    leaves ``busi_flag_name`` NULL and does not collect it (the account check never reads it;
+    Catalyst cannot prune a field inside a collected struct).
     """
     cf = F.col("trd_cash_flow")
     pos = cf >= 0
     neg = cf < 0
-    items = F.sort_array(F.collect_list(F.struct(F.col(order_col).alias("t"), F.col("busi_flag_code").alias("c"),
-                                                 F.col("busi_flag_name").alias("n"))))
+    fields = [F.col(order_col).alias("t"), F.col("busi_flag_code").alias("c")]
+    if with_names:
+        fields.append(F.col("busi_flag_name").alias("n"))
+    items = F.sort_array(F.collect_list(F.struct(*fields)))
+    names = F.concat_ws("-", F.transform("_items", lambda s: s["n"])) if with_names else F.lit(None).cast("string")
     return (
         detail.groupBy(*KEYS, "trd_type", "busi_date")
         .agg(
@@ -45,6 +50,6 @@ def merge_cash_flow(detail: DataFrame, order_col: str = "timestamp") -> DataFram
             F.max("cash_flow_modi_label").alias("cash_flow_modi_label"),
         )
         .withColumn("busi_flag_code", F.concat_ws("-", F.transform("_items", lambda s: s["c"])))
-        .withColumn("busi_flag_name", F.concat_ws("-", F.transform("_items", lambda s: s["n"])))
+        .withColumn("busi_flag_name", names)
         .select(*MERGED_COLUMNS)
     )

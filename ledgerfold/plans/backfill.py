@@ -35,9 +35,9 @@ def backfill(task: str, tables, start: str, end: str) -> DataFrame:
     t1 = trading_days(tables.trading_day, start, end, fits).select(F.col("t1_date").alias("busi_date")).distinct()
     t1 = day_side(t1, fits)  # at most one row per trading day
     detail = tables.cash_flow_detail.join(t1, "busi_date", "left_semi")
-    merged = merge_cash_flow(detail)
     if task == "merge":
-        return merged
+        return merge_cash_flow(detail)
+    merged = merge_cash_flow(detail, with_names=False)  # the check reads codes, not names
     check = account_check(merged, tables.stock_asset_holding, tables.stock_debt_holding,
                           tables.stock_return_rate_range, tables.trading_day, books=BOOKS)
     check = check.join(t1, "busi_date", "left_semi")

@@ -54,7 +54,8 @@ def _merged(spark, sf_dir):
 
 def _check(spark, sf_dir, books=(LONG, SHORT)):
     t = tables(spark, sf_dir)
-    return account_check(_merged(spark, sf_dir), t.stock_asset_holding, t.stock_debt_holding,
+    merged = merge_cash_flow(t.cash_flow_detail, with_names=False)
+    return account_check(merged, t.stock_asset_holding, t.stock_debt_holding,
                          t.stock_return_rate_range, t.trading_day, books=books)
 
 

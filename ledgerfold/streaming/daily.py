@@ -40,7 +40,8 @@ def daily_batch(tables_fn: Callable[[SparkSession], object], out_root: str) -> C
         touched = day_side(touched.distinct(), fits)
         detail = t.cash_flow_detail.join(day_side(days, fits), "busi_date", "left_semi")
         merged = merge_cash_flow(detail)
-        check = account_check(merge_cash_flow(t.cash_flow_detail), t.stock_asset_holding, t.stock_debt_holding,
+        check = account_check(merge_cash_flow(t.cash_flow_detail, with_names=False), t.stock_asset_holding,
+                              t.stock_debt_holding,
                               t.stock_return_rate_range, t.trading_day).join(touched, "busi_date", "left_semi")
         write_partitioned(merged, f"{out_root}/stock_cash_flow")
         write_partitioned(check, f"{out_root}/stock_daily_check_data")
