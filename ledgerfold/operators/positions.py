@@ -338,3 +338,16 @@ def detail_return_check(closed: DataFrame) -> DataFrame:
     """Closed positions with label 0 next to the sum of their detail returns."""
     return closed.where(F.col("exception_label") == 0).select(
         *KEYS, "busi_date", "return", F.col("detail_return").alias("detail_return_sum"))
+
+
+def detail_maps(records: DataFrame, fields: Sequence[str] = ("trd_qty", "trd_amt", "trd_date", "timestamp"),
+                col: str = "trd_detail") -> DataFrame:
+    """Convert an array of event structs (``event_records``) to the table format of the original
+    position tables, ``array<map<string,string>>`` with every value as text.  Structs are used
+    inside the engine; maps only at this boundary."""
+    def to_map(e):
+        kv = []
+        for f in fields:
+            kv += [F.lit(f), e[f].cast("string")]
+        return F.create_map(*kv)
+    return records.withColumn(col, F.transform(col, to_map))

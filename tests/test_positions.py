@@ -91,3 +91,11 @@ def test_resume_from_state_equals_whole_range(spark, small):
     a = sorted(map(tuple, full.where(F.col("busi_date") > mid).collect()), key=repr)
     b = sorted(map(tuple, resumed.select(*full.columns).collect()), key=repr)
     assert len(a) > 0 and a == b
+
+
+def test_detail_maps_at_the_table_boundary(spark):
+    from ledgerfold.operators.positions import detail_maps, event_records
+    ev = events(spark, [("1", "1.1", D, 5, 10, 0.0, 100.5), ("1", "1.1", D, 3, -2, 0.0, -20.0)])
+    out = detail_maps(event_records(ev, "long_related")).collect()[0].trd_detail
+    assert [m["timestamp"] for m in out] == ["3", "5"]
+    assert out[1] == {"trd_qty": "10", "trd_amt": "100.5", "trd_date": D, "timestamp": "5"}
