@@ -41,3 +41,12 @@ def test_backfill_rejects_unknown_task_and_limits_days(spark, small):
                   .select("busi_date").distinct().collect())
     # runs on trading days 1995-03-01 .. 1995-06-01 write T1 = 1995-02-01 .. 1995-05-01
     assert days == ["1995-02-01", "1995-03-01", "1995-04-01", "1995-05-01"]
+
+
+def test_error_diff_one_sided_groups_pass_unless_strict(spark):
+    from ledgerfold.operators.quality import error_count_diff
+    err = spark.createDataFrame([("long_related", "d1"), ("long_related", "d2")], "trd_type string, busi_date string")
+    exc = spark.createDataFrame([("long_related", "d1", "qty")], "trd_type string, busi_date string, exception_type string")
+    assert error_count_diff(err, exc).count() == 0              # d2 has no detected side: NULL diff, dropped
+    rows = error_count_diff(err, exc, strict=True).collect()
+    assert [(r.busi_date, r.diff_count) for r in rows] == [("d2", 1)]
