@@ -71,6 +71,16 @@ def trading_days(calendar: DataFrame, start: str, end: str, fits: bool | None =
     return days.join(day_side(t1, fits), "busi_date").join(day_side(t2, fits), "busi_date")
 
 
+def roll_bounds(calendar: DataFrame, seed_date: str, until: str | None = None) -> tuple[int, int]:
+    """(rank of ``seed_date``, rank of the last day to produce) in one small job."""
+    last = F.col("rlt_rank") if until is None else F.when(F.col("busi_date") <= until, F.col("rlt_rank"))
+    r = calendar.agg(F.max(F.when(F.col("busi_date") == seed_date, F.col("rlt_rank"))).alias("s"),
+                     F.max(last).alias("m")).first()
+    if r["s"] is None:
+        raise ValueError(f"seed date {seed_date} is not a trading day")
+    return int(r["s"]), int(r["m"])
+
+
 def previous_day(calendar: DataFrame, fits: bool | None = None) -> DataFrame:
     """(busi_date, prev_date) for every trading day that has a previous one."""
     return day_shift(calendar, -1, "prev_date", fits)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerfold.functions.calendar import calendar_fits, day_side
+from ledgerfold.functions.calendar import calendar_fits, day_side, roll_bounds
 from ledgerfold.keys import KEYS, LONG
 from ledgerfold.sources.binding import EVENT_ORDER, TIE_COLS
 
@@ -409,9 +409,7 @@ def roll_lots(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_d
     the open lots of ``seed_date`` given as ``state`` (``lot_state``).
     """
     cal = day_side(calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank")), calendar_fits(calendar))
-    s = int(calendar.where(F.col("busi_date") == seed_date).select("rlt_rank").first()[0])
-    last = calendar if until is None else calendar.where(F.col("busi_date") <= until)
-    max_rank = int(last.agg(F.max("rlt_rank")).first()[0])  # the last day produced
+    s, max_rank = roll_bounds(calendar, seed_date, until)  # seed rank, last rank produced
     order = list(order_cols)
     no_order = [F.lit(None).cast("long").alias(f"o{i}") for i in range(len(order))]
 

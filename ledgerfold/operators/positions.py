@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerfold.functions.calendar import calendar_fits, day_side
+from ledgerfold.functions.calendar import calendar_fits, day_side, roll_bounds
 from ledgerfold.functions.expressions import null_safe_ne
 from ledgerfold.keys import KEYS, LONG
 from ledgerfold.sources.binding import EVENT_ORDER
@@ -183,12 +183,7 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
     ``cost_amt`` / ``out_amt`` and ``closed``.
     """
     cal = day_side(calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank")), calendar_fits(calendar))
-    seed_rank = calendar.where(F.col("busi_date") == seed_date).select(F.col("rlt_rank").cast("int")).first()
-    if seed_rank is None:
-        raise ValueError(f"seed date {seed_date} is not a trading day")
-    s = int(seed_rank[0])
-    last = calendar if until is None else calendar.where(F.col("busi_date") <= until)
-    max_rank = int(last.agg(F.max("rlt_rank")).first()[0])  # the last day produced
+    s, max_rank = roll_bounds(calendar, seed_date, until)  # seed rank, last rank produced
     pos = KEYS
 
     # 1. events of the book after the seed, the seed holdings as first history item, and an
