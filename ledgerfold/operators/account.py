@@ -76,7 +76,7 @@ def _book_rows(holding: DataFrame, merged: DataFrame, calendar: DataFrame, book:
 
 _HOLD_TYPES = [("pre_q", "long"), ("now_q", "long"), ("pre_v", "double"), ("now_v", "double")]
 _FLOW_TYPES = [("f_trd_qty", "long"), ("f_trd_cash_flow", "double"), ("f_pos_cash_flow", "double"),
-               ("f_neg_cash_flow", "double"), ("f_busi_flag_code", "string"), ("f_rows", "long")]
+               ("f_neg_cash_flow", "double"), ("f_busi_flag_code", "string")]
 
 
 def _flows_renamed(merged: DataFrame) -> DataFrame:
@@ -84,7 +84,7 @@ def _flows_renamed(merged: DataFrame) -> DataFrame:
         *KEYS, "trd_type", "busi_date",
         F.col("trd_qty").alias("f_trd_qty"), F.col("trd_cash_flow").alias("f_trd_cash_flow"),
         F.col("pos_cash_flow").alias("f_pos_cash_flow"), F.col("neg_cash_flow").alias("f_neg_cash_flow"),
-        F.col("busi_flag_code").alias("f_busi_flag_code"), F.lit(1).cast("long").alias("f_rows"))
+        F.col("busi_flag_code").alias("f_busi_flag_code"))
 
 
 def account_check(merged: DataFrame, asset_holding: DataFrame, debt_holding: DataFrame, limits: DataFrame,
