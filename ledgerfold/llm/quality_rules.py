@@ -173,8 +173,8 @@ def oracle_sql(rules: tuple[Rule, ...] = RULES, stop_words: list[str] | tuple[st
     failed = ", ".join(f"CASE WHEN NOT ({' AND '.join(s)}) THEN '{name}' END" for name, s in by_rule.items())
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
-split AS (SELECT rid, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws,
-                 list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d),
+split AS (SELECT rid, [x for x in string_split_regex(text, '[\\x20\\x09-\\x0D]+') if x <> ''] AS ws,
+                 [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\\x20\\x09-\\x0D]')] AS ls FROM d),
 words AS (SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM split),
 tri AS (SELECT rid, i, w || ' ' || lead(w) OVER p || ' ' || lead(w, 2) OVER p AS t FROM words WINDOW p AS (PARTITION BY rid ORDER BY i)),
 rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, t) AS c FROM tri WHERE t IS NOT NULL) WHERE c > 1),
@@ -188,7 +188,7 @@ m AS (SELECT d.doc_id, CAST(len(s.ws) AS BIGINT) AS n_words,
              CAST(coalesce(st.n, 0) AS BIGINT) AS n_stop_words
       FROM d JOIN split s USING (rid) LEFT JOIN cov USING (rid) LEFT JOIN st USING (rid)),
 v AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
-             list_filter([{failed}], x -> x IS NOT NULL) AS f FROM m)
+             [x for x in [{failed}] if x IS NOT NULL] AS f FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_words, base_failed,
        (NOT base_failed AND len(f) = 0) AS kept, array_to_string(f, ',') AS failed_rules
 FROM v"""
