@@ -20,7 +20,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules}
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerfold.llm.token_files import scratch, token_digests, write_token_files
+
+    return token_digests(spark, write_token_files(table(spark, sf_dir, "documents"), scratch(spark, "token-files")))
+
+
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op8_token_files": op8_token_files}
 
 
 def oracle_sql() -> dict[str, str]:
