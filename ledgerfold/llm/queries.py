@@ -20,13 +20,29 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from ledgerfold.llm.unigram_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerfold.llm.token_files import scratch, token_digests, write_token_files
 
     return token_digests(spark, write_token_files(table(spark, sf_dir, "documents"), scratch(spark, "token-files")))
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op8_token_files": op8_token_files}
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from ledgerfold.llm.byte_bpe import bpe_digests
+
+    return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op4_token_counts": op4_token_counts, "op8_token_files": op8_token_files, "op10_byte_bpe": op10_byte_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
