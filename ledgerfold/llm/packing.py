@@ -24,6 +24,7 @@ an empty table gives no rows; extra columns are not read.
 from __future__ import annotations
 
 import heapq
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -40,6 +41,8 @@ PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 l
 #: kind 0: an open sequence and its gap; 1: an unplaced piece; 2: a piece placed in ``seq`` as its ``ord``-th of the step.
 ROWS = "kind int, id long, size int, seq long, ord int, part int, rank long"
 GAP, PIECE, PLACED = 0, 1, 2
+#: Share of the new sequences needed at least that one round opens.
+OPEN_SHARE = 0.5
 
 
 def _cutter(path: str, capacity: int, end: int):
@@ -135,9 +138,11 @@ def match_ranges(ranges: list[dict], capacity: int) -> tuple[list[tuple], int]:
             beyond.append((r, at))
         if r["gaps"]:
             stack.append({"part": r["part"], "from": 0, "to": r["gaps"], "least": r["least_gap"]})
-    # as many new sequences as the pieces beyond all gaps fill; the largest get them
+    # the pieces beyond all gaps fill so many new sequences at least; a share of them is opened
+    # for the largest, so that the next sweep can fit the others to what those leave
     tokens = sum(-(-r["tokens"] * (r["pieces"] - at) // r["pieces"]) for r, at in beyond)
-    new = -(-tokens // capacity)
+    least = -(-tokens // capacity)
+    new = least if least <= len(ranges) else math.ceil(least * OPEN_SHARE)
     used = 0
     for r, at in beyond:
         per = max(1, capacity // r["longest"])
@@ -153,8 +158,11 @@ def place(spark: SparkSession, sizes: DataFrame, capacity: int = CAPACITY, folde
     folder = folder or scratch(spark, "packing")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     whole = sizes.filter(F.col("length") == capacity).select("uid", F.col("uid").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    state = sizes.filter(F.col("length") < capacity).select(
-        F.lit(PIECE).alias("kind"), F.col("uid").alias("id"), F.col("length").cast("int").alias("size"))
+    # no two pieces over half the capacity share a sequence: each opens one
+    part = sizes.filter(F.col("length") < capacity).withColumn("big", 2 * F.col("length") > capacity)
+    state = part.select(F.when(F.col("big"), GAP).otherwise(PIECE).alias("kind"), F.col("uid").alias("id"),
+                        F.when(F.col("big"), capacity - F.col("length")).otherwise(F.col("length")).cast("int").alias("size"))
+    placed = part.filter("big").select(F.col("uid").alias("id"), F.col("length").cast("int").alias("size"), F.col("uid").alias("seq"), F.lit(0).alias("ord"), F.lit(-1).alias("step"))
     tables: list[tuple[int, str]] = []
     step = 0
     while True:
@@ -176,10 +184,9 @@ def place(spark: SparkSession, sizes: DataFrame, capacity: int = CAPACITY, folde
         tables.append((2 * step + 1, resolved))
         state = spark.read.schema(ROWS).parquet(resolved).filter(F.col("kind") != PLACED)
         step += 1
-    placed = None
     for at, path in tables:
-        t = spark.read.schema(ROWS).parquet(path).filter(F.col("kind") == PLACED).withColumn("step", F.lit(at))
-        placed = t if placed is None else placed.unionByName(t)
+        t = spark.read.schema(ROWS).parquet(path).filter(F.col("kind") == PLACED)
+        placed = placed.unionByName(t.select("id", "size", "seq", "ord", F.lit(at).alias("step")))
     before = Window.partitionBy("seq").orderBy("step", "ord", "id").rowsBetween(Window.unboundedPreceding, -1)
     offsets = placed.select(F.col("id").alias("uid"), F.col("seq").alias("sequence_id"), F.coalesce(F.sum("size").over(before), F.lit(0)).cast("long").alias("offset"))
     return offsets.unionByName(whole)
