@@ -28,6 +28,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerfold.llm.jaccard_join import near_duplicates
+
+    return near_duplicates(spark, table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerfold.llm.packing import pack
 
@@ -48,7 +54,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op4_token_counts": op4_token_counts, "op7_best_fit_packing": op7_best_fit_packing, "op8_token_files": op8_token_files, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op4_token_counts": op4_token_counts, "op5_jaccard_join": op5_jaccard_join, "op7_best_fit_packing": op7_best_fit_packing, "op8_token_files": op8_token_files, "op10_byte_bpe": op10_byte_bpe}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -32,15 +32,15 @@ LETTERS = "".join(map(chr, [*range(65, 91), *range(97, 123), *range(192, 256)]))
 JOIN = 256
 
 
-def texts_of(column: pa.Array | pa.ChunkedArray) -> Iterator[pa.Array]:
-    """Slices of a text column of about ``SLICE`` bytes (one long text may exceed it), nulls as empty."""
+def texts_of(column: pa.Array | pa.ChunkedArray, size: int = SLICE) -> Iterator[pa.Array]:
+    """Slices of a text column of about ``size`` bytes (one long text may exceed it), nulls as empty."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     column = pc.fill_null(column.cast(pa.large_string()), "")
     ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False)) if len(column) else np.zeros(0)
     at = 0
     while at < len(column):
         before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + SLICE, side="right")))
+        to = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
         yield column.slice(at, to - at)
         at = to
 
