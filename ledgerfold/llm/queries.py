@@ -34,6 +34,14 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark, table(spark, sf_dir, "documents")).drop("text_key")
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerfold.llm.licenses import scan_licenses
+
+    out = scan_licenses(table(spark, sf_dir, "documents"))
+    joined = [F.array_join(c, ",").alias(c) for c in ("sentence_ids", "licenses", "unmatched")]
+    return out.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"), *joined)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerfold.llm.packing import pack
 
@@ -54,10 +62,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op4_token_counts": op4_token_counts, "op5_jaccard_join": op5_jaccard_join, "op7_best_fit_packing": op7_best_fit_packing, "op8_token_files": op8_token_files, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op4_token_counts": op4_token_counts, "op5_jaccard_join": op5_jaccard_join, "op6_license_scan": op6_license_scan, "op7_best_fit_packing": op7_best_fit_packing, "op8_token_files": op8_token_files, "op10_byte_bpe": op10_byte_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
-    from ledgerfold.llm import quality_rules
+    from ledgerfold.llm import licenses, quality_rules
 
-    return {"op2_quality_rules": quality_rules.oracle_sql()}
+    return {"op2_quality_rules": quality_rules.oracle_sql(), "op6_license_scan": licenses.oracle_sql()}
