@@ -20,6 +20,15 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("failed_rules", F.array_join("failed_rules", ","))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerfold.llm import language_id
+
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(~language_id.held_out(F.col("doc_id"))))
+    out = language_id.predict(docs, model)
+    return out.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -54,6 +63,17 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, write_token_files(table(spark, sf_dir, "documents"), scratch(spark, "token-files")))
 
 
+def op9_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerfold.llm import quality_model
+    from ledgerfold.llm.language_id import held_out
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    apart = held_out(F.col("doc_id"), 4, 2)
+    model = quality_model.fit(docs, labels.filter(~apart))
+    out = quality_model.score(docs, model)
+    return out.select("doc_id", apart.alias("held_out"), "score", (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -62,7 +82,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op4_token_counts": op4_token_counts, "op5_jaccard_join": op5_jaccard_join, "op6_license_scan": op6_license_scan, "op7_best_fit_packing": op7_best_fit_packing, "op8_token_files": op8_token_files, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op3_language_id": op3_language_id, "op4_token_counts": op4_token_counts, "op5_jaccard_join": op5_jaccard_join, "op6_license_scan": op6_license_scan, "op7_best_fit_packing": op7_best_fit_packing, "op8_token_files": op8_token_files, "op9_quality_model": op9_quality_model, "op10_byte_bpe": op10_byte_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
