@@ -13,6 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerfold.llm.ann import search
+
+    return search(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerfold.llm.quality_rules import quality_rules
 
@@ -82,7 +88,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op3_language_id": op3_language_id, "op4_token_counts": op4_token_counts, "op5_jaccard_join": op5_jaccard_join, "op6_license_scan": op6_license_scan, "op7_best_fit_packing": op7_best_fit_packing, "op8_token_files": op8_token_files, "op9_quality_model": op9_quality_model, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {"op1_ann": op1_ann, "op2_quality_rules": op2_quality_rules, "op3_language_id": op3_language_id, "op4_token_counts": op4_token_counts, "op5_jaccard_join": op5_jaccard_join, "op6_license_scan": op6_license_scan, "op7_best_fit_packing": op7_best_fit_packing, "op8_token_files": op8_token_files, "op9_quality_model": op9_quality_model, "op10_byte_bpe": op10_byte_bpe}
 
 
 def oracle_sql() -> dict[str, str]:
