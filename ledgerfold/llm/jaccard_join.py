@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ledgerfold.llm import word_ids
 from ledgerfold.llm.token_files import scratch
 
-N, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.999, 224
+N, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.9999, 224
 #: N-grams of a block, and bytes of text that are hashed at a time.
 BLOCK, SLICE = 120_000, 1_000_000
 SIGNATURES = "doc_id long, text_key long, cid binary, n_grams long, bands array<long>"
@@ -261,7 +261,7 @@ def _verifier(share: Fraction):
     return verified
 
 
-def signatures(docs: DataFrame, n: int = N, bands: int = 32, rows: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, n: int = N, bands: int = 37, rows: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
     return d.mapInArrow(_signer(n, bands, rows), SIGNATURES)
 
@@ -347,9 +347,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of every group (that of the least doc_id), with all its columns; texts without words stay."""
-    key = F.xxhash64(text_col)
-    stay = near_duplicates(spark, docs, id_col=id_col, text_col=text_col, **options).filter(F.col("doc_id").eqNullSafe(F.col("group_id"))).groupBy(
-        F.col("doc_id").alias("_stay_id"), F.col("text_key").alias("_stay_key")).agg(F.lit(1).alias("_stay"))
-    d = docs.withColumn("_row_key", key)
-    joined = d.join(stay, d[id_col].eqNullSafe(stay["_stay_id"]) & (d["_row_key"] == stay["_stay_key"]))
-    return joined.dropDuplicates([id_col, "_row_key"]).select(*docs.columns)
+    stay_id, stay_key, row_key = (word_ids.free_name(docs.columns, c) for c in ("stay_id", "stay_key", "row_key"))
+    stay = near_duplicates(spark, docs, id_col=id_col, text_col=text_col, **options).filter(F.col("doc_id").eqNullSafe(F.col("group_id"))).select(
+        F.col("doc_id").alias(stay_id), F.col("text_key").alias(stay_key)).distinct()
+    d = docs.withColumn(row_key, F.xxhash64(text_col))
+    joined = d.join(stay, d[id_col].eqNullSafe(stay[stay_id]) & (d[row_key] == stay[stay_key]))
+    return joined.dropDuplicates([id_col, row_key]).select(*docs.columns)

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.word_ids import texts_of
+from ledgerfold.llm.word_ids import free_name, texts_of
 
 #: Language families by ISO 639-1 code. Other codes are families of their own.
 FAMILIES = {
@@ -75,6 +75,8 @@ def features(texts: pa.Array) -> np.ndarray:
         keep[1:] = (b[1:] != 32) | (b[:-1] != 32)  # runs of spaces are one
         b, doc = b[keep].astype(np.uint32), doc[keep]
         for n in (1, 2, 3):
+            if len(b) < n:
+                break
             code = np.full(len(b) - n + 1, n, np.uint32)
             for k in range(n):
                 code = code * np.uint32(0x9E3779B1) + b[k:len(b) - n + 1 + k]
@@ -241,4 +243,4 @@ def keep_identified(docs: DataFrame, model: Model, least: float = LEAST, text_co
                 at += len(texts)
 
     lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    return docs.withColumn("_lettered", lettered).mapInArrow(rows, docs.schema)
+    return docs.select(*docs.columns, lettered.alias(free_name(columns, "lettered"))).mapInArrow(rows, docs.schema)

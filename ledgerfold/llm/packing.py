@@ -143,13 +143,18 @@ def match_ranges(ranges: list[dict], capacity: int) -> tuple[list[tuple], int]:
     tokens = sum(-(-r["tokens"] * (r["pieces"] - at) // r["pieces"]) for r, at in beyond)
     least = -(-tokens // capacity)
     new = least if least <= len(ranges) else math.ceil(least * OPEN_SHARE)
-    used = 0
+    used, room = 0, 0  # sequences begun, and what the last of them surely has left
     for r, at in beyond:
+        if room >= r["longest"]:
+            n = min(r["pieces"] - at, room // r["longest"])
+            plan.append((r["part"], at, at + n, -1, used - 1, n))
+            at, room = at + n, room - n * r["longest"]
         per = max(1, capacity // r["longest"])
         n = min(r["pieces"] - at, (new - used) * per)
         if n > 0:
             plan.append((r["part"], at, at + n, -1, used, per))
             used += -(-n // per)
+            room = capacity - ((n - 1) % per + 1) * r["longest"]
     return plan, used
 
 

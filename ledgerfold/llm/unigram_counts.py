@@ -76,7 +76,7 @@ class TrieCounts:
         self.forget()
 
     def forget(self) -> None:
-        self.root, self.nodes, self.scored = _Node(0, []), 0, 0
+        self.root, self.nodes = _Node(0, []), 0
 
     def _step(self, score: int, open_: list, c: str) -> tuple[int, list]:
         """Forward score after one more character, from all pieces that reach it."""

@@ -45,6 +45,14 @@ def texts_of(column: pa.Array | pa.ChunkedArray, size: int = SLICE) -> Iterator[
         at = to
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name`` with as many underscores before it as keep it apart from ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The runs values[s:s+n] one after another."""
     total = int(lengths.sum())
