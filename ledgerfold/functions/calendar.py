@@ -18,7 +18,7 @@ def _check_date(s: str) -> str:
     try:
         datetime.strptime(s, "%Y-%m-%d")
     except ValueError as exc:
-        raise ValueError("startdate or enddate format should be %Y-%m-%d") from exc
+        raise ValueError(f"not a yyyy-MM-dd date: {s!r}") from exc
     return s
 
 
@@ -60,7 +60,7 @@ def trading_days(calendar: DataFrame, start: str, end: str, fits: bool | None =
     _check_date(start)
     _check_date(end)
     if end < start:
-        raise ValueError("enddate < startdate")
+        raise ValueError(f"the range ends ({end}) before it starts ({start})")
     span = calendar.sparkSession.range(1).select(
         F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)))).alias("d")
     ).select(F.date_format("d", "yyyy-MM-dd").alias("busi_date"))

@@ -16,11 +16,6 @@ def sql_div(num: Column, den: Column) -> Column:
     return F.try_divide(num, den)
 
 
-def ratio_or_zero(num: Column, den: Column) -> Column:
-    """``x / y if y != 0 else 0``."""
-    return F.when(den != 0, num / den).otherwise(F.lit(0.0))
-
-
 def null_safe_ne(a: Column, b: Column) -> Column:
     """Python ``a != b`` where None != 0 is True."""
     return ~a.eqNullSafe(b)

@@ -2,13 +2,14 @@
 
 For a trading day T1 with previous trading day T2 and a book, a position gets
 one row if it is held on T2 or T1 (cash product '0.0' excluded on the holdings
-side) or has merged flows on T1.  The reference does this as a full outer join
-of a holdings pivot with the flows, once per day and book.  Here every day and
-both books are done in ONE shuffle: each holdings row is emitted twice (as
-``now`` for its own day and as ``pre`` for the next trading day, found through
-the broadcast calendar), unioned with the flows and grouped by
-(position, book, T1).  Rows whose key has a NULL part are dropped, since an
-outer join could never match them anyway.
+side) or has merged flows on T1.  Every day and both books are one grouping: each
+holdings table is read once and each of its rows emitted as ``now`` of its own day and ``pre``
+of the next trading day (found through the calendar), the merged flows are
+read once for both books, and the union is grouped by (position, book, T1).
+
+A full outer join never matches keys with a NULL part but keeps both sides, so the
+side is part of the grouping key wherever a key has a NULL: such holdings and flows stay
+apart, each with zeros for the other side.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from ledgerfold.functions.calendar import calendar_fits, day_side, previous_day
 from ledgerfold.functions.expressions import nvl0, sql_div
 from ledgerfold.keys import CASH_PRD, KEYS, LONG, SHORT
+from ledgerfold.sources.tables import read_day, read_days
 
 CHECK_COLUMNS = [
     "trade_id", "secu_acc_id", "prd_no", "pre_qty", "trd_qty", "now_qty", "pre_mkt_val", "now_mkt_val",
@@ -32,46 +34,35 @@ _BOOK = {
 }
 
 
-def _keys_not_null() -> Column:
-    c = F.lit(True)
-    for k in KEYS:
-        c = c & F.col(k).isNotNull()
-    return c
+def _side(side: int) -> Column:
+    """0 for keys that can match; ``side`` (1 holdings, 2 flows) where a key part is NULL."""
+    some_null = F.col(KEYS[0]).isNull()
+    for k in KEYS[1:]:
+        some_null = some_null | F.col(k).isNull()
+    return F.when(some_null, F.lit(side)).otherwise(F.lit(0)).alias("side")
 
 
 def holdings_pair(holding: DataFrame, calendar: DataFrame, book: str, fits: bool | None = None) -> DataFrame:
     """Per (position, T1): pre/now quantity and market value (T2 = previous trading day of T1).
 
-    The manual pivot ``sum(case when busi_date = T2 ...)`` becomes two tagged
-    copies of each holdings row; only T1 days that have a T2 are produced.
+    One scan: a holdings row is ``now`` of its day if that day has a T2, and ``pre`` of the next day.
     """
     qty = _BOOK[book]["qty"]
     fits = calendar_fits(calendar) if fits is None else fits
-    prev = day_side(previous_day(calendar, fits), fits)  # (busi_date, prev_date), one row per trading day
-    h = holding.where((F.col("prd_no") != F.lit(CASH_PRD)) & _keys_not_null())
-    h = h.select(*KEYS, "busi_date", F.col(qty).cast("long").alias("q"), F.col("mkt_val").cast("double").alias("v"))
-    now = h.join(prev, "busi_date", "left_semi").select(
-        *KEYS, "busi_date", F.lit(0).cast("long").alias("pre_q"), F.col("q").alias("now_q"),
-        F.lit(0.0).alias("pre_v"), F.col("v").alias("now_v"))
-    pre = h.join(prev.withColumnRenamed("busi_date", "t1").withColumnRenamed("prev_date", "busi_date"), "busi_date") \
-        .select(*KEYS, F.col("t1").alias("busi_date"), F.col("q").alias("pre_q"), F.lit(0).cast("long").alias("now_q"),
-                F.col("v").alias("pre_v"), F.lit(0.0).alias("now_v"))
-    return now.unionByName(pre)
-
-
-def _book_rows(holding: DataFrame, merged: DataFrame, calendar: DataFrame, book: str, fits: bool) -> DataFrame:
-    """Tagged holdings rows and flow rows of one book, keyed by (position, T1)."""
-    prev = day_side(previous_day(calendar, fits), fits)
-    hp = holdings_pair(holding, calendar, book, fits).select(
-        *KEYS, "busi_date", "pre_q", "now_q", "pre_v", "now_v",
-        *[F.lit(None).cast(t).alias(c) for c, t in _FLOW_TYPES])
-    flows = (
-        merged.where((F.col("trd_type") == F.lit(book)) & _keys_not_null())
-        .join(prev, "busi_date", "left_semi")
-        .select(*KEYS, "busi_date", *[F.lit(None).cast(t).alias(c) for c, t in _HOLD_TYPES],
-                *[F.col(c).cast(t).alias(c) for c, t in _FLOW_TYPES])
-    )
-    return hp.unionByName(flows).withColumn("trd_type", F.lit(book))
+    prev = previous_day(calendar, fits)
+    # one row per trading day: has it a T2, and of which T1 is it the T2
+    days = calendar.select("busi_date").join(day_side(prev, fits), "busi_date", "left").join(
+        day_side(prev.select(F.col("busi_date").alias("next_date"), F.col("prev_date").alias("d")), fits), F.col("busi_date") == F.col("d"), "left"
+    ).select("busi_date", F.when(F.col("prev_date").isNotNull(), F.col("busi_date")).alias("now_date"), "next_date")
+    h = holding.where(F.col("prd_no") != F.lit(CASH_PRD)).select(
+        *KEYS, "busi_date", F.col(qty).cast("long").alias("q"), F.col("mkt_val").cast("double").alias("v"))
+    none_q, none_v = F.lit(0).cast("long"), F.lit(0.0)
+    emit = lambda day, pre_q, now_q, pre_v, now_v: F.struct(
+        day.alias("busi_date"), pre_q.alias("pre_q"), now_q.alias("now_q"), pre_v.alias("pre_v"), now_v.alias("now_v"))
+    both = F.array(emit(F.col("now_date"), none_q, F.col("q"), none_v, F.col("v")),
+                   emit(F.col("next_date"), F.col("q"), none_q, F.col("v"), none_v))
+    h = h.join(day_side(days, fits), "busi_date").select(*KEYS, F.explode(F.filter(both, lambda x: x["busi_date"].isNotNull())).alias("x"))
+    return h.select(*KEYS, "x.busi_date", "x.pre_q", "x.now_q", "x.pre_v", "x.now_v")
 
 
 _HOLD_TYPES = [("pre_q", "long"), ("now_q", "long"), ("pre_v", "double"), ("now_v", "double")]
@@ -79,6 +70,21 @@ _FLOW_TYPES = [("f_trd_qty", "long"), ("f_trd_cash_flow", "double"), ("f_pos_cas
                ("f_neg_cash_flow", "double"), ("f_busi_flag_code", "string")]
 
 
+def _holding_rows(holding: DataFrame, calendar: DataFrame, book: str, fits: bool) -> DataFrame:
+    """Holdings rows of one book, keyed by (position, T1)."""
+    return holdings_pair(holding, calendar, book, fits).select(
+        *KEYS, F.lit(book).alias("trd_type"), "busi_date", _side(1), *[c for c, _ in _HOLD_TYPES],
+        *[F.lit(None).cast(t).alias(c) for c, t in _FLOW_TYPES])
+
+
+def _flow_rows(merged: DataFrame, calendar: DataFrame, books: tuple[str, ...], fits: bool) -> DataFrame:
+    """Merged flows of the books, on days that have a T2."""
+    prev = day_side(previous_day(calendar, fits).select("busi_date"), fits)
+    return merged.where(F.col("trd_type").isin(list(books))).join(prev, "busi_date", "left_semi").select(
+        *KEYS, "trd_type", "busi_date", _side(2), *[F.lit(None).cast(t).alias(c) for c, t in _HOLD_TYPES],
+        *[F.col(c).cast(t).alias(c) for c, t in _FLOW_TYPES])
+
+
 def _flows_renamed(merged: DataFrame) -> DataFrame:
     return merged.select(
         *KEYS, "trd_type", "busi_date",
@@ -101,25 +107,18 @@ def account_check(merged: DataFrame, asset_holding: DataFrame, debt_holding: Dat
     """
     fits = calendar_fits(calendar)
     if t1 is not None:
-        # Only the two endpoint partitions contribute; prune everything else.
-        prev_t1 = previous_day(calendar, fits).where(F.col("busi_date") == t1)
-        days = prev_t1.select(F.col("busi_date").alias("d")).unionByName(prev_t1.select(F.col("prev_date").alias("d")))
-        days = days.withColumnRenamed("d", "busi_date")  # two rows
-        asset_holding = asset_holding.join(F.broadcast(days), "busi_date", "left_semi")
-        debt_holding = debt_holding.join(F.broadcast(days), "busi_date", "left_semi")
-        merged = merged.where(F.col("busi_date") == t1)
-    merged = _flows_renamed(merged)
-    parts = []
+        # the two endpoints as literals, so that the scans prune to their partitions
+        t2 = previous_day(calendar, fits).where(F.col("busi_date") == t1).first()
+        days = [t1] if t2 is None else [t2["prev_date"], t1]
+        asset_holding, debt_holding = read_days(asset_holding, days), read_days(debt_holding, days)
+        merged = read_day(merged, t1)
+    rows = _flow_rows(_flows_renamed(merged), calendar, books, fits)
     for book in books:
-        holding = asset_holding if book == LONG else debt_holding
-        parts.append(_book_rows(holding, merged, calendar, book, fits))
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+        rows = rows.unionByName(_holding_rows(asset_holding if book == LONG else debt_holding, calendar, book, fits))
     if t1 is not None:
         rows = rows.where(F.col("busi_date") == t1)
 
-    g = rows.groupBy(*KEYS, "trd_type", "busi_date").agg(
+    g = rows.groupBy(*KEYS, "trd_type", "busi_date", "side").agg(
         nvl0(F.sum("pre_q")).alias("pre_qty"),
         nvl0(F.sum("now_q")).alias("now_qty"),
         nvl0(F.sum("pre_v")).cast("double").alias("pre_mkt_val"),

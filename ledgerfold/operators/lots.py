@@ -24,7 +24,9 @@ position it is on, never a whole group in memory.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections import deque
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -154,6 +156,7 @@ def matches_from_intervals(iv: DataFrame, bucket_qty: int = BUCKET_QTY, keep_unm
     seg = seg.where(F.col("v") > F.col("v_prev")).groupBy(*KEYS, "buy", "sell").agg(
         F.sum(F.col("v") - F.col("v_prev")).alias("match_qty"))
     qty = F.col("match_qty")
+    wide = lambda c: c.cast("decimal(19,0)")  # noqa: E731  cents times quantity may pass 2^63
     m = seg.select(
         *KEYS,
         F.col("buy.busi_date").alias("buy_date"), F.col("buy.timestamp").alias("buy_ts"),
@@ -161,8 +164,8 @@ def matches_from_intervals(iv: DataFrame, bucket_qty: int = BUCKET_QTY, keep_unm
         F.col("sell.busi_date").alias("sell_date"), F.col("sell.timestamp").alias("sell_ts"),
         *[F.col(f"sell.{c}").alias(f"sell_{c}") for c in TIE_COLS],
         qty,
-        (F.col("buy.cash_c") * qty).alias("_cn"), F.col("buy.q").alias("_cd"),
-        F.coalesce(-F.col("sell.cash_c") * qty, F.lit(0)).alias("_pn"),
+        (wide(F.col("buy.cash_c")) * wide(qty)).alias("_cn"), F.col("buy.q").alias("_cd"),
+        F.coalesce(-wide(F.col("sell.cash_c")) * wide(qty), F.lit(0)).alias("_pn"),
         F.coalesce(-F.col("sell.q"), F.lit(1)).alias("_pd"),
         F.col("buy.q").alias("buy_q"), F.col("buy.cash_c").alias("buy_cash_c"),
     )
@@ -181,7 +184,7 @@ def _half_away(n: str, d: str) -> str:
 
 def fifo_lots(detail: DataFrame, calendar: DataFrame, book: str = LONG) -> DataFrame:
     """Lots = a position's buys of one day (same-day buys join the day's lot), with closed
-    quantity and proceeds from FIFO; return = close_amt - trd_amt, rate = return / trd_amt."""
+    quantity and proceeds from FIFO; return = close_amt - trd_amt, rate = return / trd_amt (0 for x / 0, D11)."""
     # one branch: pairs plus the unsold piece of every buy, so each buy is present at least once
     pairs = matches_from_intervals(fifo_intervals(detail, calendar, book), keep_unmatched=True)
     matched = F.col("sell_date").isNotNull()
@@ -199,7 +202,7 @@ def fifo_lots(detail: DataFrame, calendar: DataFrame, book: str = LONG) -> DataF
         *KEYS, F.col("busi_date").alias("open_date"), F.col("trd_qty").cast("long").alias("trd_qty"),
         (F.col("trd_c") / 100.0).alias("trd_amt"), close_qty.alias("close_qty"), (close_c / 100.0).alias("close_amt"),
         (F.col("trd_qty") - close_qty).cast("long").alias("unclose_qty"),
-        (ret_c / 100.0).alias("return"), F.try_divide(ret_c.cast("double"), F.col("trd_c").cast("double")).alias("return_rate"))
+        (ret_c / 100.0).alias("return"), F.coalesce(F.try_divide(ret_c.cast("double"), F.col("trd_c").cast("double")), F.lit(0.0)).alias("return_rate"))
 
 
 # ---------------------------------------------------------------------------
@@ -253,111 +256,152 @@ LOT_SCHEMA = T.StructType([
 _SEED, _TRADE, _TICK = 0, 1, 2
 
 
-def _div0(a: float, b: float) -> float:
-    """Division where x / 0 gives 0 (decision D11)."""
-    return a / b if b != 0 else 0.0
-
-
-def _new_lot(day: str, qty: float, amt: float, unclose_amt: float = 0.0, label: int = 0) -> dict:
-    return dict(open_date=day, orig_trd_qty=qty, orig_trd_amt=amt, trd_qty=qty, trd_amt=amt, close_amt=0.0,
-                unclose_qty=qty, unclose_amt=unclose_amt, weighted_term=0.0, exception_label=label)
-
-
-def _buy(lots: list, day: str, q: float, cash: float) -> None:
-    last = lots[-1] if lots else None
-    if last is not None and last["open_date"] == day:
-        for f in ("trd_qty", "unclose_qty", "orig_trd_qty"):
-            last[f] += q
-        last["trd_amt"] += cash
-        last["orig_trd_amt"] += cash
-    else:
-        lots.append(_new_lot(day, q, cash))
-
-
-def fold_day(lots: list, trades: list, day: str, hold_qty: float, hold_val: float) -> int:
-    """Apply one day's trades [(q, cash, amortize_label)] and the day's holdings to ``lots``
-    (oldest first) in place; returns the index of the first lot that is still matched."""
-    i, j = 0, 0
-    while i < len(trades):
-        q, cash, label = trades[i]
-        if label == 1:
-            # amortise over the current lot and all later ones, pro rata by trd_qty (fixed denominator)
-            rest = lots[j:]
-            total = sum(z["trd_qty"] for z in rest)
-            for z in rest:
-                ratio = _div0(z["trd_qty"], total)
-                z["trd_qty"] += q * ratio
-                z["unclose_qty"] += q * ratio
-                if cash >= 0:
-                    z["trd_amt"] += cash * ratio
-                else:
-                    z["close_amt"] += -cash * ratio
-            i += 1
-        elif q > 0:
-            _buy(lots, day, q, cash)
-            i += 1
-        elif j >= len(lots):
-            i += 1  # a sell with no open lot left is ignored
-        else:
-            y = lots[j]
-            if y["unclose_qty"] + q >= 0:
-                before = y["unclose_qty"]
-                y["unclose_qty"] += q
-                y["close_amt"] += -cash
-                y["unclose_amt"] *= _div0(y["unclose_qty"], before)
-                i += 1
-                if y["unclose_qty"] == 0:
-                    j += 1
+UNIT = 1_000_000
+"""Quantities inside a ``LotBook`` are whole numbers of 1 / UNIT, so that shares of a lot add up exactly."""
+
+
+def _ratio(a: float, b: float) -> float:
+    """a / b, and 0 where b is 0 (D11)."""
+    return a / b if b else 0.0
+
+
+@dataclass
+class Lot:
+    """One lot; ``orig``, ``size`` and ``left`` are bought, amortised and unsold units."""
+
+    open_date: str
+    orig: int = 0
+    orig_amt: float = 0.0
+    size: int = 0
+    amt: float = 0.0
+    proceeds: float = 0.0
+    left: int = 0
+    value: float = 0.0
+    term: float = 0.0
+    label: int = 0
+
+    @classmethod
+    def restore(cls, f: dict) -> Lot:
+        units = lambda x: round(float(x) * UNIT)
+        return cls(f["open_date"], units(f["orig_trd_qty"]), f["orig_trd_amt"], units(f["trd_qty"]), f["trd_amt"],
+                   f["close_amt"], units(f["unclose_qty"]), f["unclose_amt"], f["weighted_term"], int(f["exception_label"]))
+
+    def row(self, key: tuple, day: str) -> tuple:
+        gain = self.proceeds - self.amt
+        return (*key, day, self.open_date, self.orig / UNIT, self.orig_amt, self.size / UNIT, self.amt, (self.size - self.left) / UNIT,
+                self.proceeds, self.left / UNIT, self.value, gain, _ratio(gain, self.amt), self.term, self.label, not self.left)
+
+
+class LotBook:
+    """The lots of one position: a queue of lots with something left, and those sold out today.
+
+    Decisions beside those of the survey: D17 a buy after the day's lot was sold out
+    reopens that lot; D18 negative holdings count as none, also in the seed; D19 what a negative amortisation takes beyond a
+    lot's rest is taken from the lots after it, and beyond the last lot from none.
+    """
+
+    def __init__(self, lots: Iterable[Lot] = ()):
+        self.queue: deque[Lot] = deque(x for x in lots if x.left > 0)
+        self.done: list[Lot] = [x for x in lots if x.left == 0]
+
+    def lots(self) -> list[Lot]:
+        return sorted([*self.done, *self.queue], key=lambda x: x.open_date)
+
+    def _todays(self, day: str) -> Lot:
+        """The lot opened on ``day``, in the queue; made or reopened if need be."""
+        if self.queue and self.queue[-1].open_date == day:
+            return self.queue[-1]
+        again = next((x for x in self.done if x.open_date == day), None)
+        if again is not None:
+            self.done.remove(again)
+        self.queue.append(again or Lot(day))
+        return self.queue[-1]
+
+    def _pass_sold_out(self) -> None:
+        while self.queue and not self.queue[0].left:
+            self.done.append(self.queue.popleft())
+
+    def _take(self, units: int, cash: float) -> None:
+        """Sell from the oldest lot on, cash by quantity; units beyond the last lot are dropped with their cash."""
+        if not units:  # cash alone belongs to the oldest lot (D10)
+            if self.queue:
+                self.queue[0].proceeds += cash
+            return
+        rest = units
+        while rest and self.queue:
+            lot = self.queue[0]
+            sold = min(rest, lot.left)
+            lot.proceeds += cash * (sold / units)
+            lot.value *= (lot.left - sold) / lot.left
+            lot.left -= sold
+            rest -= sold
+            self._pass_sold_out()
+
+    def buy(self, day: str, units: int, cash: float) -> None:
+        lot = self._todays(day)
+        lot.orig, lot.size, lot.left = lot.orig + units, lot.size + units, lot.left + units
+        lot.orig_amt, lot.amt = lot.orig_amt + cash, lot.amt + cash
+
+    def sell(self, units: int, cash: float) -> None:
+        self._take(units, cash)
+
+    def amortise(self, units: int, cash: float) -> None:
+        """Spread over the open lots by size; cumulative shares are rounded, so they add up to ``units``."""
+        total = sum(x.size for x in self.queue)
+        if total <= 0:
+            return
+        before = seen = owed = 0
+        for lot in self.queue:
+            share = lot.size / total
+            seen += lot.size
+            part = units * seen // total - before
+            before += part
+            lot.size += part
+            lot.left += part + owed
+            owed = min(lot.left, 0)
+            lot.left -= owed
+            if cash >= 0:
+                lot.amt += cash * share
+            else:
+                lot.proceeds -= cash * share
+        self.queue = deque(x for x in self.queue if x.left or self.done.append(x))
+
+    def reconcile(self, day: str, units: int, value: float) -> None:
+        """Hold the open lots against the day's holdings, newest first; what holdings lack closes
+        at cost with a label, what they have beyond all lots joins the day's lot with a label."""
+        if units <= 0:
+            units, value = 0, 0.0
+        for lot in reversed(self.queue):
+            if lot.left > units:
+                lot.label = 1
+                lot.proceeds += lot.amt * _ratio(lot.left - units, lot.size)
+                lot.left, lot.value = units, value
+            else:
+                lot.value = value * _ratio(lot.left, units)
+            units, value = units - lot.left, value - lot.value
+        self.queue = deque(x for x in self.queue if x.left or self.done.append(x))
+        if units:
+            lot = self._todays(day)
+            self.buy(day, units, value)
+            lot.value, lot.label = lot.value + value, 1
+
+    def day(self, trades: Iterable[tuple[float, float, int]], day: str, held: float, value: float) -> list[Lot]:
+        """One day: trades (quantity, cash, amortise label) in order, then the holdings.
+        Returns the day's lots, oldest first; sold-out ones leave the book afterwards."""
+        for quantity, cash, label in trades:
+            units = round(quantity * UNIT)
+            if label == 1:
+                self.amortise(units, cash)
+            elif units > 0:
+                self.buy(day, units, cash)
             else:
-                share = _div0(y["unclose_qty"], -q)
-                y["close_amt"] += -cash * share
-                cash = cash * (1 - share)
-                q += y["unclose_qty"]
-                trades[i] = (q, cash, label)
-                y["unclose_amt"] = 0.0
-                y["unclose_qty"] = 0.0
-                j += 1
-    # reconcile the still-open lots with the day's holdings, newest first
-    h, v = hold_qty, hold_val
-    for z in reversed(lots[j:]):
-        if z["unclose_qty"] <= h:
-            part = _div0(z["unclose_qty"], h) * v
-            z["unclose_amt"] = part
-            v -= part
-            h -= z["unclose_qty"]
-        else:
-            z["exception_label"] = 1
-            z["close_amt"] += _div0(z["unclose_qty"] - h, z["trd_qty"]) * z["trd_amt"]
-            z["unclose_qty"] = h
-            z["unclose_amt"] = v
-            h, v = 0.0, 0.0
-    if h != 0:
-        last = lots[-1] if lots else None
-        if last is not None and last["open_date"] == day:
-            for f in ("trd_qty", "unclose_qty", "orig_trd_qty"):
-                last[f] += h
-            for f in ("unclose_amt", "trd_amt", "orig_trd_amt"):
-                last[f] += v
-            last["exception_label"] = 1
-        else:
-            lots.append(_new_lot(day, h, v, unclose_amt=v, label=1))
-    for z in lots:
-        z["weighted_term"] += _div0(z["unclose_qty"], z["trd_qty"])
-    return j
-
-
-def _emit(key: tuple, day: str, lots: list, out: list) -> list:
-    """Append the day's lot rows; closed lots (unclose_qty = 0) leave the state."""
-    keep = []
-    for z in lots:
-        closed = z["unclose_qty"] == 0
-        ret = z["close_amt"] - z["trd_amt"]
-        out.append((*key, day, z["open_date"], z["orig_trd_qty"], z["orig_trd_amt"], z["trd_qty"], z["trd_amt"],
-                    z["trd_qty"] - z["unclose_qty"], z["close_amt"], z["unclose_qty"], z["unclose_amt"], ret,
-                    _div0(ret, z["trd_amt"]), z["weighted_term"], int(z["exception_label"]), closed))
-        if not closed:
-            keep.append(z)
-    return keep
+                self.sell(-units, -cash)
+        self.reconcile(day, round(held * UNIT), value)
+        for lot in [*self.queue, *self.done]:
+            lot.term += _ratio(lot.left, lot.size)
+        rows = self.lots()
+        self.done = []
+        return rows
 
 
 _SEED_TYPES = {"open_date": "string", "exception_label": "int"}  # other lot fields are double
@@ -372,22 +416,20 @@ def _seed_columns(df: DataFrame | None = None) -> list:
 def _lot_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Fold sorted stream rows (position, rank, kind, order...) into daily lot rows."""
     cols = [f.name for f in LOT_SCHEMA.fields]
-    key, lots, trades = None, [], []
+    key, seeds, book, trades = None, [], None, []
     for pdf in batches:
         out: list = []
-        for r in pdf.itertuples(index=False):
-            k = (r.trade_id, r.secu_acc_id, r.prd_no)
-            if k != key:
-                key, lots, trades = k, [], []
-            if r.kind == _SEED:
-                lot = {f: getattr(r, f"s_{f}") for f in LOT_FIELDS}
-                lot["exception_label"] = int(lot["exception_label"])
-                lots.append(lot)
-            elif r.kind == _TRADE:
-                trades.append((float(r.q), float(r.cash), int(r.label)))
+        columns = [pdf[c].tolist() for c in ("trade_id", "secu_acc_id", "prd_no", "kind", "busi_date", "q", "cash", "label")]
+        for at, (*k, kind, day, q, cash, label) in enumerate(zip(*columns)):
+            if tuple(k) != key:
+                key, seeds, book, trades = tuple(k), [], None, []
+            if kind == _SEED:
+                seeds.append(Lot.restore({f: pdf[f"s_{f}"].iat[at] for f in LOT_FIELDS}))
+            elif kind == _TRADE:
+                trades.append((q, cash, label))
             else:
-                fold_day(lots, trades, r.busi_date, float(r.q), float(r.cash))
-                lots = _emit(key, r.busi_date, lots, out)
+                book = book or LotBook(seeds)
+                out += [lot.row(key, day) for lot in book.day(trades, day, q, cash)]
                 trades = []
         yield pd.DataFrame(out, columns=cols)
 

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerfold.functions.calendar import calendar_fits, day_side, roll_bounds
-from ledgerfold.functions.expressions import null_safe_ne
+from ledgerfold.functions.expressions import null_safe_ne, open_date_or
 from ledgerfold.keys import KEYS, LONG
 from ledgerfold.sources.binding import EVENT_ORDER
 
@@ -291,7 +291,7 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
         # a resumed cycle keeps the opening day it had
         opened = st.select(*pos, F.col("open_date").alias("open0"), F.lit(s).alias("start_rank"))
         out = out.join(opened, pos + ["start_rank"], "left") \
-            .withColumn("open_date", F.coalesce(F.col("open0"), F.col("open_date"))).drop("open0")
+            .withColumn("open_date", open_date_or(F.col("open0"), F.col("open_date"))).drop("open0")
     has_state = F.col("day_rank") > F.col("start_rank")
     h = holding.select(*pos, "busi_date", F.col(qty_col).cast("long").alias("h_qty"),
                        F.col("mkt_val").cast("double").alias("h_val"))

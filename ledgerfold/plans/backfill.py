@@ -18,6 +18,9 @@ from ledgerfold.keys import BOOKS
 from ledgerfold.operators.account import account_check
 from ledgerfold.operators.cashflow import merge_cash_flow
 from ledgerfold.operators.exceptions import exception_detail, exception_stat
+from ledgerfold.sources.tables import read_days
+
+MAX_LITERAL_DAYS = 400  # days named in a filter; longer ranges are semi-joined
 
 TASKS = ("merge", "check", "check_exception_detail", "check_exception_stat")
 
@@ -30,17 +33,25 @@ def run_days(calendar: DataFrame, start: str, end: str) -> DataFrame:
 def backfill(task: str, tables, start: str, end: str) -> DataFrame:
     """Every partition (busi_date = T1) that running ``task`` for each day of [start, end] would write."""
     if task not in TASKS:
-        raise ValueError("doesn't exist this task")
+        raise ValueError(f"no task {task!r}; one of {', '.join(TASKS)}")
     fits = calendar_fits(tables.trading_day)
-    t1 = trading_days(tables.trading_day, start, end, fits).select(F.col("t1_date").alias("busi_date")).distinct()
-    t1 = day_side(t1, fits)  # at most one row per trading day
-    detail = tables.cash_flow_detail.join(t1, "busi_date", "left_semi")
+    days = trading_days(tables.trading_day, start, end, fits).select("t1_date", "t2_date")
+    few = days.limit(MAX_LITERAL_DAYS + 1).collect() if fits else []
+    if 0 < len(few) <= MAX_LITERAL_DAYS:
+        # the days as literals, so that every scan prunes to their partitions
+        t1s, ends = sorted({r.t1_date for r in few}), sorted({d for r in few for d in r})
+        on_t1 = lambda df: read_days(df, t1s)
+        at_ends = lambda df: read_days(df, ends)
+    else:
+        t1 = day_side(days.select(F.col("t1_date").alias("busi_date")).distinct(), fits)  # at most one row per trading day
+        on_t1 = lambda df: df.join(t1, "busi_date", "left_semi")
+        at_ends = lambda df: df
+    detail = on_t1(tables.cash_flow_detail)
     if task == "merge":
         return merge_cash_flow(detail)
     merged = merge_cash_flow(detail, with_names=False)  # the check reads codes, not names
-    check = account_check(merged, tables.stock_asset_holding, tables.stock_debt_holding,
-                          tables.stock_return_rate_range, tables.trading_day, books=BOOKS)
-    check = check.join(t1, "busi_date", "left_semi")
+    check = on_t1(account_check(merged, at_ends(tables.stock_asset_holding), at_ends(tables.stock_debt_holding),
+                                tables.stock_return_rate_range, tables.trading_day, books=BOOKS))
     if task == "check":
         return check
     if task == "check_exception_detail":

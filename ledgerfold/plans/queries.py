@@ -23,7 +23,7 @@ from ledgerfold.operators.positions import (closed_positions, detail_return_chec
                                             position_state, roll_positions, seed_open_positions)
 from ledgerfold.operators.quality import error_count_diff, error_counts, qty_identity
 from ledgerfold.plans.backfill import backfill
-from ledgerfold.sinks.tables import write_partitioned
+from ledgerfold.sinks.tables import append, create_table, empty_like, replace_day, write_partitioned
 from ledgerfold.sources.binding import stored
 from ledgerfold.sources.tables import read_partitioned
 
@@ -137,9 +137,11 @@ def _first_day(t) -> str:
     return t.trading_day.where(F.col("rlt_rank") == 1).first()["busi_date"]
 
 
-def _rolled(spark, sf_dir):
-    """Long book, seeded from the holdings of the first trading day, rolled over all later days."""
+def _rolled(spark, sf_dir, book=LONG):
+    """A book, seeded from the holdings of the first trading day, rolled over all later days."""
     t = tables(spark, sf_dir)
+    if book == SHORT:
+        return roll_positions(t.cash_flow_detail, t.stock_debt_holding, t.trading_day, _first_day(t), SHORT, qty_col="liab_qty")
     return roll_positions(t.cash_flow_detail, t.stock_asset_holding, t.trading_day, _first_day(t), LONG)
 
 
@@ -158,7 +160,8 @@ def q_positions_resume(spark, sf_dir):
     n = t.trading_day.agg(F.max("rlt_rank")).first()[0]
     mid = t.trading_day.where(F.col("rlt_rank") == n // 2).first()["busi_date"]
     path = _scratch(spark, "position-state")
-    position_state(_rolled(spark, sf_dir), mid).write.mode("overwrite").parquet(path)
+    start = roll_positions(t.cash_flow_detail, t.stock_asset_holding, t.trading_day, _first_day(t), LONG, until=mid)
+    position_state(start, mid).write.mode("overwrite").parquet(path)
     state = spark.read.parquet(path)
     resumed = roll_positions(t.cash_flow_detail, t.stock_asset_holding, t.trading_day, mid, LONG, state=state)
     return open_positions(resumed)
@@ -271,6 +274,86 @@ def q_sink_check_books(spark, sf_dir):
     return rounded(back, money=_CHECK_MONEY, rates=("return_rate",))
 
 
+def q_positions_open_short(spark, sf_dir):
+    return open_positions(_rolled(spark, sf_dir, SHORT))
+
+
+def q_positions_closed_short(spark, sf_dir):
+    return closed_positions(_rolled(spark, sf_dir, SHORT))
+
+
+def q_fifo_matches_short(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return fifo_matches(t.cash_flow_detail, t.trading_day, SHORT).drop("match_cost_c", "match_proceeds_c")
+
+
+def q_fifo_lots_short(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return fifo_lots(t.cash_flow_detail, t.trading_day, SHORT)
+
+
+def q_dq_lots_balance(spark, sf_dir):
+    """Open quantity of every position-day's lots."""
+    return open_lots(_lots(spark, sf_dir)).groupBy(*KEYS, "busi_date").agg(
+        F.round(F.sum("unclose_qty")).cast("long").alias("unclose_qty"))
+
+
+def q_check_day(spark, sf_dir):
+    """The check of one day alone, whose endpoints prune the scans."""
+    t = tables(spark, sf_dir)
+    last = _bounds(t)[1]
+    merged = merge_cash_flow(t.cash_flow_detail.where(F.col("busi_date") == last), with_names=False)
+    out = account_check(merged, t.stock_asset_holding, t.stock_debt_holding, t.stock_return_rate_range, t.trading_day, t1=last)
+    return rounded(out, money=_CHECK_MONEY, rates=("return_rate",))
+
+
+def q_check_null_keys(spark, sf_dir):
+    """The check where one customer's account is unknown: holdings and flows that match nothing stay."""
+    t = tables(spark, sf_dir)
+    hide = lambda df: df.withColumn("secu_acc_id", F.when(F.col("trade_id") != "7", F.col("secu_acc_id")))
+    out = account_check(merge_cash_flow(hide(t.cash_flow_detail), with_names=False), hide(t.stock_asset_holding),
+                        hide(t.stock_debt_holding), t.stock_return_rate_range, t.trading_day)
+    return rounded(out, money=_CHECK_MONEY, rates=("return_rate",))
+
+
+def q_backfill_exception_detail(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return rounded(backfill("check_exception_detail", t, *_bounds(t)), money=("pre_mkt_val", "now_mkt_val", "trd_cash_flow", "pos_cash_flow"))
+
+
+def q_backfill_exception_stat(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return rounded(backfill("check_exception_stat", t, *_bounds(t)), money=("max_return", "min_return"),
+                   rates=("exception_pv_rate", "exception_uv_rate", "max_return_rate", "min_return_rate"))
+
+
+def _catalog_merged(spark, sf_dir):
+    """The merged flows of all days in a catalog table whose files are in the shared folder; its name."""
+    import uuid
+
+    name = f"stock_cash_flow_{uuid.uuid4().hex[:12]}"
+    df = _merged(spark, sf_dir)
+    create_table(spark, name, df.schema, fmt="parquet", location=_scratch(spark, name))
+    append(df.hint("rebalance", "busi_date"), name)
+    return name, df
+
+
+def q_sink_catalog_replace(spark, sf_dir):
+    """The last day of a catalog table replaced by changed rows: one book, quantities doubled; read back."""
+    name, df = _catalog_merged(spark, sf_dir)
+    last = _bounds(tables(spark, sf_dir))[1]
+    changed = df.where((F.col("busi_date") == last) & (F.col("trd_type") == LONG)).withColumn("trd_qty", F.col("trd_qty") * 2)
+    replace_day(changed, name, last)
+    return rounded(spark.table(name).select(*df.columns), money=("trd_cash_flow", "pos_cash_flow", "neg_cash_flow", "trd_fee"))
+
+
+def q_sink_empty_day(spark, sf_dir):
+    """The last day of a catalog table replaced by no rows; read back."""
+    name, df = _catalog_merged(spark, sf_dir)
+    replace_day(empty_like(df), name, _bounds(tables(spark, sf_dir))[1])
+    return rounded(spark.table(name).select(*df.columns), money=("trd_cash_flow", "pos_cash_flow", "neg_cash_flow", "trd_fee"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_cash_flow": q_merge_cash_flow,
     "holdings_pair": q_holdings_pair,
@@ -300,4 +383,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_check": q_backfill_check,
     "sink_replace_day": q_sink_replace_day,
     "sink_check_books": q_sink_check_books,
+    "sink_catalog_replace": q_sink_catalog_replace,
+    "sink_empty_day": q_sink_empty_day,
+    "backfill_exception_detail": q_backfill_exception_detail,
+    "backfill_exception_stat": q_backfill_exception_stat,
+    "check_day": q_check_day,
+    "check_null_keys": q_check_null_keys,
+    "positions_open_short": q_positions_open_short,
+    "positions_closed_short": q_positions_closed_short,
+    "fifo_matches_short": q_fifo_matches_short,
+    "fifo_lots_short": q_fifo_lots_short,
+    "dq_lots_balance": q_dq_lots_balance,
 }

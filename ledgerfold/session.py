@@ -39,10 +39,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir, setting a scratch one only if unset (tests)."""
+    """Return the session's checkpoint dir; unset, a scratch one on a local master (tests), an error on a cluster."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="ledgerfold-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

@@ -1,16 +1,22 @@
 """Writers for partitioned brokerage tables.
 
 Every daily job of the original application ends by replacing one day
-partition (``insert overwrite ... partition(busi_date=...)``).  Here writes use
-dynamic partition overwrite: a job replaces exactly the partitions present in
-its DataFrame, so one job can write many days at once and a re-run is
-idempotent.  A write is a single Spark job: a lost executor only re-runs tasks,
-and the commit protocol keeps half-written files invisible.
+partition (``insert overwrite ... partition(busi_date=...)``).  Here a job names
+the days it owns: those days are replaced by its rows, an owned day without rows
+becomes empty, and a row of any other day fails the job before it commits.  Without
+named days exactly the days present in the rows are replaced.  Other days stay, whatever the
+session's ``partitionOverwriteMode`` is: ``insertInto`` reads only the session's setting, so it is
+set for the write and restored.  A write is a single Spark job: a lost executor only
+re-runs tasks, and the commit protocol keeps half-written files invisible.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,10 +61,52 @@ def add_partition(spark: SparkSession, table: str, busi_date: str) -> None:
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (busi_date = '{busi_date}')")
 
 
-def replace_partitions(df: DataFrame, table: str) -> None:
-    """Replace exactly the partitions present in ``df`` (dynamic overwrite) of a catalog table."""
-    target = df.sparkSession.table(table).schema
-    conform(df, target).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
+@contextmanager
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Dynamic partition overwrite inside the block; the session's own setting afterwards."""
+    before = spark.conf.get(OVERWRITE_MODE, None)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(OVERWRITE_MODE)
+        else:
+            spark.conf.set(OVERWRITE_MODE, before)
+
+
+def owned(df: DataFrame, days: Sequence[str], day_col: str = "busi_date") -> DataFrame:
+    """``df``, failing when it is run if a row is of none of ``days``."""
+    other = F.raise_error(F.concat(F.lit("row of a day that is not to be replaced: "), F.coalesce(F.col(day_col), F.lit("NULL"))))
+    return df.withColumn(day_col, F.when(F.col(day_col).isin(list(days)), F.col(day_col)).otherwise(other.cast("string")))
+
+
+def _written_days(df: DataFrame, day_col: str) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of the days it holds (one value a day)."""
+    seen = Observation()
+    return df.observe(seen, F.collect_set(day_col).alias("days")), seen
+
+
+def replace_partitions(df: DataFrame, table: str, days: Sequence[str] | None = None) -> None:
+    """Replace the named ``days`` (default: the days in ``df``) of a catalog table by ``df``."""
+    spark = df.sparkSession
+    out = conform(df, spark.table(table).schema)
+    if days is not None:
+        out = owned(out, days)
+    out, seen = _written_days(out, "busi_date")
+    with dynamic_overwrite(spark):
+        out.write.insertInto(table, overwrite=True)
+    empty = sorted(set(days or ()) - set(seen.get["days"]))
+    if empty:
+        view = f"no_rows_{uuid.uuid4().hex}"
+        empty_like(out.drop("busi_date")).createOrReplaceTempView(view)
+        for day in empty:  # a named partition is overwritten even by no rows, files and all
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (busi_date = '{day}') SELECT * FROM {view}")
+            add_partition(spark, table, day)  # an empty day still has its partition
+        spark.catalog.dropTempView(view)
 
 
 def append(df: DataFrame, table: str) -> None:
@@ -67,13 +115,10 @@ def append(df: DataFrame, table: str) -> None:
 
 
 def replace_day(df: DataFrame, table: str, busi_date: str) -> None:
-    """Replace one day of ``table`` with ``df`` (rows of other days in ``df`` are refused);
-    the table must exist."""
-    spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        raise ValueError(f"please create table {table} before saving into it")
-    replace_partitions(df.where(F.col("busi_date") == busi_date), table)
-    add_partition(spark, table, busi_date)  # an empty day still gets its partition
+    """Replace one day of an existing ``table`` with ``df``; rows of other days raise."""
+    if not df.sparkSession.catalog.tableExists(table):
+        raise ValueError(f"no table {table} to replace a day of")
+    replace_partitions(df, table, [busi_date])
 
 
 def save_as_table(df: DataFrame, table: str, partition_cols: tuple[str, ...] = ("busi_date",), fmt: str = "orc",
@@ -90,21 +135,36 @@ def empty_like(df: DataFrame) -> DataFrame:
     return df.limit(0)
 
 
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a partition's folder through the path's own file system."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_partitioned(df: DataFrame, path: str, fmt: str = "parquet", partition_cols: tuple[str, ...] = ("busi_date",),
-                      replace: str = "dynamic") -> None:
-    """Write ``df`` to a path partitioned by day.  ``replace='dynamic'`` replaces only the days
-    present in ``df``; ``'all'`` replaces the whole dataset; ``'append'`` adds files.
+                      replace: str = "dynamic", days: Sequence[str] | None = None) -> None:
+    """Write ``df`` to a path partitioned by day.  ``replace='dynamic'`` replaces the named
+    ``days`` (default: those present in ``df``); ``'all'`` replaces the whole dataset; ``'append'`` adds files.
 
     Rows are clustered by the partition columns with a REBALANCE hint, so each task writes few
     files per day while AQE splits a day that is too big for one task and merges small ones."""
-    out = df.hint("rebalance", *partition_cols) if partition_cols else df
+    if days is not None and (replace != "dynamic" or partition_cols != ("busi_date",)):
+        raise ValueError("days can be named only where days are replaced")
+    out = owned(df, days) if days is not None else df
+    out = out.hint("rebalance", *partition_cols) if partition_cols else out
+    seen = None
+    if days is not None:
+        out, seen = _written_days(out, "busi_date")
     w = out.write.format(fmt)
     if replace == "append":
         w = w.mode("append")
     else:
-        w = w.mode("overwrite")
-        if replace == "dynamic":
-            w = w.option("partitionOverwriteMode", "dynamic")
+        # the mode is named either way: the session's setting must not decide what is kept
+        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic" if replace == "dynamic" else "static")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.save(path)
+    if seen is not None:
+        for day in sorted(set(days) - set(seen.get["days"])):
+            _drop_folder(df.sparkSession, f"{path.rstrip('/')}/busi_date={day}")

@@ -1,4 +1,4 @@
-"""Readers for brokerage tables stored as catalog tables or partitioned files.
+"""Scans of day-partitioned brokerage tables.
 
 All predicates are plain column filters, so Catalyst turns ``busi_date`` filters
 into partition pruning and the others into pushed-down file filters.
@@ -12,13 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_table(spark: SparkSession, name_or_path: str, fmt: str | None = None) -> DataFrame:
-    """A catalog table by name, or a file dataset by path (``fmt`` = orc / parquet)."""
-    if fmt is None:
-        return spark.table(name_or_path)
-    return spark.read.format(fmt).load(name_or_path)
-
-
 def read_day(df: DataFrame, busi_date: str, **equals: str) -> DataFrame:
     """Partition-equality scan, optionally with more equality filters (e.g. trd_type)."""
     out = df.where(F.col("busi_date") == F.lit(busi_date))
@@ -27,11 +20,6 @@ def read_day(df: DataFrame, busi_date: str, **equals: str) -> DataFrame:
     return out
 
 
-def read_range(df: DataFrame, start: str, end: str) -> DataFrame:
-    """Partition-range scan ``start <= busi_date <= end`` (dates compare as yyyy-MM-dd text)."""
-    return df.where((F.col("busi_date") >= F.lit(start)) & (F.col("busi_date") <= F.lit(end)))
-
-
 def read_days(df: DataFrame, days: Iterable[str]) -> DataFrame:
     """Scan only the listed partitions (e.g. the two endpoints T2, T1)."""
     return df.where(F.col("busi_date").isin(list(days)))

@@ -10,7 +10,7 @@ from fixtures import calendar
 from ledgerfold.functions.calendar import shift_trading_day, trading_days
 from ledgerfold.schemas import STOCK_CASH_FLOW
 from ledgerfold.sinks.tables import (add_partition, conform, create_table, ddl, empty_like, replace_day,
-                                     write_partitioned)
+                                     replace_partitions, write_partitioned)
 from ledgerfold.session import ensure_checkpoint_dir
 
 
@@ -65,6 +65,39 @@ def test_catalog_table_ddl_partition_and_replace_day(spark):
         replace_day(row, "no_such_table_" + name, "2017-03-16")
 
 
+def _days_of(df):
+    return sorted((r.k, r.busi_date) for r in df.select("k", "busi_date").collect())
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+@pytest.mark.parametrize("fmt", ["parquet", "orc"])
+def test_replacing_a_day_keeps_the_others_in_any_session(spark, mode, fmt):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        name = "rd_" + uuid.uuid4().hex[:8]
+        df = spark.createDataFrame([("a", "d1"), ("b", "d2")], "k string, busi_date string")
+        create_table(spark, name, df.schema, fmt=fmt)
+        replace_partitions(df, name)
+        replace_day(spark.createDataFrame([("c", "d2")], "k string, busi_date string"), name, "d2")
+        assert _days_of(spark.table(name)) == [("a", "d1"), ("c", "d2")]
+        replace_day(empty_like(df), name, "d2")  # a run without rows empties its day
+        assert _days_of(spark.table(name)) == [("a", "d1")]
+        with pytest.raises(Exception, match="not to be replaced"):
+            replace_day(df, name, "d2")
+        assert _days_of(spark.table(name)) == [("a", "d1")]
+
+        path = _scratch(spark)
+        write_partitioned(df, path, replace="all", fmt=fmt)
+        write_partitioned(empty_like(df), path, fmt=fmt, days=["d2"])
+        assert _days_of(spark.read.format(fmt).load(path)) == [("a", "d1")]
+        write_partitioned(df.where("k = 'b'"), path, replace="all", fmt=fmt)
+        assert _days_of(spark.read.format(fmt).load(path)) == [("b", "d2")]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == mode
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
 def test_conform_and_empty_like(spark):
     df = spark.createDataFrame([(1, "x")], "trd_qty int, trade_id string")
     c = conform(df, STOCK_CASH_FLOW)

@@ -6,36 +6,77 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import calendar, events, holdings
-from ledgerfold.operators.lots import _new_lot, closed_lots, fifo_lots, fifo_matches, fold_day, open_lots, roll_lots
+from ledgerfold.operators.lots import UNIT, Lot, LotBook, closed_lots, fifo_lots, fifo_matches, open_lots, roll_lots
+
+
+def lot(open_date, qty, amt, value=0.0):
+    return Lot(open_date, qty * UNIT, amt, qty * UNIT, amt, 0.0, qty * UNIT, value)
 
 
 def test_hand_case_sell_across_lots_and_reconcile():
-    lots = [_new_lot("T0", 100.0, 1000.0, unclose_amt=1000.0), _new_lot("T1", 50.0, 600.0, unclose_amt=600.0)]
-    fold_day(lots, [(-120.0, -1800.0, 0)], "T2", 30.0, 450.0)
-    t0, t1 = lots
-    assert t0["close_amt"] == pytest.approx(1500.0) and t0["unclose_qty"] == 0
-    assert t0["close_amt"] - t0["trd_amt"] == pytest.approx(500.0)
-    assert t1["close_amt"] == pytest.approx(300.0) and t1["unclose_qty"] == 30
-    assert t1["unclose_amt"] == pytest.approx(450.0) and t1["weighted_term"] == pytest.approx(0.6)
-    assert t1["close_amt"] - t1["trd_amt"] == pytest.approx(-300.0)
+    t0, t1 = LotBook([lot("T0", 100, 1000.0, 1000.0), lot("T1", 50, 600.0, 600.0)]).day([(-120.0, -1800.0, 0)], "T2", 30.0, 450.0)
+    assert t0.proceeds == pytest.approx(1500.0) and t0.left == 0
+    assert t0.proceeds - t0.amt == pytest.approx(500.0)
+    assert t1.proceeds == pytest.approx(300.0) and t1.left == 30 * UNIT
+    assert t1.value == pytest.approx(450.0) and t1.term == pytest.approx(0.6)
+    assert t1.proceeds - t1.amt == pytest.approx(-300.0)
 
 
 def test_buys_same_day_join_one_lot_and_oversell_is_dropped():
-    lots = []
-    fold_day(lots, [(10.0, 100.0, 0), (5.0, 60.0, 0), (-20.0, -300.0, 0)], "D", 0.0, 0.0)
-    assert len(lots) == 1 and lots[0]["trd_qty"] == 15 and lots[0]["trd_amt"] == 160.0
+    lots = LotBook().day([(10.0, 100.0, 0), (5.0, 60.0, 0), (-20.0, -300.0, 0)], "D", 0.0, 0.0)
+    assert len(lots) == 1 and lots[0].size == 15 * UNIT and lots[0].amt == 160.0
     # the sell closes all 15 with 15/20 of its cash; the other 5 are ignored
-    assert lots[0]["unclose_qty"] == 0 and lots[0]["close_amt"] == pytest.approx(225.0)
+    assert lots[0].left == 0 and lots[0].proceeds == pytest.approx(225.0)
+
+
+def test_a_buy_after_a_same_day_sell_out_reopens_the_lot():
+    (x,) = LotBook().day([(10.0, 100.0, 0), (-10.0, -120.0, 0), (5.0, 60.0, 0)], "D", 5.0, 60.0)
+    assert (x.size, x.left, x.label) == (15 * UNIT, 5 * UNIT, 0)
 
 
 def test_amortise_pro_rata_and_surplus_holdings():
-    lots = [_new_lot("A", 30.0, 300.0, 300.0), _new_lot("B", 10.0, 100.0, 100.0)]
-    fold_day(lots, [(4.0, 40.0, 1)], "C", 50.0, 500.0)
-    assert lots[0]["trd_qty"] == pytest.approx(33.0) and lots[1]["trd_qty"] == pytest.approx(11.0)
-    assert lots[0]["trd_amt"] == pytest.approx(330.0)
+    lots = LotBook([lot("A", 30, 300.0, 300.0), lot("B", 10, 100.0, 100.0)]).day([(4.0, 40.0, 1)], "C", 50.0, 500.0)
+    assert [x.size for x in lots] == [33 * UNIT, 11 * UNIT, 6 * UNIT]
+    assert lots[0].amt == pytest.approx(330.0)
     # holdings 50 > 44 open: the surplus 6 becomes a new labelled lot opened today
-    assert len(lots) == 3 and lots[2]["open_date"] == "C" and lots[2]["exception_label"] == 1
-    assert lots[2]["unclose_qty"] == pytest.approx(6.0)
+    assert lots[2].open_date == "C" and lots[2].label == 1 and lots[2].left == 6 * UNIT
+
+
+def test_amortising_thirds_leaves_no_dust():
+    book = LotBook([lot("A", 1, 1.0), lot("B", 1, 1.0), lot("C", 1, 1.0)])
+    lots = book.day([(1.0, 1.0, 1)], "D", 4.0, 4.0)
+    assert len(lots) == 3 and sum(x.left for x in lots) == 4 * UNIT and not any(x.label for x in lots)
+
+
+def test_negative_holdings_and_negative_amortisation():
+    lots = LotBook([lot("A", 10, 100.0), lot("B", 5, 50.0)]).day([], "C", -3.0, -30.0)
+    assert [(x.left, x.label) for x in lots] == [(0, 1), (0, 1)]
+    lots = LotBook([lot("A", 10, 100.0), lot("B", 30, 300.0)]).day([(-36.0, -90.0, 1)], "C", 4.0, 4.0)
+    assert sum(x.left for x in lots) == 4 * UNIT and not any(x.label for x in lots) and all(x.left >= 0 for x in lots)
+
+
+def test_book_without_amortising_is_fifo_and_balances_with_holdings():
+    rng = random.Random(5)
+    for _ in range(200):
+        book, queue, open_at = LotBook(), [], {}
+        for day in range(rng.randint(1, 6)):
+            trades, held, sold = [], 0, {}
+            for _ in range(rng.randint(0, 6)):
+                q = rng.choice([1, -1]) * rng.randint(1, 9)
+                trades.append((float(q), float(10 * q), 0))
+                if q > 0:
+                    queue.append([str(day), q])
+                for _ in range(-q):
+                    if queue:
+                        queue[0][1] -= 1
+                        queue = queue[queue[0][1] == 0:]
+            held = sum(n for _, n in queue)
+            lots = book.day(trades, str(day), float(held), 7.0 * held)
+            want = {}
+            for d, n in queue:
+                want[d] = want.get(d, 0) + n * UNIT
+            assert {x.open_date: x.left for x in lots if x.left} == want
+            assert not any(x.label for x in lots) and sum(x.value for x in lots) == pytest.approx(7.0 * held)
 
 
 def test_roll_lots_open_and_closed_tables(spark):
