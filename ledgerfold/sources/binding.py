@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.keys import KEYS, LONG, SHORT
+from ledgerfold.sinks.tables import write_partitioned
+from ledgerfold.sources.tables import read_partitioned
 
 # Fixed values of the binding (chosen for the test data; see FIXTURES.md §2).
 N_TRADERS = 40          # trade_id = o_custkey % 40
@@ -170,6 +172,9 @@ _TABLES = ("cash_flow_detail", "trading_day", "stock_asset_holding", "stock_debt
            "stock_return_rate_range", "stock_generate_error")
 
 
+_BY_DAY = ("cash_flow_detail", "stock_asset_holding", "stock_debt_holding")
+
+
 class StoredTables:
     """The same tables, written once as parquet under the session's checkpoint directory and
     read back - the stand-in for the stored brokerage tables of a real deployment.  Reading
@@ -180,15 +185,21 @@ class StoredTables:
         self.root = root
         self.sf_dir = sf_dir
         for name in _TABLES:
-            setattr(self, name, spark.read.parquet(f"{root}/{name}"))
+            setattr(self, name, read_partitioned(spark, f"{root}/{name}") if name in _BY_DAY else spark.read.parquet(f"{root}/{name}"))
 
 
 def store(tables: BrokerageTables, root: str) -> StoredTables:
     """Write every bound table; each one is derived from the already-written ones (the
-    cached properties are replaced by the read-back DataFrames as we go)."""
+    cached properties are replaced by the read-back DataFrames as we go).  Tables that jobs
+    read by day are partitioned by it, so a day's job reads that day's files."""
     for name in ("cash_flow_detail", "trading_day", "_holdings") + _TABLES[2:]:
-        getattr(tables, name).write.mode("overwrite").parquet(f"{root}/{name}")
-        tables.__dict__[name] = tables.spark.read.parquet(f"{root}/{name}")
+        df, path = getattr(tables, name), f"{root}/{name}"
+        if name in _BY_DAY:
+            write_partitioned(df, path, replace="all")
+            tables.__dict__[name] = read_partitioned(tables.spark, path)
+        else:
+            df.write.mode("overwrite").parquet(path)
+            tables.__dict__[name] = tables.spark.read.parquet(path)
     return StoredTables(tables.spark, root, tables.sf_dir)
 
 

@@ -10,6 +10,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_day(df: DataFrame, busi_date: str, **equals: str) -> DataFrame:
@@ -26,12 +27,9 @@ def read_days(df: DataFrame, days: Iterable[str]) -> DataFrame:
 
 
 def read_partitioned(spark: SparkSession, path: str, schema=None, fmt: str = "parquet") -> DataFrame:
-    """Read a day-partitioned dataset; with ``schema`` the partition column keeps its declared
-    type (``busi_date`` stays a yyyy-MM-dd string instead of being inferred as a date)."""
-    r = spark.read.format(fmt)
-    if schema is not None:
-        r = r.schema(schema)
-    df = r.load(path)
-    if schema is None and dict(df.dtypes).get("busi_date") == "date":
-        df = df.withColumn("busi_date", F.date_format("busi_date", "yyyy-MM-dd"))
-    return df
+    """Read a day-partitioned dataset.  ``busi_date`` is declared as the yyyy-MM-dd string it is (Spark would
+    infer a date), so that day filters compare strings and prune partitions."""
+    if schema is None:
+        found = spark.read.format(fmt).load(path).schema
+        schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "busi_date" else f.dataType, f.nullable) for f in found.fields])
+    return spark.read.format(fmt).schema(schema).load(path)

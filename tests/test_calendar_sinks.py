@@ -123,8 +123,10 @@ def test_plans_stay_in_the_jvm_and_push_filters(spark, small):
         p = _plan(df)
         assert "Python" not in p and "ArrowEval" not in p and "MapInPandas" not in p
     one_day = merge_cash_flow(t.cash_flow_detail.where(F.col("busi_date") == first))
-    assert "PushedFilters: [IsNotNull(busi_date), EqualTo(busi_date," in one_day._jdf.queryExecution().executedPlan().toString() \
-        or "EqualTo(busi_date" in _plan(one_day)
+    # the stored events are partitioned by day: the filter selects a folder
+    assert "PartitionFilters: [isnotnull(busi_date#" in _plan(one_day) and f"= {first})]" in _plan(one_day)
+    pushed = merge_cash_flow(t.cash_flow_detail.where(F.col("trd_type") == "long_related"))
+    assert "EqualTo(trd_type,long_related)" in _plan(pushed)
 
 
 def test_every_table_ddl_creates(spark):
@@ -147,3 +149,27 @@ def test_calendar_broadcast_is_checked_and_falls_back(spark):
     a = sorted(map(tuple, day_shift(cal, -1, fits=True).collect()))
     b = sorted(map(tuple, day_shift(cal, -1, fits=False).collect()))
     assert a == b == [("2017-03-17", "2017-03-16"), ("2017-03-20", "2017-03-17")]
+
+
+def test_check_reads_each_input_once_and_a_day_prunes(spark, small):
+    from ledgerfold.operators.account import account_check
+    from ledgerfold.operators.cashflow import merge_cash_flow
+    from ledgerfold.operators.exceptions import exception_stat
+    from ledgerfold.plans.backfill import backfill
+    t = small
+    chk = account_check(merge_cash_flow(t.cash_flow_detail, with_names=False), t.stock_asset_holding, t.stock_debt_holding, t.stock_return_rate_range, t.trading_day)
+    for df in (chk, exception_stat(chk)):
+        scans = [x for x in _plan(df).split("\n") if "FileScan" in x]
+        assert [sum(c in x for x in scans) for c in ("trd_cash_flow", "liab_qty", "[trade_id#")] == [1, 1, 3]
+    days = [r.busi_date for r in t.trading_day.orderBy("rlt_rank").collect()]
+    scans = [x for x in _plan(backfill("check", t, days[-1], days[-1])).split("\n") if "FileScan" in x and "[trade_id#" in x]
+    assert len(scans) == 3 and all("PartitionFilters: [" in x and days[-2] in x for x in scans)
+    assert sum(days[-3] in x for x in scans) == 2 and not any(days[-4] in x for x in scans)
+
+
+def test_no_checkpoint_folder_on_a_cluster_is_an_error():
+    from types import SimpleNamespace
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(session)

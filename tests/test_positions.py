@@ -99,3 +99,45 @@ def test_detail_maps_at_the_table_boundary(spark):
     out = detail_maps(event_records(ev, "long_related")).collect()[0].trd_detail
     assert [m["timestamp"] for m in out] == ["3", "5"]
     assert out[1] == {"trd_qty": "10", "trd_amt": "100.5", "trd_date": D, "timestamp": "5"}
+
+
+def test_fold_equals_the_recurrence_event_by_event(spark, small):
+    """Every position-day of the smallest data against one pass over its events, in plain Python."""
+    import math
+
+    t = small
+    days = [r.busi_date for r in t.trading_day.orderBy("rlt_rank").collect()]
+    items = {}
+    key = lambda r: (r.trade_id, r.secu_acc_id, r.prd_no)
+    for r in t.stock_asset_holding.where(F.col("busi_date") == days[0]).collect():
+        items.setdefault(key(r), []).append((days[0], -1, (0,), r.qty, r.mkt_val, True))
+    for r in t.cash_flow_detail.where("trd_type = 'long_related'").collect():
+        if r.busi_date > days[0]:
+            items.setdefault(key(r), []).append((r.busi_date, r.timestamp, (r.src_orderkey, r.src_linenumber, r.src_partkey, r.src_suppkey), r.trd_qty, r.trd_amt, False))
+    want = {}
+    for k, events_ in items.items():
+        x, y, paid, got, tags, n, at = 0, 0.0, 0.0, 0.0, 0.0, 0, 0
+        events_.sort()
+        started = False
+        for day in days:
+            while at < len(events_) and events_[at][0] == day:
+                _, _, _, q, a, seed = events_[at]
+                at, n, started = at + 1, n + 1, True
+                if q >= 0:
+                    x, y, paid = x + q, y + a, paid + a
+                else:
+                    if x and not seed:
+                        tags += y / x * q
+                    x += q
+                    y += math.floor((x + q) / x) * y if x else a
+                    got += a
+            if started and day > days[0]:
+                want[(*k, day)] = (x, y - paid + got, paid, abs(got), tags, n)
+                if x == 0:
+                    y, paid, got, tags, n, started = 0.0, 0.0, 0.0, 0.0, 0, False
+    rolled = roll_positions(t.cash_flow_detail, t.stock_asset_holding, t.trading_day, days[0]).collect()
+    assert {(*key(r), r.busi_date) for r in rolled} == set(want)
+    for r in rolled:
+        x, gain, paid, got, tags, n = want[(*key(r), r.busi_date)]
+        assert (r.remain_qty or 0) == x and r.n_detail == n and r.closed == (x == 0)
+        assert [r["return"], r.total_in, r.total_out, r.detail_return] == pytest.approx([gain, paid, got, tags], rel=1e-6, abs=1e-4)
