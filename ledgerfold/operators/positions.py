@@ -80,8 +80,14 @@ _SCAN_OUT = T.StructType([
 ])
 
 
-def _event_step(acc: Column, e: Column) -> Column:
-    """One event of the fold, as an update of the day's affine map."""
+COST_RULES = ("as_written", "average_cost")
+
+
+def _event_step(acc: Column, e: Column, cost_rule: str = "as_written") -> Column:
+    """One event of the fold, as an update of the day's affine map.
+
+    A sell multiplies the cost by 1 + floor((x1 + q) / x1) as written (D1), or takes the sold
+    share of it away with ``average_cost`` (nothing from a flat position)."""
     q, a = e["q"], e["a"]
     x1 = acc["x"] + q
     buy = q >= 0
@@ -89,10 +95,15 @@ def _event_step(acc: Column, e: Column) -> Column:
     m = acc["M"]
     c = acc["C"]
     tagged = (~buy) & (~e["seed"]) & (acc["x"] != 0)
+    if cost_rule == "average_cost":
+        left = F.coalesce(F.try_divide(x1.cast("double"), acc["x"].cast("double")), F.lit(1.0))
+        sold_m, sold_c = m * left, c * left
+    else:
+        sold_m, sold_c = F.when(x1 != 0, m + k * m).otherwise(m), F.when(x1 != 0, c + k * c).otherwise(c + a)
     return F.struct(
         x1.alias("x"),
-        F.when(buy, m).when(x1 != 0, m + k * m).otherwise(m).alias("M"),
-        F.when(buy, c + a).when(x1 != 0, c + k * c).otherwise(c + a).alias("C"),
+        F.when(buy, m).otherwise(sold_m).alias("M"),
+        F.when(buy, c + a).otherwise(sold_c).alias("C"),
         F.when(tagged, acc["A"] + m / acc["x"] * q).otherwise(acc["A"]).alias("A"),
         F.when(tagged, acc["B"] + c / acc["x"] * q).otherwise(acc["B"]).alias("B"),
         F.when(buy, acc["ins"] + a).otherwise(acc["ins"]).alias("ins"),
@@ -171,7 +182,8 @@ def position_state(rolled: DataFrame, busi_date: str) -> DataFrame:
 
 def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_date: str,
                    book: str = LONG, qty_col: str = "qty", order_cols: Sequence[str] = EVENT_ORDER,
-                   state: DataFrame | None = None, until: str | None = None) -> DataFrame:
+                   state: DataFrame | None = None, until: str | None = None, cost_rule: str = "as_written",
+                   match_new: bool = False) -> DataFrame:
     """Daily position rows for every trading day after ``seed_date``; ``closed`` tells the table.
 
     Without ``state`` the positions start from the holdings of ``seed_date`` (one seed
@@ -179,9 +191,14 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
     carried state, so a daily run only reads the new day's events: resuming gives exactly
     the rows of one run over the whole range.
 
+    ``cost_rule='average_cost'`` replaces the floor-division rule (D1); its return is
+    abs(out) + cost - in.  ``match_new`` lets a position see holdings on its first day too (D4).
+
     Returns one row per (position, day) with both open and closed columns, the carried
     ``cost_amt`` / ``out_amt`` and ``closed``.
     """
+    if cost_rule not in COST_RULES:
+        raise ValueError(f"cost_rule is one of {', '.join(COST_RULES)}")
     cal = day_side(calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank")), calendar_fits(calendar))
     s, max_rank = roll_bounds(calendar, seed_date, until)  # seed rank, last rank produced
     pos = KEYS
@@ -250,7 +267,7 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
     init = F.struct(x0.alias("x"), F.lit(1.0).alias("M"), F.lit(0.0).alias("C"),
                     F.lit(0.0).alias("A"), F.lit(0.0).alias("B"), F.lit(0.0).alias("ins"),
                     F.lit(0.0).alias("outs")).cast(_ACC)
-    chunks = chunks.withColumn("m", F.coalesce(F.col("given"), F.aggregate("evs", init, _event_step)))
+    chunks = chunks.withColumn("m", F.coalesce(F.col("given"), F.aggregate("evs", init, lambda acc, e: _event_step(acc, e, cost_rule))))
 
     # 3b. compose the chunk maps of each day in time order (at most one per second of the day).
     chunk_item = F.struct(F.col("cts"), F.col("m.M").alias("M"), F.col("m.C").alias("C"), F.col("m.A").alias("A"),
@@ -292,13 +309,13 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
         opened = st.select(*pos, F.col("open_date").alias("open0"), F.lit(s).alias("start_rank"))
         out = out.join(opened, pos + ["start_rank"], "left") \
             .withColumn("open_date", open_date_or(F.col("open0"), F.col("open_date"))).drop("open0")
-    has_state = F.col("day_rank") > F.col("start_rank")
+    has_state = F.lit(True) if match_new else F.col("day_rank") > F.col("start_rank")
     h = holding.select(*pos, "busi_date", F.col(qty_col).cast("long").alias("h_qty"),
                        F.col("mkt_val").cast("double").alias("h_val"))
     out = out.join(h, pos + ["busi_date"], "left")
     h_qty = F.when(has_state, F.col("h_qty"))
     h_val = F.when(has_state, F.col("h_val"))
-    ret = F.col("outc") + F.col("y") - F.col("inc")
+    ret = (F.abs("outc") if cost_rule == "average_cost" else F.col("outc")) + F.col("y") - F.col("inc")
     closed = F.col("x_end") == 0
     return out.select(
         *pos,
@@ -329,6 +346,48 @@ def closed_positions(rolled: DataFrame) -> DataFrame:
     return rolled.where(F.col("closed")).select(*CLOSED_COLUMNS)
 
 
+_DETAIL = "array<struct<trd_qty:bigint,trd_amt:double,trd_date:string,timestamp:bigint,return:double>>"
+
+
+def closed_position_details(closed: DataFrame, detail: DataFrame, holding: DataFrame, seed_date: str, book: str = LONG,
+                            qty_col: str = "qty", order_cols: Sequence[str] = EVENT_ORDER) -> DataFrame:
+    """Closed positions with ``trd_detail``: their events in order, each sell tagged with its
+    return (cost / quantity before it, times its quantity; NULL on other events), the seed first.
+
+    Built for closing rows only: the daily state stays free of the array, which holds
+    a position's whole cycle because that is the table's column.
+    """
+    span = closed.select(*KEYS, F.col("open_date").alias("_from"), F.col("close_date").alias("_to"))
+    ok = F.col("trd_qty").isNotNull() & F.col("trd_amt").isNotNull() & F.col("timestamp").isNotNull()
+    item = lambda seed, ts, order, q, a, day: F.struct(
+        day.alias("trd_date"), (~seed).alias("later"), *[c.cast("long").alias(f"o{i}") for i, c in enumerate(order)],
+        q.cast("long").alias("q"), a.cast("double").alias("a"), ts.cast("long").alias("timestamp"))
+    ev = detail.where((F.col("trd_type") == book) & ok).select(*KEYS, item(
+        F.lit(False), F.col("timestamp"), [F.col(c) for c in order_cols], F.col("trd_qty"), F.col("trd_amt"), F.col("busi_date")).alias("e"))
+    seeds = holding.where(F.col("busi_date") == seed_date).select(*KEYS, item(
+        F.lit(True), F.lit(None), [F.lit(None)] * len(order_cols), F.col(qty_col), F.col("mkt_val"), F.col("busi_date")).alias("e"))
+    mine = span.join(ev.where(F.col("e.trd_date") > seed_date).unionByName(seeds), KEYS).where((F.col("e.trd_date") >= F.col("_from")) & (F.col("e.trd_date") <= F.col("_to")))
+    ordered = mine.groupBy(*KEYS, "_from", "_to").agg(F.sort_array(F.collect_list("e")).alias("evs"))
+
+    def step(acc: Column, e: Column) -> Column:
+        x, y, q, a = acc["x"], acc["y"], e["q"], e["a"]
+        x1 = x + q
+        cost = F.when(q >= 0, y + a).when(x1 != 0, y + F.floor(F.try_divide(x1 + q, x1)) * y).otherwise(y + a)
+        tag = F.when((q < 0) & e["later"] & (x != 0), F.try_divide(y, x.cast("double")) * q)
+        row = F.struct(q.alias("trd_qty"), a.alias("trd_amt"), e["trd_date"].alias("trd_date"), e["timestamp"].alias("timestamp"), tag.alias("return"))
+        return F.struct(x1.alias("x"), cost.alias("y"), F.concat(acc["rows"], F.array(row)).cast(_DETAIL).alias("rows"))
+
+    zero = F.struct(F.lit(0).cast("long").alias("x"), F.lit(0.0).alias("y"), F.array().cast(_DETAIL).alias("rows"))
+    tagged = ordered.select(*KEYS, F.col("_from").alias("open_date"), F.col("_to").alias("close_date"), F.aggregate("evs", zero, step, lambda acc: acc["rows"]).alias("trd_detail"))
+    return closed.join(tagged, KEYS + ["open_date", "close_date"], "left")
+
+
+def detail_array_return(details: DataFrame) -> DataFrame:
+    """Closed positions with label 0 next to the sum of the returns in their ``trd_detail``."""
+    total = F.aggregate("trd_detail", F.lit(0.0), lambda t, e: t + F.coalesce(e["return"], F.lit(0.0)))
+    return details.where(F.col("exception_label") == 0).select(*KEYS, "busi_date", "return", total.alias("detail_return_sum"))
+
+
 def detail_return_check(closed: DataFrame) -> DataFrame:
     """Closed positions with label 0 next to the sum of their detail returns."""
     return closed.where(F.col("exception_label") == 0).select(

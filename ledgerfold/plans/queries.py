@@ -19,7 +19,7 @@ from ledgerfold.operators.cashflow import merge_cash_flow
 from ledgerfold.operators.exceptions import exception_detail, exception_stat
 from ledgerfold.operators.lots import (closed_lots, fifo_lots, fifo_matches, lot_event_records, open_lots, roll_lots,
                                        seed_lots)
-from ledgerfold.operators.positions import (closed_positions, detail_return_check, event_records, open_positions,
+from ledgerfold.operators.positions import (closed_position_details, closed_positions, detail_array_return, detail_return_check, event_records, open_positions,
                                             position_state, roll_positions, seed_open_positions)
 from ledgerfold.operators.quality import error_count_diff, error_counts, qty_identity
 from ledgerfold.plans.backfill import backfill
@@ -176,6 +176,22 @@ def q_dq_detail_return(spark, sf_dir):
     return detail_return_check(closed_positions(_rolled(spark, sf_dir)))
 
 
+def q_positions_closed_detail(spark, sf_dir):
+    """Closed positions with their events and return tags as text, in whole cents."""
+    t = tables(spark, sf_dir)
+    first = _first_day(t)
+    details = closed_position_details(closed_positions(_rolled(spark, sf_dir)), t.cash_flow_detail, t.stock_asset_holding, first)
+    part = lambda e: F.concat_ws("@", e["trd_date"], e["trd_qty"].cast("string"), F.round(e["trd_amt"] * 100).cast("long").cast("string"))
+    return details.select(*KEYS, "open_date", "close_date", F.size("trd_detail").cast("long").alias("n_items"),
+                          F.concat_ws(",", F.transform("trd_detail", part)).alias("detail"))
+
+
+def q_dq_detail_array(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    details = closed_position_details(closed_positions(_rolled(spark, sf_dir)), t.cash_flow_detail, t.stock_asset_holding, _first_day(t))
+    return rounded(detail_array_return(details), money=("return", "detail_return_sum"))
+
+
 def q_event_records(spark, sf_dir):
     """Ordered events per (position, day) of the long book, as a canonical 'qty@timestamp' list."""
     t = tables(spark, sf_dir)
@@ -373,6 +389,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "positions_closed": q_positions_closed,
     "positions_resume": q_positions_resume,
     "dq_detail_return": q_dq_detail_return,
+    "positions_closed_detail": q_positions_closed_detail,
+    "dq_detail_array": q_dq_detail_array,
     "seed_lots": q_seed_lots,
     "lot_event_records": q_lot_event_records,
     "fifo_matches": q_fifo_matches,

@@ -141,3 +141,29 @@ def test_fold_equals_the_recurrence_event_by_event(spark, small):
         x, gain, paid, got, tags, n = want[(*key(r), r.busi_date)]
         assert (r.remain_qty or 0) == x and r.n_detail == n and r.closed == (x == 0)
         assert [r["return"], r.total_in, r.total_out, r.detail_return] == pytest.approx([gain, paid, got, tags], rel=1e-6, abs=1e-4)
+
+
+def test_options_of_cost_and_new_positions(spark):
+    days = (S, D, "2017-03-17")
+    evs = [("1", "1.1", D, 1, 100, 0.0, 1000.0), ("1", "1.1", "2017-03-17", 2, -40, 0.0, -500.0)]
+    hold = [("1", "1.1", D, 100, 1000.0), ("1", "1.1", "2017-03-17", 60, 700.0)]
+    args = events(spark, evs), holdings(spark, hold), calendar(spark, list(days)), S
+    rows = {r.busi_date: r for r in roll_positions(*args, cost_rule="average_cost", match_new=True).collect()}
+    assert rows[D].exception_label == 0 and rows[D].remain_val == 1000.0   # D4: holdings seen on the first day
+    # D1: 40 of 100 sold takes 400 of the cost; return = 500 + 600 - 1000
+    assert rows["2017-03-17"].cost_amt == pytest.approx(600.0) and rows["2017-03-17"]["return"] == pytest.approx(100.0)
+    assert {r.busi_date: r.exception_label for r in roll_positions(*args).collect()}[D] == 1
+    with pytest.raises(ValueError):
+        roll_positions(*args, cost_rule="other")
+
+
+def test_detail_array_of_a_closed_position(spark):
+    from ledgerfold.operators.positions import closed_position_details, detail_array_return
+    days = (S, D, "2017-03-17")
+    evs = [("1", "1.1", D, 1, 100, 0.0, 1000.0), ("1", "1.1", "2017-03-17", 2, -100, 0.0, -1200.0)]
+    hold = holdings(spark, [("1", "1.1", "2017-03-17", 0, 0.0)])
+    closed = closed_positions(roll_positions(events(spark, evs), hold, calendar(spark, list(days)), S))
+    details = closed_position_details(closed, events(spark, evs), hold, S)
+    (r,) = details.collect()
+    assert [(e["trd_qty"], e["trd_amt"], e["return"]) for e in r.trd_detail] == [(100, 1000.0, None), (-100, -1200.0, pytest.approx(-1000.0))]
+    assert detail_array_return(details).collect()[0].detail_return_sum == pytest.approx(r.detail_return)
