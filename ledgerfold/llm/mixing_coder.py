@@ -6,14 +6,15 @@ an order-0 literal share one interval: the weights of the two predictions are ad
 both confidences.  A literal is a logarithmic bucket of the id, under the block's
 adaptive bucket counts, and the place inside the bucket.
 
-Coder: 48-bit interval, 16-bit digits; a carry is kept in its digit and passed on when the block ends.
+Coder: 60-bit interval, 20-bit digits; a carry is kept in its digit and passed on when the block ends.
+One narrowing codes the choice of order and a literal's bucket, a second the place inside the bucket.
 
 All blocks of a frame advance together, one id a step, as numpy vectors; each block has its
 own state, so any one can be decoded alone.  A frame is::
 
     magic "CMR1", u32 block length, u32 blocks, u64 ids
-    blocks x (u32 digits, u32 crc32 of the digits' bytes, u32 crc32 of the ids as little-endian u32)
-    digits, u16 little-endian, block after block
+    blocks x (u32 bytes, u32 crc32 of the bytes, u32 crc32 of the ids as little-endian u32)
+    digits in pairs, 5 bytes big-endian each, block after block
 
 The last block is filled up with id 0; ``ids`` says where the frame ends.
 """
@@ -28,7 +29,7 @@ import numpy as np
 BLOCK, MAGIC = 1024, b"CMR1"
 #: Bits of a table's index; buckets; the largest id allowed; a literal's total.
 TABLE, BUCKETS, MOST, LITERAL = 10, 144, (1 << 19) - 9, 15
-FULL, HALF, LOW32 = 1 << 48, 1 << 32, (1 << 32) - 1
+FULL, LEAST, DIGIT = 1 << 60, 1 << 40, 20
 #: Steps before which the bucket totals are made anew.
 RENEW = frozenset([2, 4, 8, 16, 32, 64, 128, 192, 256, 384, 512, 640, 768, 896])
 
@@ -43,7 +44,7 @@ class _Model:
         self.t1, self.t2 = np.zeros(n << TABLE, np.int32), np.zeros(n << TABLE, np.int32)
         self.a1, self.a2 = np.full(n << 4, 8000, np.int32), np.full(n << 4, 8000, np.int32)
         self.counts = np.ones(n * BUCKETS, np.int32)
-        self.x1, self.x2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.x1, self.x2 = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
         self.cum = np.full((n, 257), 1 << LITERAL, np.int32)
         self.renew()
 
@@ -59,8 +60,8 @@ class _Model:
 
     def predict(self) -> tuple[np.ndarray, ...]:
         """Predicted ids of order 2 and 1 and the ends of their shares of 2^16."""
-        self.i1 = self.at + ((self.x1 * 0x9E3779B1 & LOW32) >> (32 - TABLE))
-        self.i2 = self.at + (((self.x1 * 0x85EBCA6B + self.x2 * 0x9E3779B1) & LOW32) >> (32 - TABLE))
+        self.i1 = self.at + (self.x1 * np.uint32(0x9E3779B1) >> np.uint32(32 - TABLE))
+        self.i2 = self.at + (self.x1 * np.uint32(0x85EBCA6B) + self.x2 * np.uint32(0x9E3779B1) >> np.uint32(32 - TABLE))
         self.e1, self.e2 = self.t1.take(self.i1), self.t2.take(self.i2)
         self.mix = self.at_mix + ((self.e2 & 3) << 2) + (self.e1 & 3)
         self.m1, self.m2 = self.a1.take(self.mix), self.a2.take(self.mix)
@@ -70,7 +71,8 @@ class _Model:
 
     def learn(self, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         """hit1: the order-1 id was right, whether or not it was needed."""
-        new = (x << 2).astype(np.int32)
+        x = x.astype(np.uint32)
+        new = (x << np.uint32(2)).view(np.int32)
         for table, at, e, hit in ((self.t2, self.i2, self.e2, hit2), (self.t1, self.i1, self.e1, hit1)):
             sure = e & 3
             table[at] = np.where(hit, e + (sure < 3), np.where(sure > 0, e - 1, new))
@@ -79,108 +81,137 @@ class _Model:
         self.x2, self.x1 = self.x1, x
 
 
-def _bucket(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bucket, bits of the place inside it, and the place."""
-    v = x + 8
-    e = np.frexp(v.astype(np.float64))[1].astype(np.int64) - 4
-    return (e << 3) + ((v >> e) & 7), e, v & ((1 << e) - 1)
+def _bucket(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and place inside it of each id; bucket >> 3 is the place's number of bits."""
+    v = x.astype(np.int32) + 8
+    e = (np.frexp(v.astype(np.float32))[1] - 4).astype(np.int32)
+    return (e << 3) + ((v >> e) & 7), v & ((1 << e) - 1)
+
+
+def _shares(hit2, hit1, end2, end1, start, size) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size, of 2^31, of the order-2 id, the order-1 id or a literal with the bucket's share of 2^15."""
+    rest = 65536 - end1
+    return (np.where(hit2, 0, np.where(hit1, end2 << LITERAL, (end1 << LITERAL) + rest * start)),
+            np.where(hit2, end2 << LITERAL, np.where(hit1, (end1 - end2) << LITERAL, rest * size)))
 
 
 class _Writer:
+    """Digits are kept as rows [place, block]."""
+
     def __init__(self, n: int):
-        self.low, self.range = np.zeros(n, np.int64), np.full(n, FULL, np.int64)
-        self.out, self.pos = np.zeros((n, 4096), np.int32), np.zeros(n, np.int64)
+        self.n, self.low, self.range = n, np.zeros(n, np.int64), np.full(n, FULL, np.int64)
+        self.out, self.pos = np.zeros((1024, n), np.int32), np.zeros(n, np.int64)
+        self.row = np.arange(n, dtype=np.int64)
 
     def _shift(self, at: np.ndarray) -> None:
-        if int(self.pos.max(initial=0)) + 2 > self.out.shape[1]:
-            self.out = np.concatenate([self.out, np.zeros_like(self.out)], axis=1)
         low, pos = self.low[at], self.pos[at]
-        self.out[at, pos] = low >> 32
+        if int(pos.max()) + 8 > len(self.out):
+            self.out = np.concatenate([self.out, np.zeros_like(self.out)])
+        self.out.reshape(-1)[pos * self.n + at] = low >> 40
         self.pos[at] = pos + 1
-        self.low[at] = (low & LOW32) << 16
-        self.range[at] <<= 16
-
-    def put(self, at, start: np.ndarray, size: np.ndarray, bits) -> None:
-        """Narrow the intervals of blocks ``at`` (None: all) to [start, start + size) of 2^bits."""
-        if at is None:
-            r = self.range >> bits
-            self.low += r * start
-            self.range = r * size
-            small = np.nonzero(self.range < HALF)[0]
-        else:
-            r = self.range[at] >> bits
-            self.low[at] += r * start
-            r = r * size
-            self.range[at] = r
-            small = at[r < HALF]
-        if len(small):
+        self.low[at] = (low & (LEAST - 1)) << DIGIT
+        self.range[at] <<= DIGIT
+
+    def put(self, start: np.ndarray, size: np.ndarray, place: np.ndarray, bits: np.ndarray) -> None:
+        r = self.range >> 31
+        self.low += r * start
+        r = r * size >> bits
+        self.low += r * place
+        self.range = r
+        while len(small := np.nonzero(self.range < LEAST)[0]):
             self._shift(small)
 
     def digits(self) -> list[bytes]:
-        every = np.arange(len(self.low))
         for _ in range(3):
-            self._shift(every)
-        d = self.out[:, :int(self.pos.max())]
-        for k in range(d.shape[1] - 1, 0, -1):  # carries, last digit first
-            d[:, k - 1] += d[:, k] >> 16
-        d = (d & 0xFFFF).astype("<u2")
-        return [d[b, :n].tobytes() for b, n in enumerate(self.pos.tolist())]
+            self._shift(self.row)
+        d = self.out[:int(self.pos.max()) + 1]
+        for k in range(len(d) - 1, 0, -1):  # carries, last digit first
+            d[k - 1] += d[k] >> DIGIT
+        d &= (1 << DIGIT) - 1
+        pairs = np.ascontiguousarray(((d[:-1:2].astype(np.int64) << DIGIT) | d[1::2]).T).astype(">i8")
+        raw = pairs.view(np.uint8).reshape(self.n, -1, 8)[:, :, 3:]
+        return [raw[b, :(n + 1) // 2].tobytes() for b, n in enumerate(self.pos.tolist())]
 
 
 class _Reader:
     def __init__(self, digits: list[bytes]):
-        n, most = len(digits), max(map(len, digits)) // 2 + 8
-        self.words = np.zeros((n, most), "<u2")
+        n, most = len(digits), max(map(len, digits)) // 5
+        raw = np.zeros((n, most, 8), np.uint8)
         for b, d in enumerate(digits):
-            self.words[b, :len(d) // 2] = np.frombuffer(d, "<u2")
-        w = self.words[:, :3].astype(np.int64)
-        self.code, self.range = w[:, 0] << 32 | w[:, 1] << 16 | w[:, 2], np.full(n, FULL, np.int64)
-        self.at = np.arange(n, dtype=np.int64) * most + 3
-        self.flat = self.words.reshape(-1)
-
-    def where(self, at, bits) -> np.ndarray:
-        """The place in 2^bits that the code points to. Doubles hold these quotients exactly enough."""
-        code, self.r = (self.code, self.range >> bits) if at is None else (self.code[at], self.range[at] >> bits)
-        return np.minimum((code / self.r).astype(np.int64), (1 << bits) - 1)
-
-    def take(self, at, start: np.ndarray, size: np.ndarray) -> None:
-        if at is None:
-            self.code -= self.r * start
-            self.range = self.r * size
-            small = np.nonzero(self.range < HALF)[0]
-        else:
-            self.code[at] -= self.r * start
-            r = self.r * size
-            self.range[at] = r
-            small = at[r < HALF]
-        if len(small):
+            raw[b, :len(d) // 5, 3:] = np.frombuffer(d, np.uint8).reshape(-1, 5)
+        pairs = raw.reshape(n, -1).view(">i8").astype(np.int64)
+        words = np.zeros((n, 2 * most + 8), np.int32)  # a block may be read a few digits beyond its end
+        words[:, 0:2 * most:2], words[:, 1:2 * most:2] = pairs >> DIGIT, pairs & ((1 << DIGIT) - 1)
+        w = words[:, :3].astype(np.int64)
+        self.code, self.range = w[:, 0] << 40 | w[:, 1] << 20 | w[:, 2], np.full(n, FULL, np.int64)
+        self.at = np.arange(n, dtype=np.int64) * words.shape[1] + 3
+        self.flat = words.reshape(-1)
+
+    def _quotient(self, r: np.ndarray) -> np.ndarray:
+        return (self.code.view(np.uint64) // r.view(np.uint64)).view(np.int64)
+
+    def share(self) -> np.ndarray:
+        """The place of 2^31 that the code points to."""
+        self.r = self.range >> 31
+        return np.minimum(self._quotient(self.r), (1 << 31) - 1)
+
+    def take(self, start: np.ndarray, size: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        """Narrow to the share, then read the place of ``bits`` bits inside it."""
+        self.code -= self.r * start
+        r = self.r * size >> bits
+        place = np.minimum(self._quotient(r), (1 << bits) - 1)
+        self.code -= r * place
+        self.range = r
+        while len(small := np.nonzero(self.range < LEAST)[0]):
             p = self.at[small]
-            self.code[small] = self.code[small] << 16 | self.flat[p]
+            self.code[small] = self.code[small] << DIGIT | self.flat.take(p, mode="clip")
             self.at[small] = p + 1
-            self.range[small] <<= 16
+            self.range[small] <<= DIGIT
+        return place
+
+
+class _Search:
+    """Bucket of a place among a block's cumulated counts, by halving between the bounds of its cell."""
+
+    CELL = 8
+
+    def __init__(self, m: _Model):
+        self.m, cells = m, 1 << (LITERAL - self.CELL)
+        self.width = cells + 2
+        at = (m.cum[:, 1:BUCKETS + 1] + ((1 << self.CELL) - 1)) >> self.CELL
+        flat = np.bincount((np.arange(m.n)[:, None] * self.width + at).reshape(-1), minlength=m.n * self.width)
+        # buckets that end at or before the cell's first place
+        self.below = np.minimum(np.cumsum(flat.reshape(m.n, self.width), axis=1), BUCKETS - 1).astype(np.int32).reshape(-1)
+
+    def find(self, rows: np.ndarray, place: np.ndarray) -> np.ndarray:
+        cell = rows * self.width + (place >> self.CELL)
+        low, high = self.below.take(cell), self.below.take(cell + 1)
+        base, flat = self.m.at_cum[rows], self.m.flat
+        for _ in range(int((high - low).max()).bit_length()):
+            middle = (low + high + 1) >> 1
+            inside = flat.take(base + middle) <= place
+            low, high = np.where(inside, middle, low), np.where(inside, high, middle - 1)
+        return low
 
 
 def _encode(x: np.ndarray) -> list[bytes]:
     """Digits of each row of ``x``."""
     n, steps = x.shape
     m, w = _Model(n), _Writer(n)
-    columns = np.ascontiguousarray(x.T).astype(np.int64)
+    columns = np.ascontiguousarray(x.T)
     for t in range(steps):
         if t in RENEW:
             m.renew()
-        now = columns[t]
+        now = columns[t].astype(np.int64)
+        bucket, place = _bucket(now)
         p2, p1, end2, end1 = m.predict()
         hit2, hit1 = now == p2, now == p1
-        start = np.where(hit2, 0, np.where(hit1, end2, end1))
-        w.put(None, start, np.where(hit2, end2, np.where(hit1, end1, 65536)) - start, 16)
-        lit = np.nonzero(~(hit2 | hit1))[0]
-        if len(lit):
-            bucket, bits, rest = _bucket(now[lit])
-            c = m.at_cum[lit] + bucket
-            start = m.flat.take(c)
-            w.put(lit, start, m.flat.take(c + 1) - start, LITERAL)
-            w.put(lit, rest, 1, bits)
-            m.counts[lit * BUCKETS + bucket] += 24
+        c = m.at_cum + bucket
+        from_ = m.flat.take(c)
+        start, size = _shares(hit2, hit1, end2, end1, from_, m.flat.take(c + 1) - from_)
+        literal = ~(hit2 | hit1)
+        w.put(start, size, place * literal, (bucket >> 3) * literal)
+        m.counts[w.row * BUCKETS + bucket] += 24 * literal
         m.learn(now, hit2, hit1)
     return w.digits()
 
@@ -188,31 +219,34 @@ def _encode(x: np.ndarray) -> list[bytes]:
 def _decode(digits: list[bytes], steps: int) -> np.ndarray:
     n = len(digits)
     m, r = _Model(n), _Reader(digits)
+    search = _Search(m)
     out = np.zeros((steps, n), np.uint32)
+    bucket, from_, size = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
     for t in range(steps):
         if t in RENEW:
             m.renew()
+            search = _Search(m)
         p2, p1, end2, end1 = m.predict()
-        v = r.where(None, 16)
-        hit2 = v < end2
-        need1 = v < end1
-        start = np.where(hit2, 0, np.where(need1, end2, end1))
-        r.take(None, start, np.where(hit2, end2, np.where(need1, end1, 65536)) - start)
+        v = r.share()
+        hit2 = v < end2 << LITERAL
+        hit = v < end1 << LITERAL
         now = np.where(hit2, p2, p1).astype(np.int64)
-        lit = np.nonzero(~need1)[0]
+        lit = np.nonzero(~hit)[0]
+        bucket[:] = 0
+        if len(lit):
+            e = end1[lit]
+            place = ((v[lit] - (e << LITERAL)) / (65536 - e)).astype(np.int64)  # exact: both are below 2^31
+            b = search.find(lit, place)
+            c = m.at_cum[lit] + b
+            bucket[lit], from_[lit] = b, m.flat.take(c)
+            size[lit] = m.flat.take(c + 1) - from_[lit]
+            m.counts[lit * BUCKETS + b] += 24
+        start, share = _shares(hit2, hit, end2, end1, from_, size)
+        bits = bucket >> 3
+        place = r.take(start, share, bits)
         if len(lit):
-            v = r.where(lit, LITERAL)
-            base = m.at_cum[lit]
-            bucket = np.zeros(len(lit), np.int64)
-            for step in (128, 64, 32, 16, 8, 4, 2, 1):
-                bucket += np.where(m.flat.take(base + bucket + step) <= v, step, 0)
-            start = m.flat.take(base + bucket)
-            r.take(lit, start, m.flat.take(base + bucket + 1) - start)
-            bits = bucket >> 3
-            rest = r.where(lit, bits)
-            r.take(lit, rest, 1)
-            now[lit] = ((8 + (bucket & 7)) << bits) + rest - 8
-            m.counts[lit * BUCKETS + bucket] += 24
+            b = bits[lit]
+            now[lit] = ((8 + (bucket[lit] & 7)) << b) + place[lit] - 8
         m.learn(now, hit2, now == p1)
         out[t] = now
     return np.ascontiguousarray(out.T)
@@ -229,7 +263,7 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
     x = x.reshape(n, block)
     digits = _encode(x) if n else []
     head = struct.pack("<4sIIQ", MAGIC, block, n, len(ids))
-    index = b"".join(struct.pack("<III", len(d) // 2, zlib.crc32(d), zlib.crc32(row)) for d, row in zip(digits, x))
+    index = b"".join(struct.pack("<III", len(d), zlib.crc32(d), zlib.crc32(row)) for d, row in zip(digits, x))
     return head + index + b"".join(digits)
 
 
@@ -240,12 +274,12 @@ def blocks(frame: bytes) -> tuple[int, int, list[tuple[bytes, int]]]:
         raise ValueError("not a frame of token ids")
     at, out = 20 + 12 * n, []
     for b in range(n):
-        words, crc, of_ids = struct.unpack_from("<III", frame, 20 + 12 * b)
-        digits = frame[at:at + 2 * words]
-        if len(digits) != 2 * words or zlib.crc32(digits) != crc:
+        size, crc, of_ids = struct.unpack_from("<III", frame, 20 + 12 * b)
+        digits = frame[at:at + size]
+        if len(digits) != size or zlib.crc32(digits) != crc:
             raise ValueError(f"block {b}: checksum")
         out.append((digits, of_ids))
-        at += 2 * words
+        at += size
     return block, total, out
 
 
