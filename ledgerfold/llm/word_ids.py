@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words kept by a worker, and characters of them.
-LIMIT, LIMIT_CHARS = 600_000, 20_000_000
+LIMIT, LIMIT_CHARS = 1_000_000, 20_000_000
 #: Bytes of text that are split at a time.
 SLICE = 8_000_000
 #: Letters (all composed, so that normal form C leaves them alone), then at most one run of punctuation.
@@ -71,9 +71,12 @@ class WordIds:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # for words of a to z alone the file's normalizer and pre-tokenizer change nothing: its model does
+        self.plain = Tokenizer(Tokenizer.from_file(path).model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -85,19 +88,19 @@ class WordIds:
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str], plain: bool = False) -> list[list[int]]:
+        return [e.ids for e in (self.plain if plain else self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
 
     def _one_by_one(self, words: list[str]) -> None:
         for at in range(0, len(words), JOIN):
             ids = self._encode(words[at:at + JOIN])
             self._add(words[at:at + JOIN], np.array(sum(ids, []), np.uint32), np.array([len(x) for x in ids], np.int64))
 
-    def _letters(self, words: list[str]) -> None:
+    def _letters(self, words: list[str], plain: bool = False) -> None:
         """Encode words of letters alone: each has exactly one word end."""
         for at in range(0, len(words), JOIN):
             some = words[at:at + JOIN]
-            ids = np.array(self._encode([" ".join(some)])[0], np.uint32)
+            ids = np.array(self._encode([" ".join(some)], plain)[0], np.uint32)
             ends = np.nonzero(self.ends[ids])[0] + 1
             if len(ends) != len(some) or ends[-1] != len(ids):
                 self._one_by_one(some)
@@ -130,7 +133,8 @@ class WordIds:
             self.forget()
         index = self.index
         fresh = {w: s for w, s in zip(stems, listed(simple)) if w not in index}
-        self._letters([w for w, s in fresh.items() if s])
+        self._letters([w for w, s in fresh.items() if s and w.isascii()], plain=True)
+        self._letters([w for w, s in fresh.items() if s and not w.isascii()])
         self._one_by_one([w for w, s in fresh.items() if not s])
         self._one_by_one([w for w in listed(tails.dictionary) if w not in index])
         stem = np.fromiter(map(index.__getitem__, stems), np.int64, len(stems))
