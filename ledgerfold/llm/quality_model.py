@@ -100,10 +100,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label_col: str
     chosen = one.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
     rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("y", "text").limit(2 * sample)
-    got = rows.mapInArrow(_sparse, "y int, at binary, value binary").toPandas().sort_values(["y", "at", "value"])
+    got = rows.mapInArrow(_sparse, "y int, at binary, value binary").toArrow().sort_by([(c, "ascending") for c in ("y", "at", "value")])
     if not len(got):
         return np.zeros(DIM), 0.0
-    return train_ftrl([(np.frombuffer(a, "<i4").astype(np.int64), np.frombuffer(v, "<f4").astype(np.float64)) for a, v in zip(got["at"], got["value"])], got["y"].to_numpy())
+    return train_ftrl([(np.frombuffer(a.as_buffer(), "<i4"), np.frombuffer(v.as_buffer(), "<f4")) for a, v in zip(got["at"], got["value"])], got["y"].to_numpy())
 
 
 def _scorer(weights: np.ndarray, bias: float) -> Callable:
