@@ -22,14 +22,14 @@ Extra columns are not read.  An empty table gives no rows.
 
 from __future__ import annotations
 
-import math
+import gc
 from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold.llm import word_ids
@@ -38,7 +38,7 @@ from ledgerfold.llm.token_files import scratch
 N, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.9999, 224
 #: N-grams of a block, and bytes of text that are hashed at a time.
 BLOCK, SLICE = 120_000, 1_000_000
-SIGNATURES = "doc_id long, text_key long, cid binary, n_grams long, bands array<long>"
+SIGNATURES = "doc_id long, key1 long, key2 long, cid binary, n_grams long, bands array<long>"
 SETS = "cid binary, copies long, n_grams long, keys array<long>, own array<struct<key:long,blocks:int>>, grams binary"
 UNITS = "cid binary, links long, least binary"
 
@@ -130,15 +130,15 @@ def _signer(n: int, bands: int, rows: int):
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for texts in word_ids.texts_of(batch.column(2), SLICE):
-                ids, text_key = (batch.column(i).slice(at, len(texts)) for i in (0, 1))
+            for texts in word_ids.texts_of(batch.column(3), SLICE):
+                keys_of_row = [batch.column(i).slice(at, len(texts)) for i in range(3)]
                 at += len(texts)
                 sets, counts = unique_sets(*grams(texts, n))
                 keys = band_keys(sets, counts, bands, rows) if len(sets) else np.zeros((0, bands), np.int64)
                 offsets = np.concatenate([[0], np.cumsum(np.where(counts > 0, bands, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    ids, text_key, pa.array(fingerprints(sets, counts), pa.binary()), pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1)))],
-                    names=["doc_id", "text_key", "cid", "n_grams", "bands"])
+                    *keys_of_row, pa.array(fingerprints(sets, counts), pa.binary()), pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1)))],
+                    names=["doc_id", "key1", "key2", "cid", "n_grams", "bands"])
 
     return signed
 
@@ -261,8 +261,15 @@ def _verifier(share: Fraction):
     return verified
 
 
+def row_keys(id_col: str, text_col: str, names: tuple[str, str] = ("key1", "key2")) -> list[Column]:
+    """Two hashes that together stand for a row's id and text; never null, so that joins and
+    groupings on them share one partitioning."""
+    both = F.col(id_col).isNull(), F.col(id_col).cast("long"), F.col(text_col).isNull(), F.col(text_col)
+    return [F.xxhash64(F.lit(k), *both).alias(name) for k, name in enumerate(names)]
+
+
 def signatures(docs: DataFrame, n: int = N, bands: int = 37, rows: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), *row_keys(id_col, text_col), F.col(text_col).alias("text"))
     return d.mapInArrow(_signer(n, bands, rows), SIGNATURES)
 
 
@@ -298,31 +305,32 @@ def components(spark: SparkSession, edges: DataFrame, folder: str) -> DataFrame:
     return state.select(F.col("u").alias("cid"), F.col("v").alias("root")).unionByName(state.select(F.col("v").alias("cid"), F.col("v").alias("root")).distinct())
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: float = RECALL, hashes: int = HASHES, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
-    """A row for every row of ``docs``: doc_id, text_key, class_id (least doc_id of the texts
-    with the same n-gram set), group_id (least doc_id of all that links join it to) and
-    n_links (other documents with Jaccard >= threshold, copies included)."""
-    folder = folder or scratch(spark, "jaccard-join")
-    share = Fraction(str(threshold))
-    bands, rows = choose_bands(threshold, recall, hashes)
-    signatures(docs, n, bands, rows, id_col, text_col).write.parquet(f"{folder}/signatures")
-    sigs = spark.read.schema(SIGNATURES).parquet(f"{folder}/signatures")
+CLASSES = "number long, cid binary, copies long, doc_id long, n_grams long, bands array<long>"
 
-    # classes of equal n-gram sets; texts without words (cid null) stay out
-    first = sigs.filter("cid IS NOT NULL").groupBy("cid").agg(F.min(F.struct("doc_id", "n_grams", "bands")).alias("f"), F.count("*").alias("copies"))
-    first.select("cid", "copies", "f.doc_id", "f.n_grams", "f.bands").write.parquet(f"{folder}/classes")
-    classes = spark.read.schema("cid binary, copies long, doc_id long, n_grams long, bands array<long>").parquet(f"{folder}/classes")
 
-    members = classes.select("cid", "n_grams", F.posexplode("bands").alias("band", "key"))
-    tag = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "cid"))
-    buckets = members.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_grams").alias("grams"), tag(1).alias("x"), tag(2).alias("y")).filter("n > 1")
+def _write_classes(spark: SparkSession, folder: str) -> None:
+    """The classes of equal n-gram sets; texts without words (cid null) stay out."""
+    sigs = spark.read.schema(SIGNATURES).parquet(f"{folder}/signatures")
+    first = sigs.filter("cid IS NOT NULL").groupBy("cid").agg(F.min(F.struct("doc_id", "n_grams", "bands")).alias("f"), F.count("*").alias("copies"))
+    # a class has a number from here on: eight bytes that compress, where buckets repeat it for every band
+    first.select(F.monotonically_increasing_id().alias("number"), "cid", "copies", "f.doc_id", "f.n_grams", "f.bands").write.parquet(f"{folder}/classes")
+
+
+def _write_links(spark: SparkSession, docs: DataFrame, folder: str, bands: int, n: int, share: Fraction, id_col: str, text_col: str) -> None:
+    """Links of the classes that meet in buckets, as rows of UNITS."""
+    classes = spark.read.schema(CLASSES).parquet(f"{folder}/classes")
+    members = classes.select("number", "n_grams", F.posexplode("bands").alias("band", "key"))
+    several = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    inside = members.join(several.select("key"), "key")
+    tag = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "number"))
+    buckets = inside.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_grams").alias("grams"), tag(1).alias("x"), tag(2).alias("y"))
     alike = buckets.groupBy("n", "x", "y").agg(F.min("key").alias("key"), F.max("grams").alias("grams"))
     blocks = F.greatest(F.lit(1), F.ceil(F.col("grams") / F.lit(BLOCK))).cast("int")
-    kept = members.select("cid", "band", "key").join(alike.select("key", blocks.alias("blocks")), "key")
+    kept = inside.select("number", "band", "key").join(alike.select("key", blocks.alias("blocks")), "key")
     # at most one bucket a band: the list is bounded by the number of bands
-    mine = kept.groupBy("cid").agg(F.map_from_entries(F.collect_list(F.struct("band", F.struct("key", "blocks")))).alias("m")).select(
-        "cid", F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.try_element_at("m", b)["key"]).alias("keys"), F.map_values("m").alias("own"))
-    wanted = mine.join(classes.select("cid", "copies", "doc_id"), "cid")
+    mine = kept.groupBy("number").agg(F.map_from_entries(F.collect_list(F.struct("band", F.struct("key", "blocks")))).alias("m")).select(
+        "number", F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.try_element_at("m", b)["key"]).alias("keys"), F.map_values("m").alias("own"))
+    wanted = mine.join(classes.select("number", "cid", "copies", "doc_id"), "number")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sets = (wanted.join(texts, wanted["doc_id"].eqNullSafe(texts["doc_id"])).select("cid", "copies", "keys", "own", "text")
             .mapInArrow(_set_maker(n), SETS).dropDuplicates(["cid"]))
@@ -334,6 +342,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
         "key", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "cid", "copies", "grams", "keys")
     found = (units.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj").mapInArrow(_verifier(share), UNITS))
     found.write.parquet(f"{folder}/links")
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished phases: its cleaner does so once the driver has
+    collected what refers to them, which by itself may come after the job's next text shuffle."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: float = RECALL, hashes: int = HASHES, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
+    """A row for every row of ``docs``: doc_id, key1, key2 (``row_keys``), class_id (least doc_id of the texts
+    with the same n-gram set), group_id (least doc_id of all that links join it to) and
+    n_links (other documents with Jaccard >= threshold, copies included)."""
+    folder = folder or scratch(spark, "jaccard-join")
+    bands, rows = choose_bands(threshold, recall, hashes)
+    signatures(docs, n, bands, rows, id_col, text_col).write.parquet(f"{folder}/signatures")
+    _write_classes(spark, folder)
+    release(spark)
+    _write_links(spark, docs, folder, bands, n, Fraction(str(threshold)), id_col, text_col)
+    release(spark)
+    sigs = spark.read.schema(SIGNATURES).parquet(f"{folder}/signatures")
+    classes = spark.read.schema(CLASSES).parquet(f"{folder}/classes")
     links = spark.read.schema(UNITS).parquet(f"{folder}/links")
 
     per_class = links.groupBy("cid").agg(F.sum("links").alias("links"))
@@ -341,15 +371,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
     grouped = classes.select("cid", "copies", F.col("doc_id").alias("class_id")).join(per_class, "cid", "left").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = grouped.groupBy("root").agg(F.min("class_id").alias("group_id"))
     result = grouped.join(least, "root").select("cid", "class_id", "group_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return sigs.select("doc_id", "text_key", "cid").join(result, "cid", "left").select(
-        "doc_id", "text_key", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("group_id", "doc_id").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return sigs.select("doc_id", "key1", "key2", "cid").join(result, "cid", "left").select(
+        "doc_id", "key1", "key2", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("group_id", "doc_id").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of every group (that of the least doc_id), with all its columns; texts without words stay."""
-    stay_id, stay_key, row_key = (word_ids.free_name(docs.columns, c) for c in ("stay_id", "stay_key", "row_key"))
-    stay = near_duplicates(spark, docs, id_col=id_col, text_col=text_col, **options).filter(F.col("doc_id").eqNullSafe(F.col("group_id"))).select(
-        F.col("doc_id").alias(stay_id), F.col("text_key").alias(stay_key)).distinct()
-    d = docs.withColumn(row_key, F.xxhash64(text_col))
-    joined = d.join(stay, d[id_col].eqNullSafe(stay[stay_id]) & (d[row_key] == stay[stay_key]))
-    return joined.dropDuplicates([id_col, row_key]).select(*docs.columns)
+    keys = tuple(word_ids.free_name(docs.columns, k) for k in ("key1", "key2"))
+    groups = near_duplicates(spark, docs, id_col=id_col, text_col=text_col, **options)
+    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("group_id"))).select(F.col("key1").alias(keys[0]), F.col("key2").alias(keys[1])).distinct()
+    # one shuffle of the texts: the repeated rows meet where the join has put them
+    joined = docs.select(*docs.columns, *row_keys(id_col, text_col, keys)).join(stay, list(keys), "left_semi")
+    return joined.dropDuplicates(list(keys)).select(*docs.columns)

@@ -46,7 +46,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerfold.llm.jaccard_join import near_duplicates
 
-    return near_duplicates(spark, table(spark, sf_dir, "documents")).drop("text_key")
+    return near_duplicates(spark, table(spark, sf_dir, "documents")).drop("key1", "key2")
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
