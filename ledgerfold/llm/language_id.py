@@ -9,7 +9,7 @@ without a shuffle: counts times a small weight matrix that travels with the task
 
 Defined results: null text, or text without a letter: ``und``, score 0.  With no labelled
 text at all, every text is ``und``; with one language, every other text is of it.  A row
-without a language isn't learned from.  Repeated rows give repeated rows; extra columns are not read.
+without a language isn't learned from.  One language alone rejects no lettered text.  Repeated rows give repeated rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -38,8 +38,10 @@ FAMILIES = {
 }
 DIM, SAMPLE, SLICE, DOCS = 4096, 6000, 1_000_000, 512
 UNKNOWN = "und"
-#: Least score that the pipeline keeps.
+#: Least score kept where no threshold has been learned. A winner of two has a margin of 0 or more, so this alone rejects nothing.
 LEAST = 0.5
+#: Learned thresholds: this share of the margin that all but ``LOW`` of a language's labelled texts reach.
+LOW, SHARE = 0.05, 0.5
 SHARPNESS = 4.0
 PREDICTIONS = "doc_id long, lang_pred string, score double"
 
@@ -119,6 +121,8 @@ class Model:
     languages: dict[str, list[str]] = field(default_factory=dict)
     pairs: list[tuple[str, str]] = field(default_factory=list)
     weights: np.ndarray = field(default_factory=lambda: np.zeros((DIM + 1, 0)))
+    #: Least score of each language, if learned (``thresholds``).
+    least: dict[str, float] = field(default_factory=dict)
 
     def _choose(self, names: list[str], margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of the winner among names for each row, and its least margin over any other."""
@@ -148,7 +152,11 @@ class Model:
             best, m = self._choose(inside, margins[rows])
             langs[rows] = [inside[b] for b in best]
             margin[rows] = np.minimum(margin[rows], m)
-        return langs.tolist(), 1 / (1 + np.exp(-SHARPNESS * np.clip(margin, -50, 50)))
+        return langs.tolist(), _score(margin)
+
+
+def _score(margin: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-SHARPNESS * np.clip(margin, -50, 50)))
 
 
 def train(x: np.ndarray, langs: list[str]) -> Model:
@@ -166,6 +174,34 @@ def train(x: np.ndarray, langs: list[str]) -> Model:
     return Model(by_family, pairs, np.stack(columns, axis=1) if columns else np.zeros((DIM + 1, 0)))
 
 
+def thresholds(x: np.ndarray, langs: list[str], h: np.ndarray) -> dict[str, float]:
+    """Least score of each language: ``SHARE`` of the ``LOW`` quantile of its texts' margins.
+
+    Each half of the sample, by the text's hash, is judged by a model of the other half, since a machine's margins on
+    what it has learned are too large.  A language none of whose texts is recognised that way has
+    the threshold of all texts together; one language alone has no machine and no threshold.
+    """
+    labels, half = np.array(langs, object), h & 1
+    margins: dict[str, list[np.ndarray]] = {}
+    for part in (0, 1):
+        learned, judged = np.nonzero(half != part)[0], np.nonzero(half == part)[0]
+        model = train(x[learned], labels[learned].tolist()) if len(learned) else Model()
+        if not model.pairs:
+            continue
+        for at in range(0, len(judged), DOCS):
+            rows = judged[at:at + DOCS]
+            got, score = model.predict(x[rows].astype(np.float32))
+            margin = np.log(score / np.maximum(1 - score, 1e-12)) / SHARPNESS
+            right = np.array(got, object) == labels[rows]
+            for lang in set(labels[rows][right]):
+                margins.setdefault(lang, []).append(margin[right & (labels[rows] == lang)])
+    if not margins:
+        return {}
+    least = lambda some: float(_score(np.array(SHARE * np.quantile(np.concatenate(some), LOW, method="lower"))))
+    every = least([m for some in margins.values() for m in some])
+    return {lang: least(margins[lang]) if lang in margins else every for lang in set(langs)}
+
+
 def held_out(id_: Column, parts: int = 5, part: int = 0) -> Column:
     return F.crc32(id_.cast("string").cast("binary")) % parts == part
 
@@ -187,8 +223,9 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += len(texts)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, lang_col: str = "lang", text_col: str = "text", order: Column | None = None) -> Model:
-    """Train on at most ``sample`` rows: as many of each language, those of least ``order`` hash.
+def fit(docs: DataFrame, sample: int = SAMPLE, lang_col: str = "lang", text_col: str = "text", order: Column | None = None, reject: bool = False) -> Model:
+    """Train on at most ``sample`` rows: as many of each language, those of least ``order`` hash; with ``reject``,
+    learn ``thresholds`` from them too.
 
     The sample's vectors (8 KB each, in half precision) are all that reaches the driver.
     """
@@ -205,7 +242,10 @@ def fit(docs: DataFrame, sample: int = SAMPLE, lang_col: str = "lang", text_col:
     got = some.select("lang", "text", "h").mapInArrow(_vectors, "lang string, h long, x binary").toArrow().sort_by([("lang", "ascending"), ("h", "ascending")])
     langs, column = got["lang"].to_pylist(), got["x"].combine_chunks()
     start = column.offset * 2 * (DIM + 1)
-    return train(np.frombuffer(column.buffers()[2], "<f2")[start // 2:start // 2 + len(langs) * (DIM + 1)].reshape(len(langs), DIM + 1), langs)
+    x = np.frombuffer(column.buffers()[2], "<f2")[start // 2:start // 2 + len(langs) * (DIM + 1)].reshape(len(langs), DIM + 1)
+    model = train(x, langs)
+    model.least = thresholds(x, langs, got["h"].to_numpy()) if reject else {}
+    return model
 
 
 def _predictor(model: Model) -> Callable:
@@ -231,7 +271,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = LEAST, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with an identified language, all their columns."""
+    """The rows of ``docs`` with an identified language, all their columns: their score reaches ``least`` and the
+    model's threshold for the language, if it has learned one."""
     columns = docs.columns
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,9 +280,10 @@ def keep_identified(docs: DataFrame, model: Model, least: float = LEAST, text_co
             at = 0
             for texts in _limited(batch.column(columns.index(text_col))):
                 lettered = batch.column(len(columns)).slice(at, len(texts)).to_numpy(zero_copy_only=False)
-                score = model.predict(features(texts))[1] if model.languages else np.zeros(len(texts))
+                langs, score = model.predict(features(texts)) if model.languages else ([UNKNOWN] * len(texts), np.zeros(len(texts)))
+                bound = np.array([max(least, model.least.get(lang, least)) for lang in langs])
                 part = pa.RecordBatch.from_arrays([batch.column(i).slice(at, len(texts)) for i in range(len(columns))], names=columns)
-                yield part.filter(pa.array(lettered & (score >= least)))
+                yield part.filter(pa.array(lettered & (score >= bound)))
                 at += len(texts)
 
     lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))

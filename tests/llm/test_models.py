@@ -45,6 +45,31 @@ def test_language_stage_keeps_clean_rows(spark, docs):
     assert gone == {2, 3, 4, 10, 99}
 
 
+DUTCH = ("De regering heeft gisteren besloten om de regels voor de bouw van nieuwe huizen in de stad te veranderen. Volgens de minister is er veel te weinig ruimte "
+         "voor jonge gezinnen en moet er snel iets gebeuren, maar de bewoners zijn bang dat het groen verdwijnt en dat het verkeer te druk wordt voor de kinderen.")
+PORTUGUESE = ("O governo decidiu ontem mudar as regras para a construção de novas casas na cidade. Segundo o ministro, há muito pouco espaço para as famílias jovens "
+              "e é preciso fazer alguma coisa depressa, mas os moradores têm medo de que o verde desapareça e que o trânsito fique demasiado intenso.")
+NOISE = " ".join(["the of and xqzk vvbg wrtp hjkl zzxc qwpf mnbv"] * 12)
+
+
+def test_language_stage_rejects_other_languages_and_keeps_the_learned(spark, docs):
+    import corpus_pipeline
+
+    clean = corpus_pipeline.quality_stage(spark, docs, SF).cache()
+    one = lambda i, t: (i, t, None, "s", 0)
+    extra = spark.createDataFrame([one(-1, DUTCH), one(-2, PORTUGUESE), one(-3, NOISE)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, clean.unionByName(extra.select(clean.columns)), SF).select("doc_id").collect()}
+    assert not {-1, -2, -3} & kept
+    assert all(len(ids - kept) <= 0.02 * len(ids) for ids in (set(r.ids) for r in clean.groupBy('lang').agg(F.collect_list('doc_id').alias('ids')).collect()))
+    clean.unpersist()
+
+
+def test_thresholds_of_few_texts():
+    x = np.hstack([np.eye(6, L.DIM), np.ones((6, 1))]).astype("<f2")
+    assert L.thresholds(x, ["en"] * 6, np.arange(6)) == {}
+    assert set(L.thresholds(x[[0, 0, 1, 1, 2]], ["en", "en", "fr", "fr", "de"], np.array([0, 1, 2, 3, 4]))) <= {"en", "fr", "de"}
+
+
 def test_families_come_first():
     model = L.Model({"romance": ["es", "fr"], "x": ["x"]}, [("romance", "x"), ("es", "fr")], np.zeros((L.DIM + 1, 2)))
     model.weights[L.DIM] = [1, -1]
