@@ -2,9 +2,10 @@
 
 A text is cut into units at line ends and after ``. ! ? ; :``.  From every unit the sentence
 that starts there is the unit alone or, if hard-wrapped, the units up to the next
-one that ends a sentence (``WRAP`` units at most).  Sentences are normalised (lower case, runs of
+one that ends a sentence, or else the longest run of units that is a known sentence, past inner ends
+as in ``SPDX-License-Identifier: MIT`` (``WRAP`` units at most).  Sentences are normalised (lower case, runs of
 other than letters, digits, dots and plus signs to one space, no dots at the end) and looked up in
-``SENTENCES``.  The identifiers in text order form one string, on which the ordered ``RULES`` are matched; a
+``SENTENCES``; a unit that begins no known sentence is not joined.  The identifiers in text order form one string, on which the ordered ``RULES`` are matched; a
 rule consumes what it matches, so a long notice wins over the short ones inside it.
 
 Everything is one projection of built-in functions.  Every known sentence holds one of
@@ -95,23 +96,47 @@ def _normal(c: Column) -> Column:
     return F.regexp_replace(F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9.+]+", " ")), "[ .]+$", "")
 
 
+def beginnings() -> list[str]:
+    """What the first of several units of a known sentence can be: its first words."""
+    words = [s.split(" ") for s in known()]
+    return sorted({normal(" ".join(w[:k])) for w in words for k in range(1, len(w))})
+
+
+def whole() -> dict[str, str]:
+    """The known sentences that are looked up past inner sentence ends: all but those with a known sentence among their own units."""
+    parts = {x: [normal(u) for u in re.sub(r"([.!?;:])[ \t]+", "\\1\n", x).split("\n")] for sentences in SENTENCES.values() for x in sentences}
+    return {normal(x): known()[normal(x)] for x, units in parts.items() if len(units) == 1 or not set(units) & set(known())}
+
+
+def _lookup(sentences: dict[str, str]):
+    table = F.create_map(*[F.lit(x) for pair in sorted(sentences.items()) for x in pair])
+    return lambda c: F.try_element_at(table, c)
+
+
 def identifiers(text: Column) -> Column:
     """Array of the identifiers of the text's known sentences, in text order."""
-    table = F.create_map(*[F.lit(x) for pair in sorted(known().items()) for x in pair])
-    lookup = lambda c: F.try_element_at(table, c)
     units = F.filter(F.split(F.regexp_replace(text, r"([.!?;:])[ \t]+", "$1\n"), r"[\r\n]+", -1), lambda u: u.rlike(r"[A-Za-z0-9]"))
 
     def found(us: Column) -> Column:
-        return let(F.transform(us, lambda u: u.rlike(r"[.!?;:][\s\"')]*$")), lambda ends: _ids(us, ends, lookup))
+        return let(F.transform(us, lambda u: u.rlike(r"[.!?;:][\s\"')]*$")), lambda ends: _ids(us, ends))
 
     return F.when(text.rlike(f"(?i){HINTS}"), let(units, found)).otherwise(F.array().cast("array<string>"))
 
 
-def _ids(units: Column, ends: Column, lookup) -> Column:
-    def at(u: Column, i: Column) -> Column:
+def _ids(units: Column, ends: Column) -> Column:
+    one, several, first = _lookup(known()), _lookup(whole()), beginnings()
+
+    def joined(i: Column, n: Column) -> Column:
+        return _normal(F.array_join(F.slice(units, i + 1, n), " "))
+
+    def longer(i: Column) -> Column:
         n = F.array_position(F.slice(ends, i + 1, WRAP), True).cast("int")
-        wrapped = F.when(n > 1, lookup(_normal(F.array_join(F.slice(units, i + 1, n), " "))))
-        return F.coalesce(lookup(_normal(u)), wrapped)
+        to = F.least(F.lit(WRAP), F.size(units) - i)
+        past = F.when(to > 1, F.try_element_at(F.array_compact(F.transform(F.sequence(F.lit(2), to), lambda k: several(joined(i, k)))), F.lit(-1)))
+        return F.coalesce(F.when(n > 1, one(joined(i, n))), past)
+
+    def at(u: Column, i: Column) -> Column:
+        return let(_normal(u), lambda s: F.coalesce(one(s), F.when(s.isin(first), longer(i))))
 
     return F.array_compact(F.transform(units, at))
 

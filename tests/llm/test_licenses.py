@@ -40,3 +40,18 @@ def test_awkward_rows(spark):
     rows = L.scan_licenses(documents(spark)).collect()
     assert len(rows) == len(TEXTS) and all(r.licenses == [] and r.sentence_ids == [] for r in rows)
     assert L.scan_licenses(documents(spark, [])).collect() == []
+
+
+def test_every_sentence_is_found_in_its_own_text(spark):
+    listed = [(name, s) for name, sentences in L.SENTENCES.items() for s in sentences]
+    texts = [f"import os\n# {s}\n\nmore text" for _, s in listed]
+    rows = L.scan_licenses(documents(spark, list(enumerate(texts)))).collect()
+    got = {r.doc_id: r.sentence_ids for r in rows}
+    assert [s for i, (name, s) in enumerate(listed) if name not in got[i]] == []
+    assert got[[s for _, s in listed].index(L.SENTENCES["GPL2_GRANT"][0])] == ["GPL2_GRANT", "GPL2_VERSION"]
+
+
+def test_tags_and_inner_ends(spark):
+    got = scan(spark, "/* SPDX-License-Identifier: Apache-2.0 */\nint x;", "SPDX-License-Identifier: MIT-0", "SPDX-License-Identifier:",
+               "This Source Code Form is subject to the terms of the\n * Mozilla Public License, v. 2.0. If a copy of the MPL was not\n * distributed")
+    assert got == [(["Apache-2.0"], []), ([], []), ([], []), (["MPL-2.0"], [])]
