@@ -3,7 +3,8 @@
 A text is cut into units at line ends and after ``. ! ? ; :``.  From every unit the sentence
 that starts there is the unit alone or, if hard-wrapped, the units up to the next
 one that ends a sentence, or else the longest run of units that is a known sentence, past inner ends
-as in ``SPDX-License-Identifier: MIT`` (``WRAP`` units at most).  Sentences are normalised (lower case, runs of
+as in ``SPDX-License-Identifier: MIT``.  Every unit has a word at least, so no more units are joined than
+the longest known sentence has words, and none is lost by it.  Sentences are normalised (lower case, runs of
 other than letters, digits, dots and plus signs to one space, no dots at the end) and looked up in
 ``SENTENCES``; a unit that begins no known sentence is not joined.  The identifiers in text order form one string, on which the ordered ``RULES`` are matched; a
 rule consumes what it matches, so a long notice wins over the short ones inside it.
@@ -24,8 +25,10 @@ from pyspark.sql import functions as F
 
 from ledgerfold.llm.quality_rules import let
 
+#: Units of a wrapped sentence in the SQL; the operator joins as many as the longest known sentence has words.
 WRAP = 12
-HINTS = "licen[sc]e|copyright|redistribut|warrant|permission|public domain|liab"
+#: Between two words of a hint may be what a line end and a comment mark leave.
+HINTS = "licen[sc]e|copyright|redistribut|warrant|permission|public[^A-Za-z0-9.+]+domain|liab"
 
 #: Sentences of public licenses and notices, by identifier.
 SENTENCES = {
@@ -125,13 +128,14 @@ def identifiers(text: Column) -> Column:
 
 def _ids(units: Column, ends: Column) -> Column:
     one, several, first = _lookup(known()), _lookup(whole()), beginnings()
+    longest = max(len(s.split(" ")) for s in known())
 
     def joined(i: Column, n: Column) -> Column:
         return _normal(F.array_join(F.slice(units, i + 1, n), " "))
 
     def longer(i: Column) -> Column:
-        n = F.array_position(F.slice(ends, i + 1, WRAP), True).cast("int")
-        to = F.least(F.lit(WRAP), F.size(units) - i)
+        n = F.array_position(F.slice(ends, i + 1, longest), True).cast("int")
+        to = F.least(F.lit(longest), F.size(units) - i)
         past = F.when(to > 1, F.try_element_at(F.array_compact(F.transform(F.sequence(F.lit(2), to), lambda k: several(joined(i, k)))), F.lit(-1)))
         return F.coalesce(F.when(n > 1, one(joined(i, n))), past)
 

@@ -55,3 +55,12 @@ def test_tags_and_inner_ends(spark):
     got = scan(spark, "/* SPDX-License-Identifier: Apache-2.0 */\nint x;", "SPDX-License-Identifier: MIT-0", "SPDX-License-Identifier:",
                "This Source Code Form is subject to the terms of the\n * Mozilla Public License, v. 2.0. If a copy of the MPL was not\n * distributed")
     assert got == [(["Apache-2.0"], []), ([], []), ([], []), (["MPL-2.0"], [])]
+
+
+def test_narrow_wraps_and_a_parted_hint(spark):
+    import textwrap
+
+    paragraphs = MIT.split("\n\n")[2:]
+    narrow = ["\n\n".join("\n".join(f" * {line}" for line in textwrap.wrap(p.replace("\n", " "), width, break_long_words=False)) for p in paragraphs) for width in (38, 20, 1)]
+    unlicense = "This is free and unencumbered software released into the public\n * domain."
+    assert scan(spark, *narrow, unlicense) == [(["MIT"], [])] * 3 + [(["Unlicense"], [])]
