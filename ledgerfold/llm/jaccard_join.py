@@ -305,15 +305,15 @@ def components(spark: SparkSession, edges: DataFrame, folder: str) -> DataFrame:
     return state.select(F.col("u").alias("cid"), F.col("v").alias("root")).unionByName(state.select(F.col("v").alias("cid"), F.col("v").alias("root")).distinct())
 
 
-CLASSES = "number long, cid binary, copies long, doc_id long, n_grams long, bands array<long>"
+CLASSES = "number long, cid binary, copies long, doc_id long, key1 long, key2 long, n_grams long, bands array<long>"
 
 
 def _write_classes(spark: SparkSession, folder: str) -> None:
-    """The classes of equal n-gram sets; texts without words (cid null) stay out."""
+    """The classes of equal n-gram sets, each by its row of least doc_id (nulls last); texts without words (cid null) stay out."""
     sigs = spark.read.schema(SIGNATURES).parquet(f"{folder}/signatures")
-    first = sigs.filter("cid IS NOT NULL").groupBy("cid").agg(F.min(F.struct("doc_id", "n_grams", "bands")).alias("f"), F.count("*").alias("copies"))
+    first = sigs.filter("cid IS NOT NULL").groupBy("cid").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key1", "key2", "n_grams", "bands")).alias("f"), F.count("*").alias("copies"))
     # a class has a number from here on: eight bytes that compress, where buckets repeat it for every band
-    first.select(F.monotonically_increasing_id().alias("number"), "cid", "copies", "f.doc_id", "f.n_grams", "f.bands").write.parquet(f"{folder}/classes")
+    first.select(F.monotonically_increasing_id().alias("number"), "cid", "copies", "f.doc_id", "f.key1", "f.key2", "f.n_grams", "f.bands").write.parquet(f"{folder}/classes")
 
 
 def _write_links(spark: SparkSession, docs: DataFrame, folder: str, bands: int, n: int, share: Fraction, id_col: str, text_col: str) -> None:
@@ -351,10 +351,9 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: float = RECALL, hashes: int = HASHES, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
-    """A row for every row of ``docs``: doc_id, key1, key2 (``row_keys``), class_id (least doc_id of the texts
-    with the same n-gram set), group_id (least doc_id of all that links join it to) and
-    n_links (other documents with Jaccard >= threshold, copies included)."""
+def _grouped(spark: SparkSession, docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: float = RECALL, hashes: int = HASHES, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The signatures, and a row for every class: cid, its row of least doc_id (class_id, key1, key2), copies, links and
+    root (the group's least cid, never null)."""
     folder = folder or scratch(spark, "jaccard-join")
     bands, rows = choose_bands(threshold, recall, hashes)
     signatures(docs, n, bands, rows, id_col, text_col).write.parquet(f"{folder}/signatures")
@@ -368,7 +367,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
 
     per_class = links.groupBy("cid").agg(F.sum("links").alias("links"))
     roots = components(spark, links.select(F.col("cid").alias("u"), F.col("least").alias("v")), folder)
-    grouped = classes.select("cid", "copies", F.col("doc_id").alias("class_id")).join(per_class, "cid", "left").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    grouped = classes.select("cid", "copies", F.col("doc_id").alias("class_id"), "key1", "key2").join(per_class, "cid", "left").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    return sigs, grouped
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
+    """A row for every row of ``docs``: doc_id, key1, key2 (``row_keys``), class_id (least doc_id of the texts
+    with the same n-gram set), group_id (least doc_id of all that links join it to; both null only
+    if all those ids are) and n_links (other documents with Jaccard >= threshold, copies included)."""
+    sigs, grouped = _grouped(spark, docs, **options)
     least = grouped.groupBy("root").agg(F.min("class_id").alias("group_id"))
     result = grouped.join(least, "root").select("cid", "class_id", "group_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     return sigs.select("doc_id", "key1", "key2", "cid").join(result, "cid", "left").select(
@@ -376,10 +383,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, threshold: float = THR
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of every group (that of the least doc_id), with all its columns; texts without words stay."""
+    """One row of every group (that of the least doc_id, nulls last), with all its columns; texts without words stay."""
     keys = tuple(word_ids.free_name(docs.columns, k) for k in ("key1", "key2"))
-    groups = near_duplicates(spark, docs, id_col=id_col, text_col=text_col, **options)
-    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("group_id"))).select(F.col("key1").alias(keys[0]), F.col("key2").alias(keys[1])).distinct()
+    sigs, grouped = _grouped(spark, docs, id_col=id_col, text_col=text_col, **options)
+    first = grouped.groupBy("root").agg(F.min(F.struct(F.col("class_id").isNull(), "class_id", "key1", "key2")).alias("f"))
+    wordless = sigs.filter("cid IS NULL").select("key1", "key2").distinct()
+    stay = first.select("f.key1", "f.key2").unionByName(wordless).toDF(*keys)
     # one shuffle of the texts: the repeated rows meet where the join has put them
     joined = docs.select(*docs.columns, *row_keys(id_col, text_col, keys)).join(stay, list(keys), "left_semi")
     return joined.dropDuplicates(list(keys)).select(*docs.columns)

@@ -89,3 +89,15 @@ def test_stage_leaves_one_row_of_each_group(spark):
     assert out.columns == docs.columns
     groups = {g for _, g, _ in brute(rows)}
     assert sorted(((r.doc_id,) for r in out.collect()), key=key) == sorted(((g,) for g in groups), key=key)
+
+
+def test_copies_with_null_ids_are_one_group(spark):
+    said, near = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(59)) + " end"
+    other, apart = " ".join(f"x{i}" for i in range(60)), " ".join(f"y{i}" for i in range(60))
+    rows = [(None, said), (7, said), (9, said), (None, near), (None, other), (None, other + " "), (None, other + " more"), (3, apart), (None, apart + " end")]
+    docs = documents(spark, rows)
+    got = [(r.doc_id, r.group_id, r.n_links) for r in J.near_duplicates(spark, docs).collect()]
+    assert sorted(got, key=key) == sorted(brute(rows), key=key)
+    classes = {(r.doc_id, r.class_id) for r in J.near_duplicates(spark, docs).collect()}
+    assert {(None, 7), (7, 7), (9, 7)} <= classes
+    assert sorted(((r.doc_id,) for r in J.drop_near_duplicates(spark, docs).collect()), key=key) == [(None,), (3,), (7,)]
