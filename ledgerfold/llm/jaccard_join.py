@@ -330,10 +330,10 @@ def _write_links(spark: SparkSession, docs: DataFrame, folder: str, bands: int,
     # at most one bucket a band: the list is bounded by the number of bands
     mine = kept.groupBy("number").agg(F.map_from_entries(F.collect_list(F.struct("band", F.struct("key", "blocks")))).alias("m")).select(
         "number", F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.try_element_at("m", b)["key"]).alias("keys"), F.map_values("m").alias("own"))
-    wanted = mine.join(classes.select("number", "cid", "copies", "doc_id"), "number")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sets = (wanted.join(texts, wanted["doc_id"].eqNullSafe(texts["doc_id"])).select("cid", "copies", "keys", "own", "text")
-            .mapInArrow(_set_maker(n), SETS).dropDuplicates(["cid"]))
+    wanted = mine.join(classes.select("number", "cid", "copies", "key1", "key2"), "number")
+    # a class's row is one id and text, and repeats of it (combined map-side) are one row: each class meets one text
+    texts = docs.select(*row_keys(id_col, text_col), F.col(text_col).alias("text")).dropDuplicates(["key1", "key2"])
+    sets = wanted.join(texts, ["key1", "key2"]).select("cid", "copies", "keys", "own", "text").mapInArrow(_set_maker(n), SETS)
 
     # a class is in block h of its bucket, and in the units (h, j) and (i, h)
     in_bucket = sets.select("cid", "copies", "keys", "grams", F.explode("own").alias("o")).select(

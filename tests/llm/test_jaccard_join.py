@@ -101,3 +101,28 @@ def test_copies_with_null_ids_are_one_group(spark):
     classes = {(r.doc_id, r.class_id) for r in J.near_duplicates(spark, docs).collect()}
     assert {(None, 7), (7, 7), (9, 7)} <= classes
     assert sorted(((r.doc_id,) for r in J.drop_near_duplicates(spark, docs).collect()), key=key) == [(None,), (3,), (7,)]
+
+
+@pytest.mark.parametrize("one_id", [None, 7])
+def test_each_class_meets_one_text_whatever_the_ids(spark, monkeypatch, one_id):
+    rows = [(one_id, t) for _, t in corpus(4, 2, 1, 12)] + [(one_id, "a text of its own " + str(i)) for i in range(20)]
+    rows += rows[:5]
+    seen, make = spark.sparkContext.accumulator(0), J._set_maker
+
+    def counted(n):
+        inner = make(n)
+
+        def made(batches):
+            def each():
+                for batch in batches:
+                    seen.add(batch.num_rows)
+                    yield batch
+
+            yield from inner(each())
+
+        return made
+
+    monkeypatch.setattr(J, "_set_maker", counted)
+    got = [(r.doc_id, r.group_id, r.n_links) for r in J.near_duplicates(spark, documents(spark, rows)).collect()]
+    assert sorted(got, key=key) == sorted(brute(rows), key=key)
+    assert 0 < seen.value <= len({t for _, t in rows})
