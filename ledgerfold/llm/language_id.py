@@ -41,7 +41,7 @@ UNKNOWN = "und"
 #: Least score kept where no threshold has been learned. A winner of two has a margin of 0 or more, so this alone rejects nothing.
 LEAST = 0.5
 #: Learned thresholds: this share of the margin that all but ``LOW`` of a language's labelled texts reach.
-LOW, SHARE = 0.05, 0.5
+LOW, SHARE = 0.01, 0.5
 SHARPNESS = 4.0
 PREDICTIONS = "doc_id long, lang_pred string, score double"
 
