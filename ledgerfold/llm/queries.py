@@ -100,7 +100,14 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_digests(spark, table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {"op1_ann": op1_ann, "op2_quality_rules": op2_quality_rules, "op3_language_id": op3_language_id, "op4_token_counts": op4_token_counts, "op5_jaccard_join": op5_jaccard_join, "op6_license_scan": op6_license_scan, "op7_best_fit_packing": op7_best_fit_packing, "op8_token_files": op8_token_files, "op9_quality_model": op9_quality_model, "op10_byte_bpe": op10_byte_bpe, "op11_spelling_variants": op11_spelling_variants, "op12_conversation_repair": op12_conversation_repair}
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ledgerfold.llm import personal_data
+
+    docs = table(spark, sf_dir, "documents")
+    return personal_data.find(docs, personal_data.fit(docs))
+
+
+QUERIES = {"op1_ann": op1_ann, "op2_quality_rules": op2_quality_rules, "op3_language_id": op3_language_id, "op4_token_counts": op4_token_counts, "op5_jaccard_join": op5_jaccard_join, "op6_license_scan": op6_license_scan, "op7_best_fit_packing": op7_best_fit_packing, "op8_token_files": op8_token_files, "op9_quality_model": op9_quality_model, "op10_byte_bpe": op10_byte_bpe, "op11_spelling_variants": op11_spelling_variants, "op12_conversation_repair": op12_conversation_repair, "op13_personal_data": op13_personal_data}
 
 
 def oracle_sql() -> dict[str, str]:
