@@ -14,12 +14,19 @@ Cumulative sums are three-level: within (position, day, second), over the
 seconds of a day, then over the position's days (bounded by the calendar), so a
 busy position is spread over many tasks.
 
-``roll_lots`` - the full daily lot fold with amortising trades, sells across
+``roll_lots`` - the full lot fold with amortising trades, sells across
 lots, holdings reconciliation (newest lot first), surplus holdings and the
-weighted term.  Its state feeds the next day, so each position is folded in day
-and time order: rows are hash-partitioned by position, sorted, and streamed
-through ``mapInPandas`` in Arrow batches - a task keeps only the open lots of the
-position it is on, never a whole group in memory.
+weighted term, in two steps:
+
+1. ``lot_log``: what changes.  The state of a day feeds the next, so each position is folded in day
+   and time order: rows are hash-partitioned by position, sorted, and streamed
+   through ``mapInPandas`` - a task keeps only the open lots of the
+   position it is on.  Only days on which something can change reach Python: days with trades, and days whose holdings
+   differ from those of the day before.  It gives one row per run of days in which a lot does not change.
+2. ``expand_lots``: the daily table.  Runs are exploded to their days inside the JVM, valued from
+   the day's holdings, and the weighted term follows in closed form: what it was before the run, and days times ratio.
+
+A NULL key part is a value of its own in all of these (``keys.encode_keys``).
 """
 
 from __future__ import annotations
@@ -34,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerfold.functions.calendar import calendar_fits, day_side, roll_bounds
-from ledgerfold.keys import KEYS, LONG
+from ledgerfold.keys import KEYS, LONG, decode_keys, encode_keys
 from ledgerfold.sources.binding import EVENT_ORDER, TIE_COLS
 
 # ---------------------------------------------------------------------------
@@ -54,7 +61,7 @@ def _lot_events(detail: DataFrame, calendar: DataFrame, book: str) -> DataFrame:
 def fifo_intervals(detail: DataFrame, calendar: DataFrame, book: str = LONG) -> DataFrame:
     """Per event: its interval on the position's cumulative axis (buys: bought quantity,
     sells: effective sold quantity after dropping oversells)."""
-    ev = _lot_events(detail, calendar, book)
+    ev = _lot_events(encode_keys(detail), calendar, book)
     buy = F.when(F.col("q") > 0, F.col("q")).otherwise(F.lit(0))
     sell = F.when(F.col("q") < 0, -F.col("q")).otherwise(F.lit(0))
     # level 1: running sums inside one second of one position (ordered by the tie-break)
@@ -99,13 +106,14 @@ def fifo_intervals(detail: DataFrame, calendar: DataFrame, book: str = LONG) ->
     dropped = -F.least(F.col("gmin0"), F.col("r0") + in_day)
     dropped_prev = -F.least(F.col("gmin0"), F.col("r0") + in_day_prev)
     sq = -F.col("q")
-    return e.select(
+    out = e.select(
         *KEYS, "busi_date", *EVENT_ORDER, "q", "cash", "cash_c",
         F.when(F.col("q") > 0, b_cum - F.col("q")).alias("buy_start"),
         F.when(F.col("q") > 0, b_cum).alias("buy_end"),
         F.when(F.col("q") < 0, s_cum - sq - dropped_prev).alias("sell_start"),
         F.when(F.col("q") < 0, s_cum - dropped).alias("sell_end"),
     )
+    return decode_keys(out, detail)
 
 
 BUCKET_QTY = 1 << 20  # width of a cumulative-quantity bucket for the boundary merge
@@ -239,17 +247,17 @@ def lot_event_records(detail: DataFrame, book: str, order_cols: Sequence[str] =
 LOT_FIELDS = ["open_date", "orig_trd_qty", "orig_trd_amt", "trd_qty", "trd_amt", "close_amt", "unclose_qty",
               "unclose_amt", "weighted_term", "exception_label"]
 
-LOT_SCHEMA = T.StructType([
-    T.StructField("trade_id", T.StringType()), T.StructField("secu_acc_id", T.StringType()),
-    T.StructField("prd_no", T.StringType()), T.StructField("busi_date", T.StringType()),
-    T.StructField("open_date", T.StringType()),
-    T.StructField("orig_trd_qty", T.DoubleType()), T.StructField("orig_trd_amt", T.DoubleType()),
-    T.StructField("trd_qty", T.DoubleType()), T.StructField("trd_amt", T.DoubleType()),
-    T.StructField("close_qty", T.DoubleType()), T.StructField("close_amt", T.DoubleType()),
-    T.StructField("unclose_qty", T.DoubleType()), T.StructField("unclose_amt", T.DoubleType()),
-    T.StructField("return", T.DoubleType()), T.StructField("return_rate", T.DoubleType()),
-    T.StructField("weighted_term", T.DoubleType()), T.StructField("exception_label", T.IntegerType()),
-    T.StructField("closed", T.BooleanType()),
+_KEY_FIELDS = [T.StructField(k, T.StringType()) for k in KEYS]
+
+#: One run of days, ``from_rank`` to ``to_rank`` (trading-day ranks), in which a lot stays as it is.
+#: Quantities are whole units (see UNIT); ``term`` is the weighted term before the run, in TERM_UNITs.
+LOG_SCHEMA = T.StructType([
+    *_KEY_FIELDS, T.StructField("open_date", T.StringType()),
+    T.StructField("from_rank", T.IntegerType()), T.StructField("to_rank", T.IntegerType()),
+    T.StructField("orig", T.LongType()), T.StructField("orig_amt", T.DoubleType()),
+    T.StructField("size", T.LongType()), T.StructField("amt", T.DoubleType()),
+    T.StructField("proceeds", T.DoubleType()), T.StructField("rest", T.LongType()),
+    T.StructField("label", T.IntegerType()), T.StructField("term", T.LongType()),
 ])
 
 # kind of a stream row: 0 = seed lot, 1 = trade, 2 = end-of-day holdings tick
@@ -259,12 +267,21 @@ _SEED, _TRADE, _TICK = 0, 1, 2
 UNIT = 1_000_000
 """Quantities inside a ``LotBook`` are whole numbers of 1 / UNIT, so that shares of a lot add up exactly."""
 
+TERM_UNIT = 100_000_000_000
+"""A day's share of the weighted term (unsold / amortised quantity) counts in whole numbers of 1 / TERM_UNIT, half up, so that
+days times ratio is exactly the sum over the days."""
+
 
 def _ratio(a: float, b: float) -> float:
     """a / b, and 0 where b is 0 (D11)."""
     return a / b if b else 0.0
 
 
+def _term_share(rest: int, size: int) -> int:
+    """A day's share of the weighted term in TERM_UNITs."""
+    return (2 * rest * TERM_UNIT + size) // (2 * size) if size else 0
+
+
 @dataclass
 class Lot:
     """One lot; ``orig``, ``size`` and ``left`` are bought, amortised and unsold units."""
@@ -279,17 +296,17 @@ class Lot:
     value: float = 0.0
     term: float = 0.0
     label: int = 0
+    start: float = 0.0  # weighted term that the lot was restored with
 
     @classmethod
     def restore(cls, f: dict) -> Lot:
         units = lambda x: round(float(x) * UNIT)
         return cls(f["open_date"], units(f["orig_trd_qty"]), f["orig_trd_amt"], units(f["trd_qty"]), f["trd_amt"],
-                   f["close_amt"], units(f["unclose_qty"]), f["unclose_amt"], f["weighted_term"], int(f["exception_label"]))
+                   f["close_amt"], units(f["unclose_qty"]), f["unclose_amt"], f["weighted_term"], int(f["exception_label"]), f["weighted_term"])
 
-    def row(self, key: tuple, day: str) -> tuple:
-        gain = self.proceeds - self.amt
-        return (*key, day, self.open_date, self.orig / UNIT, self.orig_amt, self.size / UNIT, self.amt, (self.size - self.left) / UNIT,
-                self.proceeds, self.left / UNIT, self.value, gain, _ratio(gain, self.amt), self.term, self.label, not self.left)
+    def state(self) -> tuple:
+        """What a row of the log says of the lot."""
+        return self.orig, self.orig_amt, self.size, self.amt, self.proceeds, self.left, self.label
 
 
 class LotBook:
@@ -369,21 +386,19 @@ class LotBook:
     def reconcile(self, day: str, units: int, value: float) -> None:
         """Hold the open lots against the day's holdings, newest first; what holdings lack closes
         at cost with a label, what they have beyond all lots joins the day's lot with a label."""
-        if units <= 0:
-            units, value = 0, 0.0
+        held = rest = max(units, 0)
         for lot in reversed(self.queue):
-            if lot.left > units:
+            if lot.left > rest:
                 lot.label = 1
-                lot.proceeds += lot.amt * _ratio(lot.left - units, lot.size)
-                lot.left, lot.value = units, value
-            else:
-                lot.value = value * _ratio(lot.left, units)
-            units, value = units - lot.left, value - lot.value
+                lot.proceeds += lot.amt * _ratio(lot.left - rest, lot.size)
+                lot.left = rest
+            lot.value = value * _ratio(lot.left, held)
+            rest -= lot.left
         self.queue = deque(x for x in self.queue if x.left or self.done.append(x))
-        if units:
-            lot = self._todays(day)
-            self.buy(day, units, value)
-            lot.value, lot.label = lot.value + value, 1
+        if rest:
+            lot, cost = self._todays(day), value * _ratio(rest, held)
+            self.buy(day, rest, cost)
+            lot.value, lot.label = lot.value + cost, 1
 
     def day(self, trades: Iterable[tuple[float, float, int]], day: str, held: float, value: float) -> list[Lot]:
         """One day: trades (quantity, cash, amortise label) in order, then the holdings.
@@ -413,25 +428,64 @@ def _seed_columns(df: DataFrame | None = None) -> list:
             for f in LOT_FIELDS]
 
 
-def _lot_stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Fold sorted stream rows (position, rank, kind, order...) into daily lot rows."""
-    cols = [f.name for f in LOT_SCHEMA.fields]
-    key, seeds, book, trades = None, [], None, []
-    for pdf in batches:
-        out: list = []
-        columns = [pdf[c].tolist() for c in ("trade_id", "secu_acc_id", "prd_no", "kind", "busi_date", "q", "cash", "label")]
-        for at, (*k, kind, day, q, cash, label) in enumerate(zip(*columns)):
-            if tuple(k) != key:
-                key, seeds, book, trades = tuple(k), [], None, []
-            if kind == _SEED:
-                seeds.append(Lot.restore({f: pdf[f"s_{f}"].iat[at] for f in LOT_FIELDS}))
-            elif kind == _TRADE:
-                trades.append((q, cash, label))
-            else:
-                book = book or LotBook(seeds)
-                out += [lot.row(key, day) for lot in book.day(trades, day, q, cash)]
-                trades = []
-        yield pd.DataFrame(out, columns=cols)
+class _Runs:
+    """The log of one position: a row whenever a lot's run of unchanged days ends."""
+
+    def __init__(self, key: tuple):
+        self.key = key
+        self.open: dict[str, list] = {}  # by open date: first rank of the run, state, term before the run
+
+    def end(self, open_date: str, to_rank: int) -> tuple:
+        first, state, term = self.open.pop(open_date)
+        return (*self.key, open_date, first, to_rank, *state, term)
+
+    def day(self, lots: list[Lot], rank: int) -> list[tuple]:
+        """Rows of the runs that end before ``rank``, and of lots that close on it."""
+        out = []
+        for lot in lots:
+            state, held = lot.state(), self.open.get(lot.open_date)
+            if held is not None and held[1] == state:
+                continue
+            term = round(lot.start * TERM_UNIT)
+            if held is not None:
+                if held[0] < rank:
+                    out.append(self.end(lot.open_date, rank - 1))
+                term = held[2] + (rank - held[0]) * _term_share(held[1][5], held[1][2])
+            self.open[lot.open_date] = [rank, state, term]
+            if not lot.left:
+                out.append(self.end(lot.open_date, rank))
+        return out
+
+    def close(self, last_rank: int) -> list[tuple]:
+        return [self.end(d, last_rank) for d in sorted(self.open)]
+
+
+def _lot_runs(last_rank: int):
+    cols = [f.name for f in LOG_SCHEMA.fields]
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Fold sorted stream rows (position, rank, kind, order...) into runs of unchanged lots."""
+        runs, seeds, book, trades = None, [], None, []
+        for pdf in batches:
+            out: list = []
+            columns = [pdf[c].tolist() for c in (*KEYS, "kind", "busi_date", "rank", "q", "cash", "label")]
+            for at, (*k, kind, day, rank, q, cash, label) in enumerate(zip(*columns)):
+                if runs is None or tuple(k) != runs.key:
+                    out += runs.close(last_rank) if runs else []
+                    runs, seeds, book, trades = _Runs(tuple(k)), [], None, []
+                if kind == _SEED:
+                    seeds.append(Lot.restore({f: pdf[f"s_{f}"].iat[at] for f in LOT_FIELDS}))
+                elif kind == _TRADE:
+                    trades.append((q, cash, label))
+                else:
+                    book = book or LotBook(seeds)
+                    out += runs.day(book.day(trades, day, q, cash), int(rank))
+                    trades = []
+            yield pd.DataFrame(out, columns=cols)
+        if runs:
+            yield pd.DataFrame(runs.close(last_rank), columns=cols)
+
+    return fold
 
 
 def lot_state(rolled: DataFrame, busi_date: str) -> DataFrame:
@@ -439,23 +493,37 @@ def lot_state(rolled: DataFrame, busi_date: str) -> DataFrame:
     return rolled.where((~F.col("closed")) & (F.col("busi_date") == busi_date)).select(*KEYS, *LOT_FIELDS, "busi_date")
 
 
-def roll_lots(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_date: str, book: str = LONG,
-              qty_col: str = "qty", as_written_seed: bool = False, order_cols: Sequence[str] = EVENT_ORDER,
-              num_partitions: int | None = None, state: DataFrame | None = None,
-              until: str | None = None) -> DataFrame:
-    """Daily lot rows (open and closed) for every trading day after ``seed_date``.
-
-    Each position is processed on every trading day from its first seed lot, trade or
-    holdings row on (lots are re-emitted daily; holdings reconcile them every day; no
-    holdings row means holdings of 0).  Seed lots follow ``seed_lots``, or - to resume a daily run -
-    the open lots of ``seed_date`` given as ``state`` (``lot_state``).
-    """
+def _ticks(seeds: DataFrame, trades: DataFrame, held: DataFrame, s: int, max_rank: int) -> DataFrame:
+    """(position, rank) of the days on which lots can change, with the day's holdings (0 where there are none).
+
+    These are each position's first day (of its seed lots, trades or holdings), days with trades, and days
+    whose held quantity is not that of the day before.  Rows of holdings and marks meet in one grouping."""
+    w = Window.partitionBy(*KEYS).orderBy("rank")
+    units = lambda c: F.round(F.greatest(c, F.lit(0.0)) * UNIT)  # noqa: E731  what the fold sees of a quantity
+    h = held.select(*KEYS, "rank", "h_q", "h_v", F.lag("rank").over(w).alias("before"), F.lag("h_q").over(w).alias("was"), F.lead("rank").over(w).alias("next"))
+    same = (F.col("before") == F.col("rank") - 1) & (units(F.col("was")) == units(F.col("h_q")))
+    ends = (F.coalesce(F.col("next"), F.lit(max_rank + 1)) > F.col("rank") + 1) & (F.col("rank") < max_rank)
+    none = F.lit(None).cast("double")
+    marks = h.select(*KEYS, F.explode(F.array(F.struct("rank", "h_q", "h_v", (~F.coalesce(same, F.lit(False))).alias("mark")),
+                                              F.struct(F.when(ends, F.col("rank") + 1).alias("rank"), none.alias("h_q"), none.alias("h_v"), F.lit(True).alias("mark")))).alias("m")).select(*KEYS, "m.*")
+    starts = seeds.select(*KEYS, F.lit(s + 1).alias("rank")).unionByName(trades.select(*KEYS, "rank"))
+    starts = starts.select(*KEYS, "rank", none.alias("h_q"), none.alias("h_v"), F.lit(True).alias("mark"))
+    return marks.unionByName(starts).where(F.col("rank") <= max_rank).groupBy(*KEYS, "rank").agg(
+        F.coalesce(F.max("h_q"), F.lit(0.0)).alias("q"), F.coalesce(F.max("h_v"), F.lit(0.0)).alias("cash"), F.max("mark").alias("mark")).where("mark").drop("mark")
+
+
+def lot_log(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_date: str, book: str = LONG,
+            qty_col: str = "qty", as_written_seed: bool = False, order_cols: Sequence[str] = EVENT_ORDER,
+            num_partitions: int | None = None, state: DataFrame | None = None, until: str | None = None) -> DataFrame:
+    """Runs of unchanged lots (``LOG_SCHEMA``) after ``seed_date``; a closing row is a run of its closing day.
+    Keys are encoded (``keys.encode_keys``)."""
+    detail, holding = encode_keys(detail), encode_keys(holding)
     cal = day_side(calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank")), calendar_fits(calendar))
     s, max_rank = roll_bounds(calendar, seed_date, until)  # seed rank, last rank produced
     order = list(order_cols)
     no_order = [F.lit(None).cast("long").alias(f"o{i}") for i in range(len(order))]
 
-    seed_src = (state.where(F.col("busi_date") == seed_date) if state is not None
+    seed_src = (encode_keys(state).where(F.col("busi_date") == seed_date) if state is not None
                 else seed_lots(holding, seed_date, qty_col, as_written_seed))
     seeds = seed_src.select(
         *KEYS, F.lit(seed_date).alias("busi_date"), F.lit(s).alias("rank"), F.lit(_SEED).alias("kind"), *no_order,
@@ -467,27 +535,58 @@ def roll_lots(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_d
                       *[F.col(c).cast("long").alias(f"o{i}") for i, c in enumerate(order)],
                       F.col("trd_qty").cast("double").alias("q"), F.col("trd_cash_flow").cast("double").alias("cash"),
                       F.coalesce(F.col("amortize_label"), F.lit(0)).alias("label"), *_seed_columns()))
-    # one end-of-day tick per position and trading day from its first appearance (seed lot,
-    # trade or holdings row) on: holdings without lots still open (exception) lots
-    held = holding.join(cal, "busi_date").where((F.col("rank") > s) & (F.col("rank") <= max_rank)) \
-        .select(*KEYS, "rank")
-    first = seeds.select(*KEYS, "rank").unionByName(trades.select(*KEYS, "rank")).unionByName(held) \
-        .groupBy(*KEYS).agg(F.min("rank").alias("first_rank"))
-    start = F.greatest(F.col("first_rank"), F.lit(s + 1))
-    days = F.when(start <= max_rank, F.sequence(start, F.lit(max_rank))).otherwise(F.array().cast("array<int>"))
-    ticks = first.select(*KEYS, F.explode(days).alias("rank")).join(cal, "rank")
-    h = holding.select(*KEYS, "busi_date", F.col(qty_col).cast("double").alias("h_q"),
-                       F.col("mkt_val").cast("double").alias("h_v"))
-    ticks = ticks.join(h, KEYS + ["busi_date"], "left").select(
-        *KEYS, "busi_date", "rank", F.lit(_TICK).alias("kind"), *no_order,
-        F.coalesce("h_q", F.lit(0.0)).alias("q"), F.coalesce("h_v", F.lit(0.0)).alias("cash"),
-        F.lit(0).alias("label"), *_seed_columns())
+    held = _held(holding, cal, qty_col).where((F.col("rank") > s) & (F.col("rank") <= max_rank))
+    ticks = _ticks(seeds, trades, held, s, max_rank).join(cal, "rank").select(
+        *KEYS, "busi_date", "rank", F.lit(_TICK).alias("kind"), *no_order, "q", "cash", F.lit(0).alias("label"), *_seed_columns())
     stream = seeds.unionByName(trades).unionByName(ticks)
     n = num_partitions or int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # seed lots in list order (oldest first), then each day's trades in time order, then its tick
     sort_cols = [*KEYS, "rank", "kind", "s_open_date", *[f"o{i}" for i in range(len(order))]]
     stream = stream.repartition(n, *KEYS).sortWithinPartitions(*sort_cols)
-    return stream.mapInPandas(_lot_stream, LOT_SCHEMA)
+    return stream.mapInPandas(_lot_runs(max_rank), LOG_SCHEMA)
+
+
+def _held(holding: DataFrame, cal: DataFrame, qty_col: str) -> DataFrame:
+    """(position, rank) with the held quantity and value; NULLs count as 0."""
+    return holding.join(cal, "busi_date").select(*KEYS, "rank", F.coalesce(F.col(qty_col).cast("double"), F.lit(0.0)).alias("h_q"),
+                                                 F.coalesce(F.col("mkt_val").cast("double"), F.lit(0.0)).alias("h_v"))
+
+
+def expand_lots(log: DataFrame, holding: DataFrame, calendar: DataFrame, qty_col: str = "qty") -> DataFrame:
+    """Daily lot rows from ``lot_log``: every lot on every day of its runs, valued by its share of the day's holdings."""
+    cal = day_side(calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank")), calendar_fits(calendar))
+    days = log.select("*", F.explode(F.sequence("from_rank", "to_rank")).alias("rank"))
+    days = days.join(_held(encode_keys(holding), cal, qty_col), [*KEYS, "rank"], "left").join(cal, "rank")
+    qty = lambda c: F.col(c) / F.lit(float(UNIT))
+    ratio = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
+    wide = lambda c: F.col(c).cast("decimal(20,0)")
+    # a day's share of the term, as ``_term_share``
+    days = days.withColumn("_n", F.lit(2) * wide("rest") * F.lit(TERM_UNIT).cast("decimal(12,0)") + wide("size")).withColumn("_d", F.lit(2) * wide("size"))
+    term = F.col("term") + (F.col("rank") - F.col("from_rank") + 1) * F.when(F.col("size") != 0, F.expr("_n div _d")).otherwise(F.lit(0))
+    units = F.round(F.greatest(F.coalesce("h_q", F.lit(0.0)), F.lit(0.0)) * UNIT)
+    gain = F.col("proceeds") - F.col("amt")
+    return days.select(
+        *KEYS, "busi_date", "open_date", qty("orig").alias("orig_trd_qty"), F.col("orig_amt").alias("orig_trd_amt"),
+        qty("size").alias("trd_qty"), F.col("amt").alias("trd_amt"), ((F.col("size") - F.col("rest")) / F.lit(float(UNIT))).alias("close_qty"),
+        F.col("proceeds").alias("close_amt"), qty("rest").alias("unclose_qty"),
+        (F.coalesce("h_v", F.lit(0.0)) * ratio(F.col("rest"), units)).alias("unclose_amt"), gain.alias("return"),
+        ratio(gain, F.col("amt")).alias("return_rate"), (term / F.lit(float(TERM_UNIT))).alias("weighted_term"),
+        F.col("label").alias("exception_label"), (F.col("rest") == 0).alias("closed"))
+
+
+def roll_lots(detail: DataFrame, holding: DataFrame, calendar: DataFrame, seed_date: str, book: str = LONG,
+              qty_col: str = "qty", as_written_seed: bool = False, order_cols: Sequence[str] = EVENT_ORDER,
+              num_partitions: int | None = None, state: DataFrame | None = None,
+              until: str | None = None) -> DataFrame:
+    """Daily lot rows (open and closed) for every trading day after ``seed_date``.
+
+    Each position is processed on every trading day from its first seed lot, trade or
+    holdings row on (lots are re-emitted daily; holdings reconcile them every day; no
+    holdings row means holdings of 0).  Seed lots follow ``seed_lots``, or - to resume a daily run -
+    the open lots of ``seed_date`` given as ``state`` (``lot_state``).  The rows are those of ``lot_log``, expanded to days.
+    """
+    log = lot_log(detail, holding, calendar, seed_date, book, qty_col, as_written_seed, order_cols, num_partitions, state, until)
+    return decode_keys(expand_lots(log, holding, calendar, qty_col), detail)
 
 
 def open_lots(rolled: DataFrame) -> DataFrame:

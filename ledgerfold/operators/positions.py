@@ -35,7 +35,7 @@ position every day on Python workers.  Here the carried state is four numbers:
    and holdings are joined for remain_qty / remain_val.
 
 Only step 1 shuffles events; everything after works on per-chunk or
-per-position-day rows.  No Python runs.
+per-position-day rows.  No Python runs.  A NULL key part is a value of its own (``keys.encode_keys``).
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 
 from ledgerfold.functions.calendar import calendar_fits, day_side, roll_bounds
 from ledgerfold.functions.expressions import null_safe_ne, open_date_or
-from ledgerfold.keys import KEYS, LONG
+from ledgerfold.keys import KEYS, LONG, decode_keys, encode_keys
 from ledgerfold.sources.binding import EVENT_ORDER
 
 OPEN_COLUMNS = [
@@ -199,6 +199,9 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
     """
     if cost_rule not in COST_RULES:
         raise ValueError(f"cost_rule is one of {', '.join(COST_RULES)}")
+    types = detail
+    detail, holding = encode_keys(detail), encode_keys(holding)
+    state = encode_keys(state) if state is not None else None
     cal = day_side(calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank")), calendar_fits(calendar))
     s, max_rank = roll_bounds(calendar, seed_date, until)  # seed rank, last rank produced
     pos = KEYS
@@ -317,7 +320,7 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
     h_val = F.when(has_state, F.col("h_val"))
     ret = (F.abs("outc") if cost_rule == "average_cost" else F.col("outc")) + F.col("y") - F.col("inc")
     closed = F.col("x_end") == 0
-    return out.select(
+    out = out.select(
         *pos,
         F.when(closed, F.col("busi_date")).alias("close_date"),
         "open_date",
@@ -336,6 +339,7 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
         F.col("outc").alias("out_amt"),
         closed.alias("closed"),
     )
+    return decode_keys(out, types)
 
 
 def open_positions(rolled: DataFrame) -> DataFrame:
@@ -350,13 +354,18 @@ _DETAIL = "array<struct<trd_qty:bigint,trd_amt:double,trd_date:string,timestamp:
 
 
 def closed_position_details(closed: DataFrame, detail: DataFrame, holding: DataFrame, seed_date: str, book: str = LONG,
-                            qty_col: str = "qty", order_cols: Sequence[str] = EVENT_ORDER) -> DataFrame:
+                            qty_col: str = "qty", order_cols: Sequence[str] = EVENT_ORDER, cost_rule: str = "as_written") -> DataFrame:
     """Closed positions with ``trd_detail``: their events in order, each sell tagged with its
     return (cost / quantity before it, times its quantity; NULL on other events), the seed first.
+    ``cost_rule`` is the one that ``closed`` was rolled with.
 
     Built for closing rows only: the daily state stays free of the array, which holds
     a position's whole cycle because that is the table's column.
     """
+    if cost_rule not in COST_RULES:
+        raise ValueError(f"cost_rule is one of {', '.join(COST_RULES)}")
+    types = closed
+    closed, detail, holding = encode_keys(closed), encode_keys(detail), encode_keys(holding)
     span = closed.select(*KEYS, F.col("open_date").alias("_from"), F.col("close_date").alias("_to"))
     ok = F.col("trd_qty").isNotNull() & F.col("trd_amt").isNotNull() & F.col("timestamp").isNotNull()
     item = lambda seed, ts, order, q, a, day: F.struct(
@@ -372,14 +381,18 @@ def closed_position_details(closed: DataFrame, detail: DataFrame, holding: DataF
     def step(acc: Column, e: Column) -> Column:
         x, y, q, a = acc["x"], acc["y"], e["q"], e["a"]
         x1 = x + q
-        cost = F.when(q >= 0, y + a).when(x1 != 0, y + F.floor(F.try_divide(x1 + q, x1)) * y).otherwise(y + a)
+        if cost_rule == "average_cost":
+            sold = y * F.coalesce(F.try_divide(x1.cast("double"), x.cast("double")), F.lit(1.0))
+        else:
+            sold = F.when(x1 != 0, y + F.floor(F.try_divide(x1 + q, x1)) * y).otherwise(y + a)
+        cost = F.when(q >= 0, y + a).otherwise(sold)
         tag = F.when((q < 0) & e["later"] & (x != 0), F.try_divide(y, x.cast("double")) * q)
         row = F.struct(q.alias("trd_qty"), a.alias("trd_amt"), e["trd_date"].alias("trd_date"), e["timestamp"].alias("timestamp"), tag.alias("return"))
         return F.struct(x1.alias("x"), cost.alias("y"), F.concat(acc["rows"], F.array(row)).cast(_DETAIL).alias("rows"))
 
     zero = F.struct(F.lit(0).cast("long").alias("x"), F.lit(0.0).alias("y"), F.array().cast(_DETAIL).alias("rows"))
     tagged = ordered.select(*KEYS, F.col("_from").alias("open_date"), F.col("_to").alias("close_date"), F.aggregate("evs", zero, step, lambda acc: acc["rows"]).alias("trd_detail"))
-    return closed.join(tagged, KEYS + ["open_date", "close_date"], "left")
+    return decode_keys(closed.join(tagged, KEYS + ["open_date", "close_date"], "left"), types)
 
 
 def detail_array_return(details: DataFrame) -> DataFrame:

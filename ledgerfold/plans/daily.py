@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.keys import LONG
+from ledgerfold.keys import LONG, SHORT
 from ledgerfold.operators.exceptions import exception_detail, exception_stat
 from ledgerfold.operators.lots import closed_lots, lot_state, open_lots, roll_lots
 from ledgerfold.operators.positions import closed_positions, open_positions, position_state, roll_positions
@@ -50,16 +50,18 @@ def previous_trading_days(calendar: DataFrame, day: str) -> tuple[str, str] | No
 
 
 def run_day(tables, day: str, position_state_t2: DataFrame, lot_state_t2: DataFrame, book: str = LONG) -> DayOutputs:
-    """All partitions for trading day ``day`` (written as busi_date = T1)."""
+    """All partitions for trading day ``day`` (written as busi_date = T1).  The check covers both books; positions
+    and lots are those of ``book``, from asset holdings (long) or debt holdings (short)."""
     days = previous_trading_days(tables.trading_day, day)
     if days is None:
         raise ValueError(f"{day} is not a trading day with two previous trading days")
     t2, t1 = days
     check = backfill("check", tables, day, day)
     events = tables.cash_flow_detail.where(F.col("busi_date") == t1)
-    holding = tables.stock_asset_holding.where(F.col("busi_date") == t1)
-    rolled = roll_positions(events, holding, tables.trading_day, t2, book, state=position_state_t2, until=t1)
-    lots = roll_lots(events, holding, tables.trading_day, t2, book, state=lot_state_t2, until=t1)
+    held, qty_col = (tables.stock_debt_holding, "liab_qty") if book == SHORT else (tables.stock_asset_holding, "qty")
+    holding = held.where(F.col("busi_date") == t1)
+    rolled = roll_positions(events, holding, tables.trading_day, t2, book, qty_col, state=position_state_t2, until=t1)
+    lots = roll_lots(events, holding, tables.trading_day, t2, book, qty_col, state=lot_state_t2, until=t1)
     return DayOutputs(
         t1=t1,
         cash_flow=backfill("merge", tables, day, day),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import calendar, events, holdings
-from ledgerfold.operators.lots import UNIT, Lot, LotBook, closed_lots, fifo_lots, fifo_matches, open_lots, roll_lots
+from ledgerfold.operators.lots import TERM_UNIT, UNIT, Lot, LotBook, closed_lots, fifo_lots, fifo_matches, lot_log, open_lots, roll_lots
 
 
 def lot(open_date, qty, amt, value=0.0):
@@ -158,3 +158,55 @@ def test_roll_lots_resume_from_state_equals_whole_range(spark, small):
     a = sorted(map(tuple, full.where(F.col("busi_date") > mid).collect()), key=repr)
     b = sorted(map(tuple, resumed.collect()), key=repr)
     assert len(a) > 0 and a == b
+
+
+def test_the_log_tells_changes_only_and_expands_to_every_day(spark):
+    days = [f"2017-{m:02d}-{d:02d}" for m in range(1, 11) for d in range(1, 29)]
+    ev = events(spark, [("1", "1.1", days[1], 1, 10, 100.0), ("1", "1.1", days[100], 1, 5, 60.0), ("1", "1.1", days[200], 1, -12, -150.0)])
+    held = lambda i: 10 if i < 100 else 15 if i < 200 else 3
+    h = holdings(spark, [("1", "1.1", d, held(i), held(i) * 11.0 + i) for i, d in enumerate(days) if i])
+    cal = calendar(spark, days)
+    log = sorted(lot_log(ev, h, cal, days[0]).collect(), key=lambda r: (r.open_date, r.from_rank))
+    # days[i] has rank i + 1; the sale takes all of the first lot and two of the second
+    assert [(r.open_date, r.from_rank, r.to_rank, r.rest // UNIT) for r in log] == [
+        (days[1], 2, 200, 10), (days[1], 201, 201, 0), (days[100], 101, 200, 5), (days[100], 201, len(days), 3)]
+    rows = roll_lots(ev, h, cal, days[0]).collect()
+    assert len(rows) == sum(r.to_rank - r.from_rank + 1 for r in log)
+    last = {r.busi_date: r for r in rows if r.open_date == days[100]}
+    assert last[days[199]].weighted_term == 100 and last[days[209]].weighted_term == 100 + 10 * 0.6
+    assert last[days[250]].unclose_amt == pytest.approx(3 * 11.0 + 250)
+
+
+def test_runs_of_days_equal_the_book_kept_daily(spark):
+    """Random trades, gaps and jumps of holdings: the expanded log against a LotBook that is called on every day."""
+    rng = random.Random(3)
+    days = [f"2017-03-{d:02d}" for d in range(1, 25)]
+    trades, held, want = [], [], []
+    for pos in map(str, range(40)):
+        book, since = LotBook(), None
+        for rank, day in enumerate(days[1:], 2):
+            todays = [(float(rng.randint(-9, 9)), float(rng.randint(-500, 500)), rng.choice([0, 0, 0, 1])) for _ in range(rng.choice([0, 0, 0, 0, 1, 3]))]
+            trades += [(pos, "1.1", day, rank * 100 + k, int(q), c, c, "B", label) for k, (q, c, label) in enumerate(todays)]
+            total = sum(x.left for x in book.queue) // UNIT
+            qty = rng.choice([None, total, total, total, total, rng.randint(-3, 30)])
+            if qty is not None:
+                held.append((pos, "1.1", day, qty, 7.5 * qty))
+            since = since or (rank if todays or qty is not None else None)
+            if since:
+                want += [(pos, day, x.open_date, x.size, x.amt, x.proceeds, x.left, x.label, round(x.term, 6)) for x in book.day(todays, day, float(qty or 0), 7.5 * (qty or 0))]
+    got = roll_lots(events(spark, trades), holdings(spark, held), calendar(spark, days), days[0]).collect()
+    got = [(r.trade_id, r.busi_date, r.open_date, round(r.trd_qty * UNIT), r.trd_amt, r.close_amt, round(r.unclose_qty * UNIT), r.exception_label, round(r.weighted_term, 6)) for r in got]
+    assert sorted(got) == sorted(want) and len(want) > 500
+    assert TERM_UNIT > 10**6 * len(days)
+
+
+def test_a_null_key_part_is_a_value_of_its_own(spark):
+    days = [f"2017-03-{d:02d}" for d in range(14, 20)]
+    rows = [("1.1", days[1], 1, 10, 100.0), ("1.1", days[2], 1, 5, 60.0), ("1.1", days[3], 1, -12, -150.0)]
+    held = [("1.1", days[1], 10, 110.0), ("1.1", days[2], 15, 170.0), ("1.1", days[3], 3, 40.0), ("1.1", days[4], 3, 41.0)]
+    plain, null = ((events(spark, [(t, *r) for r in rows]), holdings(spark, [(t, *r) for r in held])) for t in ("7", None))
+    cal = calendar(spark, days)
+    for result in (lambda e, h: roll_lots(e, h, cal, days[0]), lambda e, h: fifo_lots(e, cal), lambda e, h: fifo_matches(e, cal)):
+        a, b = (sorted((tuple(r)[1:] for r in result(*x).collect()), key=repr) for x in (plain, null))
+        assert a == b and len(a) > 0
+    assert {r.trade_id for r in roll_lots(*null, cal, days[0]).collect()} == {None}

@@ -11,7 +11,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from ledgerfold.plans.queries import QUERIES as OWN
 
 SF = "/root/testdata/sf0.001"
-NO_ORACLE = {"lots_open", "lots_closed"}
+NO_ORACLE = set()
 
 
 def _norm(v):
@@ -36,9 +36,8 @@ def test_every_query_has_an_oracle_or_is_listed():
     assert set(OWN) - set(oracle_sql()) == NO_ORACLE
 
 
-def test_lots_without_sql_balance_and_follow_from_each_other(spark):
-    """lots_open and lots_closed have no SQL: their quantities are checked by dq_lots_balance, and here
-    every lot's figures against each other and the sequence of its days."""
+def test_lots_balance_and_follow_from_each_other(spark):
+    """Every lot's figures against each other and the sequence of its days, beside the SQL of both tables."""
     lots = OWN["lots_open"](spark, SF).toPandas()
     assert (lots.unclose_qty > 0).all() and (lots.trd_qty - lots.close_qty - lots.unclose_qty).abs().max() < 1e-6
     assert (lots.unclose_qty * 1e6 - (lots.unclose_qty * 1e6).round()).abs().max() < 1e-3 and lots.unclose_qty.min() >= 1e-6
