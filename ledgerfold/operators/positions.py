@@ -353,30 +353,33 @@ def closed_positions(rolled: DataFrame) -> DataFrame:
 _DETAIL = "array<struct<trd_qty:bigint,trd_amt:double,trd_date:string,timestamp:bigint,return:double>>"
 
 
-def closed_position_details(closed: DataFrame, detail: DataFrame, holding: DataFrame, seed_date: str, book: str = LONG,
-                            qty_col: str = "qty", order_cols: Sequence[str] = EVENT_ORDER, cost_rule: str = "as_written") -> DataFrame:
-    """Closed positions with ``trd_detail``: their events in order, each sell tagged with its
+def position_details(spans: DataFrame, detail: DataFrame, holding: DataFrame, seed_date: str, book: str = LONG,
+                     qty_col: str = "qty", order_cols: Sequence[str] = EVENT_ORDER, cost_rule: str = "as_written") -> DataFrame:
+    """``trd_detail`` of each span (position, open_date, last_date): its events in order, each sell tagged with its
     return (cost / quantity before it, times its quantity; NULL on other events), the seed first.
-    ``cost_rule`` is the one that ``closed`` was rolled with.
 
-    Built for closing rows only: the daily state stays free of the array, which holds
-    a position's whole cycle because that is the table's column.
-    """
+    Spans of a position don't overlap.  The days on which it has events get their span by one ordered pass over days (the last
+    span that opened); events then join their day, so cycles and events never meet in pairs.
+    ``cost_rule`` is the one that the positions were rolled with."""
     if cost_rule not in COST_RULES:
         raise ValueError(f"cost_rule is one of {', '.join(COST_RULES)}")
-    types = closed
-    closed, detail, holding = encode_keys(closed), encode_keys(detail), encode_keys(holding)
-    span = closed.select(*KEYS, F.col("open_date").alias("_from"), F.col("close_date").alias("_to"))
+    types = spans
+    spans, detail, holding = encode_keys(spans), encode_keys(detail), encode_keys(holding)
     ok = F.col("trd_qty").isNotNull() & F.col("trd_amt").isNotNull() & F.col("timestamp").isNotNull()
-    item = lambda seed, ts, order, q, a, day: F.struct(
-        day.alias("trd_date"), (~seed).alias("later"), *[c.cast("long").alias(f"o{i}") for i, c in enumerate(order)],
-        q.cast("long").alias("q"), a.cast("double").alias("a"), ts.cast("long").alias("timestamp"))
-    ev = detail.where((F.col("trd_type") == book) & ok).select(*KEYS, item(
-        F.lit(False), F.col("timestamp"), [F.col(c) for c in order_cols], F.col("trd_qty"), F.col("trd_amt"), F.col("busi_date")).alias("e"))
-    seeds = holding.where(F.col("busi_date") == seed_date).select(*KEYS, item(
-        F.lit(True), F.lit(None), [F.lit(None)] * len(order_cols), F.col(qty_col), F.col("mkt_val"), F.col("busi_date")).alias("e"))
-    mine = span.join(ev.where(F.col("e.trd_date") > seed_date).unionByName(seeds), KEYS).where((F.col("e.trd_date") >= F.col("_from")) & (F.col("e.trd_date") <= F.col("_to")))
-    ordered = mine.groupBy(*KEYS, "_from", "_to").agg(F.sort_array(F.collect_list("e")).alias("evs"))
+    item = lambda seed, ts, order, q, a: F.struct(
+        F.col("busi_date").alias("trd_date"), F.lit(not seed).alias("later"), *[c.cast("long").alias(f"o{i}") for i, c in enumerate(order)],
+        q.cast("long").alias("q"), a.cast("double").alias("a"), ts.cast("long").alias("timestamp")).alias("e")
+    ev = detail.where((F.col("trd_type") == book) & ok & (F.col("busi_date") > seed_date)).select(
+        *KEYS, "busi_date", item(False, F.col("timestamp"), [F.col(c) for c in order_cols], F.col("trd_qty"), F.col("trd_amt")))
+    seeds = holding.where(F.col("busi_date") == seed_date).select(
+        *KEYS, "busi_date", item(True, F.lit(None), [F.lit(None)] * len(order_cols), F.col(qty_col), F.col("mkt_val")))
+    ev = ev.unionByName(seeds)
+    span = spans.select(*KEYS, F.col("open_date").alias("busi_date"), F.struct("open_date", "last_date").alias("span"))
+    days = ev.select(*KEYS, "busi_date").distinct().withColumn("span", F.lit(None).cast(span.schema["span"].dataType)).unionByName(span)
+    days = days.groupBy(*KEYS, "busi_date").agg(F.max("span").alias("span"))
+    days = days.withColumn("span", F.last("span", ignorenulls=True).over(Window.partitionBy(*KEYS).orderBy("busi_date")))
+    days = days.where(F.col("busi_date") <= F.col("span.last_date"))
+    ordered = ev.join(days, [*KEYS, "busi_date"]).groupBy(*KEYS, "span").agg(F.sort_array(F.collect_list("e")).alias("evs"))
 
     def step(acc: Column, e: Column) -> Column:
         x, y, q, a = acc["x"], acc["y"], e["q"], e["a"]
@@ -391,8 +394,51 @@ def closed_position_details(closed: DataFrame, detail: DataFrame, holding: DataF
         return F.struct(x1.alias("x"), cost.alias("y"), F.concat(acc["rows"], F.array(row)).cast(_DETAIL).alias("rows"))
 
     zero = F.struct(F.lit(0).cast("long").alias("x"), F.lit(0.0).alias("y"), F.array().cast(_DETAIL).alias("rows"))
-    tagged = ordered.select(*KEYS, F.col("_from").alias("open_date"), F.col("_to").alias("close_date"), F.aggregate("evs", zero, step, lambda acc: acc["rows"]).alias("trd_detail"))
-    return decode_keys(closed.join(tagged, KEYS + ["open_date", "close_date"], "left"), types)
+    out = ordered.select(*KEYS, "span.*", F.aggregate("evs", zero, step, lambda acc: acc["rows"]).alias("trd_detail"))
+    return decode_keys(out, types)
+
+
+def _with_details(rows: DataFrame, last: str, detail: DataFrame, holding: DataFrame, seed_date: str, *how) -> DataFrame:
+    spans = rows.select(*KEYS, "open_date", F.col(last).alias("last_date"))
+    found = encode_keys(position_details(spans, detail, holding, seed_date, *how)).withColumnRenamed("last_date", last)
+    return decode_keys(encode_keys(rows).join(found, [*KEYS, "open_date", last], "left"), rows)
+
+
+def closed_position_details(closed: DataFrame, detail: DataFrame, holding: DataFrame, seed_date: str, book: str = LONG,
+                            qty_col: str = "qty", order_cols: Sequence[str] = EVENT_ORDER, cost_rule: str = "as_written") -> DataFrame:
+    """Closed positions with ``trd_detail`` (``position_details``).
+
+    Built for closing rows only: the daily state stays free of the array, which holds
+    a position's whole cycle because that is the table's column.
+    """
+    return _with_details(closed, "close_date", detail, holding, seed_date, book, qty_col, order_cols, cost_rule)
+
+
+def open_position_details(open_rows: DataFrame, detail: DataFrame, holding: DataFrame, seed_date: str, book: str = LONG,
+                          qty_col: str = "qty", order_cols: Sequence[str] = EVENT_ORDER, cost_rule: str = "as_written") -> DataFrame:
+    """One day's open positions with ``trd_detail``, their history up to that day (``position_details``)."""
+    return _with_details(open_rows, "busi_date", detail, holding, seed_date, book, qty_col, order_cols, cost_rule)
+
+
+def position_base(open_rows: DataFrame, detail: DataFrame, holding: DataFrame, calendar: DataFrame, book: str = LONG,
+                  qty_col: str = "qty", order_cols: Sequence[str] = EVENT_ORDER) -> DataFrame:
+    """What a day's roll starts from, for every trading day T1: the positions open on the trading day before, beside the
+    day's events in order, and for open ones what is held on T1.  A position has a row if it is open or has events.
+
+    The three inputs are tagged and meet in one grouping by (position, day); each is read and shuffled once."""
+    cal = day_side(calendar.select("busi_date", F.col("rlt_rank").cast("int").alias("rank")), calendar_fits(calendar))
+    t1 = day_side(calendar.select((F.col("rlt_rank").cast("int") - 1).alias("rank"), F.col("busi_date").alias("t1")), calendar_fits(calendar))
+    state = open_rows.join(cal, "busi_date").join(t1, "rank").select(*KEYS, F.col("t1").alias("busi_date"), F.struct("open_date", F.col("remain_qty").alias("state_qty")).alias("state"))
+    ok = F.col("trd_qty").isNotNull() & F.col("trd_amt").isNotNull() & F.col("timestamp").isNotNull()
+    event = F.struct(*[F.col(c) for c in order_cols], F.col("trd_qty"), F.col("trd_amt"))
+    events = detail.where((F.col("trd_type") == book) & ok).select(*KEYS, "busi_date", event.alias("event"))
+    held = holding.select(*KEYS, "busi_date", F.struct(F.col(qty_col).cast("long").alias("remain_qty"), F.col("mkt_val").cast("double").alias("remain_val")).alias("held"))
+    rows = state.unionByName(events, allowMissingColumns=True).unionByName(held, allowMissingColumns=True)
+    g = rows.groupBy(*KEYS, "busi_date").agg(F.max("state").alias("state"), F.sort_array(F.collect_list("event")).alias("events"), F.max("held").alias("held"))
+    is_open = F.col("state").isNotNull()
+    return g.where(is_open | (F.size("events") > 0)).select(
+        *KEYS, "busi_date", "state.open_date", "state.state_qty", "events",
+        F.when(is_open, F.col("held.remain_qty")).alias("remain_qty"), F.when(is_open, F.col("held.remain_val")).alias("remain_val"))
 
 
 def detail_array_return(details: DataFrame) -> DataFrame:
@@ -407,14 +453,25 @@ def detail_return_check(closed: DataFrame) -> DataFrame:
         *KEYS, "busi_date", "return", F.col("detail_return").alias("detail_return_sum"))
 
 
-def detail_maps(records: DataFrame, fields: Sequence[str] = ("trd_qty", "trd_amt", "trd_date", "timestamp"),
-                col: str = "trd_detail") -> DataFrame:
+DETAIL_FIELDS = ("trd_qty", "trd_amt", "trd_date", "timestamp")
+
+
+def detail_maps(records: DataFrame, fields: Sequence[str] = DETAIL_FIELDS, col: str = "trd_detail", optional: Sequence[str] = ()) -> DataFrame:
     """Convert an array of event structs (``event_records``) to the table format of the original
     position tables, ``array<map<string,string>>`` with every value as text.  Structs are used
-    inside the engine; maps only at this boundary."""
-    def to_map(e):
-        kv = []
-        for f in fields:
-            kv += [F.lit(f), e[f].cast("string")]
-        return F.create_map(*kv)
+    inside the engine; maps only at this boundary.  A NULL ``optional`` field (a tag) has no entry."""
+    def to_map(e: Column) -> Column:
+        pair = lambda f: F.create_map(F.lit(f), e[f].cast("string"))
+        none = F.create_map().cast("map<string,string>")
+        return F.map_concat(*[pair(f) for f in fields], *[F.when(e[f].isNotNull(), pair(f)).otherwise(none) for f in optional])
     return records.withColumn(col, F.transform(col, to_map))
+
+
+def parse_detail_maps(records: DataFrame, col: str = "trd_detail") -> DataFrame:
+    """The typed events of stored maps: what ``detail_maps`` wrote, or maps of other writers.  Text that is no
+    number gives NULL, as does an entry that is missing; quantities may be written as decimals."""
+    def parse(m: Column) -> Column:
+        whole = lambda f: F.coalesce(m[f].try_cast("long"), m[f].try_cast("double").try_cast("long"))
+        return F.struct(whole("trd_qty").alias("trd_qty"), m["trd_amt"].try_cast("double").alias("trd_amt"), m["trd_date"].alias("trd_date"),
+                        whole("timestamp").alias("timestamp"), m["return"].try_cast("double").alias("return"))
+    return records.withColumn(col, F.transform(col, parse).cast(_DETAIL))

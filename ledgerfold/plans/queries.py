@@ -19,8 +19,9 @@ from ledgerfold.operators.cashflow import merge_cash_flow
 from ledgerfold.operators.exceptions import exception_detail, exception_stat
 from ledgerfold.operators.lots import (closed_lots, fifo_lots, fifo_matches, lot_event_records, open_lots, roll_lots,
                                        seed_lots)
-from ledgerfold.operators.positions import (closed_position_details, closed_positions, detail_array_return, detail_return_check, event_records, open_positions,
-                                            position_state, roll_positions, seed_open_positions)
+from ledgerfold.operators.positions import (DETAIL_FIELDS, closed_position_details, closed_positions, detail_array_return, detail_maps,
+                                            detail_return_check, event_records, open_position_details, open_positions, parse_detail_maps,
+                                            position_base, position_state, roll_positions, seed_open_positions)
 from ledgerfold.operators.quality import error_count_diff, error_counts, qty_identity
 from ledgerfold.plans.backfill import backfill
 from ledgerfold.sinks.tables import append, create_table, empty_like, replace_day, write_partitioned
@@ -176,20 +177,79 @@ def q_dq_detail_return(spark, sf_dir):
     return detail_return_check(closed_positions(_rolled(spark, sf_dir)))
 
 
-def q_positions_closed_detail(spark, sf_dir):
+def _detail_text(col: str = "trd_detail"):
+    """Events as ``date@quantity@cents`` and, for sells, ``@cents of the return tag``."""
+    cents = lambda c: F.round(c * 100).cast("long").cast("string")
+    return F.concat_ws(",", F.transform(col, lambda e: F.concat_ws("@", e["trd_date"], e["trd_qty"].cast("string"), cents(e["trd_amt"]), cents(e["return"]))))
+
+
+def _closed_detail(spark, sf_dir, book=LONG):
+    t = tables(spark, sf_dir)
+    held, qty_col = (t.stock_debt_holding, "liab_qty") if book == SHORT else (t.stock_asset_holding, "qty")
+    return closed_position_details(closed_positions(_rolled(spark, sf_dir, book)), t.cash_flow_detail, held, _first_day(t), book, qty_col)
+
+
+def q_positions_closed_detail(spark, sf_dir, book=LONG):
     """Closed positions with their events and return tags as text, in whole cents."""
+    details = _closed_detail(spark, sf_dir, book)
+    return details.select(*KEYS, "open_date", "close_date", F.size("trd_detail").cast("long").alias("n_items"), _detail_text().alias("detail"))
+
+
+def q_positions_closed_detail_short(spark, sf_dir):
+    return q_positions_closed_detail(spark, sf_dir, SHORT)
+
+
+def q_positions_open_detail(spark, sf_dir):
+    """The last day's open positions: their history is written as text maps, as the position tables hold it, read back and parsed."""
     t = tables(spark, sf_dir)
-    first = _first_day(t)
-    details = closed_position_details(closed_positions(_rolled(spark, sf_dir)), t.cash_flow_detail, t.stock_asset_holding, first)
-    part = lambda e: F.concat_ws("@", e["trd_date"], e["trd_qty"].cast("string"), F.round(e["trd_amt"] * 100).cast("long").cast("string"))
-    return details.select(*KEYS, "open_date", "close_date", F.size("trd_detail").cast("long").alias("n_items"),
-                          F.concat_ws(",", F.transform("trd_detail", part)).alias("detail"))
+    last = _rolled(spark, sf_dir).where(F.col("busi_date") == _bounds(t)[1])
+    details = open_position_details(open_positions(last), t.cash_flow_detail, t.stock_asset_holding, _first_day(t))
+    path = _scratch(spark, "open-detail")
+    write_partitioned(detail_maps(details.select(*KEYS, "open_date", "trd_detail", "busi_date"), DETAIL_FIELDS, optional=("return",)), path, fmt="orc", replace="all")
+    stored_maps = spark.read.schema("trade_id string, secu_acc_id string, prd_no string, open_date string, trd_detail array<map<string,string>>, busi_date string").orc(path)
+    back = parse_detail_maps(stored_maps)
+    return back.select(*KEYS, "open_date", "busi_date", F.size("trd_detail").cast("long").alias("n_items"), _detail_text().alias("detail"))
 
 
-def q_dq_detail_array(spark, sf_dir):
+def q_position_base(spark, sf_dir):
+    """What every day's roll of the long book starts from: state of the day before, events as text, holdings."""
+    t = tables(spark, sf_dir)
+    base = position_base(open_positions(_rolled(spark, sf_dir)), t.cash_flow_detail, t.stock_asset_holding, t.trading_day)
+    text = F.concat_ws(",", F.transform("events", lambda e: F.concat_ws("@", e["trd_qty"].cast("string"), F.round(e["trd_amt"] * 100).cast("long").cast("string"), e["timestamp"].cast("string"))))
+    whole = {c: F.col(c).cast("double") for c in ("state_qty", "remain_qty")}  # NULL where there is no state
+    return base.withColumns(whole).withColumn("n_events", F.size("events").cast("long")).withColumn("events", text)
+
+
+def _unknown_account(df):
+    """One customer's first account is not known."""
+    return df.withColumn("secu_acc_id", F.when(~((F.col("trade_id") == "7") & (F.col("secu_acc_id") == "0")), F.col("secu_acc_id")))
+
+
+def q_positions_null_keys(spark, sf_dir):
     t = tables(spark, sf_dir)
-    details = closed_position_details(closed_positions(_rolled(spark, sf_dir)), t.cash_flow_detail, t.stock_asset_holding, _first_day(t))
-    return rounded(detail_array_return(details), money=("return", "detail_return_sum"))
+    return open_positions(roll_positions(_unknown_account(t.cash_flow_detail), _unknown_account(t.stock_asset_holding), t.trading_day, _first_day(t)))
+
+
+def q_fifo_null_keys(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return fifo_lots(_unknown_account(t.cash_flow_detail), t.trading_day)
+
+
+def q_lots_null_keys(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return open_lots(roll_lots(_unknown_account(t.cash_flow_detail), _unknown_account(t.stock_asset_holding), t.trading_day, _first_day(t)))
+
+
+def q_lots_open_short(spark, sf_dir):
+    return open_lots(_lots(spark, sf_dir, SHORT))
+
+
+def q_lots_closed_short(spark, sf_dir):
+    return closed_lots(_lots(spark, sf_dir, SHORT))
+
+
+def q_dq_detail_array(spark, sf_dir):
+    return rounded(detail_array_return(_closed_detail(spark, sf_dir)), money=("return", "detail_return_sum"))
 
 
 def q_event_records(spark, sf_dir):
@@ -228,8 +288,10 @@ def q_fifo_lots(spark, sf_dir):
     return fifo_lots(t.cash_flow_detail, t.trading_day, LONG)
 
 
-def _lots(spark, sf_dir):
+def _lots(spark, sf_dir, book=LONG):
     t = tables(spark, sf_dir)
+    if book == SHORT:
+        return roll_lots(t.cash_flow_detail, t.stock_debt_holding, t.trading_day, _first_day(t), SHORT, "liab_qty")
     return roll_lots(t.cash_flow_detail, t.stock_asset_holding, t.trading_day, _first_day(t), LONG)
 
 
@@ -412,4 +474,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fifo_matches_short": q_fifo_matches_short,
     "fifo_lots_short": q_fifo_lots_short,
     "dq_lots_balance": q_dq_lots_balance,
+    "lots_open_short": q_lots_open_short,
+    "lots_closed_short": q_lots_closed_short,
+    "positions_closed_detail_short": q_positions_closed_detail_short,
+    "positions_open_detail": q_positions_open_detail,
+    "position_base": q_position_base,
+    "positions_null_keys": q_positions_null_keys,
+    "fifo_null_keys": q_fifo_null_keys,
+    "lots_null_keys": q_lots_null_keys,
 }

@@ -167,3 +167,56 @@ def test_detail_array_of_a_closed_position(spark):
     (r,) = details.collect()
     assert [(e["trd_qty"], e["trd_amt"], e["return"]) for e in r.trd_detail] == [(100, 1000.0, None), (-100, -1200.0, pytest.approx(-1000.0))]
     assert detail_array_return(details).collect()[0].detail_return_sum == pytest.approx(r.detail_return)
+
+
+def test_a_null_key_part_is_a_position_of_its_own(spark):
+    days = [S, D, "2017-03-17", "2017-03-20"]
+    rows = [("1.1", D, 1, 10, 0.0, 100.0), ("1.1", "2017-03-17", 1, -4, 0.0, -60.0), ("1.1", "2017-03-20", 1, -6, 0.0, -70.0)]
+    held = [("1.1", S, 3, 30.0), ("1.1", "2017-03-17", 9, 99.0)]
+    plain, null = ((events(spark, [(t, *r) for r in rows]), holdings(spark, [(t, *r) for r in held])) for t in ("7", None))
+    a, b = (sorted((tuple(r)[1:] for r in roll_positions(*x, calendar(spark, days), S).collect()), key=repr) for x in (plain, null))
+    assert a == b and len(a) == 3
+
+
+def _details_by_hand(items, cost_rule):
+    """Return tags of (quantity, amount) items, the first of which is no seed."""
+    x, y, tags = 0, 0.0, []
+    for q, a in items:
+        tags.append(y / x * q if q < 0 and x else None)
+        x1 = x + q
+        if q >= 0:
+            y += a
+        elif cost_rule == "average_cost":
+            y *= x1 / x if x else 1.0
+        else:
+            y = y + (x1 + q) // x1 * y if x1 else y + a
+        x = x1
+    return tags
+
+
+@pytest.mark.parametrize("cost_rule", ["as_written", "average_cost"])
+def test_details_follow_the_cost_rule_and_add_up(spark, cost_rule):
+    from ledgerfold.operators.positions import closed_position_details, detail_maps, parse_detail_maps
+
+    days = [S, D, "2017-03-17", "2017-03-20", "2017-03-21"]
+    first = [(10, 100.0), (-4, -60.0), (5, 45.0), (-11, -130.0)]
+    ev = events(spark, [("1", "1.1", days[1 + (k > 1)], k, q, 0.0, a) for k, (q, a) in enumerate(first)] + [("1", "1.1", days[4], 1, 2, 0.0, 9.0)])
+    h = holdings(spark, [])
+    closed = closed_positions(roll_positions(ev, h, calendar(spark, days), S, cost_rule=cost_rule))
+    details = closed_position_details(closed, ev, h, S, cost_rule=cost_rule)
+    row = _one(details)
+    assert [e["return"] for e in row.trd_detail] == pytest.approx(_details_by_hand(first, cost_rule))
+    assert sum(e["return"] or 0.0 for e in row.trd_detail) == pytest.approx(row.detail_return)
+    # the stored form holds text only, and parses back to the same values
+    maps = detail_maps(details, optional=("return",))
+    texts = _one(maps).trd_detail
+    assert texts[0] == {"trd_qty": "10", "trd_amt": "100.0", "trd_date": D, "timestamp": "0"} and "return" in texts[1]
+    assert _one(parse_detail_maps(maps)).trd_detail == row.trd_detail
+
+
+def test_stored_maps_of_other_writers_parse(spark):
+    from ledgerfold.operators.positions import parse_detail_maps
+
+    maps = [{"trd_qty": "1.2E3", "trd_amt": "1.2345679E7", "trd_date": "2017-03-16"}, {"trd_qty": "x", "return": "-5"}, {}]
+    got = _one(parse_detail_maps(spark.createDataFrame([(maps,)], "trd_detail array<map<string,string>>"))).trd_detail
+    assert [tuple(e) for e in got] == [(1200, 12345679.0, "2017-03-16", None, None), (None, None, None, None, -5.0), (None,) * 5]
