@@ -10,9 +10,8 @@ running minimum of the signed position).  A buy and a sell match on the overlap
 of their intervals, cash pro rata by quantity.  The overlaps are found by
 merging the interval end points in axis order (windows over sorted boundaries,
 per bucket of the quantity axis), never by pairing every buy with every sell.
-Cumulative sums are three-level: within (position, day, second), over the
-seconds of a day, then over the position's days (bounded by the calendar), so a
-busy position is spread over many tasks.
+Cumulative sums run inside ranges of the sorted events, and each range adds what its first position
+brings from the ranges before it, so a busy position - even a busy second of it - is spread over many tasks.
 
 ``roll_lots`` - the full lot fold with amortising trades, sells across
 lots, holdings reconciliation (newest lot first), surplus holdings and the
@@ -31,17 +30,22 @@ A NULL key part is a value of its own in all of these (``keys.encode_keys``).
 
 from __future__ import annotations
 
+import uuid
 from collections import deque
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerfold.functions.calendar import calendar_fits, day_side, roll_bounds
 from ledgerfold.keys import KEYS, LONG, decode_keys, encode_keys
+from ledgerfold.session import ensure_checkpoint_dir
 from ledgerfold.sources.binding import EVENT_ORDER, TIE_COLS
 
 # ---------------------------------------------------------------------------
@@ -58,53 +62,101 @@ def _lot_events(detail: DataFrame, calendar: DataFrame, book: str) -> DataFrame:
         F.round(F.col("trd_cash_flow") * 100).cast("long").alias("cash_c"))
 
 
+_RUNNING = T.StructType([
+    *[T.StructField(k, T.StringType()) for k in KEYS], T.StructField("busi_date", T.StringType()),
+    *[T.StructField(c, T.LongType()) for c in EVENT_ORDER], T.StructField("q", T.LongType()),
+    T.StructField("cash", T.DoubleType()), T.StructField("cash_c", T.LongType()),
+    T.StructField("part", T.IntegerType()), T.StructField("total", T.BooleanType()),
+    T.StructField("b", T.LongType()), T.StructField("s", T.LongType()),
+    T.StructField("low", T.LongType()), T.StructField("low_before", T.LongType()),
+])
+
+
+def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Running figures of every position inside one range of sorted events: bought (b), sold (s), and the least signed
+    sum up to the event (low) and before it.  A ``total`` row tells where a position that may go on in other ranges has
+    got to: only the first and the last one of a range can."""
+    from pyspark import TaskContext
+
+    part = TaskContext.get().partitionId()
+    key, b0, s0, low0, first = None, 0, 0, None, True
+    names = [f.name for f in _RUNNING.fields]
+    types = [pa.string()] * 4 + [pa.int64()] * (len(EVENT_ORDER) + 1) + [pa.float64(), pa.int64(), pa.int32(), pa.bool_()] + [pa.int64()] * 4
+
+    def total() -> pa.RecordBatch:
+        row = [*key, *[None] * (len(EVENT_ORDER) + 4), part, True, b0, s0, low0, None]
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=names)
+
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        held = [batch.column(i) for i in range(len(KEYS))]
+        new = np.zeros(n, bool)
+        for c in held:
+            new[1:] |= pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        heads = tuple(c[0].as_py() for c in held)
+        new[0] = heads != key
+        if new[0] and key is not None and first:
+            yield total()
+            first = False
+        group = np.cumsum(new)
+        q = batch.column(names.index("q")).to_numpy(zero_copy_only=False)
+        runs = pd.DataFrame({"g": group, "b": np.maximum(q, 0), "s": np.maximum(-q, 0)})
+        sums = runs.groupby("g", sort=False).cumsum()
+        b, s = sums["b"].to_numpy().copy(), sums["s"].to_numpy().copy()
+        goes_on = group == 0
+        b[goes_on] += b0
+        s[goes_on] += s0
+        low = pd.Series(b - s).groupby(group, sort=False).cummin().to_numpy().copy()
+        if low0 is not None:
+            low[goes_on] = np.minimum(low[goes_on], low0)
+        before = np.concatenate([[0], low[:-1]])
+        known = ~new
+        if goes_on[0]:
+            before[0] = low0
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(np.zeros(n, bool)), pa.array(b), pa.array(s), pa.array(low), pa.array(before, mask=~known)], names=names)
+        if first and new[1:].any():
+            at = int(np.nonzero(new[1:])[0][0])  # the last row of the range's first position
+            key, b0, s0, low0 = tuple(c[at].as_py() for c in held), int(b[at]), int(s[at]), int(low[at])
+            yield total()
+            first = False
+        key, b0, s0, low0 = tuple(c[n - 1].as_py() for c in held), int(b[-1]), int(s[-1]), int(low[-1])
+    if key is not None:
+        yield total()
+
+
+def sorted_events(detail: DataFrame, calendar: DataFrame, book: str = LONG) -> DataFrame:
+    """The book's events in ranges of (position, day, second, tie-break), each range one task, with their running figures
+    (``_running``).  Written once to the checkpoint folder: the ranges' totals and their events are both read from it."""
+    ev = _lot_events(encode_keys(detail), calendar, book)
+    columns = [*KEYS, "busi_date", *EVENT_ORDER, "q", "cash", "cash_c"]
+    order = [*KEYS, "rank", *EVENT_ORDER]
+    ev = ev.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        *KEYS, "busi_date", *[F.col(c).cast("long").alias(c) for c in EVENT_ORDER], "q", "cash", "cash_c").select(*columns)
+    path = f"{ensure_checkpoint_dir(detail.sparkSession).rstrip('/')}/fifo-events-{uuid.uuid4().hex}"
+    ev.mapInArrow(_running, _RUNNING).write.parquet(path)
+    return detail.sparkSession.read.schema(_RUNNING).parquet(path)
+
+
 def fifo_intervals(detail: DataFrame, calendar: DataFrame, book: str = LONG) -> DataFrame:
     """Per event: its interval on the position's cumulative axis (buys: bought quantity,
-    sells: effective sold quantity after dropping oversells)."""
-    ev = _lot_events(encode_keys(detail), calendar, book)
-    buy = F.when(F.col("q") > 0, F.col("q")).otherwise(F.lit(0))
-    sell = F.when(F.col("q") < 0, -F.col("q")).otherwise(F.lit(0))
-    # level 1: running sums inside one second of one position (ordered by the tie-break)
-    wc = Window.partitionBy(*KEYS, "rank", "timestamp").orderBy(*TIE_COLS)
-    upto = wc.rowsBetween(Window.unboundedPreceding, 0)
-    before = wc.rowsBetween(Window.unboundedPreceding, -1)
-    ev = ev.select("*", F.sum(buy).over(upto).alias("b_c"), F.sum(sell).over(upto).alias("s_c"),
-                   F.sum("q").over(upto).alias("r_c"))
-    ev = ev.select("*", F.min("r_c").over(upto).alias("rmin_c"), F.min("r_c").over(before).alias("rmin_c_prev"))
-
-    # level 2: the seconds of one day (at most 86400 rows per position and day)
-    chunk = ev.groupBy(*KEYS, "rank", "timestamp").agg(
-        F.max("b_c").alias("bt"), F.max("s_c").alias("st"), F.min("r_c").alias("rmin"))
-    wd = Window.partitionBy(*KEYS, "rank").orderBy("timestamp").rowsBetween(Window.unboundedPreceding, -1)
-    chunk = chunk.select(
-        *KEYS, "rank", "timestamp", "bt", "st", "rmin",
-        F.coalesce(F.sum("bt").over(wd), F.lit(0)).alias("b0c"),
-        F.coalesce(F.sum("st").over(wd), F.lit(0)).alias("s0c"),
-    ).withColumn("r0c", F.col("b0c") - F.col("s0c")).withColumn("cmin", F.col("r0c") + F.col("rmin"))
-    chunk = chunk.withColumn("cmin0", F.min("cmin").over(wd))
-
-    # level 3: the days of one position (one row per trading day)
-    day = chunk.groupBy(*KEYS, "rank").agg(F.sum("bt").alias("bt"), F.sum("st").alias("st"),
-                                           F.min("cmin").alias("dmin_rel"))
-    wp = Window.partitionBy(*KEYS).orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    day = day.select(
-        *KEYS, "rank", "dmin_rel",
-        F.coalesce(F.sum("bt").over(wp), F.lit(0)).alias("b0"),
-        F.coalesce(F.sum("st").over(wp), F.lit(0)).alias("s0"),
-    ).withColumn("r0", F.col("b0") - F.col("s0")).withColumn("dmin", F.col("r0") + F.col("dmin_rel"))
-    # running minimum of the signed position before the day, starting at 0
-    day = day.withColumn("gmin0", F.least(F.lit(0), F.coalesce(F.min("dmin").over(wp), F.lit(0)))) \
-        .drop("dmin_rel", "dmin")
-
-    e = ev.join(chunk.select(*KEYS, "rank", "timestamp", "b0c", "s0c", "r0c", "cmin0"), KEYS + ["rank", "timestamp"]) \
-        .join(day, KEYS + ["rank"])
-    b_cum = F.col("b0") + F.col("b0c") + F.col("b_c")
-    s_cum = F.col("s0") + F.col("s0c") + F.col("s_c")
-    # least() skips NULLs: no earlier second today / no earlier event in this second
-    in_day = F.least(F.col("cmin0"), F.col("r0c") + F.col("rmin_c"))
-    in_day_prev = F.least(F.col("cmin0"), F.col("r0c") + F.col("rmin_c_prev"))
-    dropped = -F.least(F.col("gmin0"), F.col("r0") + in_day)
-    dropped_prev = -F.least(F.col("gmin0"), F.col("r0") + in_day_prev)
+    sells: effective sold quantity after dropping oversells).
+
+    Events are shuffled once, into ranges that cut a busy position wherever they must; what a range's first position
+    brings from earlier ranges is a row a range at most, so that table is broadcast."""
+    ev = sorted_events(detail, calendar, book)
+    # at most two rows a range; those of one position follow each other
+    earlier = Window.partitionBy(*KEYS).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    total = ev.where("total").select(*KEYS, "part", F.sum("b").over(earlier).alias("b0"), F.sum("s").over(earlier).alias("s0"), "low").withColumn("r0", F.col("b0") - F.col("s0"))
+    total = total.withColumn("low0", F.min(F.coalesce("r0", F.lit(0)) + F.col("low")).over(earlier)).where("b0 IS NOT NULL").drop("low")
+    e = ev.where("NOT total").join(F.broadcast(total), [*KEYS, "part"], "left")
+    zero = F.lit(0).cast("long")
+    b_cum, s_cum = (F.col(c) + F.coalesce(f"{c}0", zero) for c in ("b", "s"))
+    # what was sold beyond all that was bought so far: the running minimum below zero (least() skips NULLs)
+    r0 = F.coalesce("r0", zero)
+    dropped = -F.least(zero, F.col("low0"), r0 + F.col("low"))
+    dropped_prev = -F.least(zero, F.col("low0"), r0 + F.col("low_before"))
     sq = -F.col("q")
     out = e.select(
         *KEYS, "busi_date", *EVENT_ORDER, "q", "cash", "cash_c",

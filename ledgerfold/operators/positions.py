@@ -29,8 +29,10 @@ position every day on Python workers.  Here the carried state is four numbers:
    ``y_end = M * y_start + C`` plus the coefficients of its return tags
    ``A * y_start + B`` and its in / out sums - x is known, so the map is exact;
    the chunk maps of a day (at most one per second) compose into the day's map;
-4. the day maps of a cycle (bounded by the calendar) are composed in day order
-   by one ``F.aggregate`` scan, then exploded back to day rows;
+4. a cycle's days are cut into blocks of ``BLOCK_DAYS`` trading days.  Each block's maps are composed to the block's map, the block
+   maps of a cycle give the state at every block's start (a row a block), and one ``F.aggregate`` scan a
+   block makes its day rows from there: no array is longer than a block, so time is linear in the days of a cycle.
+   A range of days within one block needs no second level;
 5. the days between events are produced by a row-local ``sequence`` explode,
    and holdings are joined for remain_qty / remain_val.
 
@@ -82,6 +84,9 @@ _SCAN_OUT = T.StructType([
 
 COST_RULES = ("as_written", "average_cost")
 
+BLOCK_DAYS = 128
+"""Trading days of a block of the day scan."""
+
 
 def _event_step(acc: Column, e: Column, cost_rule: str = "as_written") -> Column:
     """One event of the fold, as an update of the day's affine map.
@@ -123,17 +128,54 @@ def _chunk_step(acc: Column, c: Column) -> Column:
     )
 
 
+def _day_state(acc: Column, d: Column) -> dict[str, Column]:
+    """One day's map (or a block's) put on the cycle state."""
+    return {"y": d["M"] * acc["y"] + d["C"], "dr": acc["dr"] + (acc["y"] * d["A"] + d["B"]),
+            "inc": acc["inc"] + d["ins"], "outc": acc["outc"] + d["outs"], "n": acc["n"] + d["n_ev"]}
+
+
+def _named(cols: dict[str, Column]) -> list[Column]:
+    return [c.alias(n) for n, c in cols.items()]
+
+
 def _day_step(acc: Column, d: Column) -> Column:
     """Compose one day's map onto the cycle state and append the day's result."""
-    y1 = d["M"] * acc["y"] + d["C"]
-    dr1 = acc["dr"] + (acc["y"] * d["A"] + d["B"])
-    inc1 = acc["inc"] + d["ins"]
-    outc1 = acc["outc"] + d["outs"]
-    n1 = acc["n"] + d["n_ev"]
-    row = F.struct(d["rank"].alias("rank"), d["x_end"].alias("x_end"), y1.alias("y"), dr1.alias("dr"),
-                   inc1.alias("inc"), outc1.alias("outc"), n1.alias("n"))
-    return F.struct(y1.alias("y"), dr1.alias("dr"), inc1.alias("inc"), outc1.alias("outc"), n1.alias("n"),
-                    F.concat(acc["rows"], F.array(row)).alias("rows"))
+    after = _day_state(acc, d)
+    row = F.struct(d["rank"].alias("rank"), d["x_end"].alias("x_end"), *_named(after))
+    return F.struct(*_named(after), F.concat(acc["rows"], F.array(row)).alias("rows"))
+
+
+def _scan_days(days: DataFrame, pos: list[str], blocks: bool) -> DataFrame:
+    """Day rows (position, cycle, start_rank, rank, x_end and the state at the day's end) from day maps ``m``.
+
+    ``blocks`` cuts the days of a cycle into blocks; without it a cycle is one array."""
+    day_item = F.struct(F.col("rank"), F.col("x_end"), F.col("m.M").alias("M"), F.col("m.C").alias("C"),
+                        F.col("m.A").alias("A"), F.col("m.B").alias("B"), F.col("m.ins").alias("ins"),
+                        F.col("m.outs").alias("outs"), F.col("n_ev")).cast(_DAY)
+    zero = {"y": F.lit(0.0), "dr": F.lit(0.0), "inc": F.lit(0.0), "outc": F.lit(0.0), "n": F.lit(0).cast("long")}
+    cut = [*pos, "cycle", "block"]
+    days = days.withColumn("block", F.expr(f"rank div {BLOCK_DAYS}") if blocks else F.lit(0).cast("long"))
+    held = days.groupBy(*cut).agg(F.sort_array(F.collect_list(day_item)).alias("d"))
+    if blocks:
+        # the map of each block, and from those of a cycle the state before each (one item a block)
+        one = F.struct(F.lit(1.0).alias("M"), F.lit(0.0).alias("C"), F.lit(0.0).alias("A"), F.lit(0.0).alias("B"), F.lit(0.0).alias("ins"),
+                       F.lit(0.0).alias("outs"), F.lit(0).cast("long").alias("n_ev"))
+        both = lambda acc, d: F.struct(*[_chunk_step(acc, d)[f].alias(f) for f in ("M", "C", "A", "B", "ins", "outs")], (acc["n_ev"] + d["n_ev"]).alias("n_ev"))
+        maps = held.select(*cut, F.col("d")[0]["rank"].alias("first"), F.aggregate("d", one, both).alias("m"))
+        listed = maps.groupBy(*pos, "cycle").agg(F.min("first").alias("start_rank"), F.sort_array(F.collect_list(F.struct("block", "m"))).alias("bs"))
+        state = "array<struct<block:bigint,y:double,dr:double,inc:double,outc:double,n:bigint>>"
+
+        def pass_block(acc: Column, b: Column) -> Column:
+            before = F.struct(b["block"].alias("block"), *[acc[f].alias(f) for f in zero])
+            return F.struct(*_named(_day_state(acc, b["m"])), F.concat(acc["rows"], F.array(before)).cast(state).alias("rows"))
+
+        starts = listed.select(*pos, "cycle", "start_rank", F.explode(F.aggregate("bs", F.struct(*_named(zero), F.array().cast(state).alias("rows")), pass_block)["rows"]).alias("s"))
+        held = held.join(starts.select(*pos, "cycle", F.col("s.block").alias("block"), "start_rank", "s"), cut)
+        zero = {f: F.col(f"s.{f}") for f in zero}
+    else:
+        held = held.withColumn("start_rank", F.col("d")[0]["rank"])
+    scan_init = F.struct(*_named(zero), F.array().cast(T.ArrayType(_SCAN_OUT)).alias("rows"))
+    return held.select(*pos, "cycle", "start_rank", F.explode(F.aggregate("d", scan_init, _day_step)["rows"]).alias("r")).select(*pos, "cycle", "start_rank", "r.*")
 
 
 def seed_open_positions(holding: DataFrame, seed_date: str, qty_col: str = "qty") -> DataFrame:
@@ -283,18 +325,7 @@ def roll_positions(detail: DataFrame, holding: DataFrame, calendar: DataFrame, s
     days = days.withColumn("m", F.aggregate("cm", day_init, _chunk_step))
 
     # 4. compose the day maps of each cycle in day order.
-    day_item = F.struct(F.col("rank"), F.col("x_end"), F.col("m.M").alias("M"), F.col("m.C").alias("C"),
-                        F.col("m.A").alias("A"), F.col("m.B").alias("B"), F.col("m.ins").alias("ins"),
-                        F.col("m.outs").alias("outs"), F.col("n_ev")).cast(_DAY)
-    cycles = days.groupBy(*pos, "cycle").agg(F.sort_array(F.collect_list(day_item)).alias("d"))
-    scan_init = F.struct(F.lit(0.0).alias("y"), F.lit(0.0).alias("dr"), F.lit(0.0).alias("inc"),
-                         F.lit(0.0).alias("outc"), F.lit(0).cast("long").alias("n"),
-                         F.array().cast(T.ArrayType(_SCAN_OUT)).alias("rows"))
-    cycles = cycles.select(
-        *pos, "cycle", F.col("d")[0]["rank"].alias("start_rank"),
-        F.aggregate("d", scan_init, _day_step)["rows"].alias("rows"))
-    rows = cycles.select(*pos, "cycle", "start_rank", F.posexplode("rows").alias("i", "r")).select(
-        *pos, "cycle", "start_rank", "i", "r.*")
+    rows = _scan_days(days, pos, blocks=s // BLOCK_DAYS != max_rank // BLOCK_DAYS)
 
     # 5. days between events: each event day stands for itself and the quiet days up to the
     #    next event day of its cycle, or to the cycle end (its closing day, else the last day).

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import calendar, events, holdings
-from ledgerfold.operators.lots import TERM_UNIT, UNIT, Lot, LotBook, closed_lots, fifo_lots, fifo_matches, lot_log, open_lots, roll_lots
+from ledgerfold.operators.lots import TERM_UNIT, UNIT, Lot, LotBook, closed_lots, fifo_lots, fifo_intervals, fifo_matches, lot_log, open_lots, roll_lots, sorted_events
 
 
 def lot(open_date, qty, amt, value=0.0):
@@ -210,3 +210,37 @@ def test_a_null_key_part_is_a_value_of_its_own(spark):
         a, b = (sorted((tuple(r)[1:] for r in result(*x).collect()), key=repr) for x in (plain, null))
         assert a == b and len(a) > 0
     assert {r.trade_id for r in roll_lots(*null, cal, days[0]).collect()} == {None}
+
+
+def test_one_position_with_all_rows_runs_over_several_tasks(spark):
+    """One position, most events in one second: ranges cut it, and the intervals stay those of one sequence."""
+    rng = random.Random(13)
+    day = "2017-03-02"
+    rows = [("1", "1.1", day, 7 if k < 900 else k, rng.choice([1, -1, -1, 1, 1]) * rng.randint(1, 20), float(k)) for k in range(1000)] + [("2", "1.1", day, 1, 5, 9.0)]
+    ev, cal = events(spark, rows), calendar(spark, ["2017-03-01", day])
+    name = "spark.sql.adaptive.coalescePartitions.enabled"  # else so few rows are one task's
+    spark.conf.set(name, "false")
+    try:
+        ranges = sorted_events(ev, cal).where("NOT total").groupBy("part").count().collect()
+        seen = {(r.src_orderkey): r for r in fifo_intervals(ev, cal).where("trade_id = '1'").collect()}
+    finally:
+        spark.conf.unset(name)
+    assert len(ranges) > 4 and max(r["count"] for r in ranges) < 500
+    bought = sold = dropped = 0
+    for k, (_, _, _, _, q, _) in enumerate(rows[:-1]):
+        r = seen[k]
+        if q > 0:
+            assert (r.buy_start, r.buy_end) == (bought, bought + q)
+            bought += q
+        else:
+            start, real = sold - dropped, min(-q, bought - (sold - dropped))
+            sold, dropped = sold - q, dropped + (-q - real)
+            assert (r.sell_start, r.sell_end) == (start, start + real)
+    assert dropped > 0
+
+
+def test_fifo_shuffles_the_events_once_before_the_merge(spark):
+    ev = events(spark, [("1", "1.1", "2017-03-02", k, 5, 9.0) for k in range(20)])
+    plan = fifo_intervals(ev, calendar(spark, ["2017-03-01", "2017-03-02"]))._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if "Exchange" in x and "Broadcast" not in x]
+    assert len(exchanges) <= 1, plan  # that of the ranges' totals

@@ -220,3 +220,40 @@ def test_stored_maps_of_other_writers_parse(spark):
     maps = [{"trd_qty": "1.2E3", "trd_amt": "1.2345679E7", "trd_date": "2017-03-16"}, {"trd_qty": "x", "return": "-5"}, {}]
     got = _one(parse_detail_maps(spark.createDataFrame([(maps,)], "trd_detail array<map<string,string>>"))).trd_detail
     assert [tuple(e) for e in got] == [(1200, 12345679.0, "2017-03-16", None, None), (None, None, None, None, -5.0), (None,) * 5]
+
+
+def test_blocks_of_days_give_the_rows_of_one_scan(spark, small, monkeypatch):
+    """Every position of the smallest data, in blocks of 7 days and resumed in the middle, against the unblocked scan."""
+    from ledgerfold.operators import positions as P
+
+    t = small
+    day_of = {r.rlt_rank: r.busi_date for r in t.trading_day.collect()}
+    roll = lambda day, **more: roll_positions(t.cash_flow_detail, t.stock_asset_holding, t.trading_day, day, **more)
+    rows = lambda df: sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in df.collect()), key=repr)
+    whole = rows(roll(day_of[1]))
+    state = P.position_state(roll(day_of[1]), day_of[30])
+    monkeypatch.setattr(P, "BLOCK_DAYS", 7)
+    assert rows(roll(day_of[1])) == whole and len(whole) > 10_000
+    assert rows(roll(day_of[30], state=state)) == [r for r in whole if r[-4] > day_of[30]]
+
+
+def test_a_cycle_of_ten_thousand_days_is_cut_into_blocks(spark):
+    import datetime
+
+    from ledgerfold.operators.positions import BLOCK_DAYS
+
+    first = datetime.date(1980, 1, 1)
+    days = [(first + datetime.timedelta(days=i)).isoformat() for i in range(10_000)]
+    evs = [("1", "1.1", d, 1, 2 if i % 3 else -3, 0.0, 20.0 + i % 7 if i % 3 else -31.0) for i, d in enumerate(days[1:])]
+    out = roll_positions(events(spark, evs), holdings(spark, [("1", "1.1", days[0], 10, 100.0)]), calendar(spark, days), days[0])
+    got = {r.busi_date: r for r in out.select("busi_date", "cost_amt", "total_in", "n_detail", "detail_return", "open_date").collect()}
+    x, y, inc, tags = 10, 100.0, 100.0, 0.0
+    for n, (_, _, d, _, q, _, a) in enumerate(evs, 2):
+        tags += y / x * q if q < 0 else 0.0
+        x += q
+        y, inc = (y + a, inc + a) if q >= 0 else (y + (x + q) // x * y, inc)
+        if n % 1000 == 0 or n == len(days):
+            r = got[d]
+            assert (r.n_detail, r.open_date) == (n, days[0]) and r.total_in == pytest.approx(inc)
+            assert r.cost_amt == pytest.approx(y) and r.detail_return == pytest.approx(tags)
+    assert len(days) > 50 * BLOCK_DAYS
