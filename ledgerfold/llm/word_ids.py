@@ -7,7 +7,7 @@ letters in lower case (the file lowers all text) and its punctuation, which the
 pre-tokenizer always parts, any other word whole.  New ones are encoded by the library,
 letters many at a time and cut where a word ends, and ids are gathered with numpy.
 
-A worker keeps what it has seen (``LIMIT`` at most, then it starts anew), so memory is
+A worker keeps what it has seen (``LIMIT_BYTES`` at most, then it starts anew) and splits ``SLICE`` bytes of text at a time, so memory is
 bounded whatever the number of distinct words; no text is cut or skipped.
 """
 
@@ -21,10 +21,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words kept by a worker, and characters of them.
-LIMIT, LIMIT_CHARS = 1_000_000, 20_000_000
+#: Bytes of words kept by a worker, and what a word takes beside its characters (its entry, ids and place).
+LIMIT_BYTES, WORD_BYTES = 60_000_000, 180
 #: Bytes of text that are split at a time.
-SLICE = 8_000_000
+SLICE = 1_000_000
 #: Letters (all composed, so that normal form C leaves them alone), then at most one run of punctuation.
 PUNCTUATION = ".,;:!?*$%&#|()\""
 SIMPLE = rf"^[A-Za-zÀ-ÖØ-öø-ÿ]+[{PUNCTUATION}]*$"
@@ -33,15 +33,15 @@ JOIN = 256
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray, size: int = SLICE) -> Iterator[pa.Array]:
-    """Slices of a text column of about ``size`` bytes (one long text may exceed it), nulls as empty."""
+    """Slices of a text column of about ``size`` bytes (one long text may exceed it), nulls as empty.
+    A batch is copied a slice at a time, never whole."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    column = pc.fill_null(column.cast(pa.large_string()), "")
-    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False)) if len(column) else np.zeros(0)
-    at = 0
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, at = np.cumsum(lengths), 0
     while at < len(column):
         before = ends[at - 1] if at else 0
         to = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
-        yield column.slice(at, to - at)
+        yield pc.fill_null(column.slice(at, to - at).cast(pa.large_string()), "")
         at = to
 
 
@@ -74,8 +74,8 @@ class WordIds:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # for words of a to z alone the file's normalizer and pre-tokenizer change nothing: its model does
-        self.plain = Tokenizer(Tokenizer.from_file(path).model)
+        # for words of a to z alone the file's normalizer and pre-tokenizer change nothing: its model (shared) does
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -129,7 +129,7 @@ class WordIds:
         simple = pc.match_substring_regex(words, SIMPLE)
         stems = listed(pc.if_else(simple, pc.utf8_lower(pc.utf8_rtrim(words, PUNCTUATION)), words))
         tails = pc.if_else(simple, pc.utf8_ltrim(pc.utf8_slice_codeunits(words, 1), LETTERS), "").dictionary_encode()
-        if len(self.index) + len(words) > LIMIT or self.chars > LIMIT_CHARS:
+        if WORD_BYTES * (len(self.index) + len(words)) + self.chars > LIMIT_BYTES:
             self.forget()
         index = self.index
         fresh = {w: s for w, s in zip(stems, listed(simple)) if w not in index}
