@@ -9,7 +9,7 @@ Training takes a bounded sample: at most ``SAMPLE`` labelled texts, those of lea
 whose n-grams are made on the executors; the proximal FTRL updates run over it in a fixed order.
 
 Defined results: a null or empty text scores the bias alone; a null label isn't learned
-from; of several labels of a doc_id the least counts; with no label every score is 0.5.  Repeated rows give
+from; of several labels of a doc_id the least counts, of several texts that of the least hash; with no label every score is 0.5.  Repeated rows give
 repeated rows; extra columns are not read.
 """
 
@@ -95,11 +95,14 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, float]:
-    """Train on at most ``sample`` labelled rows. The chosen labels are so few that they are broadcast."""
+    """Train on at most ``sample`` labelled documents, one text each (that of the least hash, where a doc_id
+    repeats).  The chosen labels are so few that they are broadcast."""
     one = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).cast("int").alias("y"))
     chosen = one.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
-    rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("y", "text").limit(2 * sample)
+    # repeats of a chosen id are combined before the shuffle
+    rows = texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).groupBy("_id").agg(
+        F.min("y").alias("y"), F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("y", "t.text")
     got = rows.mapInArrow(_sparse, "y int, at binary, value binary").toArrow().sort_by([(c, "ascending") for c in ("y", "at", "value")])
     if not len(got):
         return np.zeros(DIM), 0.0
