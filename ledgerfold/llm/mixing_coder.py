@@ -1,22 +1,24 @@
 """Adaptive context-mixing range coder for token ids, in independently reset, checksummed blocks.
 
-Model (reset at every block): an order-2 and an order-1 table hold, for a hash of the last
-two ids or the last id, the id that followed it and a confidence of 0 to 3.  Both ids and
-an order-0 literal share one interval: the weights of the two predictions are adaptive probabilities chosen by
-both confidences.  A literal is a logarithmic bucket of the id, under the block's
-adaptive bucket counts, and the place inside the bucket.
+Three predictions share one interval, by weights that are adaptive probabilities chosen by the confidences:
+
+- order 2 and order 1: tables, empty at the beginning of every block, that hold for a hash of the last
+  two ids or the last id the id that followed it and a confidence of 0 to 3;
+- order 0: the frequencies of the ids, which the frame's head tells once and every block starts from.  An id that
+  occurs in the frame always has a share here, so nothing has to escape.
 
 Coder: 60-bit interval, 20-bit digits; a carry is kept in its digit and passed on when the block ends.
-One narrowing codes the choice of order and a literal's bucket, a second the place inside the bucket.
+One narrowing codes the choice of order, a second the order-0 id.
 
 All blocks of a frame advance together, one id a step, as numpy vectors; each block has its
-own state, so any one can be decoded alone.  A frame is::
+own state, so with the head any one can be decoded alone.  A frame is::
 
-    magic "CMR1", u32 block length, u32 blocks, u64 ids
+    magic "CMR2", u32 block length, u32 blocks, u64 ids, u32 bytes of the table, u32 crc32 of them
+    table: zlib of the distinct ids (differences) and their shares of 2^20, as little-endian u32, low bytes of all first
     blocks x (u32 bytes, u32 crc32 of the bytes, u32 crc32 of the ids as little-endian u32)
     digits in pairs, 5 bytes big-endian each, block after block
 
-The last block is filled up with id 0; ``ids`` says where the frame ends.
+The last block is filled up with the frame's first id; ``ids`` says where the frame ends.
 """
 
 from __future__ import annotations
@@ -26,47 +28,75 @@ import zlib
 
 import numpy as np
 
-BLOCK, MAGIC = 1024, b"CMR1"
-#: Bits of a table's index; buckets; the largest id allowed; a literal's total.
-TABLE, BUCKETS, MOST, LITERAL = 10, 144, (1 << 19) - 9, 15
+BLOCK, MAGIC, HEAD = 2048, b"CMR2", "<4sIIQII"
+#: Bits of a table's index, of the choice between orders, and of the order-0 total; the largest id allowed.
+TABLE, CHOICE, TOTAL, MOST = 11, 16, 20, (1 << 19) - 9
 FULL, LEAST, DIGIT = 1 << 60, 1 << 40, 20
-#: Steps before which the bucket totals are made anew.
-RENEW = frozenset([2, 4, 8, 16, 32, 64, 128, 192, 256, 384, 512, 640, 768, 896])
+#: Least share of 2^16 that an order keeps.
+FLOOR = 64
+
+
+class Prior:
+    """Order-0 frequencies of a frame: distinct ids, and the start and size of each one's share of 2^TOTAL."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray):
+        self.ids, self.sizes = ids.astype(np.uint32), sizes.astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.number = np.zeros(int(self.ids[-1]) + 1 if len(self.ids) else 1, np.int32)
+        self.number[self.ids] = np.arange(len(self.ids))
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> Prior:
+        ids, counts = np.unique(x, return_counts=True)
+        free = (1 << TOTAL) - len(ids)
+        sizes = 1 + counts.astype(np.int64) * free // max(1, int(counts.sum()))
+        sizes[np.argmax(counts)] += (1 << TOTAL) - int(sizes.sum())
+        return cls(ids, sizes)
+
+    def pack(self) -> bytes:
+        numbers = np.concatenate([np.diff(self.ids.astype(np.int64), prepend=0), self.sizes - 1]).astype("<u4")
+        return zlib.compress(numbers.view(np.uint8).reshape(-1, 4).T.tobytes(), 9)
+
+    @classmethod
+    def unpack(cls, raw: bytes) -> Prior:
+        numbers = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+        ids, sizes = np.cumsum(numbers[:len(numbers) // 2]), numbers[len(numbers) // 2:] + 1
+        if int(sizes.sum()) != 1 << TOTAL:
+            raise ValueError("shares of ids don't add up")
+        return cls(ids, sizes)
+
+    def shares(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of the share of each id."""
+        at = self.number.take(x)
+        return self.starts.take(at), self.sizes.take(at)
+
+    def places(self) -> np.ndarray:
+        """The number of the id at each place of 2^TOTAL."""
+        return np.repeat(np.arange(len(self.ids), dtype=np.int32), self.sizes)
 
 
 class _Model:
-    """State of ``n`` blocks: predictions, mixing weights and bucket counts."""
+    """State of ``n`` blocks: order-2 and order-1 predictions and mixing weights."""
 
     def __init__(self, n: int):
-        self.n = n
         row = np.arange(n, dtype=np.int64)
-        self.at, self.at_mix, self.at_cum = row << TABLE, row << 4, row * 257
+        self.at, self.at_mix = row << TABLE, row << 4
         self.t1, self.t2 = np.zeros(n << TABLE, np.int32), np.zeros(n << TABLE, np.int32)
-        self.a1, self.a2 = np.full(n << 4, 8000, np.int32), np.full(n << 4, 8000, np.int32)
-        self.counts = np.ones(n * BUCKETS, np.int32)
+        # weights by both confidences: what is not yet sure begins with little
+        sure = np.arange(16)
+        self.a2 = np.tile(np.array([600, 8000, 20000, 36000], np.int32)[sure >> 2], n)
+        self.a1 = np.tile(np.array([600, 8000, 16000, 26000], np.int32)[sure & 3], n)
         self.x1, self.x2 = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
-        self.cum = np.full((n, 257), 1 << LITERAL, np.int32)
-        self.renew()
-
-    def renew(self) -> None:
-        c = self.counts.reshape(self.n, BUCKETS)
-        total = c.sum(axis=1, dtype=np.int64)
-        scale = ((1 << LITERAL) - BUCKETS) / total
-        f = (c * scale[:, None]).astype(np.int32) + 1
-        np.cumsum(f, axis=1, out=self.cum[:, 1:BUCKETS + 1])
-        self.cum[:, 0] = 0
-        self.cum[:, BUCKETS:] = 1 << LITERAL
-        self.flat = self.cum.reshape(-1)
 
     def predict(self) -> tuple[np.ndarray, ...]:
-        """Predicted ids of order 2 and 1 and the ends of their shares of 2^16."""
+        """Predicted ids of order 2 and 1 and the ends of their shares of 2^CHOICE."""
         self.i1 = self.at + (self.x1 * np.uint32(0x9E3779B1) >> np.uint32(32 - TABLE))
         self.i2 = self.at + (self.x1 * np.uint32(0x85EBCA6B) + self.x2 * np.uint32(0x9E3779B1) >> np.uint32(32 - TABLE))
         self.e1, self.e2 = self.t1.take(self.i1), self.t2.take(self.i2)
         self.mix = self.at_mix + ((self.e2 & 3) << 2) + (self.e1 & 3)
         self.m1, self.m2 = self.a1.take(self.mix), self.a2.take(self.mix)
         end2 = self.m2.astype(np.int64)
-        end1 = end2 + 16 + ((65408 - end2) * self.m1 >> 16)
+        end1 = end2 + 16 + (((1 << CHOICE) - 2 * FLOOR - end2) * self.m1 >> CHOICE)
         return self.e2 >> 2, self.e1 >> 2, end2, end1
 
     def learn(self, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
@@ -76,23 +106,14 @@ class _Model:
         for table, at, e, hit in ((self.t2, self.i2, self.e2, hit2), (self.t1, self.i1, self.e1, hit1)):
             sure = e & 3
             table[at] = np.where(hit, e + (sure < 3), np.where(sure > 0, e - 1, new))
-        self.a2[self.mix] = self.m2 + ((hit2 * 60000 + 64 - self.m2) >> 4)
-        self.a1[self.mix] = np.where(hit2, self.m1, self.m1 + ((hit1 * 60000 + 64 - self.m1) >> 4))
+        self.a2[self.mix] = self.m2 + ((hit2 * (65000 - FLOOR) + FLOOR - self.m2) >> 5)
+        self.a1[self.mix] = np.where(hit2, self.m1, self.m1 + ((hit1 * (65000 - FLOOR) + FLOOR - self.m1) >> 5))
         self.x2, self.x1 = self.x1, x
 
 
-def _bucket(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and place inside it of each id; bucket >> 3 is the place's number of bits."""
-    v = x.astype(np.int32) + 8
-    e = (np.frexp(v.astype(np.float32))[1] - 4).astype(np.int32)
-    return (e << 3) + ((v >> e) & 7), v & ((1 << e) - 1)
-
-
-def _shares(hit2, hit1, end2, end1, start, size) -> tuple[np.ndarray, np.ndarray]:
-    """Start and size, of 2^31, of the order-2 id, the order-1 id or a literal with the bucket's share of 2^15."""
-    rest = 65536 - end1
-    return (np.where(hit2, 0, np.where(hit1, end2 << LITERAL, (end1 << LITERAL) + rest * start)),
-            np.where(hit2, end2 << LITERAL, np.where(hit1, (end1 - end2) << LITERAL, rest * size)))
+def _choice(hit2: np.ndarray, hit1: np.ndarray, end2: np.ndarray, end1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size, of 2^CHOICE, of the order-2 id, the order-1 id or order 0."""
+    return np.where(hit2, 0, np.where(hit1, end2, end1)), np.where(hit2, end2, np.where(hit1, end1 - end2, (1 << CHOICE) - end1))
 
 
 class _Writer:
@@ -112,12 +133,13 @@ class _Writer:
         self.low[at] = (low & (LEAST - 1)) << DIGIT
         self.range[at] <<= DIGIT
 
-    def put(self, start: np.ndarray, size: np.ndarray, place: np.ndarray, bits: np.ndarray) -> None:
-        r = self.range >> 31
+    def put(self, start: np.ndarray, size: np.ndarray, place: np.ndarray, share: np.ndarray) -> None:
+        """Narrow to ``size`` of 2^CHOICE, then to ``share`` of 2^TOTAL."""
+        r = self.range >> CHOICE
         self.low += r * start
-        r = r * size >> bits
+        r = r * size >> TOTAL
         self.low += r * place
-        self.range = r
+        self.range = r * share
         while len(small := np.nonzero(self.range < LEAST)[0]):
             self._shift(small)
 
@@ -147,106 +169,63 @@ class _Reader:
         self.at = np.arange(n, dtype=np.int64) * words.shape[1] + 3
         self.flat = words.reshape(-1)
 
-    def _quotient(self, r: np.ndarray) -> np.ndarray:
-        return (self.code.view(np.uint64) // r.view(np.uint64)).view(np.int64)
-
-    def share(self) -> np.ndarray:
-        """The place of 2^31 that the code points to."""
-        self.r = self.range >> 31
-        return np.minimum(self._quotient(self.r), (1 << 31) - 1)
+    def choice(self) -> np.ndarray:
+        """The place of 2^CHOICE that the code points to."""
+        self.r = self.range >> CHOICE
+        return np.minimum((self.code.view(np.uint64) // self.r.view(np.uint64)).view(np.int64), (1 << CHOICE) - 1)
 
-    def take(self, start: np.ndarray, size: np.ndarray, bits: np.ndarray) -> np.ndarray:
-        """Narrow to the share, then read the place of ``bits`` bits inside it."""
+    def narrow(self, start: np.ndarray, size: np.ndarray) -> None:
         self.code -= self.r * start
-        r = self.r * size >> bits
-        place = np.minimum(self._quotient(r), (1 << bits) - 1)
-        self.code -= r * place
-        self.range = r
+        self.r = self.r * size >> TOTAL
+
+    def place(self, rows: np.ndarray) -> np.ndarray:
+        """The place of 2^TOTAL that the code of ``rows`` points to."""
+        return np.minimum(self.code[rows] // self.r[rows], (1 << TOTAL) - 1)
+
+    def take(self, rows: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        """Narrow ``rows`` to their shares of 2^TOTAL, others to all of it."""
+        self.range = self.r << TOTAL
+        r = self.r[rows]
+        self.code[rows] -= r * start
+        self.range[rows] = r * size
         while len(small := np.nonzero(self.range < LEAST)[0]):
             p = self.at[small]
             self.code[small] = self.code[small] << DIGIT | self.flat.take(p, mode="clip")
             self.at[small] = p + 1
             self.range[small] <<= DIGIT
-        return place
 
 
-class _Search:
-    """Bucket of a place among a block's cumulated counts, by halving between the bounds of its cell."""
-
-    CELL = 8
-
-    def __init__(self, m: _Model):
-        self.m, cells = m, 1 << (LITERAL - self.CELL)
-        self.width = cells + 2
-        at = (m.cum[:, 1:BUCKETS + 1] + ((1 << self.CELL) - 1)) >> self.CELL
-        flat = np.bincount((np.arange(m.n)[:, None] * self.width + at).reshape(-1), minlength=m.n * self.width)
-        # buckets that end at or before the cell's first place
-        self.below = np.minimum(np.cumsum(flat.reshape(m.n, self.width), axis=1), BUCKETS - 1).astype(np.int32).reshape(-1)
-
-    def find(self, rows: np.ndarray, place: np.ndarray) -> np.ndarray:
-        cell = rows * self.width + (place >> self.CELL)
-        low, high = self.below.take(cell), self.below.take(cell + 1)
-        base, flat = self.m.at_cum[rows], self.m.flat
-        for _ in range(int((high - low).max()).bit_length()):
-            middle = (low + high + 1) >> 1
-            inside = flat.take(base + middle) <= place
-            low, high = np.where(inside, middle, low), np.where(inside, high, middle - 1)
-        return low
-
-
-def _encode(x: np.ndarray) -> list[bytes]:
+def _encode(x: np.ndarray, prior: Prior) -> list[bytes]:
     """Digits of each row of ``x``."""
     n, steps = x.shape
     m, w = _Model(n), _Writer(n)
     columns = np.ascontiguousarray(x.T)
     for t in range(steps):
-        if t in RENEW:
-            m.renew()
         now = columns[t].astype(np.int64)
-        bucket, place = _bucket(now)
         p2, p1, end2, end1 = m.predict()
         hit2, hit1 = now == p2, now == p1
-        c = m.at_cum + bucket
-        from_ = m.flat.take(c)
-        start, size = _shares(hit2, hit1, end2, end1, from_, m.flat.take(c + 1) - from_)
-        literal = ~(hit2 | hit1)
-        w.put(start, size, place * literal, (bucket >> 3) * literal)
-        m.counts[w.row * BUCKETS + bucket] += 24 * literal
+        start, size = prior.shares(columns[t])
+        hit = hit2 | hit1
+        w.put(*_choice(hit2, hit1, end2, end1), np.where(hit, 0, start), np.where(hit, 1 << TOTAL, size))
         m.learn(now, hit2, hit1)
     return w.digits()
 
 
-def _decode(digits: list[bytes], steps: int) -> np.ndarray:
+def _decode(digits: list[bytes], steps: int, prior: Prior) -> np.ndarray:
     n = len(digits)
     m, r = _Model(n), _Reader(digits)
-    search = _Search(m)
+    places = prior.places()
     out = np.zeros((steps, n), np.uint32)
-    bucket, from_, size = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
     for t in range(steps):
-        if t in RENEW:
-            m.renew()
-            search = _Search(m)
         p2, p1, end2, end1 = m.predict()
-        v = r.share()
-        hit2 = v < end2 << LITERAL
-        hit = v < end1 << LITERAL
+        v = r.choice()
+        hit2, hit = v < end2, v < end1
         now = np.where(hit2, p2, p1).astype(np.int64)
-        lit = np.nonzero(~hit)[0]
-        bucket[:] = 0
-        if len(lit):
-            e = end1[lit]
-            place = ((v[lit] - (e << LITERAL)) / (65536 - e)).astype(np.int64)  # exact: both are below 2^31
-            b = search.find(lit, place)
-            c = m.at_cum[lit] + b
-            bucket[lit], from_[lit] = b, m.flat.take(c)
-            size[lit] = m.flat.take(c + 1) - from_[lit]
-            m.counts[lit * BUCKETS + b] += 24
-        start, share = _shares(hit2, hit, end2, end1, from_, size)
-        bits = bucket >> 3
-        place = r.take(start, share, bits)
-        if len(lit):
-            b = bits[lit]
-            now[lit] = ((8 + (bucket[lit] & 7)) << b) + place[lit] - 8
+        r.narrow(*_choice(hit2, hit, end2, end1))
+        rest = np.nonzero(~hit)[0]
+        k = places.take(r.place(rest))
+        r.take(rest, prior.starts.take(k), prior.sizes.take(k))
+        now[rest] = prior.ids.take(k)
         m.learn(now, hit2, now == p1)
         out[t] = now
     return np.ascontiguousarray(out.T)
@@ -258,23 +237,35 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
     if len(ids) and int(ids.max()) > MOST:
         raise ValueError(f"ids above {MOST} are not supported")
     n = -(-len(ids) // block)
-    x = np.zeros(n * block, "<u4")
+    x = np.full(n * block, ids[0] if n else 0, "<u4")
     x[:len(ids)] = ids
     x = x.reshape(n, block)
-    digits = _encode(x) if n else []
-    head = struct.pack("<4sIIQ", MAGIC, block, n, len(ids))
+    prior = Prior.of(x) if n else None
+    digits = _encode(x, prior) if n else []
+    table = prior.pack() if n else b""
+    head = struct.pack(HEAD, MAGIC, block, n, len(ids), len(table), zlib.crc32(table)) + table
     index = b"".join(struct.pack("<III", len(d), zlib.crc32(d), zlib.crc32(row)) for d, row in zip(digits, x))
     return head + index + b"".join(digits)
 
 
-def blocks(frame: bytes) -> tuple[int, int, list[tuple[bytes, int]]]:
-    """(block length, ids, (digits, crc32 of the ids) of each block), with the digits' checksums verified."""
-    magic, block, n, total = struct.unpack_from("<4sIIQ", frame)
+def head(frame: bytes) -> tuple[int, int, int, Prior | None, int]:
+    """Block length, blocks, ids, order-0 frequencies (verified by their checksum), and where the index begins."""
+    magic, block, n, total, size, crc = struct.unpack_from(HEAD, frame)
     if magic != MAGIC:
         raise ValueError("not a frame of token ids")
-    at, out = 20 + 12 * n, []
+    at = struct.calcsize(HEAD)
+    table = frame[at:at + size]
+    if len(table) != size or zlib.crc32(table) != crc:
+        raise ValueError("table of ids: checksum")
+    return block, n, total, Prior.unpack(table) if n else None, at + size
+
+
+def blocks(frame: bytes) -> tuple[int, int, list[tuple[bytes, int]]]:
+    """(block length, ids, (digits, crc32 of the ids) of each block), with the digits' checksums verified."""
+    block, n, total, _, index = head(frame)
+    at, out = index + 12 * n, []
     for b in range(n):
-        size, crc, of_ids = struct.unpack_from("<III", frame, 20 + 12 * b)
+        size, crc, of_ids = struct.unpack_from("<III", frame, index + 12 * b)
         digits = frame[at:at + size]
         if len(digits) != size or zlib.crc32(digits) != crc:
             raise ValueError(f"block {b}: checksum")
@@ -288,7 +279,7 @@ def decode(frame: bytes) -> np.ndarray:
     block, total, parts = blocks(frame)
     if not parts:
         return np.zeros(0, np.uint32)
-    x = _decode([d for d, _ in parts], block)
+    x = _decode([d for d, _ in parts], block, head(frame)[3])
     for b, (row, (_, crc)) in enumerate(zip(x, parts)):
         if zlib.crc32(row) != crc:
             raise ValueError(f"block {b}: checksum of its ids")

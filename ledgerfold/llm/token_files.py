@@ -78,8 +78,10 @@ def _framer(path: str, end: int, frame_ids: int):
 def write_token_files(docs: DataFrame, path: str, vocab: str | None = None, end: int = END, id_col: str = "doc_id", text_col: str = "text", frame_ids: int = FRAME_IDS) -> str:
     """Write the files under ``path`` (a folder that all executors share) and return it."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    order = [F.col("doc_id"), F.xxhash64("text")]
-    d = d.repartitionByRange(*order).sortWithinPartitions(*order)
+    # rows of equal id and text are parted by their place in the input, so that no group of repeats is one task's
+    order = ["doc_id", "hash", "row"]
+    d = d.select("doc_id", "text", F.xxhash64("text").alias("hash"), F.monotonically_increasing_id().alias("row"))
+    d = d.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     d.mapInArrow(_framer(vocab or vocabulary(), end, frame_ids), FRAMES).write.option("compression", "none").parquet(path)
     return path
 
