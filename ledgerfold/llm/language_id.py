@@ -3,7 +3,7 @@
 A text is its hashed byte n-grams (one to three bytes of the lower-cased whole text, everything but
 letters as one space), each count as the square root of its share.  Linear support vector machines, one for every pair of families
 and one for every pair of languages of a family, are trained by dual coordinate descent on a
-bounded sample: at most ``SAMPLE`` labelled texts, spread evenly over the languages and chosen by a hash.
+bounded sample: at most ``SAMPLE`` different labelled texts, spread evenly over the languages and chosen by a hash.
 A pair's machine votes; votes, then summed margins, then the name decide.  Scoring is one pass
 without a shuffle: counts times a small weight matrix that travels with the task.
 
@@ -36,13 +36,15 @@ FAMILIES = {
     "semitic": "ar he mt am".split(),
     "turkic": "tr az kk uz".split(),
 }
-DIM, SAMPLE, SLICE, DOCS = 4096, 6000, 1_000_000, 512
+DIM, SAMPLE, SLICE, DOCS = 4096, 6000, 1_000_000, 128
 UNKNOWN = "und"
 #: Least score kept where no threshold has been learned. A winner of two has a margin of 0 or more, so this alone rejects nothing.
 LEAST = 0.5
 #: Learned thresholds: this share of the margin that all but ``LOW`` of a language's labelled texts reach.
 LOW, SHARE = 0.01, 0.5
 SHARPNESS = 4.0
+#: Hashes are taken modulo this to draw the sample.
+PLACES = 1 << 40
 PREDICTIONS = "doc_id long, lang_pred string, score double"
 
 
@@ -224,21 +226,24 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, lang_col: str = "lang", text_col: str = "text", order: Column | None = None, reject: bool = False) -> Model:
-    """Train on at most ``sample`` rows: as many of each language, those of least ``order`` hash; with ``reject``,
-    learn ``thresholds`` from them too.
+    """Train on at most ``sample`` different texts: as many of each language, those of least ``order`` hash; with ``reject``,
+    learn ``thresholds`` from them too.  Copies count once, and every learned language has a text at least.
+    At most half as many languages as ``sample`` are learned, those with the most different texts.
 
     The sample's vectors (8 KB each, in half precision) are all that reaches the driver.
     """
     order = order if order is not None else F.xxhash64(text_col)
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), order.alias("h"))
-    per = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(sample // 2).collect()}
+    place = F.pmod(F.col("h"), F.lit(PLACES))
+    texts = rows.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    per = {r["lang"]: (r["n"], r["first"]) for r in texts.orderBy(F.desc("n"), "lang").limit(sample // 2).collect()}
     if not per:
         return Model()
     quota = max(1, sample // len(per))
-    # a hash below a bound that lets through about twice the quota, then the least of those by rank
-    bound = F.create_map(*[F.lit(v) for lang, n in per.items() for v in (lang, min(1.0, 2.0 * quota / n))])
-    some = rows.filter((F.pmod(F.col("h"), F.lit(1 << 40)) < F.try_element_at(bound, F.col("lang")) * float(1 << 40)))
-    some = some.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).filter(F.col("k") <= quota)
+    # a hash below a bound that lets through about twice the quota, and the least in any case; then the least of those by rank
+    bound = F.create_map(*[F.lit(v) for lang, (n, first) in per.items() for v in (lang, max(first + 1, int(min(1.0, 2.0 * quota / n) * PLACES)))])
+    some = rows.filter(place < F.try_element_at(bound, F.col("lang"))).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    some = some.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(F.col("h"), F.lit(PLACES)), "h"))).filter(F.col("k") <= quota)
     got = some.select("lang", "text", "h").mapInArrow(_vectors, "lang string, h long, x binary").toArrow().sort_by([("lang", "ascending"), ("h", "ascending")])
     langs, column = got["lang"].to_pylist(), got["x"].combine_chunks()
     start = column.offset * 2 * (DIM + 1)

@@ -97,3 +97,61 @@ def test_quality_awkward_rows(spark):
     assert len({r.score for r in rows if r.doc_id in (2, 3, 4)}) == 1
     assert {r.score for r in Q.score(documents(spark), Q.fit(documents(spark), labels.limit(0))).collect()} == {0.5}
     assert Q.score(documents(spark, []), model).collect() == []
+
+
+def test_a_language_of_a_few_texts_and_many_copies_is_learned(spark, docs):
+    french = [r.text for r in docs.filter("lang = 'fr' AND length(text) > 400").select("text").distinct().orderBy("text").limit(5).collect()]
+    german = [r.text for r in docs.filter("lang = 'de' AND length(text) > 400").select("text").distinct().orderBy("text").limit(80).collect()]
+    copies = spark.range(4_000).select((F.col("id") % len(french)).cast("int").alias("k")).select(F.lit("fr").alias("lang"), F.element_at(F.lit(french), F.col("k") + 1).alias("text"))
+    table = copies.unionByName(spark.createDataFrame([("de", t) for t in german], "lang string, text string"))
+    for sample in (6, 40, 1000):
+        model = L.fit(table, sample=sample)
+        assert model.languages == {"germanic": ["de"], "romance": ["fr"]}
+        again = L.fit(table.repartition(3), sample=sample)
+        assert np.array_equal(model.weights, again.weights)
+    got = L.predict(spark.createDataFrame([(1, french[0]), (2, german[0])], "doc_id long, text string"), model)
+    assert {r.doc_id: r.lang_pred for r in got.collect()} == {1: "fr", 2: "de"}
+
+
+def test_pair_machines_agree_with_plain_subgradient_descent():
+    """The same objective (hinge loss, L2, classes of equal weight) minimised the slow way."""
+    rng = np.random.default_rng(1)
+    x = np.hstack([rng.normal(size=(60, 3)), np.ones((60, 1))])
+    y = np.where(x[:, 0] - 0.7 * x[:, 2] + 0.1 * rng.normal(size=60) > 0.1, 1.0, -1.0)
+    c = np.where(y > 0, 1 / (y > 0).sum(), 1 / (y < 0).sum()) * len(y) / 2
+    worth = lambda w: w @ w / 2 + (c * np.maximum(0, 1 - y * (x @ w))).sum()
+    w, best = np.zeros(4), np.inf
+    for step in range(1, 40_000):
+        w -= (w - ((c * y * (y * (x @ w) < 1)) @ x)) / (step + 10)
+        best = min(best, worth(w))
+    assert worth(L.train_svm(x, y, c=1.0, epochs=500)) < best * 1.01
+
+
+def test_ftrl_equals_a_plain_loop_over_all_weights():
+    rng = np.random.default_rng(2)
+    rows = [(np.sort(rng.choice(12, 4, replace=False)).astype(np.int32), rng.random(4).astype(np.float32)) for _ in range(30)]
+    y = rng.integers(0, 2, 30)
+    alpha, beta, l1, l2 = 0.2, 1.0, 0.01, 0.01
+    z, n, order = dict.fromkeys([*range(12), "bias"], 0.0), dict.fromkeys([*range(12), "bias"], 0.0), np.random.default_rng(9)
+    weight = lambda k: 0.0 if abs(z[k]) <= l1 else -(z[k] - np.sign(z[k]) * l1) / ((beta + n[k]**0.5) / alpha + l2)
+    for _ in range(4):
+        for i in order.permutation(30).tolist():
+            values = {**dict(zip(rows[i][0].tolist(), rows[i][1].tolist())), "bias": 1.0}
+            held = {k: weight(k) for k in values}
+            p = 1 / (1 + np.exp(-sum(held[k] * v for k, v in values.items())))
+            for k, v in values.items():
+                g = (p - y[i]) * v
+                z[k] += g - ((n[k] + g * g)**0.5 - n[k]**0.5) / alpha * held[k]
+                n[k] += g * g
+    w, bias = Q.train_ftrl(rows, y)
+    assert w[:12] == pytest.approx([weight(k) for k in range(12)], abs=1e-9) and bias == pytest.approx(weight("bias"), abs=1e-9) and not w[12:].any()
+
+
+def test_repeated_ids_give_one_text_and_the_same_model(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    once = [(i, ("good clean words here " if i % 2 else "bad bad bad $$ ") * (3 + i % 5)) for i in range(40)]
+    hot = [*once, *[(7, f"other text {k % 3}") for k in range(3_000)]]
+    models = [Q.fit(documents(spark, hot).repartition(k), labels) for k in (1, 5)]
+    assert np.array_equal(models[0][0], models[1][0]) and models[0][1] == models[1][1]
+    scores = {r.doc_id: r.score for r in Q.score(documents(spark, once), models[0]).collect()}
+    assert all((scores[i] > 0.5) == bool(i % 2) for i in scores if i != 7)
