@@ -2,7 +2,14 @@
 
 A unit vector is rotated by three rounds of random signs and a fast Hadamard transform (padded to a
 power of two) and falls in the bucket of its nearest signed axis.  ``tables`` rotations give as many
-buckets; a query probes the ``probes`` nearest signed axes of each.  Inside a bucket queries and
+buckets; a query probes the ``probes`` nearest signed axes of each.
+
+How many tables and probes a table of vectors needs is measured, for each length of vectors (``measure``): ``SAMPLE`` queries are answered
+exactly, against all rows in blocks, and the least tables x probes is taken at which the buckets hold ``RECALL`` of
+their true neighbours.  Vectors in clusters need few of the ``TABLES`` and of the axes; vectors without any structure need so many that
+most rows are met, which no hashing avoids.
+
+Inside a bucket queries and
 rows are cut into blocks of ``BLOCK``, and each pair of blocks is one unit of work, so
 neither a hot bucket nor a popular probe lands in one task.  A unit scores its pairs exactly, in double precision on the
 original vectors, and hands on each query's nearest: pairs are never rows.
@@ -28,7 +35,9 @@ from pyspark.sql import functions as F
 
 from ledgerfold.llm.token_files import scratch
 
-TABLES, PROBES, BLOCK, K = 16, 10, 4096, 20
+TABLES, BLOCK, K = 16, 4096, 20
+#: Share of true neighbours that the buckets must hold, and queries of each length on which it is measured.
+RECALL, SAMPLE = 0.97, 200
 HASHED = "rep long, v array<double>, d int, t int, b int"
 FOUND = "q long, c long, score double"
 
@@ -69,13 +78,15 @@ def _matrix(column: pa.Array) -> list[tuple[int, np.ndarray, np.ndarray]]:
     return out
 
 
-def _hasher(tables: int, probes: int) -> Callable:
+def _hasher(plan: dict[int, tuple[int, int]], asking: bool) -> Callable:
+    """Rows of HASHED: the buckets of rows, or those that queries probe.  plan: (tables, probes) by length."""
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for d, rows, x in _matrix(batch.column(1)):
                 ids = batch.column(0).take(pa.array(rows))
+                tables, probes = plan.get(d, (0, 0))
                 for table in range(tables):
-                    axes = nearest_axes(x, table, probes)
+                    axes = nearest_axes(x, table, probes if asking else 1)
                     for p in range(axes.shape[1]):
                         n = len(rows)
                         yield pa.RecordBatch.from_arrays([
@@ -158,8 +169,49 @@ def _in_blocks(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return data.unionByName(asks).repartition(*unit).sortWithinPartitions(*unit).mapInArrow(_searcher(k), FOUND)
 
 
-def search(spark: SparkSession, vectors: DataFrame, queries: Column, k: int = K, tables: int = TABLES, probes: int = PROBES, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """For the rows where ``queries`` (an expression of ``vec_id``) holds: query_id, rank, vec_id, score."""
+def cheapest(ranks: np.ndarray, target: float) -> tuple[int, int]:
+    """The (tables, probes) of least product that find ``target`` of the pairs; ranks: for each pair and table, how many
+    axes are nearer to the query than the candidate's."""
+    best = None
+    for tables in range(1, ranks.shape[1] + 1):
+        first = np.sort(ranks[:, :tables].min(axis=1))
+        probes = int(first[max(0, int(np.ceil(target * len(first))) - 1)]) + 1
+        if best is None or tables * probes < best[0] * best[1]:
+            best = tables, probes
+    return best
+
+
+def _whole(d: DataFrame) -> DataFrame:
+    """HASHED rows that are all in one bucket of their length."""
+    return d.select("rep", "v", F.size("v").alias("d"), F.lit(-1).alias("t"), F.lit(0).alias("b"))
+
+
+def measure(all_rows: DataFrame, asking: DataFrame, k: int = K, tables: int = TABLES, target: float = RECALL, sample: int = SAMPLE) -> dict[int, tuple[int, int]]:
+    """(tables, probes) for each length of the vectors that queries have, from ``sample`` queries of the length (those of least
+    hash) and their ``k`` true neighbours; those few vectors reach the driver, so lengths are expected to be few."""
+    by_hash = Window.partitionBy("d").orderBy(F.xxhash64("rep"), "rep")
+    some = asking.withColumn("d", F.size("v")).withColumn("r", F.row_number().over(by_hash)).filter(F.col("r") <= sample).select("rep", "v")
+    exact = _in_blocks(_whole(all_rows), _whole(some), k + 1).filter("q <> c")
+    true = exact.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "c"))).filter(F.col("r") <= k).select("q", "c")
+    q, c = (all_rows.select(F.col("rep").alias(n), F.col("v").alias(f"{n}v")) for n in ("q", "c"))
+    pairs = true.join(c, "c").groupBy("q").agg(F.collect_list("cv").alias("near")).join(q, "q").select(F.size("qv").alias("d"), "qv", "near").collect()
+    plan = {r.d: (1, 1) for r in some.select(F.size("v").alias("d")).distinct().collect()}  # a length of one vector
+    for d in {r.d for r in pairs}:
+        mine = [r for r in pairs if r.d == d]
+        x, y = np.array([r.qv for r in mine]), np.concatenate([np.array(r.near) for r in mine])
+        of = np.repeat(np.arange(len(mine)), [len(r.near) for r in mine])
+        ranks = np.empty((len(y), tables), np.int64)
+        for table in range(tables):
+            axes = nearest_axes(x, table, 1 << 62)
+            place = np.argsort(axes, axis=1)  # of each axis in the query's order
+            ranks[:, table] = place[of, nearest_axes(y, table, 1)[:, 0]]
+        plan[d] = cheapest(ranks, target)
+    return plan
+
+
+def search(spark: SparkSession, vectors: DataFrame, queries: Column, k: int = K, tables: int = TABLES, recall: float = RECALL, sample: int = SAMPLE, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """For the rows where ``queries`` (an expression of ``vec_id``) holds: query_id, rank, vec_id, score.  At most ``tables``
+    rotations are used, and as few of them and of probes as reach ``recall`` (``measure``)."""
     folder = scratch(spark, "ann")
     v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("v")).filter(F.col("vec_id").isNotNull() & _usable(F.col("v")))
     v = v.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("x", F.xxhash64("v")).withColumn("y", F.xxhash64(F.lit(7), "v"))
@@ -174,17 +226,17 @@ def search(spark: SparkSession, vectors: DataFrame, queries: Column, k: int = K,
     asking = groups.join(asked.select("x", "y").distinct(), ["x", "y"], "left_semi").select("rep", "v")
     all_rows = groups.select("rep", "v")
 
-    _in_blocks(all_rows.mapInArrow(_hasher(tables, 1), HASHED), asking.mapInArrow(_hasher(tables, probes), HASHED), k + 1).write.parquet(f"{folder}/found")
+    plan = measure(all_rows, asking, k, tables, recall, sample)
+    _in_blocks(all_rows.mapInArrow(_hasher(plan, False), HASHED), asking.mapInArrow(_hasher(plan, True), HASHED), k + 1).write.parquet(f"{folder}/found")
     found = spark.read.schema(FOUND).parquet(f"{folder}/found").groupBy("q", "c").agg(F.max("score").alias("score"))
     # queries with fewer vectors than they could have: against all rows of their length
-    whole = lambda d: d.select("rep", "v", F.size("v").alias("d"), F.lit(-1).alias("t"), F.lit(0).alias("b"))
     there = all_rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"))
     few = asking.withColumn("d", F.size("v")).join(found.groupBy(F.col("q").alias("rep")).agg(F.count("*").alias("got")), "rep", "left").join(F.broadcast(there), "d").filter(
         F.coalesce("got", F.lit(0)) < F.least(F.lit(k + 1), "n")).select("rep", "v")
     few.write.parquet(f"{folder}/few")
     few = spark.read.schema("rep long, v array<double>").parquet(f"{folder}/few")
     if not few.isEmpty():
-        rest = _in_blocks(whole(all_rows), whole(few), k + 1)
+        rest = _in_blocks(_whole(all_rows), _whole(few), k + 1)
         found = found.join(few.select(F.col("rep").alias("q")), "q", "left_anti").unionByName(rest.groupBy("q", "c").agg(F.max("score").alias("score")))
 
     nearest = lambda over, *order: F.row_number().over(Window.partitionBy(over).orderBy(F.desc("score"), *order))

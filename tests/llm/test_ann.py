@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerfold.llm import ann as A
@@ -63,3 +64,39 @@ def test_few_rows_give_all_candidates_and_bad_vectors_take_no_part(spark):
     got = found(A.search(spark, table(spark, good + bad), F.col("vec_id") % 20 == 0))
     assert got == brute(good) | {}
     assert 160 not in got  # alone of its length
+
+
+def vectors_of(kind, n, d, seed=4):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, d))
+    if kind == "clusters":
+        x = rng.normal(size=(20, d))[rng.integers(0, 20, n)] + 0.25 * x
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "norms":
+        x *= rng.lognormal(0, 0.3, n)[:, None]
+    return [(i, v.tolist()) for i, v in enumerate(x)]
+
+
+@pytest.mark.parametrize("kind,d", [("random", 64), ("random", 256), ("random", 768), ("clusters", 64), ("clusters", 300), ("norms", 64)])
+def test_recall_at_any_length_and_shape(spark, kind, d):
+    rows = vectors_of(kind, 800, d)
+    got, want = found(A.search(spark, table(spark, rows), F.col("vec_id") % 20 == 0)), brute(rows)
+    assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
+
+
+def test_clusters_meet_few_pairs(spark):
+    """What the measured plan scores on clustered vectors, against all pairs."""
+    rows = vectors_of("clusters", 2000, 64)
+    df = spark.createDataFrame(rows, "rep long, v array<double>")
+    plan = A.measure(df, df.filter("rep % 20 = 0"))
+    tables, probes = plan[64]
+    x, scored = np.array([v for _, v in rows]), 0
+    for t in range(tables):
+        size = np.bincount(A.nearest_axes(x, t, 1)[:, 0], minlength=128)
+        scored += size[A.nearest_axes(x[::20], t, probes)].sum()
+    assert scored < 0.2 * 100 * 2000, plan  # a cluster of a twentieth of the rows is met whole
+
+
+def test_cheapest_plan():
+    ranks = np.array([[0, 5], [0, 5], [9, 0], [3, 3]])
+    assert A.cheapest(ranks, 1.0) == (2, 4) and A.cheapest(ranks, 0.5) == (1, 1) and A.cheapest(ranks, 0.75) in ((2, 1), (1, 4))
