@@ -159,7 +159,7 @@ def fifo_intervals(detail: DataFrame, calendar: DataFrame, book: str = LONG) ->
     dropped_prev = -F.least(zero, F.col("low0"), r0 + F.col("low_before"))
     sq = -F.col("q")
     out = e.select(
-        *KEYS, "busi_date", *EVENT_ORDER, "q", "cash", "cash_c",
+        *KEYS, "busi_date", *[F.col(c).cast(detail.schema[c].dataType).alias(c) for c in EVENT_ORDER], "q", "cash", "cash_c",
         F.when(F.col("q") > 0, b_cum - F.col("q")).alias("buy_start"),
         F.when(F.col("q") > 0, b_cum).alias("buy_end"),
         F.when(F.col("q") < 0, s_cum - sq - dropped_prev).alias("sell_start"),

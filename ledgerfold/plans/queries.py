@@ -24,7 +24,7 @@ from ledgerfold.operators.positions import (DETAIL_FIELDS, closed_position_detai
                                             position_base, position_state, roll_positions, seed_open_positions)
 from ledgerfold.operators.quality import error_count_diff, error_counts, qty_identity
 from ledgerfold.plans.backfill import backfill
-from ledgerfold.sinks.tables import append, create_table, empty_like, replace_day, write_partitioned
+from ledgerfold.sinks.tables import append, create_table, empty_like, replace_day, replace_partitions, save_as_table, write_partitioned
 from ledgerfold.sources.binding import stored
 from ledgerfold.sources.tables import read_partitioned
 
@@ -432,6 +432,30 @@ def q_sink_empty_day(spark, sf_dir):
     return rounded(spark.table(name).select(*df.columns), money=("trd_cash_flow", "pos_cash_flow", "neg_cash_flow", "trd_fee"))
 
 
+def q_sink_switch_days(spark, sf_dir):
+    """The last two days of a catalog table replaced together: one by its long book, the other by nothing; read back."""
+    name, df = _catalog_merged(spark, sf_dir)
+    days = [r.busi_date for r in tables(spark, sf_dir).trading_day.orderBy(F.desc("rlt_rank")).limit(2).collect()]
+    replace_partitions(df.where((F.col("busi_date") == days[0]) & (F.col("trd_type") == LONG)), name, days)
+    return rounded(spark.table(name).select(*df.columns), money=("trd_cash_flow", "pos_cash_flow", "neg_cash_flow", "trd_fee"))
+
+
+def q_sink_self_overwrite(spark, sf_dir):
+    """A catalog table saved from its own rows: the long book only, with quantities doubled; read back."""
+    name, df = _catalog_merged(spark, sf_dir)
+    own = spark.table(name)
+    save_as_table(own.where(F.col("trd_type") == LONG).withColumn("trd_qty", F.col("trd_qty") * 2), name, fmt="parquet")
+    return rounded(spark.table(name).select(*df.columns), money=("trd_cash_flow", "pos_cash_flow", "neg_cash_flow", "trd_fee"))
+
+
+def q_dq_error_range(spark, sf_dir):
+    """Injected errors of the later half of the trading days, by book and day."""
+    t = tables(spark, sf_dir)
+    n = t.trading_day.agg(F.max("rlt_rank")).first()[0]
+    from_day = t.trading_day.where(F.col("rlt_rank") == n // 2).first()["busi_date"]
+    return error_counts(t.stock_generate_error, from_day, _bounds(t)[1])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_cash_flow": q_merge_cash_flow,
     "holdings_pair": q_holdings_pair,
@@ -482,4 +506,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "positions_null_keys": q_positions_null_keys,
     "fifo_null_keys": q_fifo_null_keys,
     "lots_null_keys": q_lots_null_keys,
+    "sink_switch_days": q_sink_switch_days,
+    "sink_self_overwrite": q_sink_self_overwrite,
+    "dq_error_range": q_dq_error_range,
 }

@@ -8,10 +8,15 @@ named days exactly the days present in the rows are replaced.  Other days stay,
 session's ``partitionOverwriteMode`` is: ``insertInto`` reads only the session's setting, so it is
 set for the write and restored.  A write is a single Spark job: a lost executor only
 re-runs tasks, and the commit protocol keeps half-written files invisible.
+
+Named days of a catalog table are written beside it first, those with rows and those without, and then each
+day's partition is pointed at its new folder: until then every day is as it was, and no day is ever part old and part new.
+A table that is saved again (``save_as_table``) is written under another name and then takes its place, so it may be made from itself.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -90,23 +95,59 @@ def _written_days(df: DataFrame, day_col: str) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.collect_set(day_col).alias("days")), seen
 
 
+def _described(spark: SparkSession, table: str, day: str | None = None) -> dict[str, str]:
+    """What the catalog says of a table, or of one of its days ({} if it has no such day)."""
+    if day is not None and spark.sql(f"SHOW PARTITIONS {table} PARTITION (busi_date = '{day}')").isEmpty():
+        return {}
+    of = f" PARTITION (busi_date = '{day}')" if day is not None else ""
+    out: dict[str, str] = {}
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}{of}").collect():
+        out.setdefault(r["col_name"], r["data_type"])  # a partition's own entries come before the table's
+    return out
+
+
+def stage_days(df: DataFrame, table: str, days: Sequence[str]) -> str:
+    """Write ``df`` beside ``table``, a folder for each of ``days`` (empty without rows); the folder that holds them."""
+    spark = df.sparkSession
+    about = _described(spark, table)
+    folder = f"{about['Location'].rstrip('/')}/_days_{uuid.uuid4().hex}"
+    out, seen = _written_days(owned(df, days).hint("rebalance", "busi_date"), "busi_date")
+    out.write.format(about["Provider"]).partitionBy("busi_date").save(folder)
+    for day in sorted(set(days) - set(seen.get["days"])):
+        empty_like(df.drop("busi_date")).write.format(about["Provider"]).save(f"{folder}/busi_date={day}")
+    return folder
+
+
+def switch_days(spark: SparkSession, table: str, days: Sequence[str], folder: str) -> None:
+    """Point the partitions of ``days`` at their folders under ``folder``; what they held before is removed."""
+    whole = _described(spark, table)["Location"].rstrip("/")
+    before = {day: _described(spark, table, day).get("Location") for day in days}
+    for day in days:
+        place = f"'{folder}/busi_date={day}'"
+        if before[day] is None:
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (busi_date = '{day}') LOCATION {place}")
+        else:
+            spark.sql(f"ALTER TABLE {table} PARTITION (busi_date = '{day}') SET LOCATION {place}")
+    spark.catalog.refreshTable(table)
+    for old in filter(None, before.values()):
+        if old.rstrip("/") != whole and not whole.startswith(old):
+            _drop_folder(spark, old)
+
+
 def replace_partitions(df: DataFrame, table: str, days: Sequence[str] | None = None) -> None:
-    """Replace the named ``days`` (default: the days in ``df``) of a catalog table by ``df``."""
+    """Replace the named ``days`` (default: the days in ``df``) of a catalog table by ``df``.
+
+    Named days are staged and switched; a day without rows stays as an empty partition."""
     spark = df.sparkSession
     out = conform(df, spark.table(table).schema)
     if days is not None:
-        out = owned(out, days)
-    out, seen = _written_days(out, "busi_date")
+        named = sorted(set(days))
+        if any(re.search(r"[^\w.-]", day) for day in named):
+            raise ValueError(f"not days: {named}")
+        switch_days(spark, table, named, stage_days(out, table, named))
+        return
     with dynamic_overwrite(spark):
         out.write.insertInto(table, overwrite=True)
-    empty = sorted(set(days or ()) - set(seen.get["days"]))
-    if empty:
-        view = f"no_rows_{uuid.uuid4().hex}"
-        empty_like(out.drop("busi_date")).createOrReplaceTempView(view)
-        for day in empty:  # a named partition is overwritten even by no rows, files and all
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (busi_date = '{day}') SELECT * FROM {view}")
-            add_partition(spark, table, day)  # an empty day still has its partition
-        spark.catalog.dropTempView(view)
 
 
 def append(df: DataFrame, table: str) -> None:
@@ -123,11 +164,24 @@ def replace_day(df: DataFrame, table: str, busi_date: str) -> None:
 
 def save_as_table(df: DataFrame, table: str, partition_cols: tuple[str, ...] = ("busi_date",), fmt: str = "orc",
                   mode: str = "overwrite") -> None:
-    """(Re)create a partitioned catalog table from ``df``."""
-    w = df.write.format(fmt).mode(mode)
+    """(Re)create a partitioned catalog table from ``df``, which may read the table itself: an
+    existing one is kept until the new one is whole and takes its name."""
+    spark = df.sparkSession
+    if mode != "overwrite" or not spark.catalog.tableExists(table):
+        w = df.write.format(fmt).mode(mode)
+        (w.partitionBy(*partition_cols) if partition_cols else w).saveAsTable(table)
+        return
+    about = _described(spark, table)
+    old = about["Location"].rstrip("/")
+    folder = f"{re.sub('_rows_[0-9a-f]{32}$', '', old)}_rows_{uuid.uuid4().hex}"
+    w = df.write.format(fmt)
+    (w.partitionBy(*partition_cols) if partition_cols else w).save(folder)
+    spark.sql(f"DROP TABLE {table}")
+    create_table(spark, table, T.StructType([f for f in df.schema if f.name not in partition_cols] + [df.schema[c] for c in partition_cols]), partition_cols, fmt, location=folder)
     if partition_cols:
-        w = w.partitionBy(*partition_cols)
-    w.saveAsTable(table)
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    if re.search("_rows_[0-9a-f]{32}$", old):  # an earlier folder of this function; a managed table's went with the table
+        _drop_folder(spark, old)
 
 
 def empty_like(df: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from fixtures import calendar
 from ledgerfold.functions.calendar import shift_trading_day, trading_days
 from ledgerfold.schemas import STOCK_CASH_FLOW
-from ledgerfold.sinks.tables import (add_partition, conform, create_table, ddl, empty_like, replace_day,
-                                     replace_partitions, write_partitioned)
+from ledgerfold.sinks.tables import (add_partition, append, conform, create_table, ddl, empty_like, replace_day,
+                                     replace_partitions, save_as_table, write_partitioned)
 from ledgerfold.session import ensure_checkpoint_dir
 
 
@@ -173,3 +173,51 @@ def test_no_checkpoint_folder_on_a_cluster_is_an_error():
     session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda k, d=None: d))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(session)
+
+
+def _days_table(spark, name):
+    schema = "k string, busi_date string"
+    create_table(spark, name, spark.createDataFrame([], schema).schema, fmt="parquet")
+    replace_partitions(spark.createDataFrame([("a", "d1"), ("b", "d2"), ("c", "d3")], schema), name)
+    return lambda: sorted(tuple(r) for r in spark.table(name).select("k", "busi_date").collect())
+
+
+def test_filled_and_cleared_days_are_switched_together(spark, monkeypatch):
+    from ledgerfold.sinks import tables as S
+
+    name = "switched_days"
+    rows = _days_table(spark, name)
+    new = spark.createDataFrame([("x", "d1"), ("y", "d4")], "k string, busi_date string")
+
+    def fails(*a):
+        raise RuntimeError("lost the driver")
+
+    with monkeypatch.context() as m:  # between writing and switching: every day is whole and old
+        m.setattr(S, "switch_days", fails)
+        with pytest.raises(RuntimeError):
+            replace_partitions(new, name, ["d1", "d2", "d4"])
+    spark.catalog.refreshTable(name)
+    assert rows() == [("a", "d1"), ("b", "d2"), ("c", "d3")]
+    with pytest.raises(Exception, match="not to be replaced"):  # a row of another day fails before anything is switched
+        replace_partitions(new, name, ["d1", "d2"])
+    assert rows() == [("a", "d1"), ("b", "d2"), ("c", "d3")]
+    replace_partitions(new, name, ["d1", "d2", "d4"])
+    assert rows() == [("c", "d3"), ("x", "d1"), ("y", "d4")]
+    assert {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()} == {f"busi_date=d{i}" for i in (1, 2, 3, 4)}
+    # later writes of both kinds go on from there
+    append(spark.createDataFrame([("z", "d2")], "k string, busi_date string"), name)
+    replace_partitions(spark.createDataFrame([("w", "d1")], "k string, busi_date string"), name)
+    replace_day(spark.createDataFrame([("v", "d3")], "k string, busi_date string"), name, "d3")
+    assert rows() == [("v", "d3"), ("w", "d1"), ("y", "d4"), ("z", "d2")]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_a_table_made_from_itself(spark):
+    name = "made_from_itself"
+    save_as_table(spark.createDataFrame([("a", 1, "d1"), ("b", 2, "d2")], "k string, n int, busi_date string"), name, fmt="parquet")
+    for _ in range(2):
+        save_as_table(spark.table(name).withColumn("n", F.col("n") * 10).where("k <> 'b' OR n < 1000"), name, fmt="parquet")
+    assert sorted(tuple(r) for r in spark.table(name).select("k", "n", "busi_date").collect()) == [("a", 100, "d1"), ("b", 200, "d2")]
+    replace_day(spark.table(name).where("busi_date = 'd1'").withColumn("n", F.lit(7)), name, "d1")
+    assert sorted(tuple(r) for r in spark.table(name).select("k", "n", "busi_date").collect()) == [("a", 7, "d1"), ("b", 200, "d2")]
+    spark.sql(f"DROP TABLE {name}")
