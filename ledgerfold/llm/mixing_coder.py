@@ -28,9 +28,9 @@ import zlib
 
 import numpy as np
 
-BLOCK, MAGIC, HEAD = 2048, b"CMR2", "<4sIIQII"
+BLOCK, MAGIC, HEAD = 1024, b"CMR2", "<4sIIQII"
 #: Bits of a table's index, of the choice between orders, and of the order-0 total; the largest id allowed.
-TABLE, CHOICE, TOTAL, MOST = 11, 16, 20, (1 << 19) - 9
+TABLE, CHOICE, TOTAL, MOST = 10, 16, 20, (1 << 19) - 9
 FULL, LEAST, DIGIT = 1 << 60, 1 << 40, 20
 #: Least share of 2^16 that an order keeps.
 FLOOR = 64
