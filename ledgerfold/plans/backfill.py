@@ -20,7 +20,7 @@ from ledgerfold.operators.cashflow import merge_cash_flow
 from ledgerfold.operators.exceptions import exception_detail, exception_stat
 from ledgerfold.sources.tables import read_days
 
-MAX_LITERAL_DAYS = 400  # days named in a filter; longer ranges are semi-joined
+MAX_LITERAL_DAYS = 400  # days named in a filter; longer ranges are bounded by literals and semi-joined
 
 TASKS = ("merge", "check", "check_exception_detail", "check_exception_stat")
 
@@ -30,22 +30,29 @@ def run_days(calendar: DataFrame, start: str, end: str) -> DataFrame:
     return trading_days(calendar, start, end)
 
 
-def backfill(task: str, tables, start: str, end: str) -> DataFrame:
-    """Every partition (busi_date = T1) that running ``task`` for each day of [start, end] would write."""
+def backfill(task: str, tables, start: str, end: str, literal_days: int = MAX_LITERAL_DAYS) -> DataFrame:
+    """Every partition (busi_date = T1) that running ``task`` for each day of [start, end] would write.
+
+    Every input is read on the days of the range only: up to ``literal_days`` days are named in the filters; a longer range gives
+    the scans its first and last day as literals, and the calendar's days between them prune partitions at run time (semi-join)."""
     if task not in TASKS:
         raise ValueError(f"no task {task!r}; one of {', '.join(TASKS)}")
     fits = calendar_fits(tables.trading_day)
     days = trading_days(tables.trading_day, start, end, fits).select("t1_date", "t2_date")
-    few = days.limit(MAX_LITERAL_DAYS + 1).collect() if fits else []
-    if 0 < len(few) <= MAX_LITERAL_DAYS:
+    few = days.limit(literal_days + 1).collect() if fits else []
+    if 0 < len(few) <= literal_days:
         # the days as literals, so that every scan prunes to their partitions
         t1s, ends = sorted({r.t1_date for r in few}), sorted({d for r in few for d in r})
         on_t1 = lambda df: read_days(df, t1s)
         at_ends = lambda df: read_days(df, ends)
     else:
-        t1 = day_side(days.select(F.col("t1_date").alias("busi_date")).distinct(), fits)  # at most one row per trading day
-        on_t1 = lambda df: df.join(t1, "busi_date", "left_semi")
-        at_ends = lambda df: df
+        # at most one row per trading day each
+        bounds = days.agg(F.min("t2_date").alias("lo"), F.min("t1_date").alias("lo1"), F.max("t1_date").alias("hi")).first()
+        t1 = day_side(days.select(F.col("t1_date").alias("busi_date")).distinct(), fits)
+        both = day_side(days.select(F.explode(F.array("t1_date", "t2_date")).alias("busi_date")).distinct(), fits)
+        inside = lambda df, lo, on: df.where(F.col("busi_date").between(lo, bounds["hi"])).join(on, "busi_date", "left_semi").select(*df.columns)
+        on_t1 = lambda df: inside(df, bounds["lo1"], t1)
+        at_ends = lambda df: inside(df, bounds["lo"], both)
     detail = on_t1(tables.cash_flow_detail)
     if task == "merge":
         return merge_cash_flow(detail)

@@ -448,6 +448,14 @@ def q_sink_self_overwrite(spark, sf_dir):
     return rounded(spark.table(name).select(*df.columns), money=("trd_cash_flow", "pos_cash_flow", "neg_cash_flow", "trd_fee"))
 
 
+def q_backfill_long_range(spark, sf_dir):
+    """The check of the later half of the trading days, planned as a range that is too long to name its days."""
+    t = tables(spark, sf_dir)
+    n = t.trading_day.agg(F.max("rlt_rank")).first()[0]
+    from_day = t.trading_day.where(F.col("rlt_rank") == n // 2).first()["busi_date"]
+    return rounded(backfill("check", t, from_day, _bounds(t)[1], literal_days=0), money=_CHECK_MONEY, rates=("return_rate",))
+
+
 def q_dq_error_range(spark, sf_dir):
     """Injected errors of the later half of the trading days, by book and day."""
     t = tables(spark, sf_dir)
@@ -509,4 +517,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_switch_days": q_sink_switch_days,
     "sink_self_overwrite": q_sink_self_overwrite,
     "dq_error_range": q_dq_error_range,
+    "backfill_long_range": q_backfill_long_range,
 }

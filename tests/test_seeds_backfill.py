@@ -50,3 +50,16 @@ def test_error_diff_one_sided_groups_pass_unless_strict(spark):
     assert error_count_diff(err, exc).count() == 0              # d2 has no detected side: NULL diff, dropped
     rows = error_count_diff(err, exc, strict=True).collect()
     assert [(r.busi_date, r.diff_count) for r in rows] == [("d2", 1)]
+
+
+def test_a_long_range_prunes_holdings_and_equals_named_days(spark, small):
+    from ledgerfold.plans.backfill import backfill
+
+    day_of = {r.rlt_rank: r.busi_date for r in small.trading_day.collect()}
+    named, long = (backfill("check", small, day_of[20], day_of[30], literal_days=n) for n in (400, 0))
+    rows = lambda df: sorted((tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in df.collect()), key=repr)
+    assert rows(long) == rows(named) and named.count() > 100
+    plan = long._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "PartitionFilters" in line and "mkt_val" in line]
+    # the bounds of the range (T2 of its first day, T1 of its last) reach both holdings' scans
+    assert len(scans) >= 2 and all(day_of[18] in line and day_of[29] in line for line in scans), scans
