@@ -22,9 +22,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of words kept by a worker, and what a word takes beside its characters (its entry, ids and place).
-LIMIT_BYTES, WORD_BYTES = 60_000_000, 180
+LIMIT_BYTES, WORD_BYTES = 120_000_000, 180
 #: Bytes of text that are split at a time.
-SLICE = 1_000_000
+SLICE = 2_000_000
 #: Letters (all composed, so that normal form C leaves them alone), then at most one run of punctuation.
 PUNCTUATION = ".,;:!?*$%&#|()\""
 SIMPLE = rf"^[A-Za-zÀ-ÖØ-öø-ÿ]+[{PUNCTUATION}]*$"
