@@ -95,20 +95,22 @@ def features(texts: pa.Array) -> np.ndarray:
     return out
 
 
-def train_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 20, seed: int = 5) -> np.ndarray:
-    """Weights of the L1-loss linear SVM for y in {-1, 1}, by dual coordinate descent."""
+def train_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 20, seed: int = 5, rows: np.ndarray | None = None) -> np.ndarray:
+    """Weights of the L1-loss linear SVM for y in {-1, 1}, by dual coordinate descent; ``rows`` of x (all), which are not copied."""
     rng = np.random.default_rng(seed)
-    w, alpha = np.zeros(x.shape[1], np.float64), np.zeros(len(x))
-    square = np.einsum("ij,ij->i", x, x).astype(np.float64)
+    rows = np.arange(len(x)) if rows is None else rows
+    w, alpha = np.zeros(x.shape[1], np.float64), np.zeros(len(rows))
+    square = np.array([float(x[r] @ x[r]) for r in rows.tolist()])
+    at = rows.tolist()
     # rarer class: as much weight in all as the other
     most = np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y < 0).sum())) * len(y) / 2 * c
     for _ in range(epochs):
         moved = 0.0
-        for i in rng.permutation(len(x)).tolist():
-            old = alpha[i]
-            new = min(max(old - (y[i] * float(x[i] @ w) - 1) / square[i], 0.0), most[i])
+        for i in rng.permutation(len(rows)).tolist():
+            old, row = alpha[i], x[at[i]]
+            new = min(max(old - (y[i] * float(row @ w) - 1) / square[i], 0.0), most[i])
             if new != old:
-                w += (new - old) * y[i] * x[i]
+                w += (new - old) * y[i] * row
                 alpha[i] = new
                 moved = max(moved, abs(new - old))
         if moved < 1e-3:
@@ -167,12 +169,13 @@ def train(x: np.ndarray, langs: list[str]) -> Model:
     for lang in sorted(set(langs)):
         by_family.setdefault(family(lang), []).append(lang)
     labels, families = np.array(langs, object), np.array([family(a) for a in langs], object)
+    x = x.astype(np.float32, copy=False)  # once: every pair's machine reads its rows there
     pairs, columns = [], []
     for names, of in [(sorted(by_family), families), *((sorted(v), labels) for _, v in sorted(by_family.items()))]:
         for a, b in combinations(names, 2):
-            rows = (of == a) | (of == b)
+            rows = np.nonzero((of == a) | (of == b))[0]
             pairs.append((a, b))
-            columns.append(train_svm(x[rows].astype(np.float32), np.where(of[rows] == a, 1.0, -1.0)))
+            columns.append(train_svm(x, np.where(of[rows] == a, 1.0, -1.0), rows=rows))
     return Model(by_family, pairs, np.stack(columns, axis=1) if columns else np.zeros((DIM + 1, 0)))
 
 
@@ -244,12 +247,18 @@ def fit(docs: DataFrame, sample: int = SAMPLE, lang_col: str = "lang", text_col:
     bound = F.create_map(*[F.lit(v) for lang, (n, first) in per.items() for v in (lang, max(first + 1, int(min(1.0, 2.0 * quota / n) * PLACES)))])
     some = rows.filter(place < F.try_element_at(bound, F.col("lang"))).groupBy("lang", "h").agg(F.min("text").alias("text"))
     some = some.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(F.col("h"), F.lit(PLACES)), "h"))).filter(F.col("k") <= quota)
-    got = some.select("lang", "text", "h").mapInArrow(_vectors, "lang string, h long, x binary").toArrow().sort_by([("lang", "ascending"), ("h", "ascending")])
-    langs, column = got["lang"].to_pylist(), got["x"].combine_chunks()
-    start = column.offset * 2 * (DIM + 1)
-    x = np.frombuffer(column.buffers()[2], "<f2")[start // 2:start // 2 + len(langs) * (DIM + 1)].reshape(len(langs), DIM + 1)
+    got = some.select("lang", "text", "h").mapInArrow(_vectors, "lang string, h long, x binary").toArrow()
+    # in an order that doesn't depend on the tasks; each vector is copied once
+    names, hashes = np.array(got["lang"].to_pylist(), object), got["h"].to_numpy()
+    order = np.lexsort((hashes, names.astype(str)))
+    to, x = iter(np.argsort(order).tolist()), np.empty((len(order), DIM + 1), "<f2")
+    for chunk in got["x"].chunks:
+        for v in chunk:
+            x[next(to)] = np.frombuffer(v.as_buffer(), "<f2")
+    del got
+    langs, hashes = names[order].tolist(), hashes[order]
     model = train(x, langs)
-    model.least = thresholds(x, langs, got["h"].to_numpy()) if reject else {}
+    model.least = thresholds(x, langs, hashes) if reject else {}
     return model
 
 
