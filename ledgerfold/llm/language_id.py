@@ -96,18 +96,19 @@ def features(texts: pa.Array) -> np.ndarray:
 
 
 def train_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 20, seed: int = 5, rows: np.ndarray | None = None) -> np.ndarray:
-    """Weights of the L1-loss linear SVM for y in {-1, 1}, by dual coordinate descent; ``rows`` of x (all), which are not copied."""
+    """Weights of the L1-loss linear SVM for y in {-1, 1}, by dual coordinate descent; ``rows`` of x (all), which are not
+    copied: one row at a time is widened to single precision."""
     rng = np.random.default_rng(seed)
     rows = np.arange(len(x)) if rows is None else rows
     w, alpha = np.zeros(x.shape[1], np.float64), np.zeros(len(rows))
-    square = np.array([float(x[r] @ x[r]) for r in rows.tolist()])
-    at = rows.tolist()
+    at, wide = rows.tolist(), lambda r: x[r] if x.dtype == np.float64 else x[r].astype(np.float32)
+    square = np.array([float(v @ v) for v in map(wide, at)])
     # rarer class: as much weight in all as the other
     most = np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y < 0).sum())) * len(y) / 2 * c
     for _ in range(epochs):
         moved = 0.0
         for i in rng.permutation(len(rows)).tolist():
-            old, row = alpha[i], x[at[i]]
+            old, row = alpha[i], wide(at[i])
             new = min(max(old - (y[i] * float(row @ w) - 1) / square[i], 0.0), most[i])
             if new != old:
                 w += (new - old) * y[i] * row
@@ -169,7 +170,6 @@ def train(x: np.ndarray, langs: list[str]) -> Model:
     for lang in sorted(set(langs)):
         by_family.setdefault(family(lang), []).append(lang)
     labels, families = np.array(langs, object), np.array([family(a) for a in langs], object)
-    x = x.astype(np.float32, copy=False)  # once: every pair's machine reads its rows there
     pairs, columns = [], []
     for names, of in [(sorted(by_family), families), *((sorted(v), labels) for _, v in sorted(by_family.items()))]:
         for a, b in combinations(names, 2):
