@@ -382,6 +382,10 @@ def closed_positions(rolled: DataFrame) -> DataFrame:
 
 
 _DETAIL = "array<struct<trd_qty:bigint,trd_amt:double,trd_date:string,timestamp:bigint,return:double>>"
+_DETAIL_BLOCKS = f"array<struct<x:bigint,y:double,rows:{_DETAIL}>>"
+
+BLOCK_EVENTS = 64
+"""Events of a block of the detail scan."""
 
 
 def position_details(spans: DataFrame, detail: DataFrame, holding: DataFrame, seed_date: str, book: str = LONG,
@@ -391,6 +395,8 @@ def position_details(spans: DataFrame, detail: DataFrame, holding: DataFrame, se
 
     Spans of a position don't overlap.  The days on which it has events get their span by one ordered pass over days (the last
     span that opened); events then join their day, so cycles and events never meet in pairs.
+    A span's events are folded one after the other, in blocks of ``BLOCK_EVENTS``: an event is appended to its block's rows
+    only, and a block to the span's blocks, so time is linear in the events of a span.
     ``cost_rule`` is the one that the positions were rolled with."""
     if cost_rule not in COST_RULES:
         raise ValueError(f"cost_rule is one of {', '.join(COST_RULES)}")
@@ -410,7 +416,10 @@ def position_details(spans: DataFrame, detail: DataFrame, holding: DataFrame, se
     days = days.groupBy(*KEYS, "busi_date").agg(F.max("span").alias("span"))
     days = days.withColumn("span", F.last("span", ignorenulls=True).over(Window.partitionBy(*KEYS).orderBy("busi_date")))
     days = days.where(F.col("busi_date") <= F.col("span.last_date"))
-    ordered = ev.join(days, [*KEYS, "busi_date"]).groupBy(*KEYS, "span").agg(F.sort_array(F.collect_list("e")).alias("evs"))
+    place = F.row_number().over(Window.partitionBy(*KEYS, "span").orderBy("e")) - 1
+    blocks = ev.join(days, [*KEYS, "busi_date"]).withColumn("block", F.floor(place / BLOCK_EVENTS))
+    blocks = blocks.groupBy(*KEYS, "span", "block").agg(F.sort_array(F.collect_list("e")).alias("evs"))
+    ordered = blocks.groupBy(*KEYS, "span").agg(F.sort_array(F.collect_list(F.struct("block", "evs"))).alias("blocks"))
 
     def step(acc: Column, e: Column) -> Column:
         x, y, q, a = acc["x"], acc["y"], e["q"], e["a"]
@@ -424,8 +433,15 @@ def position_details(spans: DataFrame, detail: DataFrame, holding: DataFrame, se
         row = F.struct(q.alias("trd_qty"), a.alias("trd_amt"), e["trd_date"].alias("trd_date"), e["timestamp"].alias("timestamp"), tag.alias("return"))
         return F.struct(x1.alias("x"), cost.alias("y"), F.concat(acc["rows"], F.array(row)).cast(_DETAIL).alias("rows"))
 
-    zero = F.struct(F.lit(0).cast("long").alias("x"), F.lit(0.0).alias("y"), F.array().cast(_DETAIL).alias("rows"))
-    out = ordered.select(*KEYS, "span.*", F.aggregate("evs", zero, step, lambda acc: acc["rows"]).alias("trd_detail"))
+    def start(x: Column, y: Column) -> Column:
+        return F.struct(x.alias("x"), y.alias("y"), F.array().cast(_DETAIL).alias("rows"))
+
+    def add_block(done: Column, b: Column) -> Column:
+        before = F.element_at(done, -1)
+        return F.concat(done, F.array(F.aggregate(b["evs"], start(before["x"], before["y"]), step)).cast(_DETAIL_BLOCKS))
+
+    done = F.aggregate("blocks", F.array(start(F.lit(0).cast("long"), F.lit(0.0))).cast(_DETAIL_BLOCKS), add_block)
+    out = ordered.select(*KEYS, "span.*", F.flatten(F.transform(done, lambda b: b["rows"])).alias("trd_detail"))
     return decode_keys(out, types)
 
 
