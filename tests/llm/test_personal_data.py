@@ -117,3 +117,13 @@ def test_clean_prose_stays_clean(spark):
     rows = P.find(docs, P.fit(docs)).collect()
     clean = [r for r in rows if not (r.n_email or r.n_ip or r.n_card or r.n_phone)]
     assert len(clean) > 500 and sum(r.n_added > 0 for r in clean) <= 0.001 * len(clean)
+
+
+def test_no_text_is_passed_over(spark):
+    """Addresses without a digit, an @ or the word dot."""
+    field = P.Field({("email", "bias"): 10.0}, 0.0)
+    rows = [(1, "reach jo.doe (at) example.com today"), (2, "or jo at example.org"), (3, "JO [AT] EXAMPLE[.]NET"), (4, "nothing here"), (5, "")]
+    got = {r.doc_id: r for r in P.find(documents(spark, rows), field).collect()}
+    assert [got[i].n_added for i, _ in rows] == [1, 1, 1, 0, 0]
+    for i, text in rows:
+        assert got[i].spans == ",".join(f"{kind}:{a}:{b}" for a, kind, b in P.all_spans(text, field)[1])
