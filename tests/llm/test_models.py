@@ -155,3 +155,23 @@ def test_repeated_ids_give_one_text_and_the_same_model(spark):
     assert np.array_equal(models[0][0], models[1][0]) and models[0][1] == models[1][1]
     scores = {r.doc_id: r.score for r in Q.score(documents(spark, once), models[0]).collect()}
     assert all((scores[i] > 0.5) == bool(i % 2) for i in scores if i != 7)
+
+
+def test_every_text_is_learned_from(spark):
+    """More texts than a share holds: a word of any one text counts, and every text is judged for the thresholds."""
+    import random
+
+    rng = random.Random(3)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(6))
+    rows = [(lang, " ".join(word(letters) for _ in range(12))) for lang, letters in (("aa", "abcdefg"), ("bb", "hijklmn"), ("cc", "opqrstu")) for _ in range(60)]
+    rows += [("dd", "vwxyz " * 9)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    model = L.fit(docs, sample=12, reject=True)
+    assert sorted(model.least) == sorted(model.languages) == ["aa", "bb", "cc", "dd"]
+    got = L.predict(docs.selectExpr("monotonically_increasing_id() AS doc_id", "text", "lang"), model)
+    right = got.join(docs.selectExpr("monotonically_increasing_id() AS doc_id", "lang"), "doc_id").filter("lang = lang_pred").count()
+    assert right == len(rows)
+    again = L.fit(docs.repartition(3), sample=12, reject=True)
+    assert np.array_equal(model.weights, again.weights) and model.least == again.least
+    for k in (0, 17, 100, 179):  # without any one text the machines are others
+        assert not np.array_equal(model.weights, L.fit(docs.filter(F.col("text") != rows[k][1]), sample=12).weights)
