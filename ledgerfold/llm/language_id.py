@@ -223,7 +223,7 @@ CELL = 1e-4
 
 
 def _trainer(alone: bool, reject: bool) -> Callable:
-    """Machines of every share of texts (rows: lang, text, h, share; sorted by share, lang, h)."""
+    """Machines of every share of texts (rows: lang, text, h, share; sorted by share, lang, h and text)."""
     names = [c.split()[0] for c in TRAINED.split(", ")]
 
     def trained(share: int, langs: list[str], hashes: list[int], vectors: list[np.ndarray]) -> pa.RecordBatch:
@@ -238,18 +238,20 @@ def _trainer(alone: bool, reject: bool) -> Callable:
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        share, langs, hashes, vectors = None, [], [], []
+        share, last, langs, hashes, vectors = None, None, [], [], []
         for batch in batches:
-            shares, at = batch.column(3).to_numpy(), 0
+            keys = list(zip(batch.column(3).to_pylist(), batch.column(0).to_pylist(), batch.column(2).to_pylist()))
+            batch = batch.filter(pa.array([key != before for key, before in zip(keys, [last, *keys])], pa.bool_()))  # copies follow each other
+            last, shares = keys[-1] if keys else last, batch.column(3).to_numpy()
             cuts = [0, *(np.nonzero(np.diff(shares))[0] + 1).tolist(), len(shares)] if len(shares) else []
             for a, b in zip(cuts, cuts[1:]):
                 if share is not None and shares[a] != share:
                     yield trained(share, langs, hashes, vectors)
                     langs, hashes, vectors = [], [], []
-                share, at = int(shares[a]), a
+                share = int(shares[a])
                 langs += batch.column(0).slice(a, b - a).to_pylist()
                 hashes += batch.column(2).slice(a, b - a).to_pylist()
-                vectors += [features(texts).astype("<f2") for texts in _limited(batch.column(1).slice(at, b - a))]
+                vectors += [features(texts).astype("<f2") for texts in _limited(batch.column(1).slice(a, b - a))]
         if share is not None:
             yield trained(share, langs, hashes, vectors)
 
@@ -343,14 +345,17 @@ def fit(docs: DataFrame, sample: int = SAMPLE, lang_col: str = "lang", text_col:
     to = F.create_map(*[F.lit(v) for lang, (n, _) in per.items() for v in (lang, min(pairs_of_shares, -(-few * 2 * pairs_of_shares // n)))])
     lone = [lang for lang, (_, one) in per.items() if one]  # in one half only: known to both, and not judged
     rows = rows.filter(F.col("lang").isin(list(per)))
-    some = rows.groupBy("lang", "h").agg(F.min("text").alias("text"))
+    once = lambda some: some.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text", "h")
     if alone:
-        some = some.withColumn("share", F.lit(0))
+        some = once(rows).withColumn("share", F.lit(0))
     else:
+        # a text of more copies than a share has texts is reduced to one before the deal, others by the task that sorts them
+        hot = F.broadcast(rows.groupBy("lang", "h").count().filter(F.col("count") > sample).select("lang", "h"))
+        some = rows.join(hot, ["lang", "h"], "left_anti").select("lang", "text", "h").unionByName(once(rows.join(hot, ["lang", "h"], "left_semi")))
         first = F.pmod(F.xxhash64("h"), F.lit(pairs_of_shares))
         steps = F.transform(F.sequence(F.lit(0), F.try_element_at(to, F.col("lang")) - 1), lambda k: (F.pmod(first + k, F.lit(pairs_of_shares)) * 2 + half).cast("int"))
         some = some.withColumn("share", F.explode(F.when(F.col("lang").isin(lone), F.sequence(F.lit(0), F.lit(2 * pairs_of_shares - 1))).otherwise(steps)))
-    dealt = some.select("lang", "text", "h", "share").repartition(1 if alone else 2 * pairs_of_shares, "share").sortWithinPartitions("share", "lang", "h")
+    dealt = some.select("lang", "text", "h", "share").repartition(1 if alone else 2 * pairs_of_shares, "share").sortWithinPartitions("share", "lang", "h", "text")
     trained = dealt.mapInArrow(_trainer(alone, reject), TRAINED)
     if alone:
         got = trained.toArrow().to_pylist()
