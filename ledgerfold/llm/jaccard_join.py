@@ -270,7 +270,7 @@ def row_keys(id_col: str, text_col: str, names: tuple[str, str] = ("key1", "key2
 
 def signatures(docs: DataFrame, n: int = N, bands: int = 37, rows: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), *row_keys(id_col, text_col), F.col(text_col).alias("text"))
-    return d.mapInArrow(_signer(n, bands, rows), SIGNATURES)
+    return d.mapInArrow(word_ids.lean(_signer(n, bands, rows)), SIGNATURES)
 
 
 def components(spark: SparkSession, edges: DataFrame, folder: str) -> DataFrame:
@@ -333,14 +333,14 @@ def _write_links(spark: SparkSession, docs: DataFrame, folder: str, bands: int,
     wanted = mine.join(classes.select("number", "cid", "copies", "key1", "key2"), "number")
     # a class's row is one id and text, and repeats of it (combined map-side) are one row: each class meets one text
     texts = docs.select(*row_keys(id_col, text_col), F.col(text_col).alias("text")).dropDuplicates(["key1", "key2"])
-    sets = wanted.join(texts, ["key1", "key2"]).select("cid", "copies", "keys", "own", "text").mapInArrow(_set_maker(n), SETS)
+    sets = wanted.join(texts, ["key1", "key2"]).select("cid", "copies", "keys", "own", "text").mapInArrow(word_ids.lean(_set_maker(n)), SETS)
 
     # a class is in block h of its bucket, and in the units (h, j) and (i, h)
     in_bucket = sets.select("cid", "copies", "keys", "grams", F.explode("own").alias("o")).select(
         "cid", "copies", "keys", "grams", "o.key", "o.blocks", F.pmod(F.xxhash64("cid"), F.col("o.blocks")).cast("int").alias("block"))
     units = in_bucket.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "key", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "cid", "copies", "grams", "keys")
-    found = (units.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj").mapInArrow(_verifier(share), UNITS))
+    found = (units.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj").mapInArrow(word_ids.lean(_verifier(share)), UNITS))
     found.write.parquet(f"{folder}/links")
 
 

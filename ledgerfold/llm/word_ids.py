@@ -8,14 +8,15 @@ pre-tokenizer always parts, any other word whole.  New ones are encoded by the l
 letters many at a time and cut where a word ends, and ids are gathered with numpy.
 
 A worker keeps what it has seen (``LIMIT_BYTES`` at most, then it starts anew) and splits ``SLICE`` bytes of text at a time, so memory is
-bounded whatever the number of distinct words; no text is cut or skipped.
+bounded whatever the number of distinct words; no text is cut or skipped.  Spark keeps workers for later stages: tasks of
+operators without words let the table go (``lean``).
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -150,3 +151,21 @@ class WordIds:
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     return WordIds(path)
+
+
+def spare() -> None:
+    """Give back the memory that Arrow keeps for later use."""
+    pa.default_memory_pool().release_unused()
+
+
+def lean(rows: Callable) -> Callable:
+    """``rows`` (for ``mapInArrow``), without the word tables that tasks of earlier stages left in the worker and without
+    Arrow's spare memory before and after."""
+    @wraps(rows)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_ids.cache_clear()
+        spare()
+        yield from rows(batches)
+        spare()
+
+    return task

@@ -175,3 +175,42 @@ def test_every_text_is_learned_from(spark):
     assert np.array_equal(model.weights, again.weights) and model.least == again.least
     for k in (0, 17, 100, 179):  # without any one text the machines are others
         assert not np.array_equal(model.weights, L.fit(docs.filter(F.col("text") != rows[k][1]), sample=12).weights)
+
+
+def share_of(texts):
+    """Batches as a task of the trainer gets them: two languages, one share, sorted."""
+    import pyarrow as pa
+
+    rows = sorted((("aa", "bb")[k % 2], t, k) for k, t in enumerate(texts))
+    langs, texts, hashes = zip(*rows)
+    batch = pa.RecordBatch.from_arrays([pa.array(langs), pa.array(texts), pa.array(hashes, pa.int64()), pa.array([3] * len(rows), pa.int32())], names=["lang", "text", "h", "share"])
+    return [batch.slice(at, 1000) for at in range(0, len(rows), 1000)]
+
+
+def test_a_share_is_held_once_beside_its_texts(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(L, "train_svm", lambda x, y, rows: np.zeros(x.shape[1]))
+    batches = share_of([f"{'wxyz'[k % 2::2] * 5} {k}" for k in range(6000)])
+    tracemalloc.start()
+    assert len(list(L._trainer(False, True)(iter(batches)))) == 1
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.8 * 6000 * (L.DIM + 1) * 2
+
+
+def test_a_share_larger_than_its_room_is_trained_whole(monkeypatch):
+    batches = share_of([f"{'abcd'[k % 2::2] * 5} " + "vwxyz"[k % 5] * (k % 7 + 1) for k in range(300)])
+    whole = [b.to_pylist() for b in L._trainer(False, True)(iter(batches))]
+    monkeypatch.setattr(L, "ROOM", 7)
+    assert [b.to_pylist() for b in L._trainer(False, True)(iter(batches))] == whole and whole[0][0]["n"] == 300
+
+
+def test_tasks_of_other_operators_let_the_word_tables_go():
+    from ledgerfold.llm import word_ids as W
+    from ledgerfold.llm.token_files import vocabulary
+
+    W.word_ids.cache_clear()
+    W.word_ids(vocabulary())
+    assert W.word_ids.cache_info().currsize == 1
+    assert list(W.lean(L._trainer(False, True))(iter(share_of(["one text", "another text"])))) and W.word_ids.cache_info().currsize == 0
