@@ -32,6 +32,8 @@ BLOCK, MAGIC, HEAD = 1024, b"CMR2", "<4sIIQII"
 #: Bits of a table's index, of the choice between orders, and of the order-0 total; the largest id allowed.
 TABLE, CHOICE, TOTAL, MOST = 10, 16, 20, (1 << 19) - 9
 FULL, LEAST, DIGIT = 1 << 60, 1 << 40, 20
+#: Ids counted at a time; rows turned to columns at a time.
+PART, TILE = 1 << 20, 64
 #: Least share of 2^16 that an order keeps.
 FLOOR = 64
 
@@ -47,9 +49,14 @@ class Prior:
 
     @classmethod
     def of(cls, x: np.ndarray) -> Prior:
-        ids, counts = np.unique(x, return_counts=True)
+        x = x.reshape(-1)
+        counts = np.zeros(int(x.max()) + 1, np.int64)
+        for at in range(0, len(x), PART):
+            counts += np.bincount(x[at:at + PART], minlength=len(counts))
+        ids = np.nonzero(counts)[0]
+        counts = counts[ids]
         free = (1 << TOTAL) - len(ids)
-        sizes = 1 + counts.astype(np.int64) * free // max(1, int(counts.sum()))
+        sizes = 1 + counts * free // max(1, int(counts.sum()))
         sizes[np.argmax(counts)] += (1 << TOTAL) - int(sizes.sum())
         return cls(ids, sizes)
 
@@ -70,50 +77,80 @@ class Prior:
         at = self.number.take(x)
         return self.starts.take(at), self.sizes.take(at)
 
+    def by_id(self) -> tuple[np.ndarray, np.ndarray]:
+        """Start of the share, and what the share lacks of 2^TOTAL, at the place of their id."""
+        return self.starts.take(self.number), (1 << TOTAL) - self.sizes.take(self.number)
+
     def places(self) -> np.ndarray:
         """The number of the id at each place of 2^TOTAL."""
-        return np.repeat(np.arange(len(self.ids), dtype=np.int32), self.sizes)
+        return np.repeat(np.arange(len(self.ids), dtype=np.uint16 if len(self.ids) <= 1 << 16 else np.int32), self.sizes)
+
+
+def _ones(flags: np.ndarray) -> np.ndarray:
+    """1 where true, else 0."""
+    return flags.view(np.int8).astype(np.int32)
 
 
 class _Model:
-    """State of ``n`` blocks: order-2 and order-1 predictions and mixing weights."""
+    """State of ``n`` blocks: order-2 and order-1 predictions and mixing weights.
+
+    Both orders' tables are one array, order 1 first, so that both are read, judged and written as one vector [order, block].
+    Vectors are of 32 bits, which numpy works on without casts, and choices between values are sums of masked ones: data
+    decide them at random, which a branch can't foresee.
+    """
 
     def __init__(self, n: int):
-        row = np.arange(n, dtype=np.int64)
-        self.at, self.at_mix = row << TABLE, row << 4
-        self.t1, self.t2 = np.zeros(n << TABLE, np.int32), np.zeros(n << TABLE, np.int32)
-        # weights by both confidences: what is not yet sure begins with little
+        self.n = n
+        self.at = np.arange(n, dtype=np.int64) + np.array([[0], [n << TABLE]])
+        self.at_mix = np.arange(n, dtype=np.int64) << 4
+        self.table = np.zeros(2 * n << TABLE, np.int32)
+        # weights by both confidences: what is not yet sure begins with little; order 1's is kept above order 2's
         sure = np.arange(16)
-        self.a2 = np.tile(np.array([600, 8000, 20000, 36000], np.int32)[sure >> 2], n)
-        self.a1 = np.tile(np.array([600, 8000, 16000, 26000], np.int32)[sure & 3], n)
-        self.x1, self.x2 = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
+        a2 = np.array([600, 8000, 20000, 36000], np.uint32)[sure >> 2]
+        a1 = np.array([600, 8000, 16000, 26000], np.uint32)[sure & 3]
+        self.weight = np.tile(a1 << np.uint32(16) | a2, n).view(np.int32)
+        self.x1, self.old = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
+        self.hash = np.zeros((2, n), np.uint32)
 
     def predict(self) -> tuple[np.ndarray, ...]:
-        """Predicted ids of order 2 and 1 and the ends of their shares of 2^CHOICE."""
-        self.i1 = self.at + (self.x1 * np.uint32(0x9E3779B1) >> np.uint32(32 - TABLE))
-        self.i2 = self.at + (self.x1 * np.uint32(0x85EBCA6B) + self.x2 * np.uint32(0x9E3779B1) >> np.uint32(32 - TABLE))
-        self.e1, self.e2 = self.t1.take(self.i1), self.t2.take(self.i2)
-        self.mix = self.at_mix + ((self.e2 & 3) << 2) + (self.e1 & 3)
-        self.m1, self.m2 = self.a1.take(self.mix), self.a2.take(self.mix)
-        end2 = self.m2.astype(np.int64)
-        end1 = end2 + 16 + (((1 << CHOICE) - 2 * FLOOR - end2) * self.m1 >> CHOICE)
-        return self.e2 >> 2, self.e1 >> 2, end2, end1
-
-    def learn(self, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        """hit1: the order-1 id was right, whether or not it was needed."""
-        x = x.astype(np.uint32)
-        new = (x << np.uint32(2)).view(np.int32)
-        for table, at, e, hit in ((self.t2, self.i2, self.e2, hit2), (self.t1, self.i1, self.e1, hit1)):
-            sure = e & 3
-            table[at] = np.where(hit, e + (sure < 3), np.where(sure > 0, e - 1, new))
-        self.a2[self.mix] = self.m2 + ((hit2 * (65000 - FLOOR) + FLOOR - self.m2) >> 5)
-        self.a1[self.mix] = np.where(hit2, self.m1, self.m1 + ((hit1 * (65000 - FLOOR) + FLOOR - self.m1) >> 5))
-        self.x2, self.x1 = self.x1, x
-
-
-def _choice(hit2: np.ndarray, hit1: np.ndarray, end2: np.ndarray, end1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and size, of 2^CHOICE, of the order-2 id, the order-1 id or order 0."""
-    return np.where(hit2, 0, np.where(hit1, end2, end1)), np.where(hit2, end2, np.where(hit1, end1 - end2, (1 << CHOICE) - end1))
+        """Predicted ids [order 1, order 2] and the ends of the shares of 2^CHOICE of order 2 and order 1."""
+        last = self.x1 * np.uint32(0x9E3779B1)
+        self.hash[0] = last
+        np.add(self.x1 * np.uint32(0x85EBCA6B), self.old, out=self.hash[1])
+        self.old = last
+        i = (self.hash >> np.uint32(32 - TABLE)).astype(np.int64)
+        i *= self.n
+        i += self.at
+        self.i = i.reshape(-1)
+        self.e = self.table.take(self.i).reshape(2, self.n)
+        self.sure = self.e & 3
+        self.mix = self.at_mix + ((self.sure[1] << 2) + self.sure[0])
+        both = self.weight.take(self.mix).view(np.uint32)
+        end2, m1 = both & np.uint32(0xFFFF), both >> np.uint32(16)
+        end1 = end2 + np.uint32(16) + ((np.uint32((1 << CHOICE) - 2 * FLOOR) - end2) * m1 >> np.uint32(CHOICE))
+        self.m2, self.m1 = end2.view(np.int32), m1.view(np.int32)
+        return self.e >> 2, self.m2, end1.view(np.int32)
+
+    def learn(self, x: np.ndarray, right: np.ndarray) -> None:
+        """right [order, block]: 1 if the id was right, whether or not it was needed."""
+        other = -_ones(self.sure + (right << 2) == 0)  # all bits set where the entry is another id's from here on
+        new = self.e + right * (2 - (self.sure + 1 >> 2)) - 1
+        new += ((x << np.uint32(2)).view(np.int32) - new) & other
+        self.table[self.i] = new.reshape(-1)
+        aim = right * (65000 - FLOOR) + FLOOR
+        m2 = self.m2 + (aim[1] - self.m2 >> 5)
+        m1 = self.m1 + ((aim[0] - self.m1 >> 5) & right[1] - 1)
+        self.weight[self.mix] = (m1 << 16) + m2
+        self.x1 = x
+
+
+def _choice(hit2: np.ndarray, hit: np.ndarray, end2: np.ndarray, end1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size, of 2^CHOICE, of the order-2 id (``hit2`` 1), the order-1 id (``hit`` 1 alone) or order 0 (neither)."""
+    not2, none = hit2 - 1, hit - 1
+    more = end1 - end2
+    start = (end2 & not2) + (more & none)
+    end = end2 + (more & not2) + ((1 << CHOICE) - end1 & none)
+    return start.astype(np.int64), (end - start).astype(np.int64)
 
 
 class _Writer:
@@ -125,13 +162,13 @@ class _Writer:
         self.row = np.arange(n, dtype=np.int64)
 
     def _shift(self, at: np.ndarray) -> None:
-        low, pos = self.low[at], self.pos[at]
+        low, pos = self.low.take(at), self.pos.take(at)
         if int(pos.max()) + 8 > len(self.out):
             self.out = np.concatenate([self.out, np.zeros_like(self.out)])
         self.out.reshape(-1)[pos * self.n + at] = low >> 40
         self.pos[at] = pos + 1
         self.low[at] = (low & (LEAST - 1)) << DIGIT
-        self.range[at] <<= DIGIT
+        self.range[at] = self.range.take(at) << DIGIT
 
     def put(self, start: np.ndarray, size: np.ndarray, place: np.ndarray, share: np.ndarray) -> None:
         """Narrow to ``size`` of 2^CHOICE, then to ``share`` of 2^TOTAL."""
@@ -140,8 +177,10 @@ class _Writer:
         r = r * size >> TOTAL
         self.low += r * place
         self.range = r * share
-        while len(small := np.nonzero(self.range < LEAST)[0]):
+        small = np.nonzero(self.range < LEAST)[0]
+        while len(small):
             self._shift(small)
+            small = small[self.range.take(small) < LEAST]
 
     def digits(self) -> list[bytes]:
         for _ in range(3):
@@ -169,45 +208,55 @@ class _Reader:
         self.at = np.arange(n, dtype=np.int64) * words.shape[1] + 3
         self.flat = words.reshape(-1)
 
-    def choice(self) -> np.ndarray:
-        """The place of 2^CHOICE that the code points to."""
+    def choice(self, end2: np.ndarray, end1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether the code lies in the share of order 2, and in that of order 2 or 1: it is compared with their ends, not divided."""
         self.r = self.range >> CHOICE
-        return np.minimum((self.code.view(np.uint64) // self.r.view(np.uint64)).view(np.int64), (1 << CHOICE) - 1)
+        return self.code < self.r * end2, self.code < self.r * end1
 
     def narrow(self, start: np.ndarray, size: np.ndarray) -> None:
         self.code -= self.r * start
         self.r = self.r * size >> TOTAL
 
-    def place(self, rows: np.ndarray) -> np.ndarray:
-        """The place of 2^TOTAL that the code of ``rows`` points to."""
-        return np.minimum(self.code[rows] // self.r[rows], (1 << TOTAL) - 1)
+    def place(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The place of 2^TOTAL that the code of ``rows`` points to, their codes and units."""
+        code, r = self.code.take(rows), self.r.take(rows)
+        place = (code.view(np.uint64) // r.view(np.uint64)).view(np.int64)
+        return np.minimum(place, (1 << TOTAL) - 1), code, r
 
-    def take(self, rows: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        """Narrow ``rows`` to their shares of 2^TOTAL, others to all of it."""
+    def take(self, rows: np.ndarray, code: np.ndarray, r: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        """Narrow ``rows`` (of ``code`` and unit ``r``) to their shares of 2^TOTAL, others to all of it."""
         self.range = self.r << TOTAL
-        r = self.r[rows]
-        self.code[rows] -= r * start
+        self.code[rows] = code - r * start
         self.range[rows] = r * size
-        while len(small := np.nonzero(self.range < LEAST)[0]):
-            p = self.at[small]
-            self.code[small] = self.code[small] << DIGIT | self.flat.take(p, mode="clip")
+        small = np.nonzero(self.range < LEAST)[0]
+        while len(small):
+            p, wide = self.at.take(small), self.range.take(small) << DIGIT
+            self.code[small] = self.code.take(small) << DIGIT | self.flat.take(p, mode="clip")
             self.at[small] = p + 1
-            self.range[small] <<= DIGIT
+            self.range[small] = wide
+            small = small[wide < LEAST]
+
+
+def _turned(x: np.ndarray) -> np.ndarray:
+    """Columns as rows, a few rows at a time: their columns are neighbours in the result."""
+    out = np.empty(x.shape[::-1], np.uint32)
+    for at in range(0, len(x), TILE):
+        out[:, at:at + TILE] = x[at:at + TILE].T
+    return out
 
 
 def _encode(x: np.ndarray, prior: Prior) -> list[bytes]:
     """Digits of each row of ``x``."""
     n, steps = x.shape
     m, w = _Model(n), _Writer(n)
-    columns = np.ascontiguousarray(x.T)
-    for t in range(steps):
-        now = columns[t].astype(np.int64)
-        p2, p1, end2, end1 = m.predict()
-        hit2, hit1 = now == p2, now == p1
-        start, size = prior.shares(columns[t])
-        hit = hit2 | hit1
-        w.put(*_choice(hit2, hit1, end2, end1), np.where(hit, 0, start), np.where(hit, 1 << TOTAL, size))
-        m.learn(now, hit2, hit1)
+    starts, less = prior.by_id()
+    for now in _turned(x):
+        ids, end2, end1 = m.predict()
+        right = _ones(ids == now.view(np.int32))
+        hit = right[0] | right[1]
+        at, none = now.astype(np.int64), (hit - 1).astype(np.int64)
+        w.put(*_choice(right[1], hit, end2, end1), starts.take(at) & none, (1 << TOTAL) - (less.take(at) & none))
+        m.learn(now, right)
     return w.digits()
 
 
@@ -216,19 +265,19 @@ def _decode(digits: list[bytes], steps: int, prior: Prior) -> np.ndarray:
     m, r = _Model(n), _Reader(digits)
     places = prior.places()
     out = np.zeros((steps, n), np.uint32)
-    for t in range(steps):
-        p2, p1, end2, end1 = m.predict()
-        v = r.choice()
-        hit2, hit = v < end2, v < end1
-        now = np.where(hit2, p2, p1).astype(np.int64)
-        r.narrow(*_choice(hit2, hit, end2, end1))
+    for now in out:
+        ids, end2, end1 = m.predict()
+        hit2, hit = r.choice(end2, end1)
         rest = np.nonzero(~hit)[0]
-        k = places.take(r.place(rest))
-        r.take(rest, prior.starts.take(k), prior.sizes.take(k))
+        hit2 = _ones(hit2)
+        r.narrow(*_choice(hit2, _ones(hit), end2, end1))
+        np.add(ids[0], (ids[1] - ids[0]) & -hit2, out=now.view(np.int32))
+        place, code, unit = r.place(rest)
+        k = places.take(place)
+        r.take(rest, code, unit, prior.starts.take(k), prior.sizes.take(k))
         now[rest] = prior.ids.take(k)
-        m.learn(now, hit2, now == p1)
-        out[t] = now
-    return np.ascontiguousarray(out.T)
+        m.learn(now, _ones(ids == now.view(np.int32)))
+    return _turned(out)
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:

@@ -14,9 +14,11 @@ operators without words let the table go (``lean``).
 
 from __future__ import annotations
 
+import codecs
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache, wraps
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -56,11 +58,16 @@ def free_name(columns: list[str], name: str) -> str:
 
 def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The runs values[s:s+n] one after another."""
+    some = np.nonzero(lengths)[0]
+    starts, lengths = starts.take(some), lengths.take(some)
     total = int(lengths.sum())
     if not total:
         return values[:0]
+    kind = np.int32 if max(total, len(values)) < 1 << 31 else np.int64
     first = np.cumsum(lengths) - lengths
-    return values[np.repeat(starts - first, lengths) + np.arange(total)]
+    at = np.repeat((starts - first).astype(kind), lengths)
+    at += np.arange(total, dtype=kind)
+    return values.take(at)
 
 
 def listed(column: pa.Array) -> list:
@@ -75,9 +82,12 @@ class WordIds:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # for words of a to z alone the file's normalizer and pre-tokenizer change nothing: its model (shared) does
+        # in words of lower-case letters alone the file's normalizer changes nothing and its pre-tokenizer only
+        # spells letters beyond ASCII as their bytes: its model (shared) does
         self.plain = Tokenizer(self.tokenizer.model)
         self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        spelled = {b: x for c in LETTERS for b, x in zip(c.encode(), self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0])}
+        self.spelled = "".join(spelled.get(b, chr(b)) for b in range(256))
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -97,11 +107,12 @@ class WordIds:
             ids = self._encode(words[at:at + JOIN])
             self._add(words[at:at + JOIN], np.array(sum(ids, []), np.uint32), np.array([len(x) for x in ids], np.int64))
 
-    def _letters(self, words: list[str], plain: bool = False) -> None:
-        """Encode words of letters alone: each has exactly one word end."""
+    def _letters(self, words: list[str]) -> None:
+        """Encode words of lower-case letters alone: each has exactly one word end."""
         for at in range(0, len(words), JOIN):
             some = words[at:at + JOIN]
-            ids = np.array(self._encode([" ".join(some)], plain)[0], np.uint32)
+            spelled = codecs.charmap_decode(" ".join(some).encode(), "strict", self.spelled)[0]
+            ids = np.array(self._encode([spelled], True)[0], np.uint32)
             ends = np.nonzero(self.ends[ids])[0] + 1
             if len(ends) != len(some) or ends[-1] != len(ids):
                 self._one_by_one(some)
@@ -133,12 +144,14 @@ class WordIds:
         if WORD_BYTES * (len(self.index) + len(words)) + self.chars > LIMIT_BYTES:
             self.forget()
         index = self.index
-        fresh = {w: s for w, s in zip(stems, listed(simple)) if w not in index}
-        self._letters([w for w, s in fresh.items() if s and w.isascii()], plain=True)
-        self._letters([w for w, s in fresh.items() if s and not w.isascii()])
+        stem = np.fromiter(map(index.get, stems, repeat(-1)), np.int64, len(stems))
+        missing = np.nonzero(stem < 0)[0]
+        new = [stems[i] for i in missing.tolist()]
+        fresh = dict(zip(new, listed(simple.take(pa.array(missing)))))
+        self._letters([w for w, s in fresh.items() if s])
         self._one_by_one([w for w, s in fresh.items() if not s])
         self._one_by_one([w for w in listed(tails.dictionary) if w not in index])
-        stem = np.fromiter(map(index.__getitem__, stems), np.int64, len(stems))
+        stem[missing] = np.fromiter(map(index.__getitem__, new), np.int64, len(new))
         tail = np.fromiter(map(index.__getitem__, listed(tails.dictionary)), np.int64, len(tails.dictionary))
         at = np.stack([stem, tail[tails.indices.to_numpy(zero_copy_only=False)]], axis=1) if len(words) else np.zeros((0, 2), np.int64)
         slot = at[coded.indices.to_numpy(zero_copy_only=False)].reshape(-1)

@@ -104,3 +104,44 @@ def test_files_hold_all_documents_in_order(spark):
 def test_no_documents(spark):
     path = T.write_token_files(documents(spark, []), T.scratch(spark, "files"))
     assert T.token_digests(spark, path).collect() == []
+
+
+class Counting(dict):
+    looked = 0
+
+    def get(self, *a):
+        Counting.looked += 1
+        return dict.get(self, *a)
+
+    def __getitem__(self, k):
+        Counting.looked += 1
+        return dict.__getitem__(self, k)
+
+    def __contains__(self, k):
+        Counting.looked += 1
+        return dict.__contains__(self, k)
+
+
+def test_known_words_are_looked_up_once():
+    w = W.WordIds(T.vocabulary())
+    texts = pa.array([" ".join(f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(600))], pa.large_string())
+    first = w.encode(texts)
+    w.index, Counting.looked = Counting(w.index), 0
+    again = w.encode(texts)
+    assert (first[0] == again[0]).all() and Counting.looked < 610
+
+
+def test_letters_beyond_ascii_go_through_the_model_alone():
+    w, library = W.WordIds(T.vocabulary()), Tokenizer.from_file(T.vocabulary())
+    words = [a + b for a in "aàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿßz" for b in "eéßÿ"]
+    texts = [" ".join(words), " ".join(x for x in words if "ÿ" not in x).upper()]
+    asked, encode = [], w._encode
+    w._encode = lambda some, plain=False: asked.append(plain) or encode(some, plain)
+    ids, counts = w.encode(pa.array(texts, pa.large_string()))
+    assert asked == [True]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_the_bytes_of_a_frame_stay():
+    ids = np.cumsum(np.arange(40_000, dtype=np.uint32) ** 2 % 97) % 5000 // (1 + np.arange(40_000) % 7)
+    assert zlib.crc32(M.encode(ids)) == 2516872851
