@@ -216,11 +216,15 @@ def _limited(column: pa.Array) -> Iterator[pa.Array]:
             yield texts.slice(at, DOCS)
 
 
-def _in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``batches`` a few rows at a time, so that what is made of them stays small beside them."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, DOCS):
-            yield batch.slice(at, DOCS)
+def _limited_rows(column: pa.Array, rows: np.ndarray) -> Iterator[pa.Array]:
+    """``_limited`` of the texts at ``rows``, of which a slice at a time is copied."""
+    ends, at = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64)[rows]), 0
+    while at < len(rows):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + SLICE, side="right")))
+        for k in range(at, to, DOCS):
+            yield column.take(pa.array(rows[k:min(k + DOCS, to)]))
+        at = to
 
 
 #: Vectors that a share has room for at first: shares of ``SAMPLE`` texts, dealt by a hash, are rarely larger.
@@ -247,21 +251,21 @@ def _trainer(alone: bool, reject: bool) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         share, last, langs, hashes = None, None, [], []
         room = np.empty((ROOM, DIM + 1), "<f2")  # of a share's vectors; its pages are taken as they are filled
-        for batch in _in_parts(batches):
+        for batch in batches:
             keys = list(zip(batch.column(3).to_pylist(), batch.column(0).to_pylist(), batch.column(2).to_pylist()))
-            batch = batch.filter(pa.array([key != before for key, before in zip(keys, [last, *keys])], pa.bool_()))  # copies follow each other
-            last, shares = keys[-1] if keys else last, batch.column(3).to_numpy()
+            kept = np.nonzero(np.array([key != before for key, before in zip(keys, [last, *keys])], bool))[0]  # copies follow each other
+            last, shares = keys[-1] if keys else last, batch.column(3).to_numpy()[kept]
             cuts = [0, *(np.nonzero(np.diff(shares))[0] + 1).tolist(), len(shares)] if len(shares) else []
             for a, b in zip(cuts, cuts[1:]):
                 if share is not None and shares[a] != share:
                     yield trained(share, langs, hashes, room[:len(langs)])
                     langs, hashes = [], []
                 share, n = int(shares[a]), len(langs)
-                langs += batch.column(0).slice(a, b - a).to_pylist()
-                hashes += batch.column(2).slice(a, b - a).to_pylist()
+                langs += batch.column(0).take(pa.array(kept[a:b])).to_pylist()
+                hashes += batch.column(2).take(pa.array(kept[a:b])).to_pylist()
                 if len(langs) > len(room):
                     room = np.concatenate([room, np.empty((max(len(room) // 2, len(langs) - len(room)), DIM + 1), "<f2")])
-                for texts in _limited(batch.column(1).slice(a, b - a)):
+                for texts in _limited_rows(batch.column(1), kept[a:b]):
                     room[n:n + len(texts)] = features(texts)
                     n += len(texts)
         if share is not None:
