@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.token_files import scratch, vocabulary, with_end
-from ledgerfold.llm.word_ids import texts_of, word_ids
+from ledgerfold.llm.word_ids import lean, texts_of, word_ids
 
 CAPACITY, END = 2048, 0
 PIECES = "uid long, doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -78,6 +78,7 @@ def cut_pieces(docs: DataFrame, vocab: str | None = None, capacity: int = CAPACI
     return d.mapInArrow(_cutter(vocab or vocabulary(), capacity, end), PIECES)
 
 
+@lean
 def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Best fit inside one range; its rows come largest first, gaps before pieces of equal size."""
     from pyspark import TaskContext

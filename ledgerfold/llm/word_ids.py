@@ -25,9 +25,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of words kept by a worker, and what a word takes beside its characters (its entry, ids and place).
-LIMIT_BYTES, WORD_BYTES = 120_000_000, 180
+LIMIT_BYTES, WORD_BYTES = 90_000_000, 180
 #: Bytes of text that are split at a time.
-SLICE = 2_000_000
+SLICE = 1_000_000
 #: Letters (all composed, so that normal form C leaves them alone), then at most one run of punctuation.
 PUNCTUATION = ".,;:!?*$%&#|()\""
 SIMPLE = rf"^[A-Za-zÀ-ÖØ-öø-ÿ]+[{PUNCTUATION}]*$"
@@ -132,8 +132,8 @@ class WordIds:
         self.chars += sum(map(len, words))
         self.index.update(zip(words, range(n, n + len(words))))
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, number of ids of each)."""
+    def _places(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(places in the table of all words, two each; where each text's begin)."""
         split = pc.ascii_split_whitespace(texts)
         flat, offsets = split.flatten(), split.offsets.to_numpy()
         coded = flat.dictionary_encode()
@@ -154,11 +154,15 @@ class WordIds:
         stem[missing] = np.fromiter(map(index.__getitem__, new), np.int64, len(new))
         tail = np.fromiter(map(index.__getitem__, listed(tails.dictionary)), np.int64, len(tails.dictionary))
         at = np.stack([stem, tail[tails.indices.to_numpy(zero_copy_only=False)]], axis=1) if len(words) else np.zeros((0, 2), np.int64)
-        slot = at[coded.indices.to_numpy(zero_copy_only=False)].reshape(-1)
-        lengths = self.length[slot]
-        ids = gather(self.ids, self.start[slot], lengths)
-        total = np.concatenate([[0], np.cumsum(lengths)])[2 * (offsets - offsets[0])]
-        return ids, np.diff(total)
+        return at[coded.indices.to_numpy(zero_copy_only=False)].reshape(-1), 2 * (offsets - offsets[0])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each). The split words are let go before ids are gathered."""
+        places, first = self._places(texts)
+        spare()
+        lengths = self.length[places]
+        ids = gather(self.ids, self.start[places], lengths)
+        return ids, np.diff(np.concatenate([[0], np.cumsum(lengths)])[first])
 
 
 @lru_cache(maxsize=2)

@@ -1,12 +1,17 @@
 import bisect
 import random
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark import TaskContext
 from tokenizers import Tokenizer
 
 from ledgerfold.llm import packing as K
+from ledgerfold.llm import word_ids as W
 from ledgerfold.llm.token_files import vocabulary
 from tests.llm.cases import TEXTS, documents
 
@@ -73,3 +78,26 @@ def test_pieces_of_whole_texts(spark):
     assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows), key=key) == sorted(want, key=key)
     lengths = [r.length for r in rows]
     check([(i, r.sequence_id, r.offset) for i, r in enumerate(rows)], lengths, 2048)
+
+
+def test_sweeps_let_go_of_the_word_tables(monkeypatch):
+    monkeypatch.setattr(TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    W.word_ids.cache_clear()
+    W.word_ids(vocabulary())
+    rows = pa.RecordBatch.from_arrays([pa.array([K.GAP, K.PIECE], pa.int32()), pa.array([1, 2]), pa.array([5, 3], pa.int32())], names=["kind", "id", "size"])
+    assert sum(b.num_rows for b in K._sweep(iter([rows]))) == 2 and W.word_ids.cache_info().currsize == 0
+
+
+def test_tokenising_takes_little_memory_beside_the_table(monkeypatch):
+    w, gather, held = W.WordIds(vocabulary()), W.gather, []
+    texts = pa.array(["some words, that come again " * 1000] * 200)
+    w.encode(texts.slice(0, 1).cast(pa.large_string()))
+    before = pa.total_allocated_bytes()
+    monkeypatch.setattr(W, "gather", lambda *a: held.append(pa.total_allocated_bytes() - before) or gather(*a))
+    tracemalloc.start()
+    n = sum(int(w.encode(x)[1].sum()) for x in W.texts_of(texts))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 200 * 1000 * 6
+    assert max(held) < 3_000_000  # a slice, but not its words
+    assert most < 25_000_000
