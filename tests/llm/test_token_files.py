@@ -145,3 +145,41 @@ def test_letters_beyond_ascii_go_through_the_model_alone():
 def test_the_bytes_of_a_frame_stay():
     ids = np.cumsum(np.arange(40_000, dtype=np.uint32) ** 2 % 97) % 5000 // (1 + np.arange(40_000) % 7)
     assert zlib.crc32(M.encode(ids)) == 2516872851
+
+
+def test_known_words_are_found_without_strings(monkeypatch):
+    w = W.WordIds(T.vocabulary())
+    texts = pa.array([" ".join(f"Word{chr(97 + k % 26)}{chr(97 + k // 26)}{'.,!é'[k % 4]}" for k in range(600))], pa.large_string())
+    first, listed, made = w.encode(texts), W.listed, []
+    monkeypatch.setattr(W, "listed", lambda column: made.append(len(column)) or listed(column))
+    again = w.encode(texts)
+    assert (first[0] == again[0]).all() and sum(made) == 0
+
+
+def test_words_that_share_bytes_are_kept_apart():
+    library = Tokenizer.from_file(T.vocabulary())
+    words = [a[:n] + b for a in ("abcdefghijklmnopqrst", "éèéèéèéèéèé", "1234567890123456789", "日本語日本語日本語") for n in range(1, len(a) + 1) for b in ("", "\0", ".", "!.", "\0\0", "A")]
+    texts = [" ".join(words), " ".join(words[::-1]).upper(), "", " . ! !. \0 ", " ".join(words)]
+    w = W.WordIds(T.vocabulary())
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for order in ([0, 1, 2, 3, 4], [3, 2, 4, 1, 0]):
+        ids, counts = w.encode(pa.array([texts[k] for k in order], pa.large_string()))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [want[k] for k in order]
+    sliced = pa.array(["left out", *words, "left out"], pa.large_string()).slice(1, len(words))
+    keys, long = W._keys(sliced)
+    assert [k for k, x in enumerate(words) if len(x.encode()) > W.SHORT] == long.tolist()
+    assert len({tuple(k) for k in np.delete(keys, long, axis=0).tolist()}) == len({x for x in words if len(x.encode()) <= W.SHORT})
+
+
+def test_the_table_of_short_words_grows():
+    rng, table, want = np.random.default_rng(5), W._Short(), {}
+    for _ in range(6):
+        keys = np.unique(np.stack([rng.integers(0, 50, 9000), rng.integers(1, 3000, 9000)], axis=1).astype(np.uint64), axis=0)
+        keys = keys[[tuple(k) not in want for k in keys.tolist()]]
+        places = np.arange(len(want), len(want) + len(keys))
+        table.add(keys, places)
+        want |= dict(zip(map(tuple, keys.tolist()), places.tolist()))
+    known = np.array(list(want), np.uint64)
+    assert table.n == len(want) > 3 * (1 << 14) // 4 and len(table.rows) > 1 << 14
+    assert table.find(known).tolist() == list(want.values())
+    assert (table.find(known + np.uint64(5000)) == -1).all() and table.find(np.zeros((1, 2), np.uint64)).tolist() == [0]
