@@ -382,10 +382,7 @@ def closed_positions(rolled: DataFrame) -> DataFrame:
 
 
 _DETAIL = "array<struct<trd_qty:bigint,trd_amt:double,trd_date:string,timestamp:bigint,return:double>>"
-_DETAIL_BLOCKS = f"array<struct<x:bigint,y:double,rows:{_DETAIL}>>"
-
-BLOCK_EVENTS = 64
-"""Events of a block of the detail scan."""
+_DETAIL_STATES = "array<struct<x:bigint,y:double>>"
 
 
 def position_details(spans: DataFrame, detail: DataFrame, holding: DataFrame, seed_date: str, book: str = LONG,
@@ -395,53 +392,60 @@ def position_details(spans: DataFrame, detail: DataFrame, holding: DataFrame, se
 
     Spans of a position don't overlap.  The days on which it has events get their span by one ordered pass over days (the last
     span that opened); events then join their day, so cycles and events never meet in pairs.
-    A span's events are folded one after the other, in blocks of ``BLOCK_EVENTS``: an event is appended to its block's rows
-    only, and a block to the span's blocks, so time is linear in the events of a span.
+    A span's events are gathered in one array and folded one after the other.  Spark copies what a fold carries at every step, so
+    nothing that grows with the span is carried from event to event: one fold gives the state at the start of every block of
+    events, another the tags of each block from there.  Blocks are as wide as the cube root of the number of events, twice.
     ``cost_rule`` is the one that the positions were rolled with."""
     if cost_rule not in COST_RULES:
         raise ValueError(f"cost_rule is one of {', '.join(COST_RULES)}")
     types = spans
     spans, detail, holding = encode_keys(spans), encode_keys(detail), encode_keys(holding)
     ok = F.col("trd_qty").isNotNull() & F.col("trd_amt").isNotNull() & F.col("timestamp").isNotNull()
-    item = lambda seed, ts, order, q, a: F.struct(
-        F.col("busi_date").alias("trd_date"), F.lit(not seed).alias("later"), *[c.cast("long").alias(f"o{i}") for i, c in enumerate(order)],
-        q.cast("long").alias("q"), a.cast("double").alias("a"), ts.cast("long").alias("timestamp")).alias("e")
+    orders = [f"o{i}" for i in range(len(order_cols))]
+    item = lambda seed, ts, order, q, a: [
+        F.lit(not seed).alias("later"), *[c.cast("long").alias(o) for o, c in zip(orders, order, strict=True)],
+        q.cast("long").alias("q"), a.cast("double").alias("a"), ts.cast("long").alias("timestamp")]
     ev = detail.where((F.col("trd_type") == book) & ok & (F.col("busi_date") > seed_date)).select(
-        *KEYS, "busi_date", item(False, F.col("timestamp"), [F.col(c) for c in order_cols], F.col("trd_qty"), F.col("trd_amt")))
+        *KEYS, "busi_date", *item(False, F.col("timestamp"), [F.col(c) for c in order_cols], F.col("trd_qty"), F.col("trd_amt")))
     seeds = holding.where(F.col("busi_date") == seed_date).select(
-        *KEYS, "busi_date", item(True, F.lit(None), [F.lit(None)] * len(order_cols), F.col(qty_col), F.col("mkt_val")))
+        *KEYS, "busi_date", *item(True, F.lit(None), [F.lit(None)] * len(order_cols), F.col(qty_col), F.col("mkt_val")))
     ev = ev.unionByName(seeds)
     span = spans.select(*KEYS, F.col("open_date").alias("busi_date"), F.struct("open_date", "last_date").alias("span"))
     days = ev.select(*KEYS, "busi_date").distinct().withColumn("span", F.lit(None).cast(span.schema["span"].dataType)).unionByName(span)
     days = days.groupBy(*KEYS, "busi_date").agg(F.max("span").alias("span"))
-    days = days.withColumn("span", F.last("span", ignorenulls=True).over(Window.partitionBy(*KEYS).orderBy("busi_date")))
+    in_order = Window.partitionBy(*KEYS).orderBy("busi_date")
+    days = days.withColumns({"span": F.last("span", ignorenulls=True).over(in_order), "day": F.row_number().over(in_order)})
     days = days.where(F.col("busi_date") <= F.col("span.last_date"))
-    place = F.row_number().over(Window.partitionBy(*KEYS, "span").orderBy("e")) - 1
-    blocks = ev.join(days, [*KEYS, "busi_date"]).withColumn("block", F.floor(place / BLOCK_EVENTS))
-    blocks = blocks.groupBy(*KEYS, "span", "block").agg(F.sort_array(F.collect_list("e")).alias("evs"))
-    ordered = blocks.groupBy(*KEYS, "span").agg(F.sort_array(F.collect_list(F.struct("block", "evs"))).alias("blocks"))
+    e = F.struct("day", "later", *orders, "q", "a", "timestamp", F.col("busi_date").alias("trd_date")).alias("e")
+    ev = ev.join(days, [*KEYS, "busi_date"]).select(*KEYS, "span", e).repartition(*KEYS, "span")
+    ordered = ev.groupBy(*KEYS, "span").agg(F.sort_array(F.collect_list("e")).alias("evs"))
 
-    def step(acc: Column, e: Column) -> Column:
-        x, y, q, a = acc["x"], acc["y"], e["q"], e["a"]
+    def after(state: Column, e: Column) -> list[Column]:
+        x, y, q, a = state["x"], state["y"], e["q"], e["a"]
         x1 = x + q
         if cost_rule == "average_cost":
             sold = y * F.coalesce(F.try_divide(x1.cast("double"), x.cast("double")), F.lit(1.0))
         else:
             sold = F.when(x1 != 0, y + F.floor(F.try_divide(x1 + q, x1)) * y).otherwise(y + a)
-        cost = F.when(q >= 0, y + a).otherwise(sold)
-        tag = F.when((q < 0) & e["later"] & (x != 0), F.try_divide(y, x.cast("double")) * q)
-        row = F.struct(q.alias("trd_qty"), a.alias("trd_amt"), e["trd_date"].alias("trd_date"), e["timestamp"].alias("timestamp"), tag.alias("return"))
-        return F.struct(x1.alias("x"), cost.alias("y"), F.concat(acc["rows"], F.array(row)).cast(_DETAIL).alias("rows"))
-
-    def start(x: Column, y: Column) -> Column:
-        return F.struct(x.alias("x"), y.alias("y"), F.array().cast(_DETAIL).alias("rows"))
+        return [x1.alias("x"), F.when(q >= 0, y + a).otherwise(sold).alias("y")]
 
-    def add_block(done: Column, b: Column) -> Column:
-        before = F.element_at(done, -1)
-        return F.concat(done, F.array(F.aggregate(b["evs"], start(before["x"], before["y"]), step)).cast(_DETAIL_BLOCKS))
-
-    done = F.aggregate("blocks", F.array(start(F.lit(0).cast("long"), F.lit(0.0))).cast(_DETAIL_BLOCKS), add_block)
-    out = ordered.select(*KEYS, "span.*", F.flatten(F.transform(done, lambda b: b["rows"])).alias("trd_detail"))
+    def tagged(acc: Column, e: Column) -> Column:
+        x, y, q = acc["x"], acc["y"], e["q"]
+        tag = F.when((q < 0) & e["later"] & (x != 0), F.try_divide(y, x.cast("double")) * q)
+        return F.struct(*after(acc, e), F.concat(acc["tags"], F.array(tag)).alias("tags"))
+
+    last, width = F.size("evs") - 1, F.col("width")
+    block = lambda first: F.transform(F.sequence(first, F.least(first + width - 1, last)), lambda i: F.col("evs")[i])
+    firsts = F.sequence(F.lit(0), last, width)
+    zero = F.array(F.struct(F.lit(0).cast("long").alias("x"), F.lit(0.0).alias("y"))).cast(_DETAIL_STATES)
+    starts = F.aggregate(firsts, zero, lambda done, first: F.concat(done, F.array(F.aggregate(
+        block(first), F.element_at(done, -1), lambda state, e: F.struct(*after(state, e))))))
+    tags = F.flatten(F.zip_with(firsts, F.slice(starts, 1, F.size(firsts)), lambda first, s: F.aggregate(
+        block(first), F.struct(s["x"].alias("x"), s["y"].alias("y"), F.array().cast("array<double>").alias("tags")), tagged, lambda acc: acc["tags"])))
+    rows = F.zip_with("evs", tags, lambda e, tag: F.struct(e["q"].alias("trd_qty"), e["a"].alias("trd_amt"), e["trd_date"].alias("trd_date"),
+                                                           e["timestamp"].alias("timestamp"), tag.alias("return")))
+    ordered = ordered.withColumn("width", F.ceil(F.cbrt(F.size("evs")) * 2).cast("int"))
+    out = ordered.select(*KEYS, "span.*", rows.cast(_DETAIL).alias("trd_detail"))
     return decode_keys(out, types)
 
 
@@ -508,9 +512,14 @@ def detail_maps(records: DataFrame, fields: Sequence[str] = DETAIL_FIELDS, col:
     position tables, ``array<map<string,string>>`` with every value as text.  Structs are used
     inside the engine; maps only at this boundary.  A NULL ``optional`` field (a tag) has no entry."""
     def to_map(e: Column) -> Column:
-        pair = lambda f: F.create_map(F.lit(f), e[f].cast("string"))
+        pairs = lambda names: F.create_map(*[c for f in names for c in (F.lit(f), e[f].cast("string"))])
         none = F.create_map().cast("map<string,string>")
-        return F.map_concat(*[pair(f) for f in fields], *[F.when(e[f].isNotNull(), pair(f)).otherwise(none) for f in optional])
+        known = pairs(fields) if fields else none
+        if optional:
+            known = F.when(e[optional[0]].isNotNull(), pairs([*fields, optional[0]])).otherwise(known)
+        if len(optional) > 1:
+            known = F.map_concat(known, *[F.when(e[f].isNotNull(), pairs([f])).otherwise(none) for f in optional[1:]])
+        return known
     return records.withColumn(col, F.transform(col, to_map))
 
 
