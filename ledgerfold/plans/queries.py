@@ -205,7 +205,9 @@ def q_positions_open_detail(spark, sf_dir):
     last = _rolled(spark, sf_dir).where(F.col("busi_date") == _bounds(t)[1])
     details = open_position_details(open_positions(last), t.cash_flow_detail, t.stock_asset_holding, _first_day(t))
     path = _scratch(spark, "open-detail")
-    write_partitioned(detail_maps(details.select(*KEYS, "open_date", "trd_detail", "busi_date"), DETAIL_FIELDS, optional=("return",)), path, fmt="orc", replace="all")
+    # most texts of an event are its own: sorting them into dictionaries took more time than all else of the write
+    write_partitioned(detail_maps(details.select(*KEYS, "open_date", "trd_detail", "busi_date"), DETAIL_FIELDS, optional=("return",)), path, fmt="orc", replace="all",
+                      options={"orc.dictionary.key.threshold": "0"})
     stored_maps = spark.read.schema("trade_id string, secu_acc_id string, prd_no string, open_date string, trd_detail array<map<string,string>>, busi_date string").orc(path)
     back = parse_detail_maps(stored_maps)
     return back.select(*KEYS, "open_date", "busi_date", F.size("trd_detail").cast("long").alias("n_items"), _detail_text().alias("detail"))

@@ -197,9 +197,10 @@ def _drop_folder(spark: SparkSession, path: str) -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, fmt: str = "parquet", partition_cols: tuple[str, ...] = ("busi_date",),
-                      replace: str = "dynamic", days: Sequence[str] | None = None) -> None:
+                      replace: str = "dynamic", days: Sequence[str] | None = None, options: dict[str, str] | None = None) -> None:
     """Write ``df`` to a path partitioned by day.  ``replace='dynamic'`` replaces the named
     ``days`` (default: those present in ``df``); ``'all'`` replaces the whole dataset; ``'append'`` adds files.
+    ``options`` are the writer's.
 
     Rows are clustered by the partition columns with a REBALANCE hint, so each task writes few
     files per day while AQE splits a day that is too big for one task and merges small ones."""
@@ -210,7 +211,7 @@ def write_partitioned(df: DataFrame, path: str, fmt: str = "parquet", partition_
     seen = None
     if days is not None:
         out, seen = _written_days(out, "busi_date")
-    w = out.write.format(fmt)
+    w = out.write.format(fmt).options(**(options or {}))
     if replace == "append":
         w = w.mode("append")
     else:

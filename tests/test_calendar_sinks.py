@@ -48,6 +48,15 @@ def test_dynamic_overwrite_replaces_only_present_days_and_is_idempotent(spark):
     assert got == [("a", 1, "d1"), ("c", 3, "d2")]
 
 
+def test_writer_options_reach_the_files(spark):
+    path = f"{_scratch(spark)}/t"
+    df = spark.createDataFrame([("a", "d1"), ("b", "d2")], "k string, busi_date string")
+    write_partitioned(df, path, fmt="orc", replace="all", options={"compression": "zlib", "orc.dictionary.key.threshold": "0"})
+    names = [r.p for r in spark.read.orc(path).select(F.input_file_name().alias("p")).distinct().collect()]
+    assert len(names) == 2 and all(p.endswith(".zlib.orc") for p in names)
+    assert sorted((r.k, r.busi_date) for r in spark.read.orc(path).collect()) == [("a", "d1"), ("b", "d2")]
+
+
 def test_catalog_table_ddl_partition_and_replace_day(spark):
     name = "cf_" + uuid.uuid4().hex[:8]
     text = ddl(name, STOCK_CASH_FLOW)
